@@ -1,0 +1,54 @@
+"""Broadcast only behind a size check.
+
+A side is broadcast when a bounded count proves it small; otherwise the join is
+left to a shuffle (and to AQE, which may still convert it at run time).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DataType, DateType,
+                               DecimalType, IntegerType, MapType, ShortType, StringType, StructType)
+
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+# Assumed width of a variable-length value; generous on purpose.
+_VARIABLE_BYTES = 64
+
+
+def _width(t: DataType) -> int:
+    if isinstance(t, (BooleanType, ByteType)):
+        return 1
+    if isinstance(t, ShortType):
+        return 2
+    if isinstance(t, (IntegerType, DateType)):
+        return 4
+    if isinstance(t, DecimalType):
+        return 16
+    if isinstance(t, (StringType, BinaryType)):
+        return _VARIABLE_BYTES
+    if isinstance(t, StructType):
+        return sum(_width(f.dataType) for f in t.fields)
+    if isinstance(t, (ArrayType, MapType)):
+        return 4 * _VARIABLE_BYTES
+    return 8
+
+
+def estimated_row_bytes(df: DataFrame) -> int:
+    return max(8, sum(_width(f.dataType) for f in df.schema.fields))
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                      cache: bool = True) -> tuple[DataFrame, bool]:
+    """Return ``(df_for_join, broadcast?)``.
+
+    The count stops at the bound, so checking a large side costs at most
+    ``max_rows + 1`` rows of work past its producing stages. With ``cache`` the
+    checked rows are kept, so the join does not recompute them.
+    """
+    max_rows = max(1, max_bytes // estimated_row_bytes(df))
+    if cache:
+        df = df.cache()
+    n = df.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(df), True
+    return df, False
