@@ -13,10 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corvid.functions import quantity as q
 from corvid.functions.text import folder_stem, parent_folder
+from corvid.functions.text import slug
+from corvid.operators import settings as st
 from corvid.operators.aggregate import group_avg, sort_by, sum_quantity
+from corvid.operators.resources import request_memory, requests_rollup
 from corvid.operators.inspect import preview, profile
 from corvid.operators.validate import split_valid, where_quantity, with_parsed
 from corvid.plans import fixtures as fx
+from corvid.plans import oracle_settings as osql
 from corvid.plans.oracle import FX_QUANTITY, FX_TASK_CONF, parse_sql, with_
 from corvid.plans.steps import (load_step, run_pipeline, sql_step, step, transform_step,
                                 with_scalar)
@@ -372,3 +376,65 @@ def _b13_sql() -> str:
 def b13_split_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bad = split_valid(fx.fx_quantity(spark, sf_dir), "cpu_k8s", "cpu_k8s")
     return bad.select("l_orderkey", "l_linenumber", "cpu_k8s", F.col("cpu_k8s_reason").alias("reason"))
+
+
+# --------------------------------------------------------------------------
+# Tier B: settings
+# --------------------------------------------------------------------------
+
+def _fleet_names() -> tuple:
+    return (F.concat(F.lit("fleet_"), F.col("deploy_mode")),
+            F.concat(F.lit("task_"), F.col("task_id").cast("string")))
+
+
+@register("b14_request_memory", osql.b14_sql())
+def b14_request_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return request_memory(fx.fx_fleet(spark, sf_dir)).select("task_id", "request_memory", "request_memory_text")
+
+
+@register("b15_requests_rollup", osql.b15_sql())
+def b15_requests_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return requests_rollup(request_memory(fx.fx_fleet(spark, sf_dir)), ["owner_id", "deploy_mode"])
+
+
+@register("b16_render_conf", osql.b16_sql())
+def b16_render_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fleet, env = fx.fx_fleet(spark, sf_dir), fx.fleet_env()
+    entries = F.concat(st.conf_entries(fleet, "driver", env), st.conf_entries(fleet, "executor", env))
+    return fleet.select("task_id", F.inline(entries))
+
+
+@register("b17_mode_keys", osql.b17_sql())
+def b17_mode_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return st.render_conf(fx.fx_fleet(spark, sf_dir), "base", fx.fleet_env())
+
+
+@register("b18_resolve_layers", osql.b18_sql())
+def b18_resolve_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fleet, env = fx.fx_fleet(spark, sf_dir), fx.fleet_env()
+    rendered = fleet.select("task_id", F.inline(F.concat(
+        st.name_entries(*_fleet_names()), st.conf_entries(fleet, "base", env),
+        st.conf_entries(fleet, "driver", env), st.conf_entries(fleet, "executor", env))))
+    extra = fx.fx_override(spark, sf_dir).select(
+        "task_id", F.lit(st.LAYERS["extra"]).alias("layer"), F.col("n").cast("int").alias("ord"), "key", "value")
+    return st.resolve_layers(rendered.unionByName(extra))
+
+
+@register("b19_apply_defaults", osql.b19_sql())
+def b19_apply_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return st.apply_defaults(fx.fx_fleet(spark, sf_dir), "executor", fx.fleet_env())
+
+
+@register("b20_conf_text", osql.b20_sql())
+def b20_conf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dag, task = _fleet_names()
+    rows = st.fleet_conf(fx.fx_fleet(spark, sf_dir), fx.fx_override(spark, sf_dir), fx.fleet_env(), dag, task)
+    return st.conf_text(rows)
+
+
+@register("b26_slug", osql.b26_sql())
+def b26_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_parquet(spark, table_path(sf_dir, "orders"))
+    task = F.concat(F.lit("Order #"), F.col("o_orderkey").cast("string"), F.lit(" - "),
+                    F.col("o_orderstatus"), F.lit("'s"))
+    return o.select(F.col("o_orderkey").alias("task_id"), slug("o_orderpriority", task).alias("app_name"))

@@ -60,6 +60,23 @@ def fx_task_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The task configurations in canonical units: one fleet row per task."""
+    t = fx_task_conf(spark, sf_dir)
+    return t.select("task_id", "owner_id", "deploy_mode",
+                    (F.col("memory_mib") * (1 << 20)).alias("memory"),
+                    (F.col("overhead_mib") * (1 << 20)).alias("memory_overhead"),
+                    F.col("overhead_factor").alias("memory_overhead_factor"),
+                    F.col("request_m_cores").alias("request_cores"), "instances")
+
+
+def fleet_env() -> dict:
+    """Sentinel look-ups for the fleet: fixed values, and a per-task host."""
+    return {"namespace": "airflow-test-ns", "service_account": "airflow-worker",
+            "aws_role_arn": "default", "hostname": F.concat(F.lit("worker-"), F.col("task_id").cast("string")),
+            "ip": "10.0.0.1"}
+
+
 def fx_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster nodes and their zones."""
     return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("node"),
@@ -96,11 +113,12 @@ def fx_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = F.array(
         F.struct(F.lit(0).alias("n"), F.lit("spark.kubernetes.namespace").alias("key"),
                  F.when(t % 7 == 0, F.lit("airflow")).alias("value"), (t % 7 == 0).alias("keep")),
-        F.struct(F.lit(1), F.lit("spark.kubernetes.executor.podTemplateFile"),
-                 F.lit(None).cast("string"), t % 7 == 0),
-        F.struct(F.lit(2), F.lit("spark.hadoop.fs.s3a.path.style.access"),
-                 F.lit("true"), t % 14 == 0),
-        F.struct(F.lit(3), F.lit("spark.jars.packages"), F.lit(None).cast("string"), t % 21 == 0),
+        F.struct(F.lit(1).alias("n"), F.lit("spark.kubernetes.executor.podTemplateFile").alias("key"),
+                 F.lit(None).cast("string").alias("value"), (t % 7 == 0).alias("keep")),
+        F.struct(F.lit(2).alias("n"), F.lit("spark.hadoop.fs.s3a.path.style.access").alias("key"),
+                 F.lit("true").alias("value"), (t % 14 == 0).alias("keep")),
+        F.struct(F.lit(3).alias("n"), F.lit("spark.jars.packages").alias("key"),
+                 F.lit(None).cast("string").alias("value"), (t % 21 == 0).alias("keep")),
     )
     return (tasks.select("task_id", F.inline(entries))
             .where("keep").select("task_id", "n", "key", "value"))
