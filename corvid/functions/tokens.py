@@ -43,8 +43,9 @@ def base64url_decode(segment: Column) -> Column:
 
 
 def base64url_encode(data: Column) -> Column:
-    """binary or text -> base64url text without padding."""
-    return F.regexp_replace(F.translate(F.base64(data), "+/", "-_"), "=+$", "")
+    """binary or text -> base64url text without padding (``base64`` wraps
+    long output in lines; the breaks are removed)."""
+    return F.regexp_replace(F.translate(F.base64(data), "+/", "-_"), "[\\r\\n]|=+$", "")
 
 
 def token_payload(token: Column | str) -> Column:

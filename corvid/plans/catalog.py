@@ -16,10 +16,13 @@ from corvid.functions.text import folder_stem, parent_folder
 from corvid.functions.text import slug
 from corvid.operators import settings as st
 from corvid.operators.aggregate import group_avg, sort_by, sum_quantity
+from corvid.operators.documents import pod_labels, render_pod_json, tokens_per_account
+from corvid.operators.placement import placement_rules, rank_placements
 from corvid.operators.resources import request_memory, requests_rollup
 from corvid.operators.inspect import preview, profile
 from corvid.operators.validate import split_valid, where_quantity, with_parsed
 from corvid.plans import fixtures as fx
+from corvid.plans import oracle_docs as odoc
 from corvid.plans import oracle_settings as osql
 from corvid.plans.oracle import FX_QUANTITY, FX_TASK_CONF, parse_sql, with_
 from corvid.plans.steps import (load_step, run_pipeline, sql_step, step, transform_step,
@@ -438,3 +441,42 @@ def b26_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     task = F.concat(F.lit("Order #"), F.col("o_orderkey").cast("string"), F.lit(" - "),
                     F.col("o_orderstatus"), F.lit("'s"))
     return o.select(F.col("o_orderkey").alias("task_id"), slug("o_orderpriority", task).alias("app_name"))
+
+
+# --------------------------------------------------------------------------
+# Tier B: placement and documents
+# --------------------------------------------------------------------------
+
+def _fleet_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 13th task brings its own labels."""
+    fleet = fx.fx_fleet(spark, sf_dir)
+    own = F.when(F.col("task_id") % 13 == 0,
+                 F.create_map(F.lit("team"), F.concat(F.lit("owner-"), F.col("owner_id").cast("string"))))
+    return fleet.withColumn("labels", own)
+
+
+@register("b21_placement_rules", odoc.b21_sql())
+def b21_placement_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placement_rules(fx.fx_driver(spark, sf_dir))
+
+
+@register("b22_rank_placements", odoc.b22_sql())
+def b22_rank_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_placements(fx.fx_driver(spark, sf_dir), fx.fx_executor(spark, sf_dir), fx.fx_node(spark, sf_dir))
+
+
+@register("b23_render_pod_json", odoc.b23_sql())
+def b23_render_pod_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render_pod_json(_fleet_with_labels(spark, sf_dir), "executor", fx.fleet_env(), labels="labels")
+
+
+@register("b24_pod_labels", odoc.b24_sql())
+def b24_pod_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fleet = _fleet_with_labels(spark, sf_dir)
+    return fleet.select("task_id", F.explode(pod_labels("task_id", "executor", F.col("labels")))
+                        .alias("label_key", "label_value"))
+
+
+@register("b25_token_claims", odoc.b25_sql())
+def b25_token_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens_per_account(fx.fx_token(spark, sf_dir))
