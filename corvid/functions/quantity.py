@@ -83,25 +83,29 @@ class Parse:
 
 
 def _double_checks(ref) -> tuple[Column, Column]:
-    """raw: a double, null when the text did not match."""
-    raw = ref("raw")
-    value = F.when((raw >= F.lit(1.0)) & (raw < F.lit(TWO_63)), raw.cast("bigint"))
-    reason = (F.when(ref("text").isNull(), F.lit(TYPE))
-              .when(raw.isNull(), F.lit(PATTERN))
-              .when(~(raw < F.lit(TWO_63)), F.lit(RANGE))
-              .when(raw < F.lit(1.0), F.lit(NOT_POSITIVE)))
+    """raw: a double, null when the text did not match.
+
+    Each intermediate is referenced once, so an optimizer that inlines the
+    parse into a pushed-down filter still runs each pattern once per row.
+    """
+    value = F.nullif(F.greatest(ref("raw").try_cast("bigint"), F.lit(0).cast("bigint")), F.lit(0))
+    # 0: below 1 (truncates to <= 0), 1: fits, 2: 2**63 or more, 3: no match
+    bucket = F.coalesce(F.width_bucket(ref("raw"), F.lit(1.0), F.lit(TWO_63), F.lit(1)).cast("int"), F.lit(3))
+    verdict = F.element_at(F.array(F.lit(NOT_POSITIVE), F.lit(""), F.lit(RANGE), F.lit(PATTERN)), bucket + 1)
+    reason = F.when(ref("text").isNull(), F.lit(TYPE)).otherwise(F.nullif(verdict, F.lit("")))
     return value, reason
 
 
 def _exact_checks(ref) -> tuple[Column, Column]:
     """raw: an exact bigint, null when the text did not match or overflowed;
     digits: the matched number text ('' when the text did not match)."""
-    raw = ref("raw")
-    value = F.when(raw > 0, raw)
+    value = F.nullif(F.greatest(ref("raw"), F.lit(0).cast("bigint")), F.lit(0))
+    # signum -1/0 -> 1 (not positive), 1 -> 2 (fits); null (overflow) -> 3
+    sign = F.coalesce(F.floor((F.signum(ref("raw")) + F.lit(3)) / F.lit(2)).cast("int"), F.lit(3))
+    verdict = F.element_at(F.array(F.lit(NOT_POSITIVE), F.lit(""), F.lit(RANGE)), sign)
     reason = (F.when(ref("text").isNull(), F.lit(TYPE))
               .when(ref("digits") == "", F.lit(PATTERN))
-              .when(raw.isNull(), F.lit(RANGE))
-              .when(raw <= 0, F.lit(NOT_POSITIVE)))
+              .otherwise(F.nullif(verdict, F.lit(""))))
     return value, reason
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corvid.functions.tokens import service_account
 from corvid.operators import settings as st
-from corvid.operators.placement import DRIVER_LABEL, EXECUTOR_LABEL, affinity_id, rule_array
+from corvid.operators.placement import DRIVER_LABEL, EXECUTOR_LABEL, affinity_id, rule_structs
 from corvid.operators.resources import container_resources, request_memory_bytes
 
 # DNS options and the driver's downward-API environment.
@@ -30,12 +30,12 @@ def _affinity(task: Column, component: str) -> Column:
     """Scheduling structs; keys sorted as the serialised document has them."""
     if component == "driver":
         return F.struct(F.lit(None).cast("string").alias("podAffinity"))
-    terms = F.transform(rule_array(task), lambda r: F.struct(
-        F.struct(F.struct(F.array(F.struct(r["label_key"].alias("key"), F.lit("In").alias("operator"),
-                                           F.array(r["label_value"]).alias("values"))).alias("matchExpressions"))
+    terms = F.array(*[F.struct(
+        F.struct(F.struct(F.array(F.struct(F.lit(key).alias("key"), F.lit("In").alias("operator"),
+                                           F.array(value).alias("values"))).alias("matchExpressions"))
                  .alias("labelSelector"),
-                 r["topology_key"].alias("topologyKey")).alias("podAffinityTerm"),
-        r["weight"].alias("weight")))
+                 F.lit(topo).alias("topologyKey")).alias("podAffinityTerm"),
+        F.lit(weight).alias("weight")) for weight, key, value, topo in rule_structs(task)])
     return F.struct(F.struct(terms.alias("preferredDuringSchedulingIgnoredDuringExecution")).alias("podAffinity"))
 
 

@@ -27,16 +27,20 @@ def affinity_id(component: str, task: Column | str) -> Column:
     one per render; deriving it makes reruns agree)."""
     t = F.col(task) if isinstance(task, str) else task
     h = F.sha2(F.concat(F.lit(f"{component}:"), t.cast("string")), 256)
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
-                       F.substring(h, 17, 4), F.substring(h, 21, 12))
+    return F.regexp_replace(h, r"^(.{8})(.{4})(.{4})(.{4})(.{12}).*$", "$1-$2-$3-$4-$5")
 
 
-def rule_array(task: Column | str, own: Column | None = None) -> Column:
-    """The four weighted rules of a task, or its own rules when given."""
+def rule_structs(task: Column | str) -> list[tuple[int, str, Column, str]]:
+    """The four rules as (weight, label key, label value, topology key)."""
     ids = {"driver": affinity_id("driver", task), "executor": affinity_id("executor", task)}
     label = {"driver": DRIVER_LABEL, "executor": EXECUTOR_LABEL}
-    default = F.array(*[F.struct(F.lit(w), F.lit(label[who]), ids[who], F.lit(topo))
-                        for w, who, topo in RULES]).cast(ArrayType(RULE))
+    return [(w, label[who], ids[who], topo) for w, who, topo in RULES]
+
+
+def rule_array(task: Column | str, own: Column | None = None) -> Column:
+    """The four weighted rules of a task, or its own rules when given."""
+    default = F.array(*[F.struct(F.lit(w), F.lit(k), v, F.lit(t))
+                        for w, k, v, t in rule_structs(task)]).cast(ArrayType(RULE))
     return default if own is None else F.coalesce(own, default)
 
 

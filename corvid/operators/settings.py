@@ -172,47 +172,56 @@ def _format(fmt: str, col: Column) -> Column:
     return col.cast("string")
 
 
-def mode_entries(df: DataFrame) -> list[Column]:
+def mode_pairs(df: DataFrame) -> list[tuple[int, int, Column, Column]]:
     """Keys that depend on the deploy mode (``deploy_mode`` and
     ``spark_url`` columns; ``client`` when absent)."""
     mode = F.col("deploy_mode") if "deploy_mode" in df.columns else F.lit("client")
     url = F.col("spark_url") if "spark_url" in df.columns else F.lit(None).cast("string")
-    layer = F.lit(LAYERS["base"])
+    layer = LAYERS["base"]
     master = (F.when(mode == "local", F.coalesce(url, F.lit(DEFAULT_LOCAL_MASTER)))
-              .when(mode == "client", F.coalesce(url, F.lit(DEFAULT_K8S_MASTER))))
-    return [
-        F.struct(layer, F.lit(0), F.when(mode == "connect", F.lit("spark.remote"))
-                 .otherwise(F.lit("spark.master")),
-                 F.when(mode == "connect", F.coalesce(url, F.lit(DEFAULT_CONNECT_URL))).otherwise(master)),
-        F.struct(layer, F.lit(1), F.lit("spark.submit.deployMode"),
-                 F.when(mode == "client", F.lit("client"))),
-    ]
-
-
-def conf_entries(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None) -> Column:
-    """Rendered settings of one component as ``array<struct<layer, ord, key,
-    value>>`` in the reference's order, unset (null) values removed."""
-    layer = F.lit(LAYERS[component])
-    entries: list[Column] = mode_entries(df) if component == "base" else []
+              .when(mode == "client", F.coalesce(url, F.lit(DEFAULT_K8S_MASTER)))
+              .when(mode == "connect", F.coalesce(url, F.lit(DEFAULT_CONNECT_URL))))
+    key = F.when(mode == "connect", F.lit("spark.remote")).otherwise(F.lit("spark.master"))
+    return [(layer, 0, key, master),
+            (layer, 1, F.lit("spark.submit.deployMode"), F.when(mode == "client", F.lit("client")))]
+
+
+def conf_pairs(df: DataFrame, component: str,
+               env: Mapping[str, str | Column] | None = None) -> list[tuple[int, int, Column, Column]]:
+    """Rendered settings of one component as ``(layer, ord, key, value)`` in
+    the reference's order; a null value means the key is left out."""
+    pairs = mode_pairs(df) if component == "base" else []
     cols = attribute_columns(df, component, env)
     for i, (attr, key, fmt, default) in enumerate(settings(component), start=2):
         value = F.lit(default) if attr is None else _format(fmt, cols[attr])
-        entries.append(F.struct(layer, F.lit(i), F.lit(key), value))
-    arr = F.array(*entries).cast(ArrayType(ENTRY))
-    return F.filter(arr, lambda e: e["value"].isNotNull())
+        pairs.append((LAYERS[component], i, F.lit(key), value))
+    return pairs
 
 
-def name_entries(dag_id: Column, task_name: Column) -> Column:
+def name_pairs(dag_id: Column, task_name: Column) -> list[tuple[int, int, Column, Column]]:
     """B26 as layer 0: ``spark.app.name`` from a slug of the two names."""
-    return F.array(F.struct(F.lit(LAYERS["name"]), F.lit(0), F.lit("spark.app.name"),
-                            slug(dag_id, task_name))).cast(ArrayType(ENTRY))
+    return [(LAYERS["name"], 0, F.lit("spark.app.name"), slug(dag_id, task_name))]
+
+
+def entry_array(pairs: list[tuple[int, int, Column, Column]]) -> Column:
+    """Pairs as ``array<struct<layer, ord, key, value>>`` (null values kept)."""
+    return F.array(*[F.struct(F.lit(layer), F.lit(o), k, v) for layer, o, k, v in pairs]).cast(ArrayType(ENTRY))
+
+
+def conf_entries(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None) -> Column:
+    return entry_array(conf_pairs(df, component, env))
+
+
+def name_entries(dag_id: Column, task_name: Column) -> Column:
+    return entry_array(name_pairs(dag_id, task_name))
 
 
 def render_conf(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
                 keep: Sequence[str] = ("task_id",)) -> DataFrame:
     """One row per rendered key: ``keep`` columns, layer, ord, key,
-    value. A generator over each row; no shuffle."""
-    return df.select(*keep, F.inline(conf_entries(df, component, env)))
+    value. A generator over each row and a filter; no shuffle."""
+    return (df.select(*keep, F.inline(conf_entries(df, component, env)))
+            .where(F.col("value").isNotNull()))
 
 
 def resolve_layers(long_df: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
@@ -229,9 +238,10 @@ def resolve_layers(long_df: DataFrame, keys: Sequence[str] = ("task_id",)) -> Da
 
 
 def apply_extra(entries: Column, extra: Column) -> Column:
-    """B18 within a row: ``entries`` (unique keys) updated by ``extra``
-    (``array<struct<n, key, value>>``, null value = delete). Replaced keys
-    keep their place; new keys follow in ``n`` order."""
+    """B18 within a row: ``entries`` (unique keys, null value = unset)
+    updated by ``extra`` (``array<struct<n, key, value>>``, null value =
+    delete). Replaced keys keep their place; new keys follow in ``n`` order.
+    The result holds only set keys."""
     ex = F.coalesce(extra, F.array().cast(ArrayType(EXTRA)))
 
     def match(e):
@@ -254,6 +264,18 @@ def extra_by_task(overrides: DataFrame, keys: Sequence[str] = ("task_id",)) -> D
         F.collect_list(F.struct(F.col("n").cast("int").alias("n"), "key", "value")).alias("extra"))
 
 
+def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name, keys):
+    dag_id = dag_id if dag_id is not None else F.lit("adhoc_airflow")
+    task_name = task_name if task_name is not None else F.col(keys[0]).cast("string")
+    df = fleet
+    if overrides is not None:
+        extra, _ = bounded_broadcast(extra_by_task(overrides, keys))
+        df = fleet.join(extra, list(keys), "left")
+    pairs = (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env) + conf_pairs(df, "driver", env)
+             + conf_pairs(df, "executor", env))
+    return df, pairs
+
+
 def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
                env: Mapping[str, str | Column] | None = None, dag_id: Column | None = None,
                task_name: Column | None = None, keys: Sequence[str] = ("task_id",)) -> DataFrame:
@@ -263,25 +285,35 @@ def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
     Only the extra layer can collide with rendered keys (rendered keys name
     their component), so resolution happens inside each row: overrides are
     gathered per task, joined once to the fleet (broadcast when proven small),
-    and applied with array functions. The fleet is shuffled at most once, one
-    row per task, instead of once per rendered key.
+    and applied with array functions, only on rows that have any. The fleet
+    is shuffled at most once, one row per task, instead of once per key.
     """
-    dag_id = dag_id if dag_id is not None else F.lit("adhoc_airflow")
-    task_name = task_name if task_name is not None else F.col(keys[0]).cast("string")
-    df = fleet
+    df, pairs = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+    entries = entry_array(pairs)
     if overrides is not None:
-        extra, _ = bounded_broadcast(extra_by_task(overrides, keys))
-        df = fleet.join(extra, list(keys), "left")
-    entries = F.concat(name_entries(dag_id, task_name), conf_entries(df, "base", env),
-                       conf_entries(df, "driver", env), conf_entries(df, "executor", env))
-    if overrides is not None:
-        entries = apply_extra(entries, F.col("extra"))
-    return df.select(*keys, F.inline(entries))
+        entries = F.when(F.col("extra").isNull(), entries).otherwise(apply_extra(entries, F.col("extra")))
+    return df.select(*keys, F.inline(entries)).where(F.col("value").isNotNull())
+
+
+def fleet_conf_text(fleet: DataFrame, overrides: DataFrame | None = None,
+                    env: Mapping[str, str | Column] | None = None, dag_id: Column | None = None,
+                    task_name: Column | None = None, keys: Sequence[str] = ("task_id",)) -> DataFrame:
+    """B20 for a whole fleet, one text per task computed inside its row (no
+    shuffle of rendered keys): ``key=value`` lines in order."""
+    df, pairs = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+    plain = F.concat_ws("\n", *[F.concat(k, F.lit("="), v) for _l, _o, k, v in pairs])
+    if overrides is None:
+        return df.select(*keys, plain.alias("conf_text"))
+    lines = F.transform(apply_extra(entry_array(pairs), F.col("extra")),
+                        lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    text = F.when(F.col("extra").isNull(), plain).otherwise(F.array_join(lines, "\n"))
+    return df.select(*keys, text.alias("conf_text"))
 
 
 def conf_text(conf_rows: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
-    """``key=value`` lines in order, one text per task (``listagg``; a
-    task's keys are bounded by the settings it has)."""
+    """B20 for any long table of resolved settings: ``key=value`` lines in
+    order, one text per task (``listagg``; a task's keys are bounded by the
+    settings it has)."""
     line = F.concat_ws("=", "key", "value")
     pos = F.col("layer") * 1000 + F.col("ord")
     return (conf_rows.select(*keys, line.alias("line"), pos.alias("pos"))

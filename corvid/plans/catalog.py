@@ -29,6 +29,7 @@ from corvid.plans.steps import (load_step, run_pipeline, sql_step, step, transfo
                                 with_scalar)
 from corvid.session import scratch_dir, table_path
 from corvid.sources.files import land_raw, read_csv, read_parquet, write_parquet
+from corvid.streaming.incremental import stream_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,6 +146,13 @@ def a11_load_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _elt_rows(read_parquet(spark, load_step(spark, src, root)))
 
 
+@register("a11_stream_load", ELT_ROWS_SQL)
+def a11_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, src = _elt_csv(spark, sf_dir, "a11s")
+    dst = stream_load(spark, src, f"{root}/load_stream/movies", checkpoint=f"{root}/_stream_checkpoint")
+    return _elt_rows(read_parquet(spark, dst))
+
+
 @register("a12_transform_step", ELT_AVG_SQL)
 def a12_transform_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, src = _elt_csv(spark, sf_dir, "a12")
@@ -404,7 +412,7 @@ def b15_requests_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def b16_render_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
     fleet, env = fx.fx_fleet(spark, sf_dir), fx.fleet_env()
     entries = F.concat(st.conf_entries(fleet, "driver", env), st.conf_entries(fleet, "executor", env))
-    return fleet.select("task_id", F.inline(entries))
+    return fleet.select("task_id", F.inline(entries)).where(F.col("value").isNotNull())
 
 
 @register("b17_mode_keys", osql.b17_sql())
@@ -418,6 +426,7 @@ def b18_resolve_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rendered = fleet.select("task_id", F.inline(F.concat(
         st.name_entries(*_fleet_names()), st.conf_entries(fleet, "base", env),
         st.conf_entries(fleet, "driver", env), st.conf_entries(fleet, "executor", env))))
+    rendered = rendered.where(F.col("value").isNotNull())
     extra = fx.fx_override(spark, sf_dir).select(
         "task_id", F.lit(st.LAYERS["extra"]).alias("layer"), F.col("n").cast("int").alias("ord"), "key", "value")
     return st.resolve_layers(rendered.unionByName(extra))
@@ -431,8 +440,8 @@ def b19_apply_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("b20_conf_text", osql.b20_sql())
 def b20_conf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     dag, task = _fleet_names()
-    rows = st.fleet_conf(fx.fx_fleet(spark, sf_dir), fx.fx_override(spark, sf_dir), fx.fleet_env(), dag, task)
-    return st.conf_text(rows)
+    return st.fleet_conf_text(fx.fx_fleet(spark, sf_dir), fx.fx_override(spark, sf_dir), fx.fleet_env(),
+                              dag, task)
 
 
 @register("b26_slug", osql.b26_sql())
