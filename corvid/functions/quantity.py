@@ -44,8 +44,8 @@ K8S_MEMORY_PATTERN = rf"^{NUMBER}({'|'.join(K8S_UNITS)})?{_END}"
 JVM_MEMORY_PATTERN = rf"^(\d+)({'|'.join(JVM_UNITS)})?{_END}"
 K8S_CPU_PATTERN = rf"^{NUMBER}(m?){_END}"
 # Integer text as Python's int() reads it: outer blanks, a sign, and single
-# underscores between digits.
-JVM_CPU_PATTERN = r"^\s*([+-]?\d+(?:_\d+)*)\s*\z"
+# underscores between digits. Possessive quantifiers: no backtracking.
+JVM_CPU_PATTERN = r"^\s*+([+-]?+\d++(?:_\d++)*+)\s*+\z"
 
 TWO_63 = 9.223372036854775807e18  # 2**63 as a double; anything below fits bigint
 
@@ -70,9 +70,19 @@ class Parse:
     intermediates in their own projection so each regex runs once per row;
     the Column-level functions inline them."""
 
-    def __init__(self, parts: dict[str, Column], finish):
-        self.parts = parts
+    def __init__(self, parts: dict[str, Column], finish, derived=None):
+        # ``derived``: name -> function of ``ref`` built on earlier parts
+        self._base = parts
+        self._derived = derived or {}
         self._finish = finish
+        self.parts = dict(parts)
+        for name, fn in self._derived.items():
+            self.parts[name] = fn(lambda n: self.parts[n])
+
+    def stages(self) -> list[dict[str, Column]]:
+        """Projections to materialise in order, referring to earlier ones by
+        ``ref`` names (see :meth:`staged`)."""
+        return [self._base] + [{n: fn} for n, fn in self._derived.items()]
 
     def finish(self, ref) -> tuple[Column, Column]:
         return self._finish(ref)
@@ -88,7 +98,9 @@ def _double_checks(ref) -> tuple[Column, Column]:
     Each intermediate is referenced once, so an optimizer that inlines the
     parse into a pushed-down filter still runs each pattern once per row.
     """
-    value = F.nullif(F.greatest(ref("raw").try_cast("bigint"), F.lit(0).cast("bigint")), F.lit(0))
+    # 2**63 and above become null first: a cast to bigint would saturate
+    below = F.nullif(F.least(ref("raw"), F.lit(TWO_63)), F.lit(TWO_63))
+    value = F.nullif(F.greatest(below.try_cast("bigint"), F.lit(0).cast("bigint")), F.lit(0))
     # 0: below 1 (truncates to <= 0), 1: fits, 2: 2**63 or more, 3: no match
     bucket = F.coalesce(F.width_bucket(ref("raw"), F.lit(1.0), F.lit(TWO_63), F.lit(1)).cast("int"), F.lit(3))
     verdict = F.element_at(F.array(F.lit(NOT_POSITIVE), F.lit(""), F.lit(RANGE), F.lit(PATTERN)), bucket + 1)
@@ -120,8 +132,8 @@ def memory_jvm_parse(text: Column | str) -> Parse:
     s = _col(text)
     digits = F.regexp_extract(s, JVM_MEMORY_PATTERN, 1)
     mult = F.try_element_at(_unit_map(JVM_UNITS, "bigint"), F.regexp_extract(s, JVM_MEMORY_PATTERN, 2))
-    raw = F.try_multiply(digits.try_cast("bigint"), mult)
-    return Parse({"text": s, "digits": digits, "raw": raw}, _exact_checks)
+    return Parse({"text": s, "digits": digits, "mult": mult}, _exact_checks,
+                 {"raw": lambda ref: F.try_multiply(ref("digits").try_cast("bigint"), ref("mult"))})
 
 
 def cpu_k8s_parse(text: Column | str) -> Parse:
@@ -133,9 +145,9 @@ def cpu_k8s_parse(text: Column | str) -> Parse:
 
 def cpu_jvm_parse(text: Column | str) -> Parse:
     s = _col(text)
-    digits = F.regexp_replace(F.regexp_extract(s, JVM_CPU_PATTERN, 1), "_", "")
-    raw = F.try_multiply(digits.try_cast("bigint"), F.lit(1000).cast("bigint"))
-    return Parse({"text": s, "digits": digits, "raw": raw}, _exact_checks)
+    digits = F.replace(F.regexp_extract(s, JVM_CPU_PATTERN, 1), F.lit("_"), F.lit(""))
+    return Parse({"text": s, "digits": digits}, _exact_checks,
+                 {"raw": lambda ref: F.try_multiply(ref("digits").try_cast("bigint"), F.lit(1000).cast("bigint"))})
 
 
 def number_parse(value: Column | str, mult: int, integral: bool) -> Parse:

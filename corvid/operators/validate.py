@@ -37,11 +37,17 @@ def with_parsed(df: DataFrame, col: str, parser: str, value: str | None = None,
     (``<col>_reason``, null when valid). Narrow projections only, no shuffle:
     the regex stage is its own projection, so each pattern runs once per row."""
     p = _parse(df, col, parser)
-    tmp = {f"__{col}_{k}": v for k, v in p.parts.items()}
-    v, r = p.finish(lambda name: F.col(f"__{col}_{name}"))
-    return (df.withColumns(tmp)
-            .withColumns({value or f"{col}_value": v, reason or f"{col}_reason": r})
-            .drop(*tmp))
+
+    def ref(name: str) -> Column:
+        return F.col(f"__{col}_{name}")
+
+    tmp = []
+    for stage in p.stages():
+        cols = {f"__{col}_{k}": (v(ref) if callable(v) else v) for k, v in stage.items()}
+        df = df.withColumns(cols)
+        tmp += list(cols)
+    v, r = p.finish(ref)
+    return df.withColumns({value or f"{col}_value": v, reason or f"{col}_reason": r}).drop(*tmp)
 
 
 def split_valid(df: DataFrame, col: str, parser: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -55,9 +61,10 @@ def split_valid(df: DataFrame, col: str, parser: str, strict: bool = False) -> t
     value, reason = f"{col}_value", f"{col}_reason"
     parsed = with_parsed(df, col, parser, value, reason)
     if strict:
-        parsed = parsed.withColumn(value, F.when(F.col(reason).isNull(), F.col(value)).otherwise(
+        # every row passes through this filter, so the first bad one fails the job
+        parsed = parsed.where(F.when(F.col(reason).isNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit(f"invalid {parser} quantity in {col}: "),
-                                   F.col(reason))).cast("bigint")))
+                                   F.col(reason))).cast("boolean")))
     good = parsed.where(F.col(reason).isNull()).drop(reason)
     bad = parsed.where(F.col(reason).isNotNull()).drop(value)
     return good, bad
