@@ -237,31 +237,38 @@ def resolve_layers(long_df: DataFrame, keys: Sequence[str] = ("task_id",)) -> Da
                     F.col("w.value").alias("value")))
 
 
-def apply_extra(entries: Column, extra: Column) -> Column:
-    """B18 within a row: ``entries`` (unique keys, null value = unset)
-    updated by ``extra`` (``array<struct<n, key, value>>``, null value =
-    delete). Replaced keys keep their place; new keys follow in ``n`` order.
-    The result holds only set keys."""
-    ex = F.coalesce(extra, F.array().cast(ArrayType(EXTRA)))
-
-    def match(e):
-        return F.filter(ex, lambda x: x["key"] == e["key"])
-
-    kept = F.transform(entries, lambda e: F.struct(
-        e["layer"].alias("layer"), e["ord"].alias("ord"), e["key"].alias("key"),
-        F.when(F.size(match(e)) > 0, F.element_at(match(e), -1)["value"]).otherwise(e["value"]).alias("value")))
-    added = F.transform(
-        F.array_sort(F.filter(ex, lambda x: ~F.exists(entries, lambda e: e["key"] == x["key"]))),
-        lambda x: F.struct(F.lit(LAYERS["extra"]).alias("layer"), x["n"].alias("ord"),
-                           x["key"].alias("key"), x["value"].alias("value")))
-    return F.filter(F.concat(kept, added), lambda e: e["value"].isNotNull())
-
-
 def extra_by_task(overrides: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
-    """Per task, its extra settings as ``array<struct<n, key, value>>``.
-    Bounded per task by the number of distinct keys it overrides."""
-    return overrides.groupBy(*keys).agg(
-        F.collect_list(F.struct(F.col("n").cast("int").alias("n"), "key", "value")).alias("extra"))
+    """Per task, its extra settings as ``map<key, struct<n, value>>`` (null
+    value = delete). Bounded per task by the number of distinct keys it
+    overrides; a key given twice for one task is an error."""
+    return overrides.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(
+        "key", F.struct(F.col("n").cast("int").alias("n"), F.col("value").cast("string").alias("value")))))
+        .alias("extra"))
+
+
+def apply_extra(pairs: list[tuple[int, int, Column, Column]], extra: Column
+                ) -> tuple[list[tuple[int, int, Column, Column]], Column]:
+    """B18 within a row: rendered ``pairs`` (unique keys; null value = not
+    set) updated by ``extra`` (``map<key, struct<n, value>>``, null value =
+    delete), as a mapping updated in place would be: a key that is set keeps
+    its place and takes the new value (null removes it); any other key is
+    appended in ``n`` order. Returns the updated pairs and the appended
+    entries as ``array<struct<layer, ord, key, value>>``.
+
+    Replacements are plain map look-ups (code-generated); only the few
+    appended keys go through an array function.
+    """
+    updated = []
+    for layer, o, k, v in pairs:
+        hit = F.when(v.isNotNull() & F.map_contains_key(extra, k), F.lit(True)).otherwise(F.lit(False))
+        updated.append((layer, o, k, F.when(hit, F.element_at(extra, k)["value"]).otherwise(v)))
+    set_keys = F.array_compact(F.array(*[F.when(v.isNotNull(), k) for _l, _o, k, v in pairs]))
+    fresh = F.filter(F.map_entries(extra), lambda e: ~F.array_contains(set_keys, e["key"]))
+    ordered = F.array_sort(F.transform(fresh, lambda e: F.struct(
+        e["value"]["n"].alias("ord"), e["key"].alias("key"), e["value"]["value"].alias("value"))))
+    added = F.transform(ordered, lambda e: F.struct(
+        F.lit(LAYERS["extra"]).alias("layer"), e["ord"], e["key"], e["value"])).cast(ArrayType(ENTRY))
+    return updated, F.coalesce(added, F.array().cast(ArrayType(ENTRY)))
 
 
 def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name, keys):
@@ -271,9 +278,12 @@ def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name
     if overrides is not None:
         extra, _ = bounded_broadcast(extra_by_task(overrides, keys))
         df = fleet.join(extra, list(keys), "left")
-    pairs = (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env) + conf_pairs(df, "driver", env)
+    plain = (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env) + conf_pairs(df, "driver", env)
              + conf_pairs(df, "executor", env))
-    return df, pairs
+    pairs, added = plain, None
+    if overrides is not None:
+        pairs, added = apply_extra(plain, F.col("extra"))
+    return df, plain, pairs, added
 
 
 def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
@@ -284,14 +294,15 @@ def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
 
     Only the extra layer can collide with rendered keys (rendered keys name
     their component), so resolution happens inside each row: overrides are
-    gathered per task, joined once to the fleet (broadcast when proven small),
-    and applied with array functions, only on rows that have any. The fleet
-    is shuffled at most once, one row per task, instead of once per key.
+    gathered per task into a small map, joined once to the fleet (broadcast
+    when proven small) and looked up per key. The fleet is shuffled at most
+    once, one row per task, instead of once per rendered key.
     """
-    df, pairs = _fleet(fleet, overrides, env, dag_id, task_name, keys)
-    entries = entry_array(pairs)
-    if overrides is not None:
-        entries = F.when(F.col("extra").isNull(), entries).otherwise(apply_extra(entries, F.col("extra")))
+    df, plain, pairs, added = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+    entries = entry_array(plain)
+    if added is not None:
+        # rows without overrides (most) skip every look-up
+        entries = F.when(F.col("extra").isNull(), entries).otherwise(F.concat(entry_array(pairs), added))
     return df.select(*keys, F.inline(entries)).where(F.col("value").isNotNull())
 
 
@@ -300,14 +311,19 @@ def fleet_conf_text(fleet: DataFrame, overrides: DataFrame | None = None,
                     task_name: Column | None = None, keys: Sequence[str] = ("task_id",)) -> DataFrame:
     """B20 for a whole fleet, one text per task computed inside its row (no
     shuffle of rendered keys): ``key=value`` lines in order."""
-    df, pairs = _fleet(fleet, overrides, env, dag_id, task_name, keys)
-    plain = F.concat_ws("\n", *[F.concat(k, F.lit("="), v) for _l, _o, k, v in pairs])
-    if overrides is None:
-        return df.select(*keys, plain.alias("conf_text"))
-    lines = F.transform(apply_extra(entry_array(pairs), F.col("extra")),
-                        lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    text = F.when(F.col("extra").isNull(), plain).otherwise(F.array_join(lines, "\n"))
-    return df.select(*keys, text.alias("conf_text"))
+    df, plain, pairs, added = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+
+    def text(ps, tail=None):
+        lines = [F.concat(k, F.lit("="), v) for _l, _o, k, v in ps]
+        return F.concat_ws("\n", *(lines + ([tail] if tail is not None else [])))
+
+    if added is None:
+        return df.select(*keys, text(plain).alias("conf_text"))
+    tail = F.nullif(F.array_join(F.transform(added, lambda e: F.concat(e["key"], F.lit("="), e["value"])), "\n"),
+                    F.lit(""))
+    # rows without overrides (most) skip every look-up
+    out = F.when(F.col("extra").isNull(), text(plain)).otherwise(text(pairs, tail))
+    return df.select(*keys, out.alias("conf_text"))
 
 
 def conf_text(conf_rows: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:

@@ -34,20 +34,24 @@ def _parse(df: DataFrame, col: str, parser: str) -> q.Parse:
 def with_parsed(df: DataFrame, col: str, parser: str, value: str | None = None,
                 reason: str | None = None) -> DataFrame:
     """Add the canonical integer (``<col>_value``) and the rejection reason
-    (``<col>_reason``, null when valid). Narrow projections only, no shuffle:
-    the regex stage is its own projection, so each pattern runs once per row."""
+    (``<col>_reason``, null when valid). Narrow operators only, no shuffle.
+
+    Each regex stage is its own projection, so each pattern runs once per
+    row, and the results come out of a one-row generator: a filter on them
+    stays above it instead of being pushed down with the whole parse inlined
+    into the predicate (which re-ran every pattern per condition).
+    """
     p = _parse(df, col, parser)
+    keep = df.columns
 
     def ref(name: str) -> Column:
         return F.col(f"__{col}_{name}")
 
-    tmp = []
     for stage in p.stages():
-        cols = {f"__{col}_{k}": (v(ref) if callable(v) else v) for k, v in stage.items()}
-        df = df.withColumns(cols)
-        tmp += list(cols)
+        df = df.withColumns({f"__{col}_{k}": (v(ref) if callable(v) else v) for k, v in stage.items()})
     v, r = p.finish(ref)
-    return df.withColumns({value or f"{col}_value": v, reason or f"{col}_reason": r}).drop(*tmp)
+    result = F.struct(v.alias(value or f"{col}_value"), r.alias(reason or f"{col}_reason"))
+    return df.select(*keep, F.inline(F.array(result)))
 
 
 def split_valid(df: DataFrame, col: str, parser: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -74,13 +78,14 @@ def where_quantity(df: DataFrame, col: str, op: str, text: str, parser: str) ->
     """Keep rows whose quantity compares with ``text`` (any notation of
     the same grammar) by ``op``. The literal is parsed by the same expression
     and constant-folded; an invalid literal fails the job. Rows whose own
-    value is invalid never match."""
+    value is invalid never match. To filter on several bounds, parse once
+    with :func:`with_parsed` and filter its value column."""
     if op not in _OPS:
         raise ValueError(f"unsupported comparison {op!r}")
     lit_value, lit_reason = q.PARSERS[parser](F.lit(text)).finish(
         lambda name: q.PARSERS[parser](F.lit(text)).parts[name])
     bound = F.when(lit_reason.isNull(), lit_value).otherwise(
         F.raise_error(F.lit(f"invalid {parser} quantity literal: {text!r}")).cast("bigint"))
-    p = _parse(df, col, parser)
-    own, _ = p.finish(lambda name: p.parts[name])
-    return df.where(_OPS[op](own, bound))
+    value, reason = f"__{col}_cmp_value", f"__{col}_cmp_reason"
+    parsed = with_parsed(df, col, parser, value, reason)
+    return parsed.where(_OPS[op](F.col(value), bound)).drop(value, reason)

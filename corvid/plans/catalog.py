@@ -422,6 +422,15 @@ def b17_mode_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("b18_resolve_layers", osql.b18_sql())
 def b18_resolve_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fleet's layers resolved inside each row (one small join of the
+    per-task overrides); equal to :func:`resolve_layers` on the long table."""
+    dag, task = _fleet_names()
+    return st.fleet_conf(fx.fx_fleet(spark, sf_dir), fx.fx_override(spark, sf_dir), fx.fleet_env(), dag, task)
+
+
+def b18_resolve_layers_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B18 by the generic long-table resolution: one sort-based aggregate
+    over every rendered key (string winners cannot use a hash aggregate)."""
     fleet, env = fx.fx_fleet(spark, sf_dir), fx.fleet_env()
     rendered = fleet.select("task_id", F.inline(F.concat(
         st.name_entries(*_fleet_names()), st.conf_entries(fleet, "base", env),
