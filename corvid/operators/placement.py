@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from corvid.operators.sizing import bounded_broadcast
@@ -50,6 +50,9 @@ def placement_rules(tasks: DataFrame, task: str = "task_id", own: str | None = N
     return tasks.select(task, F.inline(rules))
 
 
+NODE_BITS = 55  # node ids must lie in [0, 2**55) to be packed with a score
+
+
 def rank_placements(drivers: DataFrame, executors: DataFrame, nodes: DataFrame,
                     task: str = "task_id", node: str = "node", zone: str = "zone") -> DataFrame:
     """For a new executor of each task, the best node and its score.
@@ -62,12 +65,19 @@ def rank_placements(drivers: DataFrame, executors: DataFrame, nodes: DataFrame,
 
     No task x node product: a node hosting none of the task's pods only earns
     zone points, so the best of those in a zone is the zone's lowest node.
-    Candidates are the hosting nodes plus one node per zone with points, and
-    all aggregates are partial, so a task with a huge number of executors is
-    reduced to distinct (task, node) pairs before any shuffle. The node and
-    zone dimensions are broadcast only when proven small.
+    Candidates are the hosting nodes plus one node per zone with points.
+
+    Plan: pods join the node dimension (broadcast when proven small), then
+    (task, zone, node) is aggregated - partially in each map task, so a task
+    with a huge number of executors shrinks to distinct hosts before the
+    shuffle; one window over (task, zone) gives the zone points; every host
+    row emits its candidates; the best per task is a hash aggregate on
+    ``score << 55 | (2**55 - 1 - node)``. Three shuffles, each on reduced data.
     """
-    node_dim, _ = bounded_broadcast(nodes.select(F.col(node).alias("node"), F.col(zone).alias("zone")))
+    node_dim, _ = bounded_broadcast(nodes.select(F.col(node).alias("node"), F.col(zone).alias("zone")),
+                                    cache=False)
+    first_node, _ = bounded_broadcast(nodes.groupBy(F.col(zone).alias("zone"))
+                                      .agg(F.min(F.col(node)).alias("zone_first")), cache=False)
     locs = (drivers.select(F.col(task).alias("task"), F.col(node).alias("node"),
                            F.lit(True).alias("is_driver"))
             .unionByName(executors.select(F.col(task).alias("task"), F.col(node).alias("node"),
@@ -75,19 +85,30 @@ def rank_placements(drivers: DataFrame, executors: DataFrame, nodes: DataFrame,
             .join(node_dim, "node"))
     hosts = (locs.groupBy("task", "zone", "node")
              .agg(F.max("is_driver").alias("on_driver"), F.max(~F.col("is_driver")).alias("on_sibling")))
-    zones = (hosts.groupBy("task", "zone")
-             .agg(F.max("on_driver").alias("zone_driver"), F.max("on_sibling").alias("zone_sibling")))
+    group = Window.partitionBy("task", "zone")
+    hosts = hosts.select(
+        "*",
+        F.max("on_driver").over(group).alias("zone_driver"),
+        F.max("on_sibling").over(group).alias("zone_sibling"),
+        F.min("node").over(group).alias("first_host"),
+    ).join(first_node, "zone")
     zone_points = (F.when(F.col("zone_driver"), 50).otherwise(0) +
                    F.when(F.col("zone_sibling"), 25).otherwise(0))
-    explicit = hosts.join(zones, ["task", "zone"]).select(
-        "task", "node",
-        (F.when(F.col("on_driver"), 100).otherwise(0) + F.when(F.col("on_sibling"), 75).otherwise(0)
-         + zone_points).alias("score"))
-    first_node, _ = bounded_broadcast(nodes.groupBy(F.col(zone).alias("zone"))
-                                      .agg(F.min(F.col(node)).alias("node")))
-    by_zone = zones.join(first_node, "zone").select("task", "node", zone_points.alias("score"))
-    best = (explicit.unionByName(by_zone)
-            .groupBy("task")
-            .agg(F.max(F.struct(F.col("score"), (-F.col("node")).alias("neg_node"))).alias("b")))
-    return best.select(F.col("task").alias(task), (-F.col("b.neg_node")).alias(node),
-                       F.col("b.score").alias("score"))
+    own_points = (F.when(F.col("on_driver"), 100).otherwise(0) +
+                  F.when(F.col("on_sibling"), 75).otherwise(0))
+    limit = (1 << NODE_BITS) - 1
+
+    def packed(score: Column, n: Column) -> Column:
+        ok = (n >= 0) & (n <= limit)
+        return F.when(ok, F.shiftleft(score.cast("bigint"), NODE_BITS) + (F.lit(limit) - n)).otherwise(
+            F.raise_error(F.lit(f"node ids must lie in [0, 2**{NODE_BITS})")).cast("bigint"))
+
+    candidates = F.array(
+        packed(own_points + zone_points, F.col("node")),
+        # once per (task, zone): the zone's lowest node, with zone points only
+        F.when(F.col("node") == F.col("first_host"), packed(zone_points, F.col("zone_first"))))
+    best = (hosts.select("task", F.explode(candidates).alias("c")).where(F.col("c").isNotNull())
+            .groupBy("task").agg(F.max("c").alias("c")))
+    return best.select(F.col("task").alias(task),
+                       (F.lit(limit) - F.col("c").bitwiseAND(F.lit(limit))).alias(node),
+                       F.shiftright("c", NODE_BITS).cast("int").alias("score"))
