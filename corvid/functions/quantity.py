@@ -56,6 +56,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _number(text: Column, kind: str) -> Column:
+    """Cast matched number text; no match ('') becomes null without a cast
+    attempt (a failed ``try_cast`` costs microseconds per row)."""
+    return F.nullif(text, F.lit("")).try_cast(kind)
+
+
 def _unit_map(table: dict[str, int], cast: str) -> Column:
     """Literal map unit -> multiplier (no unit = 1); one lookup per row."""
     pairs = [F.lit(""), F.lit(1).cast(cast)]
@@ -123,7 +129,7 @@ def _exact_checks(ref) -> tuple[Column, Column]:
 
 def memory_k8s_parse(text: Column | str) -> Parse:
     s = _col(text)
-    number = F.regexp_extract(s, K8S_MEMORY_PATTERN, 1).try_cast("double")
+    number = _number(F.regexp_extract(s, K8S_MEMORY_PATTERN, 1), "double")
     mult = F.try_element_at(_unit_map(K8S_UNITS, "double"), F.regexp_extract(s, K8S_MEMORY_PATTERN, 2))
     return Parse({"text": s, "raw": number * mult}, _double_checks)
 
@@ -133,12 +139,12 @@ def memory_jvm_parse(text: Column | str) -> Parse:
     digits = F.regexp_extract(s, JVM_MEMORY_PATTERN, 1)
     mult = F.try_element_at(_unit_map(JVM_UNITS, "bigint"), F.regexp_extract(s, JVM_MEMORY_PATTERN, 2))
     return Parse({"text": s, "digits": digits, "mult": mult}, _exact_checks,
-                 {"raw": lambda ref: F.try_multiply(ref("digits").try_cast("bigint"), ref("mult"))})
+                 {"raw": lambda ref: F.try_multiply(_number(ref("digits"), "bigint"), ref("mult"))})
 
 
 def cpu_k8s_parse(text: Column | str) -> Parse:
     s = _col(text)
-    number = F.regexp_extract(s, K8S_CPU_PATTERN, 1).try_cast("double")
+    number = _number(F.regexp_extract(s, K8S_CPU_PATTERN, 1), "double")
     scale = F.when(F.regexp_extract(s, K8S_CPU_PATTERN, 2) == "m", F.lit(1.0)).otherwise(F.lit(1000.0))
     return Parse({"text": s, "raw": number * scale}, _double_checks)
 
@@ -147,7 +153,7 @@ def cpu_jvm_parse(text: Column | str) -> Parse:
     s = _col(text)
     digits = F.replace(F.regexp_extract(s, JVM_CPU_PATTERN, 1), F.lit("_"), F.lit(""))
     return Parse({"text": s, "digits": digits}, _exact_checks,
-                 {"raw": lambda ref: F.try_multiply(ref("digits").try_cast("bigint"), F.lit(1000).cast("bigint"))})
+                 {"raw": lambda ref: F.try_multiply(_number(ref("digits"), "bigint"), F.lit(1000).cast("bigint"))})
 
 
 def number_parse(value: Column | str, mult: int, integral: bool) -> Parse:

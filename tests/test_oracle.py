@@ -45,3 +45,10 @@ def test_scan_reads_only_needed_columns(spark, sf_dir):
     plan = QUERIES["a08_group_avg"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "l_returnflag:string,l_linestatus:string" in plan.replace(" ", "") or "ReadSchema" in plan
     assert "l_shipdate" not in plan and "l_partkey" not in plan
+
+
+def test_generic_layer_resolution_equals_row_local(spark, sf_dir):
+    from corvid.plans.catalog import b18_resolve_layers, b18_resolve_layers_long
+    a = b18_resolve_layers(spark, sf_dir)
+    b = b18_resolve_layers_long(spark, sf_dir).select(*a.columns)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
