@@ -42,13 +42,16 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTE
     """Return ``(df_for_join, broadcast?)``.
 
     The count stops at the bound, so checking a large side costs at most
-    ``max_rows + 1`` rows of work past its producing stages. With ``cache`` the
-    checked rows are kept, so the join does not recompute them.
+    ``max_rows + 1`` rows of work past its producing stages. With ``cache`` a
+    side proven small stays cached (so the join does not recompute it, and the
+    cache is bounded by ``max_bytes``); a large side is released at once and
+    joined by a shuffle.
     """
     max_rows = max(1, max_bytes // estimated_row_bytes(df))
-    if cache:
-        df = df.cache()
-    n = df.limit(max_rows + 1).count()
+    checked = df.cache() if cache else df
+    n = checked.limit(max_rows + 1).count()
     if n <= max_rows:
-        return F.broadcast(df), True
+        return F.broadcast(checked), True
+    if cache:
+        checked.unpersist()
     return df, False

@@ -54,24 +54,28 @@ def land_raw(spark: SparkSession, src: str | list[str], dst: str, *, header: boo
     every later split, so every landed part is a complete CSV and reading the
     tree back with a header keeps all rows. Lines keep their order within a part.
 
-    Work: one aggregate pass (first line per split, partially aggregated in the
-    scan tasks) and one copy pass. The split table has one row per split and is
-    broadcast only when its size is proven small.
+    Work, all hash-based (no sort-based aggregate over lines): the first
+    position of every split (a partial aggregate in the scan tasks); the
+    header lines, fetched by a semi-join on those positions; and the copy,
+    which joins one row per split. The small sides are broadcast only when
+    proven small.
     """
     lines = (spark.read.text(src)
              .select(F.col("value").alias("line"),
                      F.col("_metadata.file_name").alias("source"),
                      F.col("_metadata.file_block_start").alias("chunk"),
                      F.monotonically_increasing_id().alias("pos")))
+    cached = []
     if header:
-        firsts = (lines.groupBy("source", "chunk")
-                  .agg(F.min(F.struct("pos", "line")).alias("first")))
-        heads = (firsts.where(F.col("chunk") == 0)
-                 .select("source", F.col("first.line").alias("header")))
-        marks = (firsts.where(F.col("chunk") > 0)
-                 .join(heads, "source")
-                 .select("source", "chunk", F.col("first.pos").alias("first_pos"), "header"))
-        marks, _ = bounded_broadcast(marks)
+        firsts = lines.groupBy("source", "chunk").agg(F.min("pos").alias("first_pos"))
+        head_pos, small = bounded_broadcast(firsts.where(F.col("chunk") == 0).select("first_pos"))
+        cached += [head_pos] if small else []
+        heads = (lines.where(F.col("chunk") == 0)
+                 .join(head_pos, F.col("pos") == F.col("first_pos"), "left_semi")
+                 .select("source", F.col("line").alias("header")))
+        marks = firsts.where(F.col("chunk") > 0).join(heads, "source")
+        marks, small = bounded_broadcast(marks)
+        cached += [marks] if small else []
         lines = (lines.join(marks, ["source", "chunk"], "left")
                  .select("source", "chunk", "pos",
                          F.when(F.col("pos") == F.col("first_pos"),
@@ -80,4 +84,6 @@ def land_raw(spark: SparkSession, src: str | list[str], dst: str, *, header: boo
     (lines.sortWithinPartitions("source", "chunk", "pos")
      .select(F.col("line").alias("value"), "source", "chunk")
      .write.mode("overwrite").partitionBy("source", "chunk").text(dst))
+    for df in cached:
+        df.unpersist()
     return dst
