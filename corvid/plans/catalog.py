@@ -209,7 +209,8 @@ def yearly_orders(sf_dir: str, spark: SparkSession) -> DataFrame:
 
 
 @register("a17_step",
-          "select year(o_orderdate) as year, count(*) as n_orders, round(sum(o_totalprice), 2) as revenue "
+          "select cast(year(o_orderdate) as integer) as year, count(*) as n_orders, "
+          "round(sum(o_totalprice), 2) as revenue "
           "from orders group by 1")
 def a17_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yearly_orders(sf_dir=sf_dir, spark=spark)

@@ -53,14 +53,30 @@ def rows_of(cols: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "smallint": "SMALLINT",
+                 "tinyint": "TINYINT", "float": "FLOAT"}
+
+
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper().replace(" ", "")
+    return SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = spark_df.columns
+    s_types = dict(spark_df.dtypes)
     s_rows = [tuple(r) for r in spark_df.collect()]
     d = con.sql(sql)
     d_cols = d.columns
+    d_types = {c: str(t).replace(" ", "") for c, t in zip(d.columns, d.types)}
     d_rows = d.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_cols if _duck_type(s_types[c]) != d_types[c]}
+    if bad_types:
+        return False, f"types differ: {bad_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
