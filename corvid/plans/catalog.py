@@ -55,9 +55,11 @@ ELT_AVG_SQL = ("select cast(year(o_orderdate) as integer) as Year, round(avg(o_t
                "from orders group by 1")
 
 
-def _elt_csv(spark: SparkSession, sf_dir: str, label: str, files: int | None = 4) -> tuple[str, str]:
+def _elt_csv(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, str]:
+    """Write the ELT input as CSV, one file per input split (no funnelling
+    into a fixed number of writers)."""
     root = scratch_dir(spark, label)
-    src = fx.write_csv_fixture(fx.elt_source(spark, sf_dir), f"{root}/source/movies.csv", files)
+    src = fx.write_csv_fixture(fx.elt_source(spark, sf_dir), f"{root}/source/movies.csv")
     return root, src
 
 
@@ -135,7 +137,7 @@ def a09_sort_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a10_land_raw", ELT_ROWS_SQL)
 def a10_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, src = _elt_csv(spark, sf_dir, "a10", files=2)
+    root, src = _elt_csv(spark, sf_dir, "a10")
     landed = land_raw(spark, f"{src}/*.csv", f"{root}/extract")
     return _elt_rows(read_csv(spark, landed, recursive=True))
 
