@@ -19,7 +19,6 @@ cores is 1004 milli-cores); integer paths are exact and overflow-checked.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 

@@ -43,21 +43,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; set only where unset (bare test sessions).
+    Read from the session; a checkpoint folder already set on the context is
+    used next; only a bare session (as in tests) gets a folder of our own.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - key absent
-            root = None
+    root = (sc.getConf().get("spark.checkpoint.dir", None) or _OWN_ROOTS.get(sc.applicationId)
+            or sc.getCheckpointDir())
     if not root:
-        root = tempfile.mkdtemp(prefix="corvid-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _OWN_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="corvid-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
