@@ -148,3 +148,35 @@ def test_property_memory_and_cpu(spark, values):
     for r in rows:
         assert r.m == plain_memory_k8s(r.s), r.s
         assert r.c == plain_cpu_k8s(r.s), r.s
+
+
+def plain_cpu_jvm(s):
+    # Python's int() on text, ASCII digits and spaces only (the documented scope)
+    if s.strip(" \t") != s.strip() or any(c not in "0123456789+-_ \t" for c in s):
+        return None
+    try:
+        v = int(s) * 1000
+    except ValueError:
+        return None
+    return v if 0 < v < 2 ** 63 else None
+
+
+_JVM_MEM = re.compile(r"^(\d+)([tgmk])?$", re.ASCII)
+
+
+def plain_memory_jvm(s):
+    m = _JVM_MEM.match(s)
+    if not m:
+        return None
+    v = int(m.group(1)) * (q.JVM_UNITS[m.group(2)] if m.group(2) else 1)
+    return v if 0 < v < 2 ** 63 else None
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789+-_ tgmk.", max_size=7), min_size=20, max_size=60))
+def test_property_jvm_grammars(spark, values):
+    df = one_col(spark, values)
+    rows = df.select("s", q.parse_cpu_jvm("s").alias("c"), q.parse_memory_jvm("s").alias("m")).collect()
+    for r in rows:
+        assert r.c == plain_cpu_jvm(r.s), r.s
+        assert r.m == plain_memory_jvm(r.s), r.s
