@@ -35,7 +35,7 @@ FX_NODE = "fx_node as (select s_suppkey as node, s_nationkey as zone from suppli
 FX_DRIVER = ("fx_driver as (select c_custkey as task_id, c_custkey % (select count(*) from supplier) as node "
              "from customer)")
 FX_EXECUTOR = ("fx_executor as (select o_orderkey as pod_id, o_custkey as task_id, "
-               "(o_orderkey*7) % (select count(*) from supplier) as node from orders where o_orderkey % 3 = 0)")
+               "(o_orderkey*7) % (select count(*) from supplier) as node from orders)")
 
 FX_OVERRIDE = """fx_override as (
 select task_id, 0 as n, 'spark.kubernetes.namespace' as key, 'airflow' as value from fx_task_conf where task_id % 7 = 0

@@ -62,3 +62,16 @@ def test_no_pair_product_in_plan(spark):
     n = spark.createDataFrame([(1, 0)], "node long, zone int")
     plan = rank_placements(d, d, n)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_hot_task_with_a_third_of_all_executors(spark):
+    # one task owns a third of all executor pods; the answer must still be exact
+    rnd = random.Random(11)
+    nodes = [(n, n % 6) for n in range(1, 61)]
+    drivers = [(t, rnd.randrange(1, 61)) for t in range(1, 201)]
+    executors = [(1, rnd.randrange(1, 61)) for _ in range(3000)] + \
+                [(rnd.randrange(2, 201), rnd.randrange(1, 61)) for _ in range(6000)]
+    got = rank_placements(spark.createDataFrame(drivers, "task_id long, node long"),
+                          spark.createDataFrame(executors, "task_id long, node long"),
+                          spark.createDataFrame(nodes, "node long, zone int")).collect()
+    assert {r.task_id: (r.node, r.score) for r in got} == brute_force(drivers, executors, nodes)
