@@ -36,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
-        return f"{v:.9g}"
+        return repr(v)
     if isinstance(v, Decimal):
         return str(int(v)) if v == v.to_integral_value() else f"{float(v):.9g}"
     if isinstance(v, (datetime, date)):
