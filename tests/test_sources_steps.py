@@ -132,3 +132,19 @@ def test_shared_scratch_is_under_checkpoint_root(spark):
     assert scratch_dir(spark, "x").startswith(root.rstrip("/"))
     with pytest.raises(Exception):
         read_csv(spark, f"{scratch_dir(spark, 'missing')}/nothing.csv").collect()
+
+
+def test_land_raw_awkward_files(spark):
+    root = scratch_dir(spark, "t-land-odd")
+    _write(f"{root}/src/crlf.csv", "k,v\r\n1,a\r\n2,b\r\n")
+    _write(f"{root}/src/no_newline.csv", "k,v\n1,a\n2,b")
+    _write(f"{root}/src/header_only.csv", "k,v\n")
+    _write(f"{root}/src/empty.csv", "")
+    dst = land_raw(spark, f"{root}/src/*.csv", f"{root}/extract")
+    def back(name):
+        return sorted(tuple(r) for r in read_csv(spark, f"{dst}/source={name}", "k int, v string",
+                                                 recursive=True).collect())
+    assert back("crlf.csv") == [(1, "a"), (2, "b")]
+    assert back("no_newline.csv") == [(1, "a"), (2, "b")]
+    assert back("header_only.csv") == []
+    assert not os.path.exists(f"{dst}/source=empty.csv")
