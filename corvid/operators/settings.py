@@ -33,7 +33,6 @@ DEFAULT_LOCAL_MASTER = "local[*]"
 EXECUTOR_IMAGE = "spark:3.5.0-scala2.12-java17-python3-ubuntu"
 POD_TEMPLATE_PATH = "/tmp/executor_pod_template.yaml"
 SA_DIR = "/var/run/secrets/kubernetes.io/serviceaccount"
-DEPLOY_MODES = ("local", "client", "connect")
 
 # (attribute, key, format, default)
 COMMON_SETTINGS = [
