@@ -69,8 +69,8 @@ def test_land_raw_keeps_every_row_across_splits(spark):
 
 
 def test_path_stems():
-    assert path_stem("s3a://b/extract/DeNiro.csv") == "deniro"
-    assert path_stem("s3a://b/load/deniro/") == "deniro"
+    assert path_stem("s3a://b/extract/Films.csv") == "films"
+    assert path_stem("s3a://b/load/films/") == "films"
     assert path_stem("/x/extract/source=Movies.csv") == "movies"
 
 
