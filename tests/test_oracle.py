@@ -52,3 +52,9 @@ def test_generic_layer_resolution_equals_row_local(spark, sf_dir):
     a = b18_resolve_layers(spark, sf_dir)
     b = b18_resolve_layers_long(spark, sf_dir).select(*a.columns)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_bound_parameters_reach_the_scan(spark, sf_dir):
+    df = QUERIES["a15_sql_step"](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_totalprice,100000.0)" in plan
