@@ -89,3 +89,21 @@ def where_quantity(df: DataFrame, col: str, op: str, text: str, parser: str) ->
     value, reason = f"__{col}_cmp_value", f"__{col}_cmp_reason"
     parsed = with_parsed(df, col, parser, value, reason)
     return parsed.where(_OPS[op](F.col(value), bound)).drop(value, reason)
+
+
+def sort_by_quantity(df: DataFrame, col: str, parser: str, ascending: bool = True) -> DataFrame:
+    """Order rows by their quantity whatever the notation (invalid
+    values last), by the canonical integer."""
+    value = f"__{col}_sort_value"
+    parsed = with_parsed(df, col, parser, value, f"__{col}_sort_reason")
+    order = F.col(value).asc_nulls_last() if ascending else F.col(value).desc_nulls_last()
+    return parsed.orderBy(order).drop(value, f"__{col}_sort_reason")
+
+
+def quantity_range(df: DataFrame, keys: list[str], col: str, parser: str) -> DataFrame:
+    """Smallest and largest valid quantity per key (canonical integers),
+    with how many values were valid. A partial + final hash aggregate."""
+    value = f"{col}_value"
+    parsed = with_parsed(df, col, parser, value, f"{col}_reason")
+    return parsed.groupBy(*keys).agg(F.min(value).alias(f"min_{col}"), F.max(value).alias(f"max_{col}"),
+                                     F.count(value).alias(f"n_valid_{col}"))

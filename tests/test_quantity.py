@@ -180,3 +180,12 @@ def test_property_jvm_grammars(spark, values):
     for r in rows:
         assert r.c == plain_cpu_jvm(r.s), r.s
         assert r.m == plain_memory_jvm(r.s), r.s
+
+
+def test_order_and_range_across_notations(spark):
+    from corvid.operators.validate import quantity_range, sort_by_quantity
+    df = spark.createDataFrame([("a", "1Gi"), ("a", "512Mi"), ("a", "2G"), ("b", "bad"), ("b", "1k")],
+                               "k string, m string")
+    assert [r.m for r in sort_by_quantity(df, "m", "memory_k8s").collect()] == ["1k", "512Mi", "1Gi", "2G", "bad"]
+    got = {r.k: (r.min_m, r.max_m, r.n_valid_m) for r in quantity_range(df, ["k"], "m", "memory_k8s").collect()}
+    assert got == {"a": (512 * 2 ** 20, 2 * 10 ** 9, 3), "b": (1000, 1000, 1)}
