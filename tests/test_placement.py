@@ -75,3 +75,12 @@ def test_hot_task_with_a_third_of_all_executors(spark):
                           spark.createDataFrame(executors, "task_id long, node long"),
                           spark.createDataFrame(nodes, "node long, zone int")).collect()
     assert {r.task_id: (r.node, r.score) for r in got} == brute_force(drivers, executors, nodes)
+
+
+def test_own_rules_replace_the_defaults(spark):
+    df = spark.createDataFrame(
+        [(1, [(10, "team", "a", "kubernetes.io/hostname")]), (2, None)],
+        "task_id long, rules array<struct<weight:int,label_key:string,label_value:string,topology_key:string>>")
+    got = placement_rules(df, own="rules").collect()
+    assert [(r.weight, r.label_key) for r in got if r.task_id == 1] == [(10, "team")]
+    assert [r.weight for r in got if r.task_id == 2] == [100, 75, 50, 25]
