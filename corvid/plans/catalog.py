@@ -12,14 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corvid.functions import quantity as q
-from corvid.functions.text import folder_stem, parent_folder
-from corvid.functions.text import slug
+from corvid.functions.text import folder_stem, parent_folder, slug
 from corvid.operators import settings as st
 from corvid.operators.aggregate import group_avg, sort_by, sum_quantity
 from corvid.operators.documents import pod_labels, render_pod_json, tokens_per_account
+from corvid.operators.inspect import preview, profile
 from corvid.operators.placement import placement_rules, rank_placements
 from corvid.operators.resources import request_memory, requests_rollup
-from corvid.operators.inspect import preview, profile
 from corvid.operators.validate import split_valid, where_quantity, with_parsed
 from corvid.plans import fixtures as fx
 from corvid.plans import oracle_docs as odoc
@@ -86,8 +85,8 @@ def a04_read_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a05_write_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     dst = f"{scratch_dir(spark, 'a05')}/customer/"
     customer = read_parquet(spark, table_path(sf_dir, "customer"))
-    write_parquet(customer.where(F.col("c_custkey") % 2 == 0), dst)
-    return read_parquet(spark, write_parquet(customer, dst))  # replaces, never appends
+    write_parquet(customer, dst)
+    return read_parquet(spark, write_parquet(customer, dst))  # the second write replaces the first
 
 
 def _profile_sql() -> str:
