@@ -11,6 +11,8 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, Dat
                                DecimalType, IntegerType, MapType, ShortType, StringType, StructType)
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+# Session setting that overrides the bound (bytes), e.g. to tune it on a cluster.
+MAX_BROADCAST_CONF = "corvid.broadcast.maxBytes"
 # Assumed width of a variable-length value; generous on purpose.
 _VARIABLE_BYTES = 64
 
@@ -37,7 +39,12 @@ def estimated_row_bytes(df: DataFrame) -> int:
     return max(8, sum(_width(f.dataType) for f in df.schema.fields))
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+def max_broadcast_bytes(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(MAX_BROADCAST_CONF, None)
+    return int(value) if value else DEFAULT_MAX_BROADCAST_BYTES
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
                       cache: bool = True) -> tuple[DataFrame, bool]:
     """Return ``(df_for_join, broadcast?)``.
 
@@ -47,10 +54,11 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTE
     cache is bounded by ``max_bytes``); a large side is released at once and
     joined by a shuffle.
     """
-    max_rows = max(1, max_bytes // estimated_row_bytes(df))
+    max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
+    max_rows = max(0, max_bytes // estimated_row_bytes(df))
     checked = df.cache() if cache else df
     n = checked.limit(max_rows + 1).count()
-    if n <= max_rows:
+    if n <= max_rows and max_rows > 0:
         return F.broadcast(checked), True
     if cache:
         checked.unpersist()
