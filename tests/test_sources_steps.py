@@ -148,3 +148,11 @@ def test_land_raw_awkward_files(spark):
     assert back("no_newline.csv") == [(1, "a"), (2, "b")]
     assert back("header_only.csv") == []
     assert not os.path.exists(f"{dst}/source=empty.csv")
+
+
+def test_land_raw_without_header_copies_lines(spark):
+    root = scratch_dir(spark, "t-land-plain")
+    _write(f"{root}/src/log.txt", "".join(f"line {i}\n" for i in range(500)))
+    dst = land_raw(spark, f"{root}/src/*.txt", f"{root}/extract", header=False)
+    back = spark.read.option("recursiveFileLookup", True).text(f"{dst}/source=log.txt")
+    assert sorted(r.value for r in back.collect()) == sorted(f"line {i}" for i in range(500))
