@@ -227,7 +227,9 @@ def resolve_layers(long_df: DataFrame, keys: Sequence[str] = ("task_id",)) -> Da
     """B18 for any long table ``(keys..., layer, ord, key, value)``: per key
     the highest layer wins and a null winner deletes the key; the position is
     where the key was first set (lowest layer, its ord), as a mapping that is
-    updated layer by layer keeps it. One partial + final aggregate."""
+    updated layer by layer keeps it. One aggregate per (keys, key); it is
+    sort-based because the winners are strings. Groups hold one row per
+    layer, so no group grows with the data."""
     won = (long_df.groupBy(*keys, "key")
            .agg(F.max(F.struct("layer", "value")).alias("w"),
                 F.min(F.struct("layer", "ord")).alias("f")))
