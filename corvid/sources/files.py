@@ -55,10 +55,10 @@ def land_raw(spark: SparkSession, src: str | list[str], dst: str, *, header: boo
     tree back with a header keeps all rows. Lines keep their order within a part.
 
     Work, all hash-based (no sort-based aggregate over lines): the first
-    position of every split (a partial aggregate in the scan tasks); the
-    header lines, fetched by a semi-join on those positions; and the copy,
-    which joins one row per split. The small sides are broadcast only when
-    proven small.
+    position of every split (a partial aggregate in the scan tasks); if some
+    file spans several splits, the header lines, fetched by a semi-join on
+    those positions, and a join of one row per split into the copy. The
+    small sides are broadcast only when proven small.
     """
     lines = (spark.read.text(src)
              .select(F.col("value").alias("line"),
@@ -67,7 +67,11 @@ def land_raw(spark: SparkSession, src: str | list[str], dst: str, *, header: boo
                      F.monotonically_increasing_id().alias("pos")))
     cached = []
     if header:
-        firsts = lines.groupBy("source", "chunk").agg(F.min("pos").alias("first_pos"))
+        firsts = lines.groupBy("source", "chunk").agg(F.min("pos").alias("first_pos")).cache()
+        cached.append(firsts)
+        # headers need repeating only where some file spans more than one split
+        header = firsts.where(F.col("chunk") > 0).limit(1).count() > 0
+    if header:
         head_pos, small = bounded_broadcast(firsts.where(F.col("chunk") == 0).select("first_pos"))
         cached += [head_pos] if small else []
         heads = (lines.where(F.col("chunk") == 0)
