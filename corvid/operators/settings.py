@@ -14,6 +14,7 @@ the key".
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType,
@@ -100,6 +101,17 @@ EXTRA = StructType([StructField("n", IntegerType()), StructField("key", StringTy
                     StructField("value", StringType())])
 
 
+class Pair(NamedTuple):
+    """One rendered setting: its layer and place, its key (``name`` is the
+    key text when it is fixed, ``None`` when it depends on the row) and value
+    (null = not set)."""
+    layer: int
+    ord: int | Column
+    name: str | None
+    key: Column
+    value: Column
+
+
 def settings(component: str) -> list[tuple[str | None, str, str, object]]:
     """The ordered settings of ``base``, ``driver`` or ``executor``."""
     if component == "base":
@@ -171,7 +183,7 @@ def _format(fmt: str, col: Column) -> Column:
     return col.cast("string")
 
 
-def mode_pairs(df: DataFrame) -> list[tuple[int, int, Column, Column]]:
+def mode_pairs(df: DataFrame) -> list[Pair]:
     """Keys that depend on the deploy mode (``deploy_mode`` and
     ``spark_url`` columns; ``client`` when absent)."""
     mode = F.col("deploy_mode") if "deploy_mode" in df.columns else F.lit("client")
@@ -181,30 +193,35 @@ def mode_pairs(df: DataFrame) -> list[tuple[int, int, Column, Column]]:
               .when(mode == "client", F.coalesce(url, F.lit(DEFAULT_K8S_MASTER)))
               .when(mode == "connect", F.coalesce(url, F.lit(DEFAULT_CONNECT_URL))))
     key = F.when(mode == "connect", F.lit("spark.remote")).otherwise(F.lit("spark.master"))
-    return [(layer, 0, key, master),
-            (layer, 1, F.lit("spark.submit.deployMode"), F.when(mode == "client", F.lit("client")))]
+    return [Pair(layer, 0, None, key, master),
+            Pair(layer, 1, "spark.submit.deployMode", F.lit("spark.submit.deployMode"),
+                 F.when(mode == "client", F.lit("client")))]
 
 
 def conf_pairs(df: DataFrame, component: str,
-               env: Mapping[str, str | Column] | None = None) -> list[tuple[int, int, Column, Column]]:
+               env: Mapping[str, str | Column] | None = None) -> list[Pair]:
     """Rendered settings of one component as ``(layer, ord, key, value)`` in
     the reference's order; a null value means the key is left out."""
     pairs = mode_pairs(df) if component == "base" else []
     cols = attribute_columns(df, component, env)
     for i, (attr, key, fmt, default) in enumerate(settings(component), start=2):
         value = F.lit(default) if attr is None else _format(fmt, cols[attr])
-        pairs.append((LAYERS[component], i, F.lit(key), value))
+        pairs.append(Pair(LAYERS[component], i, key, F.lit(key), value))
     return pairs
 
 
-def name_pairs(dag_id: Column, task_name: Column) -> list[tuple[int, int, Column, Column]]:
+def name_pairs(dag_id: Column, task_name: Column) -> list[Pair]:
     """B26 as layer 0: ``spark.app.name`` from a slug of the two names."""
-    return [(LAYERS["name"], 0, F.lit("spark.app.name"), slug(dag_id, task_name))]
+    return [Pair(LAYERS["name"], 0, "spark.app.name", F.lit("spark.app.name"), slug(dag_id, task_name))]
 
 
-def entry_array(pairs: list[tuple[int, int, Column, Column]]) -> Column:
+def entry_array(pairs: list[Pair]) -> Column:
     """Pairs as ``array<struct<layer, ord, key, value>>`` (null values kept)."""
-    return F.array(*[F.struct(F.lit(layer), F.lit(o), k, v) for layer, o, k, v in pairs]).cast(ArrayType(ENTRY))
+    def entry(p: Pair) -> Column:
+        o = p.ord if isinstance(p.ord, Column) else F.lit(p.ord)
+        return F.struct(F.lit(p.layer).alias("layer"), o.cast("int").alias("ord"),
+                        p.key.cast("string").alias("key"), p.value.cast("string").alias("value"))
+    return F.array(*[entry(p) for p in pairs]).cast(ArrayType(ENTRY))
 
 
 def conf_entries(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None) -> Column:
@@ -247,29 +264,84 @@ def extra_by_task(overrides: DataFrame, keys: Sequence[str] = ("task_id",)) -> D
         .alias("extra"))
 
 
-def apply_extra(pairs: list[tuple[int, int, Column, Column]], extra: Column
-                ) -> tuple[list[tuple[int, int, Column, Column]], Column]:
+# Most distinct override keys a fleet may use on the look-up path; beyond it
+# overrides are applied with array functions.
+MAX_OVERRIDE_KEYS = 1000
+
+
+def override_keys(overrides: DataFrame, limit: int | None = None) -> list[str] | None:
+    """The distinct keys the overrides touch, read to the driver as ``pivot``
+    reads its values; ``None`` when there are more than ``limit``."""
+    limit = MAX_OVERRIDE_KEYS if limit is None else limit
+    keys = [r[0] for r in overrides.select("key").distinct().limit(limit + 1).collect()]
+    return None if len(keys) > limit else sorted(k for k in keys if k is not None)
+
+
+def apply_extra(pairs: list[Pair], extra: Column, keys: list[str] | None = None
+                ) -> tuple[list[Pair], list[Pair] | Column, Column]:
     """B18 within a row: rendered ``pairs`` (unique keys; null value = not
     set) updated by ``extra`` (``map<key, struct<n, value>>``, null value =
     delete), as a mapping updated in place would be: a key that is set keeps
     its place and takes the new value (null removes it); any other key is
-    appended in ``n`` order. Returns the updated pairs and the appended
-    entries as ``array<struct<layer, ord, key, value>>``.
-
-    Replacements are plain map look-ups (code-generated); only the few
-    appended keys go through an array function.
+    appended in ``n`` order. Returns the updated pairs, the appended entries
+    (pairs with ``ord = n``, or an ``array<struct<layer, ord, key, value>>``
+    on the general path) and their ``key=value`` lines in order, joined by
+    newlines (null when none).
+
+    With ``keys`` (every key the overrides use) only pairs whose key can be
+    overridden get a map look-up, and appended entries are built from that
+    list: small, fully code-generated expressions. A look-up on every pair
+    makes a method too large for the JIT to compile, several times slower.
+    Without ``keys``, array functions do the same for any set of keys.
     """
+    if keys is None:
+        return _apply_extra_any(pairs, extra)
+    wanted = set(keys)
+    updated = []
+    for p in pairs:
+        if p.name is not None and p.name not in wanted:
+            updated.append(p)
+            continue
+        hit = F.coalesce(p.value.isNotNull() & F.map_contains_key(extra, p.key), F.lit(False))
+        updated.append(p._replace(value=F.when(hit, F.element_at(extra, p.key)["value"]).otherwise(p.value)))
+    added, lines = [], []
+    for name in keys:
+        set_here = [p.value.isNotNull() & (p.key == F.lit(name)) for p in pairs
+                    if p.name is None or p.name == name]
+        is_set = F.coalesce(_any(set_here), F.lit(False))
+        ent = F.element_at(extra, F.lit(name))
+        value = F.when(~is_set, ent["value"])
+        added.append(Pair(LAYERS["extra"], ent["n"], name, F.lit(name), value))
+        lines.append(F.struct(ent["n"].alias("ord"), F.concat(F.lit(f"{name}="), value).alias("line")))
+    if not lines:
+        return updated, added, F.lit(None).cast("string")
+    # the overrides' own order; array_join skips the null lines
+    text = F.nullif(F.array_join(F.sort_array(F.array(*lines))["line"], "\n"), F.lit(""))
+    return updated, added, text
+
+
+def _any(conds: list[Column]) -> Column | None:
+    out = None
+    for c in conds:
+        out = c if out is None else (out | c)
+    return out if out is not None else F.lit(False)
+
+
+def _apply_extra_any(pairs: list[Pair], extra: Column) -> tuple[list[Pair], Column]:
     updated = []
-    for layer, o, k, v in pairs:
-        hit = F.when(v.isNotNull() & F.map_contains_key(extra, k), F.lit(True)).otherwise(F.lit(False))
-        updated.append((layer, o, k, F.when(hit, F.element_at(extra, k)["value"]).otherwise(v)))
-    set_keys = F.array_compact(F.array(*[F.when(v.isNotNull(), k) for _l, _o, k, v in pairs]))
+    for p in pairs:
+        hit = F.when(p.value.isNotNull() & F.map_contains_key(extra, p.key), F.lit(True)).otherwise(F.lit(False))
+        updated.append(p._replace(value=F.when(hit, F.element_at(extra, p.key)["value"]).otherwise(p.value)))
+    set_keys = F.array_compact(F.array(*[F.when(p.value.isNotNull(), p.key) for p in pairs]))
     fresh = F.filter(F.map_entries(extra), lambda e: ~F.array_contains(set_keys, e["key"]))
     ordered = F.array_sort(F.transform(fresh, lambda e: F.struct(
         e["value"]["n"].alias("ord"), e["key"].alias("key"), e["value"]["value"].alias("value"))))
     added = F.transform(ordered, lambda e: F.struct(
         F.lit(LAYERS["extra"]).alias("layer"), e["ord"], e["key"], e["value"])).cast(ArrayType(ENTRY))
-    return updated, F.coalesce(added, F.array().cast(ArrayType(ENTRY)))
+    added = F.coalesce(added, F.array().cast(ArrayType(ENTRY)))
+    text = F.nullif(F.array_join(F.transform(added, lambda e: F.concat(e["key"], F.lit("="), e["value"])), "\n"),
+                    F.lit(""))
+    return updated, added, text
 
 
 def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name, keys):
@@ -281,10 +353,10 @@ def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name
         df = fleet.join(extra, list(keys), "left")
     plain = (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env) + conf_pairs(df, "driver", env)
              + conf_pairs(df, "executor", env))
-    pairs, added = plain, None
+    pairs, added, tail = plain, None, None
     if overrides is not None:
-        pairs, added = apply_extra(plain, F.col("extra"))
-    return df, plain, pairs, added
+        pairs, added, tail = apply_extra(plain, F.col("extra"), override_keys(overrides))
+    return df, plain, pairs, added, tail
 
 
 def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
@@ -299,11 +371,13 @@ def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
     when proven small) and looked up per key. The fleet is shuffled at most
     once, one row per task, instead of once per rendered key.
     """
-    df, plain, pairs, added = _fleet(fleet, overrides, env, dag_id, task_name, keys)
-    entries = entry_array(plain)
-    if added is not None:
-        # rows without overrides (most) skip every look-up
-        entries = F.when(F.col("extra").isNull(), entries).otherwise(F.concat(entry_array(pairs), added))
+    df, plain, pairs, added, _ = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+    if added is None:
+        entries = entry_array(pairs)
+    elif isinstance(added, list):
+        entries = entry_array(pairs + added)  # one array: no concat (row order is free)
+    else:
+        entries = F.concat(entry_array(pairs), added)
     return df.select(*keys, F.inline(entries)).where(F.col("value").isNotNull())
 
 
@@ -312,17 +386,16 @@ def fleet_conf_text(fleet: DataFrame, overrides: DataFrame | None = None,
                     task_name: Column | None = None, keys: Sequence[str] = ("task_id",)) -> DataFrame:
     """B20 for a whole fleet, one text per task computed inside its row (no
     shuffle of rendered keys): ``key=value`` lines in order."""
-    df, plain, pairs, added = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+    df, plain, pairs, added, tail = _fleet(fleet, overrides, env, dag_id, task_name, keys)
 
     def text(ps, tail=None):
-        lines = [F.concat(k, F.lit("="), v) for _l, _o, k, v in ps]
+        lines = [F.concat(p.key, F.lit("="), p.value) for p in ps]
         return F.concat_ws("\n", *(lines + ([tail] if tail is not None else [])))
 
     if added is None:
         return df.select(*keys, text(plain).alias("conf_text"))
-    tail = F.nullif(F.array_join(F.transform(added, lambda e: F.concat(e["key"], F.lit("="), e["value"])), "\n"),
-                    F.lit(""))
-    # rows without overrides (most) skip every look-up
+    # rows without overrides (most) take the plain text: measured faster than
+    # one expression with look-ups for every row
     out = F.when(F.col("extra").isNull(), text(plain)).otherwise(text(pairs, tail))
     return df.select(*keys, out.alias("conf_text"))
 
