@@ -413,7 +413,7 @@ def b15_requests_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("b16_render_conf", osql.b16_sql())
 def b16_render_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
     fleet, env = fx.fx_fleet(spark, sf_dir), fx.fleet_env()
-    entries = F.concat(st.conf_entries(fleet, "driver", env), st.conf_entries(fleet, "executor", env))
+    entries = st.entry_array(st.conf_pairs(fleet, "driver", env) + st.conf_pairs(fleet, "executor", env))
     return fleet.select("task_id", F.inline(entries)).where(F.col("value").isNotNull())
 
 
@@ -434,9 +434,9 @@ def b18_resolve_layers_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B18 by the generic long-table resolution: one sort-based aggregate
     over every rendered key (string winners cannot use a hash aggregate)."""
     fleet, env = fx.fx_fleet(spark, sf_dir), fx.fleet_env()
-    rendered = fleet.select("task_id", F.inline(F.concat(
-        st.name_entries(*_fleet_names()), st.conf_entries(fleet, "base", env),
-        st.conf_entries(fleet, "driver", env), st.conf_entries(fleet, "executor", env))))
+    rendered = fleet.select("task_id", F.inline(st.entry_array(
+        st.name_pairs(*_fleet_names()) + st.conf_pairs(fleet, "base", env)
+        + st.conf_pairs(fleet, "driver", env) + st.conf_pairs(fleet, "executor", env))))
     rendered = rendered.where(F.col("value").isNotNull())
     extra = fx.fx_override(spark, sf_dir).select(
         "task_id", F.lit(st.LAYERS["extra"]).alias("layer"), F.col("n").cast("int").alias("ord"), "key", "value")
