@@ -74,21 +74,32 @@ def split_valid(df: DataFrame, col: str, parser: str, strict: bool = False) -> t
     return good, bad
 
 
-def where_quantity(df: DataFrame, col: str, op: str, text: str, parser: str) -> DataFrame:
-    """Keep rows whose quantity compares with ``text`` (any notation of
-    the same grammar) by ``op``. The literal is parsed by the same expression
-    and constant-folded; an invalid literal fails the job. Rows whose own
-    value is invalid never match. To filter on several bounds, parse once
-    with :func:`with_parsed` and filter its value column."""
-    if op not in _OPS:
-        raise ValueError(f"unsupported comparison {op!r}")
+def _bound(text: str, parser: str) -> Column:
+    """A literal quantity, parsed by the same expression and constant-folded;
+    an invalid literal fails the job."""
     lit_value, lit_reason = q.PARSERS[parser](F.lit(text)).finish(
         lambda name: q.PARSERS[parser](F.lit(text)).parts[name])
-    bound = F.when(lit_reason.isNull(), lit_value).otherwise(
+    return F.when(lit_reason.isNull(), lit_value).otherwise(
         F.raise_error(F.lit(f"invalid {parser} quantity literal: {text!r}")).cast("bigint"))
+
+
+def where_quantity(df: DataFrame, col: str, op: str, text: str, parser: str,
+                   also: list[tuple[str, str]] | tuple = ()) -> DataFrame:
+    """Keep rows whose quantity compares with ``text`` (any notation of
+    the same grammar) by ``op``, and with every further ``(op, text)`` in
+    ``also`` - one parse of the column for all of them. Rows whose own value
+    is invalid never match."""
+    conditions = [(op, text), *also]
+    for o, _ in conditions:
+        if o not in _OPS:
+            raise ValueError(f"unsupported comparison {o!r}")
     value, reason = f"__{col}_cmp_value", f"__{col}_cmp_reason"
     parsed = with_parsed(df, col, parser, value, reason)
-    return parsed.where(_OPS[op](F.col(value), bound)).drop(value, reason)
+    keep = None
+    for o, t in conditions:
+        c = _OPS[o](F.col(value), _bound(t, parser))
+        keep = c if keep is None else (keep & c)
+    return parsed.where(keep).drop(value, reason)
 
 
 def sort_by_quantity(df: DataFrame, col: str, parser: str, ascending: bool = True) -> DataFrame:

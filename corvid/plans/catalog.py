@@ -373,8 +373,7 @@ def _b12_sql() -> str:
 @register("b12_where_quantity", _b12_sql())
 def b12_where_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fx.fx_quantity(spark, sf_dir)
-    df = where_quantity(df, "mem_k8s", ">=", "1Gi", "memory_k8s")
-    df = where_quantity(df, "mem_k8s", "<", "39Gi", "memory_k8s")
+    df = where_quantity(df, "mem_k8s", ">=", "1Gi", "memory_k8s", also=[("<", "39Gi")])
     return df.select("l_orderkey", "l_linenumber", "mem_k8s")
 
 

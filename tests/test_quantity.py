@@ -189,3 +189,9 @@ def test_order_and_range_across_notations(spark):
     assert [r.m for r in sort_by_quantity(df, "m", "memory_k8s").collect()] == ["1k", "512Mi", "1Gi", "2G", "bad"]
     got = {r.k: (r.min_m, r.max_m, r.n_valid_m) for r in quantity_range(df, ["k"], "m", "memory_k8s").collect()}
     assert got == {"a": (512 * 2 ** 20, 2 * 10 ** 9, 3), "b": (1000, 1000, 1)}
+
+
+def test_where_quantity_several_bounds(spark):
+    df = one_col(spark, ["512Mi", "1Gi", "1500M", "2Gi", "bad"])
+    got = where_quantity(df, "s", ">=", "1024Mi", "memory_k8s", also=[("<", "2Gi")]).collect()
+    assert sorted(r.s for r in got) == ["1500M", "1Gi"]
