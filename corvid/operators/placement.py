@@ -73,6 +73,7 @@ def rank_placements(drivers: DataFrame, executors: DataFrame, nodes: DataFrame,
     shuffle; one window over (task, zone) gives the zone points; every host
     row emits its candidates; the best per task is a hash aggregate on
     ``score << 55 | (2**55 - 1 - node)``. Three shuffles, each on reduced data.
+    Building the plan runs the two small size checks on the node table.
     """
     node_dim, _ = bounded_broadcast(nodes.select(F.col(node).alias("node"), F.col(zone).alias("zone")),
                                     cache=False)

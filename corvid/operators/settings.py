@@ -369,7 +369,9 @@ def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
     their component), so resolution happens inside each row: overrides are
     gathered per task into a small map, joined once to the fleet (broadcast
     when proven small) and looked up per key. The fleet is shuffled at most
-    once, one row per task, instead of once per rendered key.
+    once, one row per task, instead of once per rendered key. Building the
+    plan runs two small jobs over the overrides (their distinct keys and the
+    broadcast size check).
     """
     df, plain, pairs, added, _ = _fleet(fleet, overrides, env, dag_id, task_name, keys)
     if added is None:

@@ -10,19 +10,14 @@ so the step runs on a schedule like the batch one.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from corvid.session import checkpoint_root
 from corvid.sources.files import read_csv
 
 
-def stream_load(spark: SparkSession, src: str, dst: str, schema: StructType | str | None = None,
-                checkpoint: str | None = None, max_files_per_batch: int | None = None) -> str:
-    """Load new CSV files under ``src`` into parquet at ``dst``; returns ``dst``.
-
-    Without ``schema`` the types are inferred once from what is already there
-    (as the batch step does); give one for a steady stream.
-    """
+def _writer(spark: SparkSession, src: str, dst: str, schema, checkpoint, max_files_per_batch):
     if schema is None:
         schema = read_csv(spark, src, recursive=True).schema
     checkpoint = checkpoint or f"{checkpoint_root(spark)}/corvid-streams/{dst.strip('/').replace('/', '_')}"
@@ -30,10 +25,28 @@ def stream_load(spark: SparkSession, src: str, dst: str, schema: StructType | st
               .option("ignoreLeadingWhiteSpace", True).option("recursiveFileLookup", True))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    query = (reader.csv(src).writeStream.format("parquet")
-             .option("path", dst).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+    return (reader.csv(src).writeStream.format("parquet")
+            .option("path", dst).option("checkpointLocation", checkpoint))
+
+
+def stream_load(spark: SparkSession, src: str, dst: str, schema: StructType | str | None = None,
+                checkpoint: str | None = None, max_files_per_batch: int | None = None) -> str:
+    """Load new CSV files under ``src`` into parquet at ``dst``; returns ``dst``.
+
+    Without ``schema`` the types are inferred once from what is already there
+    (as the batch step does); give one for a steady stream.
+    """
+    query = _writer(spark, src, dst, schema, checkpoint, max_files_per_batch).trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     return dst
+
+
+def start_stream_load(spark: SparkSession, src: str, dst: str, schema: StructType | str,
+                      every: str = "1 minute", checkpoint: str | None = None,
+                      max_files_per_batch: int | None = None) -> StreamingQuery:
+    """The same load kept running: a micro-batch ``every`` interval, with the
+    same exactly-once checkpoint. Returns the running query."""
+    return (_writer(spark, src, dst, schema, checkpoint, max_files_per_batch)
+            .trigger(processingTime=every).start())

@@ -156,3 +156,18 @@ def test_land_raw_without_header_copies_lines(spark):
     dst = land_raw(spark, f"{root}/src/*.txt", f"{root}/extract", header=False)
     back = spark.read.option("recursiveFileLookup", True).text(f"{dst}/source=log.txt")
     assert sorted(r.value for r in back.collect()) == sorted(f"line {i}" for i in range(500))
+
+
+def test_running_stream_load(spark):
+    from corvid.streaming.incremental import start_stream_load
+    root = scratch_dir(spark, "t-stream-run")
+    _write(f"{root}/in/a.csv", "Year, Score\n2000, 1\n")
+    q = start_stream_load(spark, f"{root}/in", f"{root}/out", "Year int, Score int", every="1 second",
+                          checkpoint=f"{root}/ckpt")
+    try:
+        q.processAllAvailable()
+        _write(f"{root}/in/b.csv", "Year, Score\n2001, 2\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.Year for r in read_parquet(spark, f"{root}/out").collect()) == [2000, 2001]
