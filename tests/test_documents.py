@@ -71,3 +71,33 @@ def test_token_claims(spark):
     assert rows[0].ns == "ns"
     counts = {r.account: r.n_tokens for r in tokens_per_account(df).collect()}
     assert counts == {"runner": 1, "default": 1, None: 3}
+
+
+def test_supplied_parts_pass_through(spark):
+    df = spark.createDataFrame(
+        [(1, {"disk": "ssd"}, [("dedicated", "Equal", "spark", "NoSchedule")], [("data", "/data")],
+          [("JAVA_HOME", "/opt/java")])],
+        "task_id long, node_selector map<string,string>, "
+        "tolerations array<struct<key:string,operator:string,value:string,effect:string>>, "
+        "volume_mounts array<struct<name:string,mountPath:string>>, "
+        "environment_variables array<struct<name:string,value:string>>")
+    ex = json.loads(render_pod_json(df, "executor").first().pod_json)
+    assert ex["spec"]["nodeSelector"] == {"disk": "ssd"}
+    assert ex["spec"]["tolerations"][0]["effect"] == "NoSchedule"
+    c, = ex["spec"]["containers"]
+    assert c["volumeMounts"] == [{"name": "data", "mountPath": "/data"}]
+    assert c["env"] == [{"name": "JAVA_HOME", "value": "/opt/java"}]
+    assert list(ex["spec"]) == sorted(ex["spec"])
+    drv = json.loads(render_pod_json(df, "driver").first().pod_json)
+    assert drv["spec"]["containers"][0]["env"] == [{"name": "JAVA_HOME", "value": "/opt/java"}]
+
+
+def test_supplied_parts_replace_defaults(spark):
+    df = spark.createDataFrame(
+        [(1, [("main", "img:1")], None), (2, None, None)],
+        "task_id long, containers array<struct<name:string,image:string>>, "
+        "environment_variables array<struct<name:string,value:string>>")
+    docs = {r.task_id: json.loads(r.pod_json) for r in render_pod_json(df, "driver").collect()}
+    assert docs[1]["spec"]["containers"] == [{"image": "img:1", "name": "main"}]
+    c, = docs[2]["spec"]["containers"]
+    assert c["name"] == "base" and [e["name"] for e in c["env"]][0] == "SPARK_DRIVER_POD_NAME"
