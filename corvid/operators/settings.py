@@ -349,7 +349,8 @@ def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name
     task_name = task_name if task_name is not None else F.col(keys[0]).cast("string")
     df = fleet
     if overrides is not None:
-        extra, _ = bounded_broadcast(extra_by_task(overrides, keys))
+        # small by proof, so recomputing it is cheaper than leaving a cache behind
+        extra, _ = bounded_broadcast(extra_by_task(overrides, keys), cache=False)
         df = fleet.join(extra, list(keys), "left")
     plain = (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env) + conf_pairs(df, "driver", env)
              + conf_pairs(df, "executor", env))
