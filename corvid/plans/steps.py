@@ -32,9 +32,11 @@ def path_stem(uri: str, suffix: str = ".csv") -> str:
 
 
 def load_step(spark: SparkSession, uri: str, root: str,
-              schema: StructType | str | None = None) -> str:
-    """CSV at ``uri`` -> parquet at ``<root>/load/<stem>/``; returns it."""
-    df = read_csv(spark, uri, schema, recursive=True)
+              schema: StructType | str | None = None, sampling_ratio: float | None = None) -> str:
+    """CSV at ``uri`` -> parquet at ``<root>/load/<stem>/``; returns it.
+    Types are inferred unless a ``schema`` is given (on large inputs give one,
+    or a ``sampling_ratio`` for the inference pass)."""
+    df = read_csv(spark, uri, schema, recursive=True, sampling_ratio=sampling_ratio)
     return write_parquet(df, f"{root.rstrip('/')}/load/{path_stem(uri)}/")
 
 

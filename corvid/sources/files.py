@@ -10,13 +10,14 @@ from corvid.operators.sizing import bounded_broadcast
 
 
 def read_csv(spark: SparkSession, uri: str | list[str], schema: StructType | str | None = None, *,
-             header: bool = True, recursive: bool = False) -> DataFrame:
+             header: bool = True, recursive: bool = False, sampling_ratio: float | None = None) -> DataFrame:
     """CSV with a header row; blanks leading each field are ignored.
 
     With ``schema`` the scan is a single pass. Without one, types are inferred,
-    which costs an extra full pass and narrows whole numbers to ``int`` where
-    they fit. ``recursive`` reads a landed tree (see :func:`land_raw`) without
-    turning its folders into columns.
+    which costs an extra pass (over a ``sampling_ratio`` fraction of the rows
+    when given) and narrows whole numbers to ``int`` where they fit.
+    ``recursive`` reads a landed tree (see :func:`land_raw`) without turning
+    its folders into columns.
     """
     reader = (spark.read.option("header", header)
               .option("ignoreLeadingWhiteSpace", True))
@@ -26,6 +27,8 @@ def read_csv(spark: SparkSession, uri: str | list[str], schema: StructType | str
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True)
+        if sampling_ratio is not None:
+            reader = reader.option("samplingRatio", sampling_ratio)
     return reader.csv(uri)
 
 
