@@ -347,17 +347,17 @@ def _apply_extra_any(pairs: list[Pair], extra: Column) -> tuple[list[Pair], Colu
 def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name, keys):
     dag_id = dag_id if dag_id is not None else F.lit("adhoc_airflow")
     task_name = task_name if task_name is not None else F.col(keys[0]).cast("string")
-    df = fleet
+    df, broadcast = fleet, False
     if overrides is not None:
         # small by proof, so recomputing it is cheaper than leaving a cache behind
-        extra, _ = bounded_broadcast(extra_by_task(overrides, keys), cache=False)
+        extra, broadcast = bounded_broadcast(extra_by_task(overrides, keys), cache=False)
         df = fleet.join(extra, list(keys), "left")
     plain = (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env) + conf_pairs(df, "driver", env)
              + conf_pairs(df, "executor", env))
     pairs, added, tail = plain, None, None
     if overrides is not None:
         pairs, added, tail = apply_extra(plain, F.col("extra"), override_keys(overrides))
-    return df, plain, pairs, added, tail
+    return _Fleet(df, broadcast), plain, pairs, added, tail
 
 
 def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
@@ -374,14 +374,16 @@ def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
     plan runs two small jobs over the overrides (their distinct keys and the
     broadcast size check).
     """
-    df, plain, pairs, added, _ = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+    fl, plain, pairs, added, _ = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+
+    def rows(frame: DataFrame, entries: Column) -> DataFrame:
+        return frame.select(*keys, F.inline(entries)).where(F.col("value").isNotNull())
+
     if added is None:
-        entries = entry_array(pairs)
-    elif isinstance(added, list):
-        entries = entry_array(pairs + added)  # one array: no concat (row order is free)
-    else:
-        entries = F.concat(entry_array(pairs), added)
-    return df.select(*keys, F.inline(entries)).where(F.col("value").isNotNull())
+        return rows(fl.df, entry_array(plain))
+    entries = entry_array(pairs + added) if isinstance(added, list) else \
+        F.concat(entry_array(pairs), added)
+    return fl.by_overrides(rows, entry_array(plain), entries)
 
 
 def fleet_conf_text(fleet: DataFrame, overrides: DataFrame | None = None,
@@ -389,18 +391,37 @@ def fleet_conf_text(fleet: DataFrame, overrides: DataFrame | None = None,
                     task_name: Column | None = None, keys: Sequence[str] = ("task_id",)) -> DataFrame:
     """B20 for a whole fleet, one text per task computed inside its row (no
     shuffle of rendered keys): ``key=value`` lines in order."""
-    df, plain, pairs, added, tail = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+    fl, plain, pairs, added, tail = _fleet(fleet, overrides, env, dag_id, task_name, keys)
 
     def text(ps, tail=None):
         lines = [F.concat(p.key, F.lit("="), p.value) for p in ps]
         return F.concat_ws("\n", *(lines + ([tail] if tail is not None else [])))
 
+    def texts(frame: DataFrame, t: Column) -> DataFrame:
+        return frame.select(*keys, t.alias("conf_text"))
+
     if added is None:
-        return df.select(*keys, text(plain).alias("conf_text"))
-    # rows without overrides (most) take the plain text: measured faster than
-    # one expression with look-ups for every row
-    out = F.when(F.col("extra").isNull(), text(plain)).otherwise(text(pairs, tail))
-    return df.select(*keys, out.alias("conf_text"))
+        return texts(fl.df, text(plain))
+    return fl.by_overrides(texts, text(plain), text(pairs, tail))
+
+
+class _Fleet(NamedTuple):
+    """The fleet joined to its overrides, and whether that join is a broadcast."""
+    df: DataFrame
+    broadcast: bool
+
+    def by_overrides(self, build, without: Column, with_: Column) -> DataFrame:
+        """``build`` rows without overrides from ``without`` and the others
+        from ``with_``. With the overrides broadcast, each kind goes through
+        its own map-side branch: two compact expressions run much faster than
+        one holding both (it compiles too large for the JIT). With a shuffle
+        join the branches would each shuffle the fleet, so one pass chooses
+        per row instead."""
+        if not self.broadcast:
+            return build(self.df, F.when(F.col("extra").isNull(), without).otherwise(with_))
+        none = self.df.where(F.col("extra").isNull())
+        some = self.df.where(F.col("extra").isNotNull())
+        return build(none, without).unionByName(build(some, with_))
 
 
 def conf_text(conf_rows: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
