@@ -33,3 +33,12 @@ def test_without_broadcast(spark, sf_dir, no_broadcast, key):
     assert "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan, key
     ok, msg = compare(df, duck(sf_dir), oracle_sql()[key])
     assert ok, msg
+
+
+@pytest.mark.parametrize("key", ["b18_resolve_layers", "b20_conf_text"])
+def test_fleet_is_shuffled_once_without_broadcast(spark, sf_dir, no_broadcast, key):
+    df = queries()[key](spark, sf_dir)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # one exchange for the fleet, one for the override aggregation
+    assert plan.count("Exchange hashpartitioning") == 2, plan
