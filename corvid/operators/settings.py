@@ -277,25 +277,19 @@ def override_keys(overrides: DataFrame, limit: int | None = None) -> list[str] |
     return None if len(keys) > limit else sorted(k for k in keys if k is not None)
 
 
-def apply_extra(pairs: list[Pair], extra: Column, keys: list[str] | None = None
-                ) -> tuple[list[Pair], list[Pair] | Column, Column]:
+def apply_extra(pairs: list[Pair], extra: Column, keys: list[str]) -> tuple[list[Pair], list[Pair], Column]:
     """B18 within a row: rendered ``pairs`` (unique keys; null value = not
     set) updated by ``extra`` (``map<key, struct<n, value>>``, null value =
     delete), as a mapping updated in place would be: a key that is set keeps
     its place and takes the new value (null removes it); any other key is
-    appended in ``n`` order. Returns the updated pairs, the appended entries
-    (pairs with ``ord = n``, or an ``array<struct<layer, ord, key, value>>``
-    on the general path) and their ``key=value`` lines in order, joined by
-    newlines (null when none).
-
-    With ``keys`` (every key the overrides use) only pairs whose key can be
-    overridden get a map look-up, and appended entries are built from that
-    list: small, fully code-generated expressions. A look-up on every pair
-    makes a method too large for the JIT to compile, several times slower.
-    Without ``keys``, array functions do the same for any set of keys.
+    appended in ``n`` order. ``keys`` lists every key the overrides use.
+
+    Returns the updated pairs, the appended entries (pairs with ``ord = n``)
+    and their ``key=value`` lines in order, joined by newlines (null when
+    none). Only pairs whose key can be overridden get a map look-up: small,
+    fully code-generated expressions (a look-up on every pair makes a method
+    too large for the JIT to compile, several times slower).
     """
-    if keys is None:
-        return _apply_extra_any(pairs, extra)
     wanted = set(keys)
     updated = []
     for p in pairs:
@@ -320,46 +314,45 @@ def apply_extra(pairs: list[Pair], extra: Column, keys: list[str] | None = None
     return updated, added, text
 
 
-def _any(conds: list[Column]) -> Column | None:
+def _any(conds: list[Column]) -> Column:
     out = None
     for c in conds:
         out = c if out is None else (out | c)
     return out if out is not None else F.lit(False)
 
 
-def _apply_extra_any(pairs: list[Pair], extra: Column) -> tuple[list[Pair], Column]:
-    updated = []
-    for p in pairs:
-        hit = F.when(p.value.isNotNull() & F.map_contains_key(extra, p.key), F.lit(True)).otherwise(F.lit(False))
-        updated.append(p._replace(value=F.when(hit, F.element_at(extra, p.key)["value"]).otherwise(p.value)))
-    set_keys = F.array_compact(F.array(*[F.when(p.value.isNotNull(), p.key) for p in pairs]))
-    fresh = F.filter(F.map_entries(extra), lambda e: ~F.array_contains(set_keys, e["key"]))
-    ordered = F.array_sort(F.transform(fresh, lambda e: F.struct(
-        e["value"]["n"].alias("ord"), e["key"].alias("key"), e["value"]["value"].alias("value"))))
-    added = F.transform(ordered, lambda e: F.struct(
-        F.lit(LAYERS["extra"]).alias("layer"), e["ord"], e["key"], e["value"])).cast(ArrayType(ENTRY))
-    added = F.coalesce(added, F.array().cast(ArrayType(ENTRY)))
-    text = F.nullif(F.array_join(F.transform(added, lambda e: F.concat(e["key"], F.lit("="), e["value"])), "\n"),
-                    F.lit(""))
-    return updated, added, text
-
-
 def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name, keys):
     dag_id = dag_id if dag_id is not None else F.lit("adhoc_airflow")
     task_name = task_name if task_name is not None else F.col(keys[0]).cast("string")
-    df, broadcast = fleet, False
-    if overrides is not None:
-        # small by proof, so recomputing it is cheaper than leaving a cache behind
-        extra, broadcast = bounded_broadcast(extra_by_task(overrides, keys), cache=False)
-        df = fleet.join(extra, list(keys), "left")
-    plain = (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env) + conf_pairs(df, "driver", env)
-             + conf_pairs(df, "executor", env))
-    pairs, added, tail = plain, None, None
-    if overrides is not None:
-        pairs, added, tail = apply_extra(plain, F.col("extra"), override_keys(overrides))
+    if overrides is None:
+        plain = _all_pairs(fleet, env, dag_id, task_name)
+        return _Fleet(fleet, False), plain, plain, None, None
+    names = override_keys(overrides)
+    if names is None:
+        return None, _all_pairs(fleet, env, dag_id, task_name), None, None, None
+    # small by proof, so recomputing it is cheaper than leaving a cache behind
+    extra, broadcast = bounded_broadcast(extra_by_task(overrides, keys), cache=False)
+    df = fleet.join(extra, list(keys), "left")
+    plain = _all_pairs(df, env, dag_id, task_name)
+    pairs, added, tail = apply_extra(plain, F.col("extra"), names)
     return _Fleet(df, broadcast), plain, pairs, added, tail
 
 
+def _all_pairs(df: DataFrame, env, dag_id: Column, task_name: Column) -> list[Pair]:
+    return (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env) + conf_pairs(df, "driver", env)
+            + conf_pairs(df, "executor", env))
+
+
+def _long_resolution(fleet: DataFrame, overrides: DataFrame, plain: list[Pair],
+                     keys: Sequence[str]) -> DataFrame:
+    """Many distinct override keys: resolve by (task, key) over long rows, so
+    no task's overrides are ever gathered in one place."""
+    rendered = fleet.select(*keys, F.inline(entry_array(plain))).where(F.col("value").isNotNull())
+    extra = overrides.select(*keys, F.lit(LAYERS["extra"]).alias("layer"), F.col("n").cast("int").alias("ord"),
+                             "key", "value")
+    return resolve_layers(rendered.unionByName(extra), keys)
+
+
 def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
                env: Mapping[str, str | Column] | None = None, dag_id: Column | None = None,
                task_name: Column | None = None, keys: Sequence[str] = ("task_id",)) -> DataFrame:
@@ -369,21 +362,23 @@ def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
     Only the extra layer can collide with rendered keys (rendered keys name
     their component), so resolution happens inside each row: overrides are
     gathered per task into a small map, joined once to the fleet (broadcast
-    when proven small) and looked up per key. The fleet is shuffled at most
+    when proven small) and looked up per key. When the overrides use more
+    than ``MAX_OVERRIDE_KEYS`` distinct keys, no per-task map is built: the
+    long rows are resolved by (task, key) instead. The fleet is shuffled at most
     once, one row per task, instead of once per rendered key. Building the
     plan runs two small jobs over the overrides (their distinct keys and the
     broadcast size check).
     """
     fl, plain, pairs, added, _ = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+    if fl is None:
+        return _long_resolution(fleet, overrides, plain, keys)
 
     def rows(frame: DataFrame, entries: Column) -> DataFrame:
         return frame.select(*keys, F.inline(entries)).where(F.col("value").isNotNull())
 
     if added is None:
         return rows(fl.df, entry_array(plain))
-    entries = entry_array(pairs + added) if isinstance(added, list) else \
-        F.concat(entry_array(pairs), added)
-    return fl.by_overrides(rows, entry_array(plain), entries)
+    return fl.by_overrides(rows, entry_array(plain), entry_array(pairs + added))
 
 
 def fleet_conf_text(fleet: DataFrame, overrides: DataFrame | None = None,
@@ -392,6 +387,8 @@ def fleet_conf_text(fleet: DataFrame, overrides: DataFrame | None = None,
     """B20 for a whole fleet, one text per task computed inside its row (no
     shuffle of rendered keys): ``key=value`` lines in order."""
     fl, plain, pairs, added, tail = _fleet(fleet, overrides, env, dag_id, task_name, keys)
+    if fl is None:
+        return conf_text(_long_resolution(fleet, overrides, plain, keys), keys)
 
     def text(ps, tail=None):
         lines = [F.concat(p.key, F.lit("="), p.value) for p in ps]
