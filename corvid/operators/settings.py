@@ -258,8 +258,9 @@ def resolve_layers(long_df: DataFrame, keys: Sequence[str] = ("task_id",)) -> Da
 def extra_by_task(overrides: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
     """Per task, its extra settings as ``map<key, struct<n, value>>`` (null
     value = delete). Bounded per task by the number of distinct keys it
-    overrides; a key given twice for one task is an error."""
-    return overrides.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(
+    overrides; a key given twice for one task is an error. Rows without a
+    key name nothing and are skipped."""
+    return overrides.where(F.col("key").isNotNull()).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(
         "key", F.struct(F.col("n").cast("int").alias("n"), F.col("value").cast("string").alias("value")))))
         .alias("extra"))
 
@@ -348,8 +349,8 @@ def _long_resolution(fleet: DataFrame, overrides: DataFrame, plain: list[Pair],
     """Many distinct override keys: resolve by (task, key) over long rows, so
     no task's overrides are ever gathered in one place."""
     rendered = fleet.select(*keys, F.inline(entry_array(plain))).where(F.col("value").isNotNull())
-    extra = overrides.select(*keys, F.lit(LAYERS["extra"]).alias("layer"), F.col("n").cast("int").alias("ord"),
-                             "key", "value")
+    extra = overrides.where(F.col("key").isNotNull()).select(
+        *keys, F.lit(LAYERS["extra"]).alias("layer"), F.col("n").cast("int").alias("ord"), "key", "value")
     return resolve_layers(rendered.unionByName(extra), keys)
 
 
