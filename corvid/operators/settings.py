@@ -331,8 +331,8 @@ def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name
     names = override_keys(overrides)
     if names is None:
         return None, _all_pairs(fleet, env, dag_id, task_name), None, None, None
-    # small by proof, so recomputing it is cheaper than leaving a cache behind
-    extra, broadcast = bounded_broadcast(extra_by_task(overrides, keys), cache=False)
+    # written once to the checkpoint folder: both branches below read it
+    extra, broadcast = bounded_broadcast(extra_by_task(overrides, keys), checkpoint=True)
     df = fleet.join(extra, list(keys), "left")
     plain = _all_pairs(df, env, dag_id, task_name)
     pairs, added, tail = apply_extra(plain, F.col("extra"), names)

@@ -45,17 +45,22 @@ def max_broadcast_bytes(df: DataFrame) -> int:
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
-                      cache: bool = True) -> tuple[DataFrame, bool]:
+                      cache: bool = True, checkpoint: bool = False) -> tuple[DataFrame, bool]:
     """Return ``(df_for_join, broadcast?)``.
 
     The count stops at the bound, so checking a large side costs at most
     ``max_rows + 1`` rows of work past its producing stages. With ``cache`` a
     side proven small stays cached (so the join does not recompute it, and the
     cache is bounded by ``max_bytes``); a large side is released at once and
-    joined by a shuffle.
+    joined by a shuffle. With ``checkpoint`` the side is written once to the
+    shared checkpoint folder instead (reliable, no memory held, lineage cut),
+    for sides that several branches of one plan read.
     """
     max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
     max_rows = max(0, max_bytes // estimated_row_bytes(df))
+    if checkpoint:
+        df = df.checkpoint(eager=True)
+        cache = False
     checked = df.cache() if cache else df
     n = checked.limit(max_rows + 1).count()
     if n <= max_rows and max_rows > 0:
