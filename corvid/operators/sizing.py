@@ -7,6 +7,8 @@ left to a shuffle (and to AQE, which may still convert it at run time).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+
+from corvid.session import checkpoint_root
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DataType, DateType,
                                DecimalType, IntegerType, MapType, ShortType, StringType, StructType)
 
@@ -59,6 +61,7 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
     max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
     max_rows = max(0, max_bytes // estimated_row_bytes(df))
     if checkpoint:
+        checkpoint_root(df.sparkSession)  # the shared folder; set only where a bare session has none
         df = df.checkpoint(eager=True)
         cache = False
     checked = df.cache() if cache else df
