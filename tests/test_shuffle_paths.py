@@ -42,3 +42,22 @@ def test_fleet_is_shuffled_once_without_broadcast(spark, sf_dir, no_broadcast, k
     plan = df._jdf.queryExecution().executedPlan().toString()
     # one exchange for the fleet, one for the override aggregation
     assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
+def test_landing_multi_split_without_broadcast(spark, no_broadcast):
+    import os
+    from corvid.session import scratch_dir
+    from corvid.sources.files import land_raw, read_csv
+    root = scratch_dir(spark, "t-land-shuffle")
+    os.makedirs(f"{root}/src", exist_ok=True)
+    with open(f"{root}/src/big.csv", "w") as f:
+        f.write("k,v\n" + "".join(f"{i},{'y' * 30}\n" for i in range(12000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        dst = land_raw(spark, f"{root}/src/*.csv", f"{root}/extract")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len([p for p in os.listdir(f"{dst}/source=big.csv") if p.startswith("chunk=")]) > 3
+    back = read_csv(spark, f"{dst}/source=big.csv", "k long, v string", recursive=True)
+    assert back.count() == 12000 and back.select("k").distinct().count() == 12000
