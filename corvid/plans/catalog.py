@@ -489,6 +489,12 @@ def b23_render_pod_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render_pod_json(_fleet_with_labels(spark, sf_dir), "executor", fx.fleet_env(), labels="labels")
 
 
+@register("b23_render_pod_json_driver", odoc.b23_driver_sql())
+def b23_render_pod_json_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B23 for the driver: downward-API environment, no generated affinity."""
+    return render_pod_json(_fleet_with_labels(spark, sf_dir), "driver", fx.fleet_env(), labels="labels")
+
+
 @register("b24_pod_labels", odoc.b24_sql())
 def b24_pod_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     fleet = _fleet_with_labels(spark, sf_dir)

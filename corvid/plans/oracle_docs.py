@@ -4,6 +4,7 @@ is the brute force: it scores every task against every node."""
 from __future__ import annotations
 
 from corvid.operators import placement as pl
+from corvid.operators.documents import DRIVER_ENV
 from corvid.operators import settings as st
 from corvid.plans.oracle import FX_DRIVER, FX_EXECUTOR, FX_NODE, FX_TASK_CONF, with_
 from corvid.plans.oracle_settings import B14_BODY, FX_FLEET
@@ -70,6 +71,26 @@ def b23_sql() -> str:
             f"(select task_id, request_memory as rm from r) x using (task_id)")
 
 
+def b23_driver_sql() -> str:
+    mem = "cast(rm // 1048576 as varchar) || 'Mi'"
+    cpu = "cast(request_cores as varchar) || 'm'"
+    resources = (f"case when rm is null then json_object('requests', json_object('cpu', {cpu})) "
+                 f"else json_object('limits', json_object('memory', {mem}), 'requests', "
+                 f"json_object('cpu', {cpu}, 'memory', {mem})) end")
+    env = ", ".join(f"json_object('name', '{n}', 'valueFrom', json_object('fieldRef', "
+                    f"json_object('fieldPath', '{path.replace(chr(39), chr(39) * 2)}')))" for n, path in DRIVER_ENV)
+    labels = (f"case when task_id % 13 = 0 then json_object('team', {OWN_LABELS_SQL}) "
+              f"else json_object('{pl.DRIVER_LABEL}', {uuid_sql('driver')}) end")
+    doc = (f"json_object('apiVersion', 'v1', 'kind', 'Pod', 'metadata', json_object('labels', {labels}), "
+           f"'spec', json_object('affinity', json_object(), "
+           f"'containers', json_array(json_object('env', json_array({env}), 'image', '{st.DRIVER_IMAGE}', "
+           f"'name', 'base', 'resources', {resources})), "
+           f"'dnsConfig', json_object('options', json_array(json_object('name', 'ndots', 'value', '2')))))")
+    return (with_(FX_TASK_CONF, FX_FLEET, f"r as ({B14_BODY})") +
+            f"select f.task_id, cast({doc} as varchar) as pod_json from fx_fleet f join "
+            f"(select task_id, request_memory as rm from r) x using (task_id)")
+
+
 def b24_sql() -> str:
     return (with_(FX_TASK_CONF, FX_FLEET) +
             f"select task_id, case when task_id % 13 = 0 then 'team' else '{pl.EXECUTOR_LABEL}' end as label_key, "
