@@ -195,3 +195,24 @@ def test_where_quantity_several_bounds(spark):
     df = one_col(spark, ["512Mi", "1Gi", "1500M", "2Gi", "bad"])
     got = where_quantity(df, "s", ">=", "1024Mi", "memory_k8s", also=[("<", "2Gi")]).collect()
     assert sorted(r.s for r in got) == ["1500M", "1Gi"]
+
+
+def plain_scale_cpu(m, f):
+    v = int(((m / 1000) * f) * 1000)
+    return v if 0 < v < 2 ** 63 else None
+
+
+def plain_scale_memory(b, f):
+    v = int(b * f)
+    return v if 0 < v < 2 ** 63 else None
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 10 ** 12), st.floats(0, 1000, allow_nan=False)), min_size=10, max_size=50))
+def test_property_scaling(spark, pairs):
+    df = spark.createDataFrame(pairs, "q long, f double")
+    rows = df.select("q", "f", q.scale_cpu("q", F.col("f")).alias("c"),
+                     q.scale_memory("q", F.col("f")).alias("m")).collect()
+    for r in rows:
+        assert r.c == plain_scale_cpu(r.q, r.f), (r.q, r.f)
+        assert r.m == plain_scale_memory(r.q, r.f), (r.q, r.f)
