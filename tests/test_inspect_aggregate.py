@@ -40,3 +40,9 @@ def test_group_avg_null_semantics(spark):
 def test_sort_nulls_first_ascending(spark):
     df = spark.createDataFrame([(2,), (None,), (1,)], "x int")
     assert [r.x for r in sort_by(df, ["x"]).collect()] == [None, 1, 2]
+
+
+def test_profile_awkward_column_names(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "`a.b` int, `c d` string")
+    rows = {r.column_name: r for r in profile(df).collect()}
+    assert rows["a.b"].max_num == 2.0 and rows["c d"].n_nulls == 1
