@@ -46,3 +46,12 @@ def test_profile_awkward_column_names(spark):
     df = spark.createDataFrame([(1, "x"), (2, None)], "`a.b` int, `c d` string")
     rows = {r.column_name: r for r in profile(df).collect()}
     assert rows["a.b"].max_num == 2.0 and rows["c d"].n_nulls == 1
+
+
+def test_aggregates_take_dotted_names(spark):
+    from corvid.operators.aggregate import sum_quantity
+    df = spark.createDataFrame([("x", 1.0), ("x", 3.0)], "`k.k` string, `v.v` double")
+    assert [tuple(r) for r in group_avg(df, ["k.k"], ["v.v"]).collect()] == [("x", 2.0)]
+    assert group_avg(df, ["k.k"], ["v.v"]).columns == ["k.k", "avg(v.v)"]
+    assert [r["v.v"] for r in sort_by(df, ["v.v"]).collect()] == [1.0, 3.0]
+    assert sum_quantity(df.withColumn("v.v", df["`v.v`"].cast("long")), ["k.k"], "v.v", "t").first().t == 4
