@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import FractionalType, IntegralType, StringType, DecimalType
 
 from corvid.functions import quantity as q
+from corvid.operators.aggregate import col_of
 
 _OPS = {
     "==": lambda a, b: a == b, "!=": lambda a, b: a != b,
@@ -21,13 +22,14 @@ def _parse(df: DataFrame, col: str, parser: str) -> q.Parse:
     if parser not in q.PARSERS:
         raise ValueError(f"unknown parser {parser!r}; one of {sorted(q.PARSERS)}")
     dtype = df.schema[col].dataType
+    c = col_of(df, col)
     if isinstance(dtype, StringType):
-        return q.PARSERS[parser](F.col(col))
+        return q.PARSERS[parser](c)
     if parser == "cpu_k8s" and isinstance(dtype, (IntegralType, FractionalType)) \
             and not isinstance(dtype, DecimalType):
-        return q.number_parse(F.col(col), 1000, integral=isinstance(dtype, IntegralType))
+        return q.number_parse(c, 1000, integral=isinstance(dtype, IntegralType))
     if parser == "cpu_jvm" and isinstance(dtype, IntegralType):
-        return q.number_parse(F.col(col), 1000, integral=True)
+        return q.number_parse(c, 1000, integral=True)
     raise TypeError(f"column {col!r} of type {dtype.simpleString()} cannot be parsed by {parser}")
 
 
@@ -45,13 +47,13 @@ def with_parsed(df: DataFrame, col: str, parser: str, value: str | None = None,
     keep = df.columns
 
     def ref(name: str) -> Column:
-        return F.col(f"__{col}_{name}")
+        return F.col(f"`__{col}_{name}`")
 
     for stage in p.stages():
         df = df.withColumns({f"__{col}_{k}": (v(ref) if callable(v) else v) for k, v in stage.items()})
     v, r = p.finish(ref)
     result = F.struct(v.alias(value or f"{col}_value"), r.alias(reason or f"{col}_reason"))
-    return df.select(*keep, F.inline(F.array(result)))
+    return df.select(*[col_of(df, k) for k in keep], F.inline(F.array(result)))
 
 
 def split_valid(df: DataFrame, col: str, parser: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -66,11 +68,11 @@ def split_valid(df: DataFrame, col: str, parser: str, strict: bool = False) -> t
     parsed = with_parsed(df, col, parser, value, reason)
     if strict:
         # every row passes through this filter, so the first bad one fails the job
-        parsed = parsed.where(F.when(F.col(reason).isNull(), F.lit(True)).otherwise(
+        parsed = parsed.where(F.when(col_of(parsed, reason).isNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit(f"invalid {parser} quantity in {col}: "),
-                                   F.col(reason))).cast("boolean")))
-    good = parsed.where(F.col(reason).isNull()).drop(reason)
-    bad = parsed.where(F.col(reason).isNotNull()).drop(value)
+                                   col_of(parsed, reason))).cast("boolean")))
+    good = parsed.where(col_of(parsed, reason).isNull()).drop(reason)
+    bad = parsed.where(col_of(parsed, reason).isNotNull()).drop(value)
     return good, bad
 
 
@@ -97,7 +99,7 @@ def where_quantity(df: DataFrame, col: str, op: str, text: str, parser: str,
     parsed = with_parsed(df, col, parser, value, reason)
     keep = None
     for o, t in conditions:
-        c = _OPS[o](F.col(value), _bound(t, parser))
+        c = _OPS[o](col_of(parsed, value), _bound(t, parser))
         keep = c if keep is None else (keep & c)
     return parsed.where(keep).drop(value, reason)
 
@@ -107,7 +109,7 @@ def sort_by_quantity(df: DataFrame, col: str, parser: str, ascending: bool = Tru
     values last), by the canonical integer."""
     value = f"__{col}_sort_value"
     parsed = with_parsed(df, col, parser, value, f"__{col}_sort_reason")
-    order = F.col(value).asc_nulls_last() if ascending else F.col(value).desc_nulls_last()
+    order = col_of(parsed, value).asc_nulls_last() if ascending else col_of(parsed, value).desc_nulls_last()
     return parsed.orderBy(order).drop(value, f"__{col}_sort_reason")
 
 
@@ -116,5 +118,6 @@ def quantity_range(df: DataFrame, keys: list[str], col: str, parser: str) -> Dat
     with how many values were valid. A partial + final hash aggregate."""
     value = f"{col}_value"
     parsed = with_parsed(df, col, parser, value, f"{col}_reason")
-    return parsed.groupBy(*keys).agg(F.min(value).alias(f"min_{col}"), F.max(value).alias(f"max_{col}"),
-                                     F.count(value).alias(f"n_valid_{col}"))
+    v = col_of(parsed, value)
+    return parsed.groupBy(*[col_of(parsed, k) for k in keys]).agg(
+        F.min(v).alias(f"min_{col}"), F.max(v).alias(f"max_{col}"), F.count(v).alias(f"n_valid_{col}"))

@@ -216,3 +216,11 @@ def test_property_scaling(spark, pairs):
     for r in rows:
         assert r.c == plain_scale_cpu(r.q, r.f), (r.q, r.f)
         assert r.m == plain_scale_memory(r.q, r.f), (r.q, r.f)
+
+
+def test_dotted_column_names(spark):
+    df = spark.createDataFrame([("a", "1Gi"), ("b", "bad")], "`t.id` string, `mem.k8s` string")
+    good, bad = split_valid(df, "mem.k8s", "memory_k8s")
+    assert [r["mem.k8s_value"] for r in good.collect()] == [2 ** 30]
+    assert [r["mem.k8s_reason"] for r in bad.collect()] == ["pattern"]
+    assert where_quantity(df, "mem.k8s", ">", "1Mi", "memory_k8s").count() == 1
