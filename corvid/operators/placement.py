@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from corvid.operators.aggregate import col_of
 from corvid.operators.sizing import bounded_broadcast
 
 # ---------------------------------------------------------------------------
@@ -46,8 +47,8 @@ def rule_array(task: Column | str, own: Column | None = None) -> Column:
 
 def placement_rules(tasks: DataFrame, task: str = "task_id", own: str | None = None) -> DataFrame:
     """B21 on a table: one row per task and rule."""
-    rules = rule_array(task, F.col(own) if own else None)
-    return tasks.select(task, F.inline(rules))
+    rules = rule_array(col_of(tasks, task), col_of(tasks, own) if own else None)
+    return tasks.select(col_of(tasks, task), F.inline(rules))
 
 
 NODE_BITS = 55  # node ids must lie in [0, 2**55) to be packed with a score
@@ -75,13 +76,14 @@ def rank_placements(drivers: DataFrame, executors: DataFrame, nodes: DataFrame,
     ``score << 55 | (2**55 - 1 - node)``. Three shuffles, each on reduced data.
     Building the plan runs the two small size checks on the node table.
     """
-    node_dim, _ = bounded_broadcast(nodes.select(F.col(node).alias("node"), F.col(zone).alias("zone")),
-                                    cache=False)
-    first_node, _ = bounded_broadcast(nodes.groupBy(F.col(zone).alias("zone"))
-                                      .agg(F.min(F.col(node)).alias("zone_first")), cache=False)
-    locs = (drivers.select(F.col(task).alias("task"), F.col(node).alias("node"),
+    node_dim, _ = bounded_broadcast(nodes.select(col_of(nodes, node).alias("node"),
+                                                 col_of(nodes, zone).alias("zone")), cache=False)
+    first_node, _ = bounded_broadcast(nodes.groupBy(col_of(nodes, zone).alias("zone"))
+                                      .agg(F.min(col_of(nodes, node)).alias("zone_first")), cache=False)
+    locs = (drivers.select(col_of(drivers, task).alias("task"), col_of(drivers, node).alias("node"),
                            F.lit(True).alias("is_driver"))
-            .unionByName(executors.select(F.col(task).alias("task"), F.col(node).alias("node"),
+            .unionByName(executors.select(col_of(executors, task).alias("task"),
+                                          col_of(executors, node).alias("node"),
                                           F.lit(False).alias("is_driver")))
             .join(node_dim, "node"))
     hosts = (locs.groupBy("task", "zone", "node")

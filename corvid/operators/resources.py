@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corvid.functions.quantity import format_cpu_k8s, format_memory_k8s, scale_memory
+from corvid.operators.aggregate import col_of
 
 
 def _col(c: Column | str) -> Column:
@@ -37,8 +38,8 @@ def request_memory(df: DataFrame, memory: str = "memory", overhead: str = "memor
                    factor: str = "memory_overhead_factor", rule: str = "as_coded",
                    name: str = "request_memory") -> DataFrame:
     """B14 on a table: adds ``<name>`` (bytes) and ``<name>_text`` (``Mi`` text)."""
-    df = df.withColumn(name, request_memory_bytes(memory, overhead, factor, rule))
-    return df.withColumn(f"{name}_text", format_memory_k8s(name, "Mi"))
+    df = df.withColumn(name, request_memory_bytes(col_of(df, memory), col_of(df, overhead), col_of(df, factor), rule))
+    return df.withColumn(f"{name}_text", format_memory_k8s(col_of(df, name), "Mi"))
 
 
 def requests_rollup(df: DataFrame, keys: Sequence[str], cpu: str = "request_cores",
@@ -46,8 +47,8 @@ def requests_rollup(df: DataFrame, keys: Sequence[str], cpu: str = "request_core
     """Per row, requests are the CPU and memory that are set and the limit
     is the memory; totals per key (exact ``decimal(38,0)``), plus how many
     tasks set each. One partial + final aggregate."""
-    c, m = F.col(cpu).cast("decimal(38,0)"), F.col(memory).cast("decimal(38,0)")
-    return df.groupBy(*keys).agg(
+    c, m = col_of(df, cpu).cast("decimal(38,0)"), col_of(df, memory).cast("decimal(38,0)")
+    return df.groupBy(*[col_of(df, k) for k in keys]).agg(
         F.count(F.lit(1)).alias("n_tasks"),
         F.sum(c).alias("requests_cpu_m"),
         F.sum(m).alias("requests_memory_bytes"),

@@ -84,3 +84,11 @@ def test_own_rules_replace_the_defaults(spark):
     got = placement_rules(df, own="rules").collect()
     assert [(r.weight, r.label_key) for r in got if r.task_id == 1] == [(10, "team")]
     assert [r.weight for r in got if r.task_id == 2] == [100, 75, 50, 25]
+
+
+def test_dotted_names(spark):
+    d = spark.createDataFrame([(1, 2)], "`t.id` long, `n.id` long")
+    n = spark.createDataFrame([(2, 0), (3, 0)], "`n.id` long, `z.id` int")
+    got = rank_placements(d, d.limit(0), n, task="t.id", node="n.id", zone="z.id").collect()
+    assert [(r["t.id"], r["n.id"], r.score) for r in got] == [(1, 2, 150)]
+    assert placement_rules(d, task="t.id").count() == 4
