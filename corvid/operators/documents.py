@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corvid.functions.tokens import service_account
 from corvid.operators import settings as st
+from corvid.operators.aggregate import col_of
 from corvid.operators.placement import DRIVER_LABEL, EXECUTOR_LABEL, affinity_id, rule_structs
 from corvid.operators.resources import container_resources, request_memory_bytes
 
@@ -96,8 +97,8 @@ def pod_document(df: DataFrame, component: str, env: Mapping[str, str | Column]
     containers = F.array(F.struct(*container_fields))
     if _given(df, "containers") is not None:
         containers = _either(F.col("containers"), containers)
-    t = F.col(task)
-    own = F.col(labels) if labels else None
+    t = col_of(df, task)
+    own = col_of(df, labels) if labels else None
     spec = [_affinity(df, t, component).alias("affinity"), containers.alias("containers"),
             F.struct(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(v).alias("value"))
                                for n, v in DNS_OPTIONS]).alias("options")).alias("dnsConfig")]
@@ -116,11 +117,12 @@ def render_pod_json(df: DataFrame, component: str = "executor", env: Mapping[str
                     task: str = "task_id", labels: str | None = None,
                     keep: Sequence[str] = ("task_id",)) -> DataFrame:
     """B23 on a table: ``keep`` columns plus ``pod_json``."""
-    return df.select(*keep, F.to_json(pod_document(df, component, env, task, labels)).alias("pod_json"))
+    return df.select(*[col_of(df, k) for k in keep],
+                     F.to_json(pod_document(df, component, env, task, labels)).alias("pod_json"))
 
 
 def tokens_per_account(df: DataFrame, token: str = "token") -> DataFrame:
     """How many tokens name each service account (null: unreadable
     token). Signatures are not checked - an audit, not an authorisation."""
-    return (df.select(service_account(token).alias("account"))
+    return (df.select(service_account(col_of(df, token)).alias("account"))
             .groupBy("account").agg(F.count(F.lit(1)).alias("n_tokens")))

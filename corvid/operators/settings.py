@@ -22,6 +22,7 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType,
 
 from corvid.functions.quantity import format_cpu_jvm, format_cpu_k8s, format_memory_jvm
 from corvid.functions.text import slug
+from corvid.operators.aggregate import col_of
 from corvid.operators.sizing import bounded_broadcast
 
 # ---------------------------------------------------------------------------
@@ -166,7 +167,8 @@ def attribute_columns(df: DataFrame, component: str,
 def apply_defaults(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
                    keep: Sequence[str] = ("task_id",)) -> DataFrame:
     """B19 on a table: ``keep`` columns plus every attribute of ``component``."""
-    return df.select(*keep, *[c.alias(a) for a, c in attribute_columns(df, component, env).items()])
+    return df.select(*[col_of(df, k) for k in keep],
+                     *[c.alias(a) for a, c in attribute_columns(df, component, env).items()])
 
 
 def _format(fmt: str, col: Column) -> Column:
@@ -236,7 +238,7 @@ def render_conf(df: DataFrame, component: str, env: Mapping[str, str | Column] |
                 keep: Sequence[str] = ("task_id",)) -> DataFrame:
     """One row per rendered key: ``keep`` columns, layer, ord, key,
     value. A generator over each row and a filter; no shuffle."""
-    return (df.select(*keep, F.inline(conf_entries(df, component, env)))
+    return (df.select(*[col_of(df, k) for k in keep], F.inline(conf_entries(df, component, env)))
             .where(F.col("value").isNotNull()))
 
 
