@@ -37,8 +37,15 @@ def _width(t: DataType) -> int:
     return 8
 
 
-def estimated_row_bytes(df: DataFrame) -> int:
-    return max(8, sum(_width(f.dataType) for f in df.schema.fields))
+def _element_width(t: DataType) -> int:
+    if isinstance(t, ArrayType):
+        return _width(t.elementType)
+    return _width(t.keyType) + _width(t.valueType)  # MapType
+
+
+def _fixed_width(df: DataFrame) -> int:
+    return max(8, sum(_width(f.dataType) for f in df.schema.fields
+                      if not isinstance(f.dataType, (ArrayType, MapType))))
 
 
 def max_broadcast_bytes(df: DataFrame) -> int:
@@ -51,7 +58,9 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
     """Return ``(df_for_join, broadcast?)``.
 
     The count stops at the bound, so checking a large side costs at most
-    ``max_rows + 1`` rows of work past its producing stages. With ``cache`` a
+    ``max_rows + 1`` rows of work past its producing stages; the elements of
+    top-level arrays and maps are counted too, so a few rows holding large
+    collections are not mistaken for a small side. With ``cache`` a
     side proven small stays cached (so the join does not recompute it, and the
     cache is bounded by ``max_bytes``); a large side is released at once and
     joined by a shuffle. With ``checkpoint`` the side is written once to the
@@ -59,14 +68,20 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
     for sides that several branches of one plan read.
     """
     max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
-    max_rows = max(0, max_bytes // estimated_row_bytes(df))
+    max_rows = max(0, max_bytes // _fixed_width(df))
     if checkpoint:
         checkpoint_root(df.sparkSession)  # the shared folder; set only where a bare session has none
         df = df.checkpoint(eager=True)
         cache = False
     checked = df.cache() if cache else df
-    n = checked.limit(max_rows + 1).count()
-    if n <= max_rows and max_rows > 0:
+    # rows, plus the elements of top-level arrays and maps, which can be large
+    collections = [f for f in df.schema.fields if isinstance(f.dataType, (ArrayType, MapType))]
+    aggs = [F.count(F.lit(1))] + [F.sum(F.greatest(F.size(F.col(f"`{f.name}`")), F.lit(0))) for f in collections]
+    counts = checked.limit(max_rows + 1).agg(*aggs).first()
+    n = counts[0]
+    size = n * _fixed_width(df) + sum((counts[i + 1] or 0) * _element_width(f.dataType)
+                                       for i, f in enumerate(collections))
+    if n <= max_rows and max_rows > 0 and size <= max_bytes:
         return F.broadcast(checked), True
     if cache:
         checked.unpersist()

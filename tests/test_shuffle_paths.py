@@ -61,3 +61,15 @@ def test_landing_multi_split_without_broadcast(spark, no_broadcast):
     assert len([p for p in os.listdir(f"{dst}/source=big.csv") if p.startswith("chunk=")]) > 3
     back = read_csv(spark, f"{dst}/source=big.csv", "k long, v string", recursive=True)
     assert back.count() == 12000 and back.select("k").distinct().count() == 12000
+
+
+def test_size_check_counts_collection_elements(spark):
+    from pyspark.sql import functions as F
+    from corvid.operators.sizing import bounded_broadcast
+    few_rows_big_maps = spark.range(10).select(
+        "id", F.map_from_arrays(F.sequence(F.lit(1), F.lit(5000)).cast("array<string>"),
+                                F.sequence(F.lit(1), F.lit(5000))).alias("m"))
+    _, small = bounded_broadcast(few_rows_big_maps, max_bytes=1 << 20, cache=False)
+    assert not small  # 10 rows, but 50,000 map entries
+    _, small = bounded_broadcast(few_rows_big_maps, max_bytes=64 << 20, cache=False)
+    assert small
