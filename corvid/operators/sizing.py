@@ -6,7 +6,7 @@ left to a shuffle (and to AQE, which may still convert it at run time).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DataType, DateType,
                                DecimalType, IntegerType, MapType, ShortType, StringType, StructType)
 
@@ -43,9 +43,12 @@ def _element_width(t: DataType) -> int:
     return _width(t.keyType) + _width(t.valueType)  # MapType
 
 
+_MEASURED = (ArrayType, MapType, StringType, BinaryType)
+
+
 def _fixed_width(df: DataFrame) -> int:
-    return max(8, sum(_width(f.dataType) for f in df.schema.fields
-                      if not isinstance(f.dataType, (ArrayType, MapType))))
+    """Bytes per row outside the top-level values whose size is measured."""
+    return max(8, sum(_width(f.dataType) for f in df.schema.fields if not isinstance(f.dataType, _MEASURED)))
 
 
 def max_broadcast_bytes(df: DataFrame) -> int:
@@ -59,8 +62,8 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
 
     The count stops at the bound, so checking a large side costs at most
     ``max_rows + 1`` rows of work past its producing stages; the elements of
-    top-level arrays and maps are counted too, so a few rows holding large
-    collections are not mistaken for a small side. With ``cache`` a
+    top-level arrays and maps and the length of top-level text are measured
+    too, so a few rows holding large values are not mistaken for a small side. With ``cache`` a
     side proven small stays cached (so the join does not recompute it, and the
     cache is bounded by ``max_bytes``); a large side is released at once and
     joined by a shuffle. With ``checkpoint`` the side is written once to the
@@ -74,13 +77,21 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
         df = df.checkpoint(eager=True)
         cache = False
     checked = df.cache() if cache else df
-    # rows, plus the elements of top-level arrays and maps, which can be large
-    collections = [f for f in df.schema.fields if isinstance(f.dataType, (ArrayType, MapType))]
-    aggs = [F.count(F.lit(1))] + [F.sum(F.greatest(F.size(F.col(f"`{f.name}`")), F.lit(0))) for f in collections]
-    counts = checked.limit(max_rows + 1).agg(*aggs).first()
+    # rows, plus the measured size of top-level text and the elements of
+    # top-level arrays and maps, which can be large
+    measured = [f for f in df.schema.fields if isinstance(f.dataType, _MEASURED)]
+
+    def amount(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            return F.sum(F.coalesce(F.length(c), F.lit(0)))
+        return F.sum(F.greatest(F.size(c), F.lit(0)))
+
+    counts = checked.limit(max_rows + 1).agg(F.count(F.lit(1)), *[amount(f) for f in measured]).first()
     n = counts[0]
-    size = n * _fixed_width(df) + sum((counts[i + 1] or 0) * _element_width(f.dataType)
-                                       for i, f in enumerate(collections))
+    size = n * _fixed_width(df) + sum(
+        (counts[i + 1] or 0) * (1 if isinstance(f.dataType, (StringType, BinaryType)) else _element_width(f.dataType))
+        for i, f in enumerate(measured))
     if n <= max_rows and max_rows > 0 and size <= max_bytes:
         return F.broadcast(checked), True
     if cache:

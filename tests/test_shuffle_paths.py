@@ -73,3 +73,11 @@ def test_size_check_counts_collection_elements(spark):
     assert not small  # 10 rows, but 50,000 map entries
     _, small = bounded_broadcast(few_rows_big_maps, max_bytes=64 << 20, cache=False)
     assert small
+
+
+def test_size_check_measures_text(spark):
+    from pyspark.sql import functions as F
+    from corvid.operators.sizing import bounded_broadcast
+    long_text = spark.range(20).select("id", F.repeat(F.lit("x"), 100000).alias("t"))
+    _, small = bounded_broadcast(long_text, max_bytes=1 << 20, cache=False)
+    assert not small  # 20 rows, 2 MB of text
