@@ -94,22 +94,25 @@ def rank_placements(drivers: DataFrame, executors: DataFrame, nodes: DataFrame,
         F.max("on_driver").over(group).alias("zone_driver"),
         F.max("on_sibling").over(group).alias("zone_sibling"),
         F.min("node").over(group).alias("first_host"),
-    ).join(first_node, "zone")
-    zone_points = (F.when(F.col("zone_driver"), 50).otherwise(0) +
-                   F.when(F.col("zone_sibling"), 25).otherwise(0))
+    ).join(first_node, "zone", "left")
+    # a node without a zone label matches no zone rule
+    zone_points = F.when(F.col("zone").isNull(), F.lit(0)).otherwise(
+        F.when(F.col("zone_driver"), 50).otherwise(0) + F.when(F.col("zone_sibling"), 25).otherwise(0))
     own_points = (F.when(F.col("on_driver"), 100).otherwise(0) +
                   F.when(F.col("on_sibling"), 75).otherwise(0))
     limit = (1 << NODE_BITS) - 1
 
     def packed(score: Column, n: Column) -> Column:
         ok = (n >= 0) & (n <= limit)
-        return F.when(ok, F.shiftleft(score.cast("bigint"), NODE_BITS) + (F.lit(limit) - n)).otherwise(
-            F.raise_error(F.lit(f"node ids must lie in [0, 2**{NODE_BITS})")).cast("bigint"))
+        return (F.when(n.isNull(), F.lit(None).cast("bigint"))
+                .when(ok, F.shiftleft(score.cast("bigint"), NODE_BITS) + (F.lit(limit) - n))
+                .otherwise(F.raise_error(F.lit(f"node ids must lie in [0, 2**{NODE_BITS})")).cast("bigint")))
 
     candidates = F.array(
         packed(own_points + zone_points, F.col("node")),
         # once per (task, zone): the zone's lowest node, with zone points only
-        F.when(F.col("node") == F.col("first_host"), packed(zone_points, F.col("zone_first"))))
+        F.when((F.col("node") == F.col("first_host")) & F.col("zone").isNotNull(),
+               packed(zone_points, F.col("zone_first"))))
     best = (hosts.select("task", F.explode(candidates).alias("c")).where(F.col("c").isNotNull())
             .groupBy("task").agg(F.max("c").alias("c")))
     return best.select(F.col("task").alias(task),

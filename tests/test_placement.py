@@ -92,3 +92,15 @@ def test_dotted_names(spark):
     got = rank_placements(d, d.limit(0), n, task="t.id", node="n.id", zone="z.id").collect()
     assert [(r["t.id"], r["n.id"], r.score) for r in got] == [(1, 2, 150)]
     assert placement_rules(d, task="t.id").count() == 4
+
+
+def test_node_without_zone_keeps_host_points(spark):
+    nodes = spark.createDataFrame([(1, None), (2, 7), (3, 7)], "node long, zone int")
+    drivers = spark.createDataFrame([(1, 1)], "task_id long, node long")
+    sibs = spark.createDataFrame([(1, 3)], "task_id long, node long")
+    got = rank_placements(drivers, sibs, nodes).first()
+    # node 1 (driver, no zone): 100; node 3 (sibling, zone 7 with a sibling): 75 + 25
+    assert (got.node, got.score) == (1, 100)
+    only_zone = rank_placements(spark.createDataFrame([(1, 2)], "task_id long, node long"),
+                                sibs.limit(0), nodes).first()
+    assert (only_zone.node, only_zone.score) == (2, 150)
