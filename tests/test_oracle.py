@@ -58,3 +58,15 @@ def test_bound_parameters_reach_the_scan(spark, sf_dir):
     df = QUERIES["a15_sql_step"](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(o_totalprice,100000.0)" in plan
+
+
+def test_entry_schema_is_stable(spark):
+    assert entry(spark).dtypes == [("Year", "int"), ("avg_score", "double")]
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_schemas_are_typed_and_unique(spark, sf_dir, key):
+    df = QUERIES[key](spark, sf_dir)
+    names = [n for n, _ in df.dtypes]
+    assert len(names) == len(set(names)), key
+    assert all(t not in ("void", "null") for _, t in df.dtypes), df.dtypes
