@@ -19,7 +19,7 @@ from corvid.operators.documents import pod_labels, render_pod_json, tokens_per_a
 from corvid.operators.inspect import preview, profile
 from corvid.operators.placement import placement_rules, rank_placements
 from corvid.operators.resources import request_memory, requests_rollup
-from corvid.operators.validate import split_valid, where_quantity, with_parsed
+from corvid.operators.validate import quantity_range, split_valid, where_quantity, with_parsed
 from corvid.plans import fixtures as fx
 from corvid.plans import oracle_docs as odoc
 from corvid.plans import oracle_settings as osql
@@ -377,6 +377,19 @@ def b12_where_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("l_orderkey", "l_linenumber", "mem_k8s")
 
 
+def _b12_range_sql() -> str:
+    v, _ = parse_sql("memory_k8s", "mem_k8s")
+    return (with_(FX_QUANTITY) +
+            f"select l_suppkey, min({v}) as min_mem_k8s, max({v}) as max_mem_k8s, count({v}) as n_valid_mem_k8s "
+            "from fx_quantity group by l_suppkey")
+
+
+@register("b12_quantity_range", _b12_range_sql())
+def b12_quantity_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smallest and largest quantity per supplier across notations."""
+    return quantity_range(fx.fx_quantity(spark, sf_dir), ["l_suppkey"], "mem_k8s", "memory_k8s")
+
+
 def _b13_sql() -> str:
     _, r = parse_sql("cpu_k8s", "cpu_k8s")
     return (with_(FX_QUANTITY) +
