@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from llm.common import table
+from llm.textnp import text_bytes
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, STRIDE, DIM, FILTERS = 8, 2, 6, 24
@@ -41,15 +42,6 @@ def chunk_starts(size: int) -> np.ndarray:
     return np.append(starts, size - CHUNK)
 
 
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of a string column's rows one after another, and the offset of each row (nulls empty)."""
-    column = column.cast(pa.large_string()).fill_null("")
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
-    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return raw[offsets[0]:offsets[-1]] if len(raw) else raw, offsets - offsets[0]
-
-
 def chunks_of(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """(n, CHUNK) bytes; 0 pads what is past ``ends``."""
     at = starts[:, None] + np.arange(CHUNK)
@@ -140,11 +132,11 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: in
     return fit(x, got["quality"].to_numpy().astype(np.float32), got["share"].to_numpy(), seed=seed)
 
 
-def scorer(w: Weights, at_once: int = 256):
-    """Arrow batches with a ``text`` column to the same batches with ``score``."""
+def scorer(w: Weights, text: str = "text", keep_text: bool = False, name: str = "score", at_once: int = 256):
+    """Arrow batches with a text column to the same batches with the score (without the text unless kept)."""
     def score(batches):
         for b in batches:
-            raw, offsets = text_bytes(b.column("text"))
+            raw, offsets = text_bytes(b.column(text))
             starts = [chunk_starts(int(n)) for n in np.diff(offsets)]
             doc = np.repeat(np.arange(len(starts)), [len(s) for s in starts])
             begin = np.concatenate([np.zeros(0, np.int64), *(lo + s for lo, s in zip(offsets[:-1], starts))])
@@ -153,11 +145,18 @@ def scorer(w: Weights, at_once: int = 256):
                                                for i in range(0, len(doc), at_once))])
             mean = np.bincount(doc, z, len(starts)) / np.maximum(1, np.bincount(doc, minlength=len(starts)))
             p = 1 / (1 + np.exp(-np.clip(mean, -30, 30)))
-            keep = [n for n in b.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(p)], names=[*keep, "score"])
+            keep = [n for n in b.schema.names if keep_text or n != text]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(p)], names=[*keep, name])
     return score
 
 
+def accepted(docs: DataFrame, weights: Weights, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The documents whose score reaches the threshold, with their columns as they are."""
+    name = "__score"
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(scorer(weights, text, True, name), schema).where(F.col(name) >= threshold).drop(name)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = learn(docs, table(spark, sf_dir, "labels"))
