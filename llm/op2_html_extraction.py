@@ -18,7 +18,7 @@ import re
 from collections import deque
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from llm.common import table
 
@@ -284,10 +284,8 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` with text and n_chars in place of the html (and of columns of these names)."""
     kept = [c for c in pages.columns if c not in (html, "text", "n_chars", "html")]
     rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{html}`").cast("string").alias("html"))
-    schema = rows.schema
-    schema.fields.pop()
-    schema.names.pop()
-    return rows.mapInArrow(_extract, schema.add("text", "string").add("n_chars", "long"))
+    schema = T.StructType([f for f in rows.schema.fields if f.name != "html"]).add("text", "string").add("n_chars", "long")
+    return rows.mapInArrow(_extract, schema)
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

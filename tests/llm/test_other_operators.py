@@ -1,0 +1,301 @@
+"""Pages, urls, vectors, personal data, mixtures, components and the pipeline."""
+
+from __future__ import annotations
+
+import itertools
+import random
+import re
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm.common import connected
+from llm.op2_html_extraction import extract, main_text, minimum_cut, read_blocks, smoothness
+from llm.op3_pii import replace_entities
+from llm.op5_mixing import ORACLE as MIX_SQL, mix
+from llm.op8_url_filter import filter_urls
+from llm.op9_embedding_dedup import near_vectors
+
+PAGE = "page_id long, url string, html string"
+
+
+# ---------------------------------------------------------------- components
+
+def test_connected_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(35)] + [(100, i) for i in range(101, 140)]
+    edges += [(i, i + 1) for i in range(200, 230)] + [(7, 7), (None, 3), (3, None)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()}
+    assert got == {n: find(n) for n in root}
+    assert connected(spark.createDataFrame([("b", "a"), ("c", "b")], "x string, y string"), "x", "y").where("root = 'a'").count() == 3
+
+
+# ---------------------------------------------------------------- html
+
+def test_minimum_cut_is_the_cheapest_labelling():
+    rng = random.Random(2)
+    for _ in range(60):
+        n = rng.randrange(1, 9)
+        odds = [rng.choice([-9, -2, -0.5, 0.5, 1, 3]) for _ in range(n)]
+        edges = [(a, b, rng.choice([0.3, 1, 2])) for a, b in itertools.combinations(range(n), 2) if rng.random() < 0.4]
+
+        def cost(label):
+            return (sum(max(0, o) if not x else max(0, -o) for o, x in zip(odds, label))
+                    + sum(w for a, b, w in edges if label[a] != label[b]))
+        best = min(cost(x) for x in itertools.product([False, True], repeat=n))
+        assert cost(minimum_cut(odds, edges)) == pytest.approx(best)
+
+
+def test_main_text_leaves_boilerplate_out():
+    page = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><meta name=x></head><body class="post">
+    <header><h1>Site name</h1><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav></header>
+    <div class="cookie-banner"><p>We use cookies to make this site work better for you.</p></div>
+    <div role="search"><form><label>Find</label><input type=hidden><button>Go</button></form></div>
+    <main><article><h1>Real  title</h1><p>First&nbsp;line of &lt;text&gt;.<p>Second <b>bold</b> and <a href=x>link</a>.<br>After.
+    <div class="ad-slot">Buy now! The best offers for everyone, today only.</div>
+    <ul><li>one point<li>two points</ul><script>var a = "<p>no</p>";</script><!-- <p>no</p> -->
+    <aside>Related reading for you.</aside><table><tr><td>cell a<td>cell b</table></article>
+    <section id="comments"><h2>Comments</h2><p>I liked this a lot, thank you so much for it.</p></section></main>
+    <footer>&copy; 2020 Somebody. All rights.</footer></body></html>"""
+    assert main_text(page).split("\n") == ["Real title", "First line of <text>.", "Second bold and link. After.", "one point",
+                                           "two points", "cell a", "cell b"]
+
+
+@pytest.mark.parametrize("page", [None, "", "<", "</p></div>", "<p", "<!--", "<script>x", "&#xD800; &bogus; &#0;", "<" * 500, "<div>" * 2000 + "x"])
+def test_broken_pages_do_not_fail(page):
+    assert isinstance(main_text(page), str)
+
+
+def test_plain_and_long_pages():
+    assert main_text("just some words") == "just some words"
+    long = "<body>" + "".join(f"<p>Paragraph number {i} with a few words.</p>" for i in range(3000)) + "</body>"
+    assert main_text(long).count("\n") == 2999
+    blocks = read_blocks("<div><p>a</p><p>b</p></div><p>c</p>")
+    assert [b[0] for b in blocks] == ["a", "b", "c"] and len(smoothness([b[1] for b in blocks])) == 2
+
+
+def test_extract_table(spark):
+    rows = [(1, "u", "<article><p>A b.</p></article>"), (1, "u", "<article><p>A b.</p></article>"), (None, None, None), (3, "v", "")]
+    got = extract(spark.createDataFrame(rows, PAGE).withColumn("text", F.lit("own")))
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(((r[0] or 0), r[2], r[3]) for r in got.collect()) == [(0, "", 0), (1, "A b.", 4), (1, "A b.", 4), (3, "", 0)]
+    assert extract(spark.createDataFrame([], PAGE)).count() == 0
+
+
+# ---------------------------------------------------------------- urls
+
+def test_url_rules_and_aliases(spark):
+    link = '<link href="{}" rel="canonical">'
+    rows = [
+        (1, "http://example.org/es/a", ""), (2, "http://WWW.Example.org/en/15?x=http://a.com/de/", None),
+        (3, "https://a.b.com/de/1", ""), (4, "https://com/fr/x#frag", None), (5, "no url", "<p>"), (6, None, None),
+        (7, "http://x.net", ""), (8, "http://x.net/moved", link.format("https://a.b.com/de/1")),
+        (9, "http://x.net/again", '<meta http-equiv="refresh" content="0; URL=/moved">'),
+        (10, "http://y.org/fine", link.format("//x.net/moved")),          # allowed by its own rule
+        (11, "http://x.net/far", link.format("http://y.org/fine")),         # alias of an alias
+        (12, "http://x.net/dir/p", "<!-- " + link.format("/moved") + " -->"),
+        (13, "http://x.net/dir/q", link.format("http://gone.com/de/zz")),   # blocked url that is no row
+        (14, "http://x.net/dir/r", link.format("q")), (14, "http://x.net/dir/r", link.format("q")),
+        (15, "ftp://notorg/es/", ""), (16, "http://example.org?/es/", ""), (17, "http://x.net/self", link.format("#top")),
+    ]
+    df = spark.createDataFrame(rows, PAGE).withColumn("rule", F.lit("own")).withColumn("node", F.lit(1))
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in filter_urls(df).collect()}
+    assert got == {
+        1: ("example.org", "/es/a", "example.org/es/", "block"), 2: ("www.example.org", "/en/15", "example.org/en/1", "block"),
+        3: ("a.b.com", "/de/1", "com/de/", "block"), 4: ("com", "/fr/x", "com/fr/", "allow"), 5: ("", "", None, "allow"),
+        6: ("", "", None, "allow"), 7: ("x.net", "", None, "allow"), 8: ("x.net", "/moved", None, "block"),
+        9: ("x.net", "/again", None, "block"), 10: ("y.org", "/fine", "org/", "allow"), 11: ("x.net", "/far", None, "block"),
+        12: ("x.net", "/dir/p", None, "allow"), 13: ("x.net", "/dir/q", None, "block"), 14: ("x.net", "/dir/r", None, "block"),
+        15: ("notorg", "/es/", None, "allow"), 16: ("example.org", "", None, "allow"), 17: ("x.net", "/self", None, "allow"),
+    }
+    assert filter_urls(df).count() == len(rows)
+    assert filter_urls(spark.createDataFrame([], PAGE)).count() == 0
+
+
+# ---------------------------------------------------------------- vectors
+
+def test_near_vectors_against_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((30, 16))
+    vec = np.concatenate([centres[rng.integers(0, 30, 250)] + rng.normal(0, 0.17, (250, 16)), rng.standard_normal((50, 16))])
+    vec[5] = vec[4]
+    vec[6] = vec[4] * 3
+    vec[7] = -vec[4]
+    label = rng.integers(0, 2, 300)
+    rows = [(i, v.tolist(), int(x)) for i, (v, x) in enumerate(zip(vec, label))]
+    odd = [(900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] + [1.0] * 15, 1), (903, [1.0, None], 1), (904, [float("inf")] * 16, 1),
+           (905, vec[4].tolist(), None), (906, [], 1), (907, [1.0, 2.0], 1), (908, [2.0, 4.0], 1), (909, [1e-300, 2e-300], 1)]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, label int")
+    unit = vec / np.linalg.norm(vec, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.93) & (label[:, None] == label)
+    np.fill_diagonal(near, False)
+    root = np.arange(300)
+    for _ in range(300):
+        low = np.where(near, root[None, :], 300).min(axis=1)
+        root = np.minimum(root, low)
+    want = {i: (int(near[i].sum()), int(root[i]), bool(root[i] == i)) for i in range(300)}
+    want |= {i: (0, i, True) for i, _, _ in odd} | {907: (2, 907, True), 908: (2, 907, False), 909: (2, 907, False)}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in near_vectors(df, recall=0.9999).collect()}
+    assert got == want
+    assert near_vectors(df.limit(0)).count() == 0
+
+
+def test_near_vectors_in_blocks(spark, monkeypatch):
+    import llm.op9_embedding_dedup as op9
+    monkeypatch.setattr(op9, "BLOCK", 7)
+    rng = np.random.default_rng(5)
+    vec = rng.standard_normal(8) + rng.normal(0, 0.02, (60, 8))  # one group, all pairs linked
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vec)], "vec_id long, embedding array<double>, label int")
+    got = near_vectors(df, recall=0.9999).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(59, 0)}
+
+
+# ---------------------------------------------------------------- personal data
+
+ENTITIES = ["ann.lee@mail.example.com", "+1 (017) 555-7713", "4785380592391139", "152.143.123.131", "078-05-1120", "DE44 5001 0517 5407 3249 31",
+            "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"]
+
+
+def one(spark, *texts, **kw):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return [r["text"] for r in replace_entities(df, **kw).orderBy("doc_id").collect()]
+
+
+def shape(s: str) -> str:
+    return re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d", "9", s))
+
+
+def test_surrogates_keep_type_format_and_context(spark):
+    texts = [f"before {e}, after" for e in ENTITIES]
+    for e, a, b in zip(ENTITIES, texts, one(spark, *texts)):
+        assert e not in b and b.startswith("before ") and b.endswith(", after")
+        got = b[7:-7]
+        if e.count(".") == 3 and e[0] == "1":
+            assert all(1 <= int(x) <= 254 for x in got.split("."))
+        elif re.fullmatch("[0-9a-f]{40}", e):
+            assert re.fullmatch("[0-9a-f]{40}", got)
+        else:
+            assert shape(got) == shape(e)
+    out = one(spark, *texts)
+    assert out[0].split()[1].endswith(".com,") and out[1].startswith("before +1 (") and out[5].startswith("before DE") and out[2][7] == "4"
+
+
+def test_surrogates_are_consistent_and_keyed(spark):
+    a, b, c = one(spark, "call +1 (017) 555-7713 or +1 017.555.7713", "ANN.LEE@mail.example.com ann.lee@mail.example.com",
+                  "Mrs. Ann Lee met Mr. Lee and Mr. Tom Brown; Frau Lee wrote. Госпожа, Г-н Иванов")
+    assert re.sub(r"\D", "", a[5:22]) == re.sub(r"\D", "", a[26:])
+    x, y = b.split()
+    assert x.lower() == y and x != y
+    m = re.fullmatch(r"Mrs\. (\w+a) (\w+) met Mr\. (\w+) and Mr\. (\w+o) (\w+o); Frau (\w+) wrote\. Госпожа, Г-н ([а-яА-Я]+)н", c)
+    assert m and "Lee" not in c and "Иванов" not in c
+    stem = m[2][:-1]
+    assert m[3][:-1] == stem and m[6][:-1] == stem  # the family name, whoever bears it
+    assert one(spark, "mail ann@x.example.org")[0] != one(spark, "mail ann@x.example.org", key="other")[0]
+
+
+def test_surrogates_stay_distinct(spark):
+    # two digits: the first round cannot keep a hundred of them apart from each other and from the originals
+    texts = [f"at a{i:02d}@b.cc now" for i in range(100)]
+    out = one(spark, *texts)
+    assert len(set(out)) == 100 and not set(out) & set(texts)
+    assert one(spark, *texts[::-1]) == out[::-1]
+
+
+def test_clean_and_odd_texts_stay(spark):
+    texts = ["", None, "Version 2.0 of 3.14 at 10:30 on 2020-01-02, 12 345 things", "a@ b @c 1.2.3 1.2.3.4.5 999.1.1.1", "x" * 50_000,
+             "GNU General Public License, version 3.", "1234567 123-456", "$$$ 10%%% ### !!"]
+    assert one(spark, *texts) == texts
+    df = spark.createDataFrame([(1, "a@b.example.com", 9, 8), (1, "a@b.example.com", 9, 8)], "doc_id long, text string, n_entities int, __name int")
+    got = replace_entities(df.drop("__name"))
+    assert got.columns == ["doc_id", "text", "n_entities"] and {r["n_entities"] for r in got.collect()} == {1} and got.count() == 2
+    assert replace_entities(df.drop("__name").limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- mixtures
+
+MIX = "doc_id long, text string, lang string, source string"
+
+
+def mix_rows():
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["x | y | z ", "word ", "A!! ", "$% "]) * rng.randrange(1, 60), rng.choice(["en", "de", "fr"]),
+             "big" if i % 3 == 0 else f"s{rng.randrange(6)}") for i in range(300)]
+    return rows + [(None, "null id", "en", "big"), (301, None, None, None), (302, "", "en", "s1"), (5, "word " * 9, "en", "s1")]
+
+
+def test_mix_equals_sql(spark):
+    df = spark.createDataFrame(mix_rows(), MIX)
+    got = mix(df.withColumn("tokens", F.lit(0)).repartition(4))
+    assert got.columns[:5] == ["doc_id", "text", "lang", "source", "tokens"]
+    c = duckdb.connect()
+    pdf = df.toPandas()
+    pdf["doc_id"] = pdf["doc_id"].astype("Int64")
+    c.register("documents", pdf)
+    want = c.execute(f"select doc_id, source, lang, topic, tokens, chance, kept from ({MIX_SQL})").fetchall()
+    have = [(r["doc_id"], r["__source"], r["__lang"], r["__topic"], r["__tokens"], round(r["__chance"], 9), r["__kept"]) for r in got.collect()]
+    key = lambda r: tuple(str(x) for x in r)
+    for a, b in zip(sorted(have, key=key), sorted(want, key=key), strict=True):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], abs=1e-8) and a[6] == b[6]
+
+
+def test_mix_meets_given_margins(spark):
+    df = spark.createDataFrame(mix_rows()[:300], MIX)
+    goals = [("source", "big", 0.1), ("source", "s1", 0.5), ("source", "s2", 0.4), ("lang", "en", 0.5), ("lang", "de", 0.5),
+             ("topic", "prose", 0.7), ("topic", "table", 0.3), ("topic", "nowhere", 0.5)]
+    got = mix(df, spark.createDataFrame(goals, "margin string, value string, share double"), share=0.01).cache()
+    mass = {}
+    for m in ("source", "lang", "topic"):
+        rows = got.groupBy(f"__{m}").agg(F.sum(F.col("__tokens") * F.col("__chance")).alias("x")).collect()
+        total = sum(r["x"] for r in rows)
+        mass[m] = {r[0]: r["x"] / total for r in rows}
+    assert mass["source"]["big"] == pytest.approx(0.1, abs=0.01) and mass["lang"]["en"] == pytest.approx(0.5, abs=0.01)
+    assert mass["topic"]["prose"] == pytest.approx(0.7, abs=0.01) and mass["lang"]["fr"] == 0
+    assert got.where("source = 's3' and __kept").count() == 0
+    assert mix(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- pipeline
+
+def test_pipeline_stage_by_stage(spark, sf_dir):
+    import corpus_pipeline as p
+    from llm.common import saved, table
+    docs = table(spark, sf_dir, "documents")
+    names = docs.columns
+    before = None
+    assert [n for n, _ in p.STAGES] == ["quality", "near_duplicates", "decontamination", "personal_data", "mixture"]
+    for name, stage in p.STAGES:
+        docs = saved(stage(spark, docs, sf_dir), "test-stage")
+        assert docs.columns[:len(names)] == names and (name == "mixture" or docs.columns == names)
+        ids = {r[0] for r in docs.select("doc_id").collect()}
+        assert before is None or ids <= before
+        if name == "personal_data":
+            assert ids == before
+            assert docs.where("n_chars != length(text)").count() == 0
+        before = ids
+    assert 0 < docs.count()
+
+
+def test_pipeline_takes_odd_rows(spark, sf_dir):
+    import corpus_pipeline as p
+    from llm.common import saved
+    rows = [(None, None, None, None, None, "e"), (1, "", "en", "s", 0, "e"), (1, "", "en", "s", 0, "e"), (None, "a text.", "en", None, 7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, hits string")
+    for _, stage in p.STAGES[1:]:
+        docs = saved(stage(spark, docs, sf_dir), "test-odd")
+        assert "hits" in docs.columns
+    for _, stage in p.STAGES[1:]:
+        assert stage(spark, docs.limit(0).drop("chance"), sf_dir).count() == 0
