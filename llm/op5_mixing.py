@@ -119,8 +119,8 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, share: float = SHARE,
     budget = share * (cells.agg(F.sum("tokens")).first()[0] or 0)
     raked = rake(cells, natural_targets(cells, temperature) if targets is None else targets)
     chance = calibrate(raked, budget).select(*[F.col(m).alias(f"__{m}") for m in MARGINS], F.col("chance").alias("__chance"))
-    return (placed.join(chance, [f"__{m}" for m in MARGINS])
-            .withColumn("__kept", F.col("__u") < F.col("__chance")).drop("__u"))
+    out = placed.join(chance, [f"__{m}" for m in MARGINS]).withColumn("__kept", F.col("__u") < F.col("__chance"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *[f"__{m}" for m in MARGINS], "__tokens", "__chance", "__kept")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
