@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The longest slug kept, and the characters stripped from its ends.
-SLUG_MAX_LENGTH = 80
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -39,16 +36,21 @@ def parent_folder(path: Column | str) -> Column:
     return F.regexp_replace(p, r"/[^/]*$", "")
 
 
-def slug(*parts: Column | str) -> Column:
+def slug(*parts: Column | str, max_length: int | None = None) -> Column:
     """Join non-empty parts with ``-``, lower-case, drop quotes and commas
-    between digits, every run of other characters becomes one ``-``, ends trimmed, at most 80 characters, then
-    trailing ``.``/``-`` trimmed (``adhoc_airflow`` + ``my_test_pyspark_task``
-    -> ``adhoc-airflow-my-test-pyspark-task``)."""
+    between digits, every run of other characters becomes one ``-``, ends
+    trimmed (``adhoc_airflow`` + ``my_test_pyspark_task`` ->
+    ``adhoc-airflow-my-test-pyspark-task``). ``max_length`` cuts the result,
+    for uses that limit names; different names may then become equal."""
     cols = [F.nullif(_col(p), F.lit("")) for p in parts]
     joined = F.lower(F.concat_ws("-", *cols))
     # quotes vanish and thousands separators between digits are dropped
     joined = F.regexp_replace(F.regexp_replace(joined, "'", ""), r"(?<=[0-9]),(?=[0-9])", "")
     dashed = F.regexp_replace(joined, r"[^a-z0-9]+", "-")
     trimmed = F.regexp_replace(dashed, r"^-+|-+$", "")
-    cut = F.substring(trimmed, 1, SLUG_MAX_LENGTH)
-    return F.regexp_replace(cut, r"^[.-]+|[.-]+$", "")
+    return trimmed if max_length is None else F.regexp_replace(F.substring(trimmed, 1, max_length), r"-+$", "")
+
+
+def named_path(path: Column | str) -> Column:
+    """A path as files are named: ``_metadata.file_path`` is percent-encoded."""
+    return F.url_decode(F.replace(_col(path), F.lit("+"), F.lit("%2B")))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, IntegralType, NumericType, StringType,
+                               TimestampNTZType, TimestampType)
 
 _TEXT_ORDERED = (StringType, DateType, TimestampType, TimestampNTZType, BooleanType)
 
@@ -15,9 +15,10 @@ def profile(df: DataFrame) -> DataFrame:
     """One row per column - position, type, rows, nulls, min and max - in
     one pass over the table (a single global aggregate, partial per task).
 
-    Numeric min/max are reported as doubles (``min_num``/``max_num``); text,
-    date, timestamp and boolean min/max as text (``min_text``/``max_text``);
-    other types get nulls.
+    Numeric min/max are reported as doubles (``min_num``/``max_num``), and
+    those of whole numbers and decimals, which a double may not hold, exactly
+    as text too; text, date, timestamp and boolean min/max as text
+    (``min_text``/``max_text``); other types get nulls.
     """
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
     for i, f in enumerate(df.schema.fields):
@@ -31,7 +32,7 @@ def profile(df: DataFrame) -> DataFrame:
         lo = F.col(f"__lo{i}") if f"__lo{i}" in one.columns else F.lit(None)
         hi = F.col(f"__hi{i}") if f"__hi{i}" in one.columns else F.lit(None)
         numeric = isinstance(f.dataType, NumericType)
-        texty = isinstance(f.dataType, _TEXT_ORDERED)
+        texty = isinstance(f.dataType, (*_TEXT_ORDERED, IntegralType, DecimalType))
         entries.append(F.struct(
             F.lit(f.name).alias("column_name"),
             F.lit(i).alias("ordinal"),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from corvid.operators.aggregate import col_of
-from corvid.operators.sizing import bounded_broadcast
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's): labels, topology keys and the
@@ -28,7 +27,7 @@ def affinity_id(component: str, task: Column | str) -> Column:
     one per render; deriving it makes reruns agree)."""
     t = F.col(task) if isinstance(task, str) else task
     h = F.sha2(F.concat(F.lit(f"{component}:"), t.cast("string")), 256)
-    return F.regexp_replace(h, r"^(.{8})(.{4})(.{4})(.{4})(.{12}).*$", "$1-$2-$3-$4-$5")
+    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
 def rule_structs(task: Column | str) -> list[tuple[int, str, Column, str]]:
@@ -51,70 +50,67 @@ def placement_rules(tasks: DataFrame, task: str = "task_id", own: str | None = N
     return tasks.select(col_of(tasks, task), F.inline(rules))
 
 
-NODE_BITS = 55  # node ids must lie in [0, 2**55) to be packed with a score
+def task_pods(drivers: DataFrame, executors: DataFrame, task: str = "task_id", node: str = "node") -> DataFrame:
+    """Where the tasks' pods run, by the label that rules look for: (label_key, label_value, node)."""
+    parts = [df.select(F.lit(label).alias("label_key"), affinity_id(who, col_of(df, task)).alias("label_value"),
+                       col_of(df, node).alias("node"))
+             for df, who, label in ((drivers, "driver", DRIVER_LABEL), (executors, "executor", EXECUTOR_LABEL))]
+    return parts[0].unionByName(parts[1])
 
 
-def rank_placements(drivers: DataFrame, executors: DataFrame, nodes: DataFrame,
-                    task: str = "task_id", node: str = "node", zone: str = "zone") -> DataFrame:
+def rank_placements(drivers: DataFrame, executors: DataFrame, nodes: DataFrame, task: str = "task_id",
+                    node: str = "node", zone: str = "zone", rules: DataFrame | None = None) -> DataFrame:
     """For a new executor of each task, the best node and its score.
 
-    A node scores the sum of the weights of the rules that hold on it: 100 if
-    it hosts the task's driver, 75 if it hosts one of the task's executors, 50
-    if it is in the driver's zone, 25 if it is in a zone holding one of the
-    task's executors. Each rule counts once per node; the highest score wins,
-    ties go to the lowest node id; rules only ever look at the task's own pods.
-
-    No task x node product: a node hosting none of the task's pods only earns
-    zone points, so the best of those in a zone is the zone's lowest node.
-    Candidates are the hosting nodes plus one node per zone with points.
-
-    Plan: pods join the node dimension (broadcast when proven small), then
-    (task, zone, node) is aggregated - partially in each map task, so a task
-    with a huge number of executors shrinks to distinct hosts before the
-    shuffle; one window over (task, zone) gives the zone points; every host
-    row emits its candidates; the best per task is a hash aggregate on
-    ``score << 55 | (2**55 - 1 - node)``. Three shuffles, each on reduced data.
-    Building the plan runs the two small size checks on the node table.
+    ``rules`` is B21's table (task, weight, label_key, label_value,
+    topology_key), by default the four rules of every task. A rule holds on a
+    node if a pod with its label runs in the same topology domain (the node
+    itself, or its zone); each rule counts once per node, weights add up, the
+    highest score wins, ties go to the lowest node. Nodes and zones may be
+    numbers or names. A node without a zone label matches no zone rule.
+
+    One row per task that has a pod or a rule: (task, node, score,
+    unlisted_pods); the last counts the task's own pods on nodes that
+    ``nodes`` does not list, which match no rule; a task none of whose rules
+    holds anywhere has a null node and score 0.
+
+    No task x node product: a node without host points only earns zone
+    points, so the best of those in a zone is the zone's lowest node.
+    Candidates are the hosts with points plus one node per zone with points.
+    Pods shrink to distinct (label, node) rows before the join, so a task with
+    a huge number of executors costs one row per host; the best candidate is
+    row_number = 1, which Spark cuts per partition before it shuffles.
     """
-    node_dim, _ = bounded_broadcast(nodes.select(col_of(nodes, node).alias("node"),
-                                                 col_of(nodes, zone).alias("zone")), cache=False)
-    first_node, _ = bounded_broadcast(nodes.groupBy(col_of(nodes, zone).alias("zone"))
-                                      .agg(F.min(col_of(nodes, node)).alias("zone_first")), cache=False)
-    locs = (drivers.select(col_of(drivers, task).alias("task"), col_of(drivers, node).alias("node"),
-                           F.lit(True).alias("is_driver"))
-            .unionByName(executors.select(col_of(executors, task).alias("task"),
-                                          col_of(executors, node).alias("node"),
-                                          F.lit(False).alias("is_driver")))
-            .join(node_dim, "node"))
-    hosts = (locs.groupBy("task", "zone", "node")
-             .agg(F.max("is_driver").alias("on_driver"), F.max(~F.col("is_driver")).alias("on_sibling")))
-    group = Window.partitionBy("task", "zone")
-    hosts = hosts.select(
-        "*",
-        F.max("on_driver").over(group).alias("zone_driver"),
-        F.max("on_sibling").over(group).alias("zone_sibling"),
-        F.min("node").over(group).alias("first_host"),
-    ).join(first_node, "zone", "left")
-    # a node without a zone label matches no zone rule
-    zone_points = F.when(F.col("zone").isNull(), F.lit(0)).otherwise(
-        F.when(F.col("zone_driver"), 50).otherwise(0) + F.when(F.col("zone_sibling"), 25).otherwise(0))
-    own_points = (F.when(F.col("on_driver"), 100).otherwise(0) +
-                  F.when(F.col("on_sibling"), 75).otherwise(0))
-    limit = (1 << NODE_BITS) - 1
-
-    def packed(score: Column, n: Column) -> Column:
-        ok = (n >= 0) & (n <= limit)
-        return (F.when(n.isNull(), F.lit(None).cast("bigint"))
-                .when(ok, F.shiftleft(score.cast("bigint"), NODE_BITS) + (F.lit(limit) - n))
-                .otherwise(F.raise_error(F.lit(f"node ids must lie in [0, 2**{NODE_BITS})")).cast("bigint")))
-
-    candidates = F.array(
-        packed(own_points + zone_points, F.col("node")),
-        # once per (task, zone): the zone's lowest node, with zone points only
-        F.when((F.col("node") == F.col("first_host")) & F.col("zone").isNotNull(),
-               packed(zone_points, F.col("zone_first"))))
-    best = (hosts.select("task", F.explode(candidates).alias("c")).where(F.col("c").isNotNull())
-            .groupBy("task").agg(F.max("c").alias("c")))
-    return best.select(F.col("task").alias(task),
-                       (F.lit(limit) - F.col("c").bitwiseAND(F.lit(limit))).alias(node),
-                       F.shiftright("c", NODE_BITS).cast("int").alias("score"))
+    t = col_of(drivers, task)
+    own = (drivers.select(t.alias("task"), col_of(drivers, node).alias("node"))
+           .unionByName(executors.select(col_of(executors, task).alias("task"), col_of(executors, node).alias("node"))))
+    if rules is None:
+        rules = placement_rules(own.select("task").distinct(), "task")
+    else:
+        rules = rules.withColumnRenamed(task, "task")
+    dim = nodes.select(col_of(nodes, node).alias("node"), col_of(nodes, zone).alias("zone"))
+    wanted = (rules.groupBy("task", "label_key", "label_value", "topology_key")
+              .agg(F.sum("weight").alias("weight")))
+    pods = task_pods(drivers, executors, task, node).distinct().join(dim, "node")
+    by_host = F.col("topology_key") == HOST
+    held = (wanted.where(F.col("topology_key").isin(HOST, ZONE)).join(pods, ["label_key", "label_value"])
+            .where(by_host | F.col("zone").isNotNull())
+            .select("task", "zone", F.when(by_host, F.col("node")).alias("host"), "label_key", "label_value", "weight").distinct())
+    hosts = held.where("host is not null").groupBy("task", "zone", "host").agg(F.sum("weight").alias("points"))
+    zones = held.where("host is null").groupBy("task", "zone").agg(F.sum("weight").alias("zone_points"))
+    on_host = (hosts.join(zones, ["task", "zone"], "left")
+               .select("task", F.col("host").alias("node"), (F.col("points") + F.coalesce("zone_points", F.lit(0))).alias("score")))
+    # one row per zone: tiny by nature
+    first = F.broadcast(dim.where("zone is not null").groupBy("zone").agg(F.min("node").alias("node")))
+    in_zone = zones.join(first, "zone").select("task", "node", F.col("zone_points").alias("score"))
+    best = (on_host.unionByName(in_zone)
+            .withColumn("rn", F.row_number().over(Window.partitionBy("task").orderBy(F.desc("score"), "node")))
+            .where("rn = 1"))
+    unlisted = (own.groupBy("task", "node").agg(F.count(F.lit(1)).alias("pods"))
+                .join(dim.select("node", F.lit(True).alias("listed")), "node", "left")
+                .groupBy("task").agg(F.sum(F.when(F.col("listed").isNull(), F.col("pods")).otherwise(0)).alias("unlisted_pods")))
+    tasks = unlisted.unionByName(rules.select("task", F.lit(0).cast("bigint").alias("unlisted_pods")))
+    tasks = tasks.groupBy("task").agg(F.sum("unlisted_pods").alias("unlisted_pods"))
+    return (tasks.join(best, "task", "left")
+            .select(F.col("task").alias(task), "node", F.coalesce("score", F.lit(0)).cast("int").alias("score"), "unlisted_pods")
+            .withColumnRenamed("node", node))

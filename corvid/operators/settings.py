@@ -1,10 +1,15 @@
 """Task settings as tables.
 
-A fleet table holds one row per task and one column per setting, in
-canonical units (bytes, milli-cores). A column that is absent takes its
-default; a column that is present with a null value means "leave this key
-out". The sentinel text ``__AUTODETECT__`` is resolved from an environment
-mapping whose values may be literals or per-row columns.
+A fleet table holds one row per task and one column per setting, in canonical
+units (bytes, milli-cores). Driver and executor settings are independent: a
+column ``driver_memory`` or ``executor_memory`` holds one component's setting,
+a plain ``memory`` that of every component without a column of its own. A
+column that is absent takes its default; a null value means "leave this key
+out"; and a row may list attributes it does not set in the array column
+``unset`` (by plain or component name), which take their default in that row.
+Defaults can be replaced by a mapping. The sentinel text ``__AUTODETECT__`` is
+resolved from an environment mapping whose values may be literals or per-row
+columns.
 
 Rendering turns each row into key/value rows in a fixed order; layers are
 then resolved with the rule "the highest layer wins; a null there deletes
@@ -23,7 +28,6 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType,
 from corvid.functions.quantity import format_cpu_jvm, format_cpu_k8s, format_memory_jvm
 from corvid.functions.text import slug
 from corvid.operators.aggregate import col_of
-from corvid.operators.sizing import bounded_broadcast
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's): keys, their order, formats and
@@ -59,7 +63,7 @@ EXECUTOR_SETTINGS = [
     ("instances", "spark.executor.instances", "int", 1),
     ("dynamic_allocation_enabled", "spark.dynamicAllocation.enabled", "bool", None),
     ("dynamic_allocation_min_executors", "spark.dynamicAllocation.minExecutors", "int", None),
-    ("dynamic_allocation_max_executors", "spark.dynamicAllocation.maxExecutors", "text", None),
+    ("dynamic_allocation_max_executors", "spark.dynamicAllocation.maxExecutors", "count", None),
     (None, "spark.kubernetes.executor.podTemplateFile", "const", POD_TEMPLATE_PATH),
 ]
 BASE_SETTINGS = [
@@ -94,7 +98,7 @@ DEFAULT_ENV: dict[str, str] = {"aws_role_arn": "default"}
 
 _TYPES = {"cpu_jvm": LongType(), "cpu_k8s": LongType(), "memory_m": LongType(), "float": DoubleType(),
           "text": StringType(), "int": IntegerType(), "bool": BooleanType(), "list": ArrayType(StringType()),
-          "const": StringType()}
+          "const": StringType(), "count": StringType()}
 
 ENTRY = StructType([StructField("layer", IntegerType()), StructField("ord", IntegerType()),
                     StructField("key", StringType()), StructField("value", StringType())])
@@ -142,22 +146,34 @@ def _default_col(fmt: str, default: object) -> Column:
     return F.lit(default).cast(_TYPES[fmt])
 
 
-def attribute_columns(df: DataFrame, component: str,
-                      env: Mapping[str, str | Column] | None = None) -> dict[str, Column]:
-    """Each attribute of ``component`` as a column: the table's own
-    column when present (null = leave out), else the default; sentinels
-    resolved from ``env``."""
-    env = {**DEFAULT_ENV, **(env or {})}
+UNSET = "unset"  # the array column of attributes a row does not set
+
+
+def attribute_columns(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
+                      defaults: Mapping[str, object] | None = None) -> dict[str, Column]:
+    """Each attribute of ``component`` as a column.
+
+    The component's own column (``driver_memory``) comes first, then the
+    shared one (``memory``), then the default: that of ``defaults`` (by
+    ``driver_memory`` or ``memory``; null = leave out), else the fixed one. A
+    null value leaves the key out; an attribute that the row lists in
+    ``unset`` takes its default. Sentinels are resolved from ``env``.
+    """
+    env, defaults = {**DEFAULT_ENV, **(env or {})}, defaults or {}
     out: dict[str, Column] = {}
     for attr, _key, fmt, default in settings(component):
         if attr is None:
             continue
+        own = attr if component == "base" else f"{component}_{attr}"
         if component == "driver" and attr == "container_name":
-            col = F.lit(DRIVER_CONTAINER)
-        elif attr in df.columns:
-            col = F.col(attr).cast(_TYPES[fmt])
-        else:
-            col = _default_col(fmt, default)
+            out[attr] = F.lit(DRIVER_CONTAINER)
+            continue
+        default = _default_col(fmt, defaults[own] if own in defaults else defaults.get(attr, default))
+        name = next((n for n in (own, attr) if n in df.columns), None)
+        col = default if name is None else F.col(f"`{name}`").cast(_TYPES[fmt])
+        if name is not None and UNSET in df.columns:
+            listed = F.arrays_overlap(F.col(UNSET), F.array(F.lit(own), F.lit(attr)))
+            col = F.when(F.coalesce(listed, F.lit(False)), default).otherwise(col)
         if attr in SENTINEL_SOURCE:
             col = F.when(col == AUTODETECT, _env_value(env, SENTINEL_SOURCE[attr])).otherwise(col)
         out[attr] = col
@@ -165,10 +181,29 @@ def attribute_columns(df: DataFrame, component: str,
 
 
 def apply_defaults(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
-                   keep: Sequence[str] = ("task_id",)) -> DataFrame:
+                   keep: Sequence[str] = ("task_id",), defaults: Mapping[str, object] | None = None) -> DataFrame:
     """B19 on a table: ``keep`` columns plus every attribute of ``component``."""
     return df.select(*[col_of(df, k) for k in keep],
-                     *[c.alias(a) for a, c in attribute_columns(df, component, env).items()])
+                     *[c.alias(a) for a, c in attribute_columns(df, component, env, defaults).items()])
+
+
+def float_text(value: Column) -> Column:
+    """A double as its shortest decimal text: plain from 1e-4 up to 1e16, else
+    with an exponent of at least two digits (``0.0005``, ``1e-05``)."""
+    s = value.cast("string")
+    e = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).try_cast("int")
+    sign = F.when(s.startswith("-"), "-").otherwise("")
+    digits = F.regexp_replace(F.regexp_replace(s, r"E.*$|[.\-]", ""), r"(?<=.)0+$", "")
+    n = F.length(digits)
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    large = F.concat(sign, F.rpad(F.substring(digits, F.lit(1), e + 1), e + 1, F.lit("0")), F.lit("."),
+                     F.when(n > e + 1, F.substring(digits, e + 2, n)).otherwise("0"))
+    power = F.concat(F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), F.greatest(F.length(F.abs(e).cast("string")), F.lit(2)), F.lit("0")))
+    point = F.when(n > 1, F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, F.lit(2), n))).otherwise(digits)
+    return F.when(e.isNull(), s).when((e < 0) & (e >= -4), small).when((e >= 0) & (e < 16), large).otherwise(F.concat(sign, point, power))
+
+
+MAX_EXECUTORS = r"^(?:infinity|-?[0-9]+)$"
 
 
 def _format(fmt: str, col: Column) -> Column:
@@ -180,6 +215,11 @@ def _format(fmt: str, col: Column) -> Column:
         return format_memory_jvm(col, "m")
     if fmt == "bool":
         return F.lower(col.cast("string"))
+    if fmt == "float":
+        return float_text(col)
+    if fmt == "count":
+        return F.when(col.isNull() | col.rlike(MAX_EXECUTORS), col).otherwise(
+            F.raise_error(F.concat(F.lit("not a number of executors or infinity: "), col)).cast("string"))
     if fmt == "list":
         return F.when(F.size(col) > 0, F.array_join(col, ","))
     return col.cast("string")
@@ -187,25 +227,28 @@ def _format(fmt: str, col: Column) -> Column:
 
 def mode_pairs(df: DataFrame) -> list[Pair]:
     """Keys that depend on the deploy mode (``deploy_mode`` and
-    ``spark_url`` columns; ``client`` when absent)."""
+    ``spark_url`` columns; ``client`` when absent). An empty url is none; a
+    mode outside local, client and connect fails the job."""
     mode = F.col("deploy_mode") if "deploy_mode" in df.columns else F.lit("client")
-    url = F.col("spark_url") if "spark_url" in df.columns else F.lit(None).cast("string")
+    url = F.nullif(F.col("spark_url"), F.lit("")) if "spark_url" in df.columns else F.lit(None).cast("string")
     layer = LAYERS["base"]
+    unknown = F.raise_error(F.concat(F.lit("unknown deploy mode: "), F.coalesce(mode, F.lit("null")))).cast("string")
     master = (F.when(mode == "local", F.coalesce(url, F.lit(DEFAULT_LOCAL_MASTER)))
               .when(mode == "client", F.coalesce(url, F.lit(DEFAULT_K8S_MASTER)))
-              .when(mode == "connect", F.coalesce(url, F.lit(DEFAULT_CONNECT_URL))))
+              .when(mode == "connect", F.coalesce(url, F.lit(DEFAULT_CONNECT_URL)))
+              .otherwise(unknown))
     key = F.when(mode == "connect", F.lit("spark.remote")).otherwise(F.lit("spark.master"))
     return [Pair(layer, 0, None, key, master),
             Pair(layer, 1, "spark.submit.deployMode", F.lit("spark.submit.deployMode"),
                  F.when(mode == "client", F.lit("client")))]
 
 
-def conf_pairs(df: DataFrame, component: str,
-               env: Mapping[str, str | Column] | None = None) -> list[Pair]:
+def conf_pairs(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
+               defaults: Mapping[str, object] | None = None) -> list[Pair]:
     """Rendered settings of one component as ``(layer, ord, key, value)`` in
     the reference's order; a null value means the key is left out."""
     pairs = mode_pairs(df) if component == "base" else []
-    cols = attribute_columns(df, component, env)
+    cols = attribute_columns(df, component, env, defaults)
     for i, (attr, key, fmt, default) in enumerate(settings(component), start=2):
         value = F.lit(default) if attr is None else _format(fmt, cols[attr])
         pairs.append(Pair(LAYERS[component], i, key, F.lit(key), value))
@@ -226,8 +269,9 @@ def entry_array(pairs: list[Pair]) -> Column:
     return F.array(*[entry(p) for p in pairs]).cast(ArrayType(ENTRY))
 
 
-def conf_entries(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None) -> Column:
-    return entry_array(conf_pairs(df, component, env))
+def conf_entries(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
+                 defaults: Mapping[str, object] | None = None) -> Column:
+    return entry_array(conf_pairs(df, component, env, defaults))
 
 
 def name_entries(dag_id: Column, task_name: Column) -> Column:
@@ -235,201 +279,105 @@ def name_entries(dag_id: Column, task_name: Column) -> Column:
 
 
 def render_conf(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
-                keep: Sequence[str] = ("task_id",)) -> DataFrame:
+                keep: Sequence[str] = ("task_id",), defaults: Mapping[str, object] | None = None) -> DataFrame:
     """One row per rendered key: ``keep`` columns, layer, ord, key,
     value. A generator over each row and a filter; no shuffle."""
-    return (df.select(*[col_of(df, k) for k in keep], F.inline(conf_entries(df, component, env)))
+    return (df.select(*[col_of(df, k) for k in keep], F.inline(conf_entries(df, component, env, defaults)))
             .where(F.col("value").isNotNull()))
 
 
 def resolve_layers(long_df: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
     """B18 for any long table ``(keys..., layer, ord, key, value)``: per key
-    the highest layer wins and a null winner deletes the key; the position is
-    where the key was first set (lowest layer, its ord), as a mapping that is
-    updated layer by layer keeps it. One aggregate per (keys, key); it is
-    sort-based because the winners are strings. Groups hold one row per
-    layer, so no group grows with the data."""
+    the highest layer wins and a null winner deletes the key; within a layer
+    the last ``ord`` counts and the others do not; the position is that of the
+    lowest layer that sets the key, as a mapping that is updated layer by
+    layer keeps it. One aggregate per (keys, key); it is sort-based because
+    the winners are strings. Groups hold the entries of one key of one task."""
     won = (long_df.groupBy(*keys, "key")
-           .agg(F.max(F.struct("layer", "value")).alias("w"),
-                F.min(F.struct("layer", "ord")).alias("f")))
+           .agg(F.max(F.struct("layer", "ord", "value")).alias("w"),
+                F.min(F.struct("layer", (-F.col("ord").cast("bigint")).alias("back"))).alias("f")))
     return (won.where(F.col("w.value").isNotNull())
-            .select(*keys, F.col("f.layer").alias("layer"), F.col("f.ord").alias("ord"), "key",
+            .select(*keys, F.col("f.layer").alias("layer"), (-F.col("f.back")).cast("int").alias("ord"), "key",
                     F.col("w.value").alias("value")))
 
 
 def extra_by_task(overrides: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
-    """Per task, its extra settings as ``map<key, struct<n, value>>`` (null
-    value = delete). Bounded per task by the number of distinct keys it
-    overrides; a key given twice for one task is an error. Rows without a
-    key name nothing and are skipped."""
-    return overrides.where(F.col("key").isNotNull()).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(
-        "key", F.struct(F.col("n").cast("int").alias("n"), F.col("value").cast("string").alias("value")))))
-        .alias("extra"))
-
-
-# Most distinct override keys a fleet may use on the look-up path; beyond it
-# overrides are applied with array functions.
-MAX_OVERRIDE_KEYS = 1000
-
-
-def override_keys(overrides: DataFrame, limit: int | None = None) -> list[str] | None:
-    """The distinct keys the overrides touch, read to the driver as ``pivot``
-    reads its values; ``None`` when there are more than ``limit``."""
-    limit = MAX_OVERRIDE_KEYS if limit is None else limit
-    keys = [r[0] for r in overrides.select("key").distinct().limit(limit + 1).collect()]
-    return None if len(keys) > limit else sorted(k for k in keys if k is not None)
-
-
-def apply_extra(pairs: list[Pair], extra: Column, keys: list[str]) -> tuple[list[Pair], list[Pair], Column]:
-    """B18 within a row: rendered ``pairs`` (unique keys; null value = not
-    set) updated by ``extra`` (``map<key, struct<n, value>>``, null value =
-    delete), as a mapping updated in place would be: a key that is set keeps
-    its place and takes the new value (null removes it); any other key is
-    appended in ``n`` order. ``keys`` lists every key the overrides use.
-
-    Returns the updated pairs, the appended entries (pairs with ``ord = n``)
-    and their ``key=value`` lines in order, joined by newlines (null when
-    none). Only pairs whose key can be overridden get a map look-up: small,
-    fully code-generated expressions (a look-up on every pair makes a method
-    too large for the JIT to compile, several times slower).
+    """Per task, its extra settings as an array of (n, key, value), one per key
+    (the last ``n`` of a repeated key), in ``n`` order; a null value deletes.
+    Rows without a key name nothing and are skipped. First a key's entries are
+    reduced, then a task's keys are gathered: its own configuration."""
+    last = (overrides.where(F.col("key").isNotNull()).groupBy(*keys, "key")
+            .agg(F.max(F.struct(F.col("n").cast("int").alias("n"), F.col("value").cast("string").alias("value"))).alias("w")))
+    return last.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("w.n", "key", "w.value"))).alias("extra"))
+
+
+def _all_pairs(df: DataFrame, env, dag_id: Column, task_name: Column, defaults) -> list[Pair]:
+    return (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env, defaults) + conf_pairs(df, "driver", env, defaults)
+            + conf_pairs(df, "executor", env, defaults))
+
+
+def _entry(layer, ord_, key, value) -> Column:
+    return F.struct(layer.alias("layer"), ord_.cast("int").alias("ord"), key.alias("key"), value.alias("value"))
+
+
+def _final_entries(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name, keys, defaults) -> DataFrame:
+    """``keys`` and ``entries``: every task's final settings in order, as an
+    array of (layer, ord, key, value). Rendered keys are unique, so a mapping
+    updated in place is: rendered entries take the value of an override of
+    their key (null removes them), the other overrides are appended in order.
     """
-    wanted = set(keys)
-    updated = []
-    for p in pairs:
-        if p.name is not None and p.name not in wanted:
-            updated.append(p)
-            continue
-        hit = F.coalesce(p.value.isNotNull() & F.map_contains_key(extra, p.key), F.lit(False))
-        updated.append(p._replace(value=F.when(hit, F.element_at(extra, p.key)["value"]).otherwise(p.value)))
-    added, lines = [], []
-    for name in keys:
-        set_here = [p.value.isNotNull() & (p.key == F.lit(name)) for p in pairs
-                    if p.name is None or p.name == name]
-        is_set = F.coalesce(_any(set_here), F.lit(False))
-        ent = F.element_at(extra, F.lit(name))
-        value = F.when(~is_set, ent["value"])
-        added.append(Pair(LAYERS["extra"], ent["n"], name, F.lit(name), value))
-        lines.append(F.struct(ent["n"].alias("ord"), F.concat(F.lit(f"{name}="), value).alias("line")))
-    if not lines:
-        return updated, added, F.lit(None).cast("string")
-    # the overrides' own order; array_join skips the null lines
-    text = F.nullif(F.array_join(F.sort_array(F.array(*lines))["line"], "\n"), F.lit(""))
-    return updated, added, text
-
-
-def _any(conds: list[Column]) -> Column:
-    out = None
-    for c in conds:
-        out = c if out is None else (out | c)
-    return out if out is not None else F.lit(False)
-
-
-def _fleet(fleet: DataFrame, overrides: DataFrame | None, env, dag_id, task_name, keys):
     dag_id = dag_id if dag_id is not None else F.lit("adhoc_airflow")
     task_name = task_name if task_name is not None else F.col(keys[0]).cast("string")
+    df = fleet
+    if overrides is not None:
+        df = fleet.join(extra_by_task(overrides, keys), list(keys), "left")
+    rendered = F.filter(entry_array(_all_pairs(df, env, dag_id, task_name, defaults)), lambda e: e["value"].isNotNull())
     if overrides is None:
-        plain = _all_pairs(fleet, env, dag_id, task_name)
-        return _Fleet(fleet, False), plain, plain, None, None
-    names = override_keys(overrides)
-    if names is None:
-        return None, _all_pairs(fleet, env, dag_id, task_name), None, None, None
-    # written once to the checkpoint folder: both branches below read it
-    extra, broadcast = bounded_broadcast(extra_by_task(overrides, keys), checkpoint=True)
-    df = fleet.join(extra, list(keys), "left")
-    plain = _all_pairs(df, env, dag_id, task_name)
-    pairs, added, tail = apply_extra(plain, F.col("extra"), names)
-    return _Fleet(df, broadcast), plain, pairs, added, tail
-
-
-def _all_pairs(df: DataFrame, env, dag_id: Column, task_name: Column) -> list[Pair]:
-    return (name_pairs(dag_id, task_name) + conf_pairs(df, "base", env) + conf_pairs(df, "driver", env)
-            + conf_pairs(df, "executor", env))
-
-
-def _long_resolution(fleet: DataFrame, overrides: DataFrame, plain: list[Pair],
-                     keys: Sequence[str]) -> DataFrame:
-    """Many distinct override keys: resolve by (task, key) over long rows, so
-    no task's overrides are ever gathered in one place."""
-    rendered = fleet.select(*keys, F.inline(entry_array(plain))).where(F.col("value").isNotNull())
-    extra = overrides.where(F.col("key").isNotNull()).select(
-        *keys, F.lit(LAYERS["extra"]).alias("layer"), F.col("n").cast("int").alias("ord"), "key", "value")
-    return resolve_layers(rendered.unionByName(extra), keys)
+        return df.select(*keys, rendered.alias("entries"))
+    df = df.select(*keys, "extra", rendered.alias("entries"))
+    by_key = F.map_from_entries(F.transform("extra", lambda x: F.struct(x["key"], F.struct(x["value"].alias("value")))))
+    df = df.withColumns({"by_key": F.when(F.col("extra").isNotNull(), by_key),
+                         "set_here": F.when(F.col("extra").isNotNull(), F.transform("entries", lambda e: e["key"]))})
+    updated = F.transform("entries", lambda e: _entry(e["layer"], e["ord"], e["key"], F.when(
+        F.map_contains_key("by_key", e["key"]), F.element_at("by_key", e["key"])["value"]).otherwise(e["value"])))
+    added = F.transform(F.filter("extra", lambda x: ~F.array_contains("set_here", x["key"])),
+                        lambda x: _entry(F.lit(LAYERS["extra"]), x["n"], x["key"], x["value"]))
+    both = F.filter(F.concat(updated, added), lambda e: e["value"].isNotNull())
+    return df.select(*keys, F.when(F.col("extra").isNull(), F.col("entries")).otherwise(both).alias("entries"))
 
 
 def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
                env: Mapping[str, str | Column] | None = None, dag_id: Column | None = None,
-               task_name: Column | None = None, keys: Sequence[str] = ("task_id",)) -> DataFrame:
+               task_name: Column | None = None, keys: Sequence[str] = ("task_id",),
+               defaults: Mapping[str, object] | None = None) -> DataFrame:
     """B16-B19, B26 for a whole fleet: every task's final settings as rows
     ``(keys..., layer, ord, key, value)``.
 
     Only the extra layer can collide with rendered keys (rendered keys name
     their component), so resolution happens inside each row: overrides are
-    gathered per task into a small map, joined once to the fleet (broadcast
-    when proven small) and looked up per key. When the overrides use more
-    than ``MAX_OVERRIDE_KEYS`` distinct keys, no per-task map is built: the
-    long rows are resolved by (task, key) instead. The fleet is shuffled at most
-    once, one row per task, instead of once per rendered key. Building the
-    plan runs two small jobs over the overrides (their distinct keys and the
-    broadcast size check).
+    gathered per task and joined once to the fleet, one row per task; what it
+    costs depends on the task's own overrides. There is one path for every
+    size, no job runs before the action, and Spark chooses the join from real
+    sizes. Overrides of tasks that the fleet does not list have no effect.
     """
-    fl, plain, pairs, added, _ = _fleet(fleet, overrides, env, dag_id, task_name, keys)
-    if fl is None:
-        return _long_resolution(fleet, overrides, plain, keys)
-
-    def rows(frame: DataFrame, entries: Column) -> DataFrame:
-        return frame.select(*keys, F.inline(entries)).where(F.col("value").isNotNull())
-
-    if added is None:
-        return rows(fl.df, entry_array(plain))
-    return fl.by_overrides(rows, entry_array(plain), entry_array(pairs + added))
+    return _final_entries(fleet, overrides, env, dag_id, task_name, keys, defaults).select(*keys, F.inline("entries"))
 
 
 def fleet_conf_text(fleet: DataFrame, overrides: DataFrame | None = None,
                     env: Mapping[str, str | Column] | None = None, dag_id: Column | None = None,
-                    task_name: Column | None = None, keys: Sequence[str] = ("task_id",)) -> DataFrame:
+                    task_name: Column | None = None, keys: Sequence[str] = ("task_id",),
+                    defaults: Mapping[str, object] | None = None) -> DataFrame:
     """B20 for a whole fleet, one text per task computed inside its row (no
     shuffle of rendered keys): ``key=value`` lines in order."""
-    fl, plain, pairs, added, tail = _fleet(fleet, overrides, env, dag_id, task_name, keys)
-    if fl is None:
-        return conf_text(_long_resolution(fleet, overrides, plain, keys), keys)
-
-    def text(ps, tail=None):
-        lines = [F.concat(p.key, F.lit("="), p.value) for p in ps]
-        return F.concat_ws("\n", *(lines + ([tail] if tail is not None else [])))
-
-    def texts(frame: DataFrame, t: Column) -> DataFrame:
-        return frame.select(*keys, t.alias("conf_text"))
-
-    if added is None:
-        return texts(fl.df, text(plain))
-    return fl.by_overrides(texts, text(plain), text(pairs, tail))
-
-
-class _Fleet(NamedTuple):
-    """The fleet joined to its overrides, and whether that join is a broadcast."""
-    df: DataFrame
-    broadcast: bool
-
-    def by_overrides(self, build, without: Column, with_: Column) -> DataFrame:
-        """``build`` rows without overrides from ``without`` and the others
-        from ``with_``. With the overrides broadcast, each kind goes through
-        its own map-side branch: two compact expressions run much faster than
-        one holding both (it compiles too large for the JIT). With a shuffle
-        join the branches would each shuffle the fleet, so one pass chooses
-        per row instead."""
-        if not self.broadcast:
-            return build(self.df, F.when(F.col("extra").isNull(), without).otherwise(with_))
-        none = self.df.where(F.col("extra").isNull())
-        some = self.df.where(F.col("extra").isNotNull())
-        return build(none, without).unionByName(build(some, with_))
+    entries = _final_entries(fleet, overrides, env, dag_id, task_name, keys, defaults)
+    lines = F.transform("entries", lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return entries.select(*keys, F.array_join(lines, "\n").alias("conf_text"))
 
 
 def conf_text(conf_rows: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
-    """B20 for any long table of resolved settings: ``key=value`` lines in
-    order, one text per task (``listagg``; a task's keys are bounded by the
-    settings it has)."""
-    line = F.concat_ws("=", "key", "value")
-    pos = F.col("layer") * 1000 + F.col("ord")
-    return (conf_rows.select(*keys, line.alias("line"), pos.alias("pos"))
-            .groupBy(*keys)
-            .agg(F.expr("listagg(line, '\\n') within group (order by pos)").alias("conf_text")))
+    """B20 for any long table of resolved settings: ``key=value`` lines by
+    layer, then place in it, one text per task (a task's keys are bounded by
+    the settings it has)."""
+    line = F.struct("layer", "ord", F.concat_ws("=", "key", "value").alias("line"))
+    return (conf_rows.groupBy(*keys).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+            .select(*keys, F.array_join(F.col("lines.line"), "\n").alias("conf_text")))

@@ -104,13 +104,13 @@ def where_quantity(df: DataFrame, col: str, op: str, text: str, parser: str,
     return parsed.where(keep).drop(value, reason)
 
 
-def sort_by_quantity(df: DataFrame, col: str, parser: str, ascending: bool = True) -> DataFrame:
+def sort_by_quantity(df: DataFrame, col: str, parser: str, ascending: bool = True, then: list[str] | tuple = ()) -> DataFrame:
     """Order rows by their quantity whatever the notation (invalid
-    values last), by the canonical integer."""
+    values last), by the canonical integer; ties by the columns in ``then``."""
     value = f"__{col}_sort_value"
     parsed = with_parsed(df, col, parser, value, f"__{col}_sort_reason")
     order = col_of(parsed, value).asc_nulls_last() if ascending else col_of(parsed, value).desc_nulls_last()
-    return parsed.orderBy(order).drop(value, f"__{col}_sort_reason")
+    return parsed.orderBy(order, *[col_of(parsed, c) for c in then]).drop(value, f"__{col}_sort_reason")
 
 
 def quantity_range(df: DataFrame, keys: list[str], col: str, parser: str) -> DataFrame:

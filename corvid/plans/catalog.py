@@ -10,16 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType
 
 from corvid.functions import quantity as q
-from corvid.functions.text import folder_stem, parent_folder, slug
+from corvid.functions.text import file_stem, folder_stem, named_path, parent_folder, slug
 from corvid.operators import settings as st
 from corvid.operators.aggregate import group_avg, sort_by, sum_quantity
 from corvid.operators.documents import pod_labels, render_pod_json, tokens_per_account
 from corvid.operators.inspect import preview, profile
-from corvid.operators.placement import placement_rules, rank_placements
+from corvid.operators.placement import (DRIVER_LABEL, EXECUTOR_LABEL, HOST, RULE, ZONE, affinity_id, placement_rules,
+                                        rank_placements)
 from corvid.operators.resources import request_memory, requests_rollup
-from corvid.operators.validate import quantity_range, split_valid, where_quantity, with_parsed
+from corvid.operators.validate import quantity_range, sort_by_quantity, split_valid, where_quantity, with_parsed
 from corvid.plans import fixtures as fx
 from corvid.plans import oracle_docs as odoc
 from corvid.plans import oracle_settings as osql
@@ -96,7 +98,7 @@ def _profile_sql() -> str:
     parts = []
     for i, (c, t, num) in enumerate(cols):
         lo, hi = (f"cast(min({c}) as double)", f"cast(max({c}) as double)") if num else ("null", "null")
-        tl, th = ("null", "null") if num else (f"cast(min({c}) as varchar)", f"cast(max({c}) as varchar)")
+        tl, th = ("null", "null") if t == "double" else (f"cast(min({c}) as varchar)", f"cast(max({c}) as varchar)")
         parts.append(f"select '{c}' as column_name, {i} as ordinal, '{t}' as data_type, count(*) as n_rows, "
                      f"count(*) - count({c}) as n_nulls, {lo} as min_num, {hi} as max_num, "
                      f"{tl} as min_text, {th} as max_text from orders")
@@ -136,8 +138,12 @@ def a09_sort_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a10_land_raw", ELT_ROWS_SQL)
 def a10_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, src = _elt_csv(spark, sf_dir, "a10")
-    landed = land_raw(spark, f"{src}/*.csv", f"{root}/extract")
+    """Two folders that hold files of the same names, every row back."""
+    root = scratch_dir(spark, "a10")
+    rows = fx.elt_source(spark, sf_dir)
+    for i in range(2):
+        fx.write_csv_fixture(rows.where(F.pmod(F.xxhash64("Score"), F.lit(2)) == i), f"{root}/raw/{i}", fixed_name="movies.csv")
+    landed = land_raw(spark, f"{root}/raw/*/*/*.csv", f"{root}/extract")
     return _elt_rows(read_csv(spark, landed, recursive=True))
 
 
@@ -161,14 +167,18 @@ def a12_transform_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("a13_path_stem",
-          "select 'o_orderstatus=' || lower(o_orderstatus) as stem, count(*) as n_rows from orders group by 1")
+          "select 'my films ' || lower(o_orderstatus) || '+1' as stem, 'status=' || lower(o_orderstatus) as folder, "
+          "count(*) as n_rows from orders group by 1, 2")
 def a13_path_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dst = f"{scratch_dir(spark, 'a13')}/by_status"
+    """Files whose names hold blanks and signs, named by their paths."""
+    root = f"{scratch_dir(spark, 'a13')}/by_status"
     o = read_parquet(spark, table_path(sf_dir, "orders")).select("o_orderkey", "o_orderstatus")
-    o.write.mode("overwrite").partitionBy("o_orderstatus").option("header", True).csv(dst)
-    files = (spark.read.option("header", True).option("recursiveFileLookup", True).csv(dst)
-             .select(F.col("_metadata.file_path").alias("path")))
-    return (files.groupBy(folder_stem(parent_folder("path")).alias("stem"))
+    for status in [r[0] for r in o.select("o_orderstatus").distinct().collect()]:  # three fixed values
+        (o.where(F.col("o_orderstatus") == status).select("o_orderkey").write.mode("overwrite").option("header", True)
+         .csv(f"{root}/status={status}/My Films {status}+1.CSV"))
+    files = (spark.read.option("header", True).option("recursiveFileLookup", True).csv(root)
+             .select(parent_folder(named_path("_metadata.file_path")).alias("file")))
+    return (files.groupBy(file_stem("file").alias("stem"), folder_stem(parent_folder("file")).alias("folder"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -214,7 +224,7 @@ def yearly_orders(sf_dir: str, spark: SparkSession) -> DataFrame:
           "round(sum(o_totalprice), 2) as revenue "
           "from orders group by 1")
 def a17_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return yearly_orders(sf_dir=sf_dir, spark=spark)
+    return yearly_orders(sf_dir=sf_dir)  # the step passes the active session
 
 
 # --------------------------------------------------------------------------
@@ -390,6 +400,33 @@ def b12_quantity_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quantity_range(fx.fx_quantity(spark, sf_dir), ["l_suppkey"], "mem_k8s", "memory_k8s")
 
 
+def _b12_sort_sql() -> str:
+    v, _ = parse_sql("memory_k8s", "mem_k8s")
+    return (with_(FX_QUANTITY) + f"select l_orderkey, l_linenumber, mem_k8s from fx_quantity where {v} is not null "
+            f"order by {v} desc, l_orderkey, l_linenumber limit 500")
+
+
+@register("b12_sort_quantity", _b12_sort_sql())
+def b12_sort_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 500 largest quantities, whatever their notation (a top-k report)."""
+    ordered = sort_by_quantity(fx.fx_quantity(spark, sf_dir), "mem_k8s", "memory_k8s", ascending=False,
+                               then=["l_orderkey", "l_linenumber"])
+    return ordered.select("l_orderkey", "l_linenumber", "mem_k8s").limit(500)
+
+
+def _b13_good_sql() -> str:
+    v, r = parse_sql("cpu_k8s", "cpu_k8s")
+    return (with_(FX_QUANTITY) + f"select l_orderkey, l_linenumber, cpu_k8s, {v} as cpu_k8s_value from fx_quantity where {r} is null")
+
+
+@register("b13_split_valid_good", _b13_good_sql())
+def b13_split_valid_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good side, checked strictly once more."""
+    good, _ = split_valid(fx.fx_quantity(spark, sf_dir), "cpu_k8s", "cpu_k8s")
+    strict, _ = split_valid(good.drop("cpu_k8s_value"), "cpu_k8s", "cpu_k8s", strict=True)
+    return strict.select("l_orderkey", "l_linenumber", "cpu_k8s", "cpu_k8s_value")
+
+
 def _b13_sql() -> str:
     _, r = parse_sql("cpu_k8s", "cpu_k8s")
     return (with_(FX_QUANTITY) +
@@ -442,6 +479,7 @@ def b18_resolve_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.fleet_conf(fx.fx_fleet(spark, sf_dir), fx.fx_override(spark, sf_dir), fx.fleet_env(), dag, task)
 
 
+@register("b18_resolve_layers_long", osql.b18_sql())
 def b18_resolve_layers_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B18 by the generic long-table resolution: one sort-based aggregate
     over every rendered key (string winners cannot use a hash aggregate)."""
@@ -450,7 +488,7 @@ def b18_resolve_layers_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         st.name_pairs(*_fleet_names()) + st.conf_pairs(fleet, "base", env)
         + st.conf_pairs(fleet, "driver", env) + st.conf_pairs(fleet, "executor", env))))
     rendered = rendered.where(F.col("value").isNotNull())
-    extra = fx.fx_override(spark, sf_dir).select(
+    extra = fx.fx_override(spark, sf_dir).join(fleet.select("task_id"), "task_id", "left_semi").select(
         "task_id", F.lit(st.LAYERS["extra"]).alias("layer"), F.col("n").cast("int").alias("ord"), "key", "value")
     return st.resolve_layers(rendered.unionByName(extra))
 
@@ -467,6 +505,12 @@ def b20_conf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                               dag, task)
 
 
+@register("b20_conf_text_long", osql.b20_sql())
+def b20_conf_text_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B20 by the generic long table."""
+    return st.conf_text(b18_resolve_layers_long(spark, sf_dir))
+
+
 @register("b26_slug", osql.b26_sql())
 def b26_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_parquet(spark, table_path(sf_dir, "orders"))
@@ -487,14 +531,23 @@ def _fleet_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fleet.withColumn("labels", own)
 
 
+def _drivers_with_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 9th task brings its own rules."""
+    own = F.array(F.struct(F.lit(90), F.lit(DRIVER_LABEL), affinity_id("driver", "task_id"), F.lit(HOST)),
+                  F.struct(F.lit(15), F.lit(EXECUTOR_LABEL), affinity_id("executor", "task_id"), F.lit(ZONE))).cast(ArrayType(RULE))
+    return fx.fx_driver(spark, sf_dir).withColumn("rules", F.when(F.col("task_id") % 9 == 0, own))
+
+
 @register("b21_placement_rules", odoc.b21_sql())
 def b21_placement_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return placement_rules(fx.fx_driver(spark, sf_dir))
+    return placement_rules(_drivers_with_rules(spark, sf_dir), own="rules")
 
 
 @register("b22_rank_placements", odoc.b22_sql())
 def b22_rank_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rank_placements(fx.fx_driver(spark, sf_dir), fx.fx_executor(spark, sf_dir), fx.fx_node(spark, sf_dir))
+    drivers = _drivers_with_rules(spark, sf_dir)
+    return rank_placements(drivers, fx.fx_executor(spark, sf_dir), fx.fx_node(spark, sf_dir),
+                           rules=placement_rules(drivers, own="rules"))
 
 
 @register("b23_render_pod_json", odoc.b23_sql())

@@ -54,33 +54,48 @@ def fx_task_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 == 0, F.lit(None)).otherwise(F.lit(512) * (1 + k % 16)).cast("bigint").alias("memory_mib"),
         F.when(k % 3 == 0, F.lit(128) * (1 + k % 4)).cast("bigint").alias("overhead_mib"),
         # a decimal product, as in SQL, so 0.1 * 3 is exactly 0.3 before the double cast
-        F.when(k % 4 == 1, F.lit(Decimal("0.1")) * (1 + k % 3)).cast("double").alias("overhead_factor"),
+        F.when(k % 8 == 5, F.lit(0.0005)).when(k % 4 == 1, (F.lit(Decimal("0.1")) * (1 + k % 3)).cast("double"))
+        .alias("overhead_factor"),
         (F.lit(250) * (1 + F.col("o_custkey") % 8)).cast("bigint").alias("request_m_cores"),
         F.when(k % 5 == 0, F.lit(None)).otherwise((1 + k % 6).cast("int")).alias("instances"),
     )
 
 
 def fx_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The task configurations in canonical units: one fleet row per task."""
+    """The task configurations in canonical units: one fleet row per task.
+
+    The driver has columns of its own; ``unset`` names what a row leaves to
+    the default, so ``driver_memory`` and ``instances`` hold all three states
+    (value, null, not set); some urls are empty.
+    """
     t = fx_task_conf(spark, sf_dir)
+    k = F.col("task_id")
     return t.select("task_id", "owner_id", "deploy_mode",
                     (F.col("memory_mib") * (1 << 20)).alias("memory"),
                     (F.col("overhead_mib") * (1 << 20)).alias("memory_overhead"),
                     F.col("overhead_factor").alias("memory_overhead_factor"),
-                    F.col("request_m_cores").alias("request_cores"), "instances")
+                    F.col("request_m_cores").alias("request_cores"), "instances",
+                    F.when(k % 10 != 7, F.lit(2 << 30) * (1 + k % 3)).cast("bigint").alias("driver_memory"),
+                    (F.lit(500) * (1 + k % 4)).cast("bigint").alias("driver_request_cores"),
+                    F.when(k % 13 == 0, "").when(k % 17 == 0, "k8s://other:443").alias("spark_url"),
+                    F.array_compact(F.array(F.when(k % 10 == 3, "driver_memory"), F.when(k % 15 == 0, "instances"))).alias("unset"))
 
 
 def fleet_env() -> dict:
     """Sentinel look-ups for the fleet: fixed values, and a per-task host."""
-    return {"namespace": "airflow-test-ns", "service_account": "airflow-worker",
+    return {"namespace": "team-a", "service_account": "airflow-worker",
             "aws_role_arn": "default", "hostname": F.concat(F.lit("worker-"), F.col("task_id").cast("string")),
             "ip": "10.0.0.1"}
 
 
 def fx_node(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cluster nodes and their zones."""
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("node"),
-                                                   F.col("s_nationkey").alias("zone"))
+    """Cluster nodes and their zones, by name."""
+    return table(spark, sf_dir, "supplier").select(_node(F.col("s_suppkey")).alias("node"),
+                                                   F.concat(F.lit("zone-"), F.col("s_nationkey").cast("string")).alias("zone"))
+
+
+def _node(number):
+    return F.concat(F.lit("node-"), number.cast("string"))
 
 
 def _n_nodes(spark: SparkSession, sf_dir: str):
@@ -91,36 +106,41 @@ def fx_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each task's driver runs."""
     c = table(spark, sf_dir, "customer")
     return c.select(F.col("c_custkey").alias("task_id"),
-                    (F.col("c_custkey") % _n_nodes(spark, sf_dir)).alias("node"))
+                    _node(F.col("c_custkey") % _n_nodes(spark, sf_dir)).alias("node"))
 
 
 def fx_executor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Executors already placed, by task (B22): every order is one executor."""
+    """Executors already placed, by task (B22): every order is one executor;
+    some run on nodes that are not listed."""
     o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").alias("pod_id"), F.col("o_custkey").alias("task_id"),
-                    ((F.col("o_orderkey") * 7) % _n_nodes(spark, sf_dir)).alias("node"))
+                    _node((F.col("o_orderkey") * 7) % (_n_nodes(spark, sf_dir) + 3)).alias("node"))
 
 
 def fx_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-task extra settings; a null value deletes the key.
 
-    Every 7th task overrides the namespace and deletes the executor template
-    key; every 14th adds a new key; every 21st deletes a key that is absent.
+    Every 7th task changes one rendered key, deletes another and adds a key
+    of one of 1500 names; every 14th gives one key twice (the later counts);
+    every 21st deletes a key that is absent; every 35th names a task that the
+    fleet does not have.
     """
     tasks = fx_task_conf(spark, sf_dir).select("task_id")
     t = F.col("task_id")
+
+    def entry(n, key, value, keep, task=t):
+        return F.struct(task.alias("task_id"), F.lit(n).alias("n"), (F.lit(key) if isinstance(key, str) else key).alias("key"),
+                        F.lit(value).cast("string").alias("value"), keep.alias("keep"))
     entries = F.array(
-        F.struct(F.lit(0).alias("n"), F.lit("spark.kubernetes.namespace").alias("key"),
-                 F.when(t % 7 == 0, F.lit("airflow")).alias("value"), (t % 7 == 0).alias("keep")),
-        F.struct(F.lit(1).alias("n"), F.lit("spark.kubernetes.executor.podTemplateFile").alias("key"),
-                 F.lit(None).cast("string").alias("value"), (t % 7 == 0).alias("keep")),
-        F.struct(F.lit(2).alias("n"), F.lit("spark.hadoop.fs.s3a.path.style.access").alias("key"),
-                 F.lit("true").alias("value"), (t % 14 == 0).alias("keep")),
-        F.struct(F.lit(3).alias("n"), F.lit("spark.jars.packages").alias("key"),
-                 F.lit(None).cast("string").alias("value"), (t % 21 == 0).alias("keep")),
+        entry(0, "spark.shuffle.file.buffer", "4m", t % 7 == 0),
+        entry(1, "spark.executor.extraLibraryPath", None, t % 7 == 0),
+        entry(2, "spark.eventLog.enabled", "true", t % 14 == 0),
+        entry(3, "spark.jars.packages", None, t % 21 == 0),
+        entry(4, F.concat(F.lit("spark.extra.k"), (t % 1500).cast("string")), "x", t % 7 == 0),
+        entry(5, "spark.eventLog.enabled", "false", t % 14 == 0),
+        entry(6, "spark.driver.memory", "9g", t % 35 == 0, -t - 1),
     )
-    return (tasks.select("task_id", F.inline(entries))
-            .where("keep").select("task_id", "n", "key", "value"))
+    return tasks.select(F.inline(entries)).where("keep").select("task_id", "n", "key", "value")
 
 
 def fx_token(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,11 +179,12 @@ def elt_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit(" "), F.col("o_orderpriority")).alias("Title"))
 
 
-def write_csv_fixture(df: DataFrame, dst: str, files: int | None = None) -> str:
-    """Write text columns as CSV with a header, keeping leading blanks."""
+def write_csv_fixture(df: DataFrame, dst: str, files: int | None = None, fixed_name: str | None = None) -> str:
+    """Write text columns as CSV with a header, keeping leading blanks. With
+    ``fixed_name`` the files lie in a folder of that name below ``dst``."""
     if files is not None:
         df = df.repartition(files)
     (df.write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(dst))
+     .csv(f"{dst}/{fixed_name}" if fixed_name else dst))
     return dst

@@ -6,7 +6,13 @@ Only the base tables exist in DuckDB, so fixtures are inlined as CTEs.
 
 from __future__ import annotations
 
-from corvid.functions.quantity import JVM_UNITS, K8S_UNITS
+# ---------------------------------------------------------------------------
+# Fixed values (must equal the reference's): unit names and multipliers.
+K8S_UNITS = {"Ei": 1152921504606846976, "Pi": 1125899906842624, "Ti": 1099511627776, "Gi": 1073741824, "Mi": 1048576,
+             "Ki": 1024, "E": 1000000000000000000, "P": 1000000000000000, "T": 1000000000000, "G": 1000000000,
+             "M": 1000000, "k": 1000}
+JVM_UNITS = {"t": 1099511627776, "g": 1073741824, "m": 1048576, "k": 1024}
+# ---------------------------------------------------------------------------
 
 FX_QUANTITY = """fx_quantity as (
 select l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -26,22 +32,25 @@ select o_orderkey as task_id, o_custkey as owner_id,
   case o_orderstatus when 'F' then 'local' when 'O' then 'client' else 'connect' end as deploy_mode,
   cast(case when o_orderkey % 11 = 0 then null else 512*(1+o_orderkey % 16) end as bigint) as memory_mib,
   cast(case when o_orderkey % 3 = 0 then 128*(1+o_orderkey % 4) end as bigint) as overhead_mib,
-  cast(case when o_orderkey % 4 = 1 then 0.1*(1+o_orderkey % 3) end as double) as overhead_factor,
+  cast(case when o_orderkey % 8 = 5 then 0.0005 when o_orderkey % 4 = 1 then 0.1*(1+o_orderkey % 3) end as double) as overhead_factor,
   cast(250*(1+o_custkey % 8) as bigint) as request_m_cores,
   case when o_orderkey % 5 = 0 then null else cast(1+o_orderkey % 6 as int) end as instances
 from orders)"""
 
-FX_NODE = "fx_node as (select s_suppkey as node, s_nationkey as zone from supplier)"
-FX_DRIVER = ("fx_driver as (select c_custkey as task_id, c_custkey % (select count(*) from supplier) as node "
+FX_NODE = "fx_node as (select 'node-' || s_suppkey as node, 'zone-' || s_nationkey as zone from supplier)"
+FX_DRIVER = ("fx_driver as (select c_custkey as task_id, 'node-' || (c_custkey % (select count(*) from supplier)) as node "
              "from customer)")
 FX_EXECUTOR = ("fx_executor as (select o_orderkey as pod_id, o_custkey as task_id, "
-               "(o_orderkey*7) % (select count(*) from supplier) as node from orders)")
+               "'node-' || ((o_orderkey*7) % (select count(*) + 3 from supplier)) as node from orders)")
 
 FX_OVERRIDE = """fx_override as (
-select task_id, 0 as n, 'spark.kubernetes.namespace' as key, 'airflow' as value from fx_task_conf where task_id % 7 = 0
-union all select task_id, 1, 'spark.kubernetes.executor.podTemplateFile', null from fx_task_conf where task_id % 7 = 0
-union all select task_id, 2, 'spark.hadoop.fs.s3a.path.style.access', 'true' from fx_task_conf where task_id % 14 = 0
-union all select task_id, 3, 'spark.jars.packages', null from fx_task_conf where task_id % 21 = 0)"""
+select task_id, 0 as n, 'spark.shuffle.file.buffer' as key, '4m' as value from fx_task_conf where task_id % 7 = 0
+union all select task_id, 1, 'spark.executor.extraLibraryPath', null from fx_task_conf where task_id % 7 = 0
+union all select task_id, 2, 'spark.eventLog.enabled', 'true' from fx_task_conf where task_id % 14 = 0
+union all select task_id, 3, 'spark.jars.packages', null from fx_task_conf where task_id % 21 = 0
+union all select task_id, 4, 'spark.extra.k' || (task_id % 1500), 'x' from fx_task_conf where task_id % 7 = 0
+union all select task_id, 5, 'spark.eventLog.enabled', 'false' from fx_task_conf where task_id % 14 = 0
+union all select -task_id - 1, 6, 'spark.driver.memory', '9g' from fx_task_conf where task_id % 35 = 0)"""
 
 
 def with_(*ctes: str) -> str:

@@ -1,77 +1,81 @@
-"""DuckDB SQL twins of the settings jobs (B14-B20, B26), written from the
-same fixed key table the Spark jobs use. DuckDB evaluates them on its own:
-plain projections, UNION ALL and window functions."""
+"""DuckDB SQL twins of the settings jobs (B14-B20, B26). Keys, order, formats
+and defaults are written out here once more, not taken from the Spark jobs, so
+that a wrong one there shows."""
 
 from __future__ import annotations
 
-from corvid.functions.text import SLUG_MAX_LENGTH
-from corvid.operators import settings as st
 from corvid.plans.oracle import FX_OVERRIDE, FX_TASK_CONF
 
 FX_FLEET = """fx_fleet as (
 select task_id, owner_id, deploy_mode, memory_mib * 1048576 as memory, overhead_mib * 1048576 as memory_overhead,
-  overhead_factor as memory_overhead_factor, request_m_cores as request_cores, instances
+  overhead_factor as memory_overhead_factor, request_m_cores as request_cores, instances,
+  cast(case when task_id % 10 <> 7 then 2147483648 * (1 + task_id % 3) end as bigint) as driver_memory,
+  cast(500 * (1 + task_id % 4) as bigint) as driver_request_cores,
+  case when task_id % 13 = 0 then '' when task_id % 17 = 0 then 'k8s://other:443' end as spark_url,
+  task_id % 10 = 3 as driver_memory_unset, task_id % 15 = 0 as instances_unset
 from fx_task_conf)"""
-FLEET_COLUMNS = {"memory", "memory_overhead", "memory_overhead_factor", "request_cores", "instances",
-                 "deploy_mode"}
-ENV_SQL = {"namespace": "'airflow-test-ns'", "service_account": "'airflow-worker'",
-           "aws_role_arn": "'default'", "hostname": "'worker-' || cast(task_id as varchar)",
-           "ip": "'10.0.0.1'"}
 CTES = [FX_TASK_CONF, FX_FLEET]
 
-
-def _lit(v) -> str:
-    if v is None:
-        return "null"
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    if isinstance(v, (int, float)):
-        return str(v)
-    return "'" + str(v).replace("'", "''") + "'"
-
-
-def attribute_sql(component: str, attr: str, default) -> str:
-    if component == "driver" and attr == "container_name":
-        return _lit(st.DRIVER_CONTAINER)
-    if attr in FLEET_COLUMNS:
-        return attr
-    if default == st.AUTODETECT:
-        return ENV_SQL.get(st.SENTINEL_SOURCE[attr], "null")
-    if isinstance(default, list):
-        return "null" if not default else _lit(",".join(default))
-    return _lit(default)
-
-
-def format_sql(fmt: str, x: str) -> str:
-    return {
-        "cpu_jvm": f"cast(({x}) // 1000 as varchar)",
-        "cpu_k8s": f"cast({x} as varchar) || 'm'",
-        "memory_m": f"cast(({x}) // 1048576 as varchar) || 'm'",
-        "bool": f"lower(cast({x} as varchar))",
-    }.get(fmt, f"cast({x} as varchar)")
-
-
-def component_sql(component: str) -> list[str]:
-    """One SELECT per rendered key (nulls kept; callers filter)."""
-    layer = st.LAYERS[component]
-    out = []
-    if component == "base":
-        out.append(f"select task_id, {layer} as layer, 0 as ord, case when deploy_mode = 'connect' "
-                   f"then 'spark.remote' else 'spark.master' end as key, case deploy_mode "
-                   f"when 'local' then {_lit(st.DEFAULT_LOCAL_MASTER)} when 'client' then "
-                   f"{_lit(st.DEFAULT_K8S_MASTER)} when 'connect' then {_lit(st.DEFAULT_CONNECT_URL)} "
-                   f"end as value from fx_fleet")
-        out.append(f"select task_id, {layer} as layer, 1 as ord, 'spark.submit.deployMode' as key, "
-                   f"case when deploy_mode = 'client' then 'client' end as value from fx_fleet")
-    for i, (attr, key, fmt, default) in enumerate(st.settings(component), start=2):
-        value = _lit(default) if attr is None else format_sql(fmt, attribute_sql(component, attr, default))
-        out.append(f"select task_id, {layer} as layer, {i} as ord, {_lit(key)} as key, {value} as value "
-                   f"from fx_fleet")
-    return out
+# ---------------------------------------------------------------------------
+# Fixed values (must equal the reference's): keys, their order and defaults.
+# (place, key, value); null values are not set.
+_MIB = "cast(({}) // 1048576 as varchar) || 'm'"
+BASE = [
+    (0, "case when deploy_mode = 'connect' then 'spark.remote' else 'spark.master' end",
+     "coalesce(nullif(spark_url, ''), case deploy_mode when 'local' then 'local[*]' when 'client' then "
+     "'k8s://https://kubernetes.default.svc.cluster.local:443' when 'connect' then "
+     "'sc://spark-connect.spark-connect.svc.cluster.local:15002' end)"),
+    (1, "'spark.submit.deployMode'", "case when deploy_mode = 'client' then 'client' end"),
+    (2, "'spark.kubernetes.namespace'", "'team-a'"),
+    (3, "'spark.kubernetes.authenticate.submission.caCertFile'", "'/var/run/secrets/kubernetes.io/serviceaccount/ca.crt'"),
+    (4, "'spark.kubernetes.authenticate.submission.oauthTokenFile'", "'/var/run/secrets/kubernetes.io/serviceaccount/token'"),
+    (5, "'spark.shuffle.file.buffer'", "'1m'"),
+    (6, "'spark.kubernetes.container.image.pullPolicy'", "'IfNotPresent'"),
+    (7, "'spark.kubernetes.container.image.pullSecrets'", "null"),
+    (8, "'spark.jars.packages'", "null"),
+]
+DRIVER = [
+    (2, "'spark.driver.cores'", "null"),
+    (3, "'spark.kubernetes.driver.request.cores'", "cast(driver_request_cores as varchar) || 'm'"),
+    (4, "'spark.driver.memory'", _MIB.format("case when driver_memory_unset then 1073741824 else driver_memory end")),
+    (5, "'spark.driver.memoryOverhead'", _MIB.format("memory_overhead")),
+    (6, "'spark.driver.memoryOverheadFactor'", "cast(memory_overhead_factor as varchar)"),
+    (7, "'spark.kubernetes.driver.container.image'", "'apache/spark:3.5.0-scala2.12-java17-python3-ubuntu'"),
+    (8, "'spark.kubernetes.driver.podTemplateContainerName'", "'base'"),
+    (9, "'spark.kubernetes.authenticate.driver.serviceAccountName'", "'airflow-worker'"),
+    (10, "'spark.kubernetes.driver.annotation.eks.amazonaws.com/role-arn'", "'default'"),
+    (11, "'spark.driver.extraJavaOptions'", "'-XX:+ExitOnOutOfMemoryError'"),
+    (12, "'spark.driver.extraClassPath'", "'/opt/spark/jars/*'"),
+    (13, "'spark.driver.extraLibraryPath'", "'/opt/hadoop/lib/native'"),
+    (14, "'spark.kubernetes.driver.pod.name'", "'worker-' || cast(task_id as varchar)"),
+    (15, "'spark.driver.host'", "'10.0.0.1'"),
+]
+EXECUTOR = [
+    (2, "'spark.executor.cores'", "null"),
+    (3, "'spark.kubernetes.executor.request.cores'", "cast(request_cores as varchar) || 'm'"),
+    (4, "'spark.executor.memory'", _MIB.format("memory")),
+    (5, "'spark.executor.memoryOverhead'", _MIB.format("memory_overhead")),
+    (6, "'spark.executor.memoryOverheadFactor'", "cast(memory_overhead_factor as varchar)"),
+    (7, "'spark.kubernetes.executor.container.image'", "'spark:3.5.0-scala2.12-java17-python3-ubuntu'"),
+    (8, "'spark.kubernetes.executor.podTemplateContainerName'", "'spark'"),
+    (9, "'spark.kubernetes.authenticate.executor.serviceAccountName'", "'airflow-worker'"),
+    (10, "'spark.kubernetes.executor.annotation.eks.amazonaws.com/role-arn'", "'default'"),
+    (11, "'spark.executor.extraJavaOptions'", "'-XX:+ExitOnOutOfMemoryError'"),
+    (12, "'spark.executor.extraClassPath'", "'/opt/spark/jars/*'"),
+    (13, "'spark.executor.extraLibraryPath'", "'/opt/hadoop/lib/native'"),
+    (14, "'spark.executor.instances'", "cast(case when instances_unset then 1 else instances end as varchar)"),
+    (15, "'spark.dynamicAllocation.enabled'", "null"),
+    (16, "'spark.dynamicAllocation.minExecutors'", "null"),
+    (17, "'spark.dynamicAllocation.maxExecutors'", "null"),
+    (18, "'spark.kubernetes.executor.podTemplateFile'", "'/tmp/executor_pod_template.yaml'"),
+]
+# ---------------------------------------------------------------------------
+COMPONENTS = {"base": (1, BASE), "driver": (2, DRIVER), "executor": (3, EXECUTOR)}
 
 
 def rendered_sql(*components: str) -> str:
-    parts = [p for c in components for p in component_sql(c)]
+    parts = [f"select task_id, {layer} as layer, {place} as ord, {key} as key, {value} as value from fx_fleet"
+             for layer, rows in (COMPONENTS[c] for c in components) for place, key, value in rows]
     return "select * from (" + "\nunion all ".join(parts) + ") where value is not null"
 
 
@@ -80,9 +84,7 @@ def slug_sql(*parts: str) -> str:
     s = f"replace({joined}, '''', '')"
     s = f"regexp_replace({s}, '([0-9]),([0-9])', '\\1\\2', 'g')"
     s = f"regexp_replace({s}, '[^a-z0-9]+', '-', 'g')"
-    s = f"regexp_replace({s}, '^-+|-+$', '', 'g')"
-    s = f"substring({s}, 1, {SLUG_MAX_LENGTH})"
-    return f"regexp_replace({s}, '^[.-]+|[.-]+$', '', 'g')"
+    return f"regexp_replace({s}, '^-+|-+$', '', 'g')"
 
 
 FLEET_DAG_SQL = "'fleet_' || deploy_mode"
@@ -94,7 +96,8 @@ def layers_sql() -> str:
     (nulls dropped) and extra (nulls kept: they delete)."""
     name = (f"select task_id, 0 as layer, 0 as ord, 'spark.app.name' as key, "
             f"{slug_sql(FLEET_DAG_SQL, FLEET_TASK_SQL)} as value from fx_fleet")
-    extra = "select task_id, 4, n, key, value from fx_override"
+    extra = ("select task_id, 4, n, key, value from (select *, row_number() over (partition by task_id, key order by n desc) as r "
+             "from fx_override) where r = 1 and task_id in (select task_id from fx_fleet)")
     return f"{name}\nunion all {rendered_sql('base', 'driver', 'executor')}\nunion all {extra}"
 
 
@@ -154,20 +157,18 @@ def b18_sql() -> str:
 
 
 def b19_sql() -> str:
-    cols = []
-    for attr, _key, fmt, default in st.settings("executor"):
-        if attr is None:
-            continue
-        v = attribute_sql("executor", attr, default)
-        typ = {"cpu_jvm": "bigint", "cpu_k8s": "bigint", "memory_m": "bigint", "float": "double",
-               "int": "integer", "bool": "boolean"}.get(fmt, "varchar")
-        cols.append(f"cast({v} as {typ}) as {attr}")
-    return with_settings() + "select task_id, " + ", ".join(cols) + " from fx_fleet"
+    cols = """null::bigint as cores, request_cores, memory, memory_overhead, memory_overhead_factor,
+  'spark:3.5.0-scala2.12-java17-python3-ubuntu' as image, 'spark' as container_name, 'airflow-worker' as service_account_name,
+  'default' as aws_role_arn, '-XX:+ExitOnOutOfMemoryError' as extra_java_options, '/opt/spark/jars/*' as extra_class_path,
+  '/opt/hadoop/lib/native' as extra_library_path, case when instances_unset then 1::integer else instances end as instances,
+  null::boolean as dynamic_allocation_enabled, null::integer as dynamic_allocation_min_executors,
+  null::varchar as dynamic_allocation_max_executors"""
+    return with_settings() + f"select task_id, {cols} from fx_fleet"
 
 
 def b20_sql() -> str:
     return (with_settings(FX_OVERRIDE, resolved_sql()) +
-            "select task_id, string_agg(key || '=' || value, chr(10) order by layer * 1000 + ord) "
+            "select task_id, string_agg(key || '=' || value, chr(10) order by layer, ord) "
             "as conf_text from resolved group by task_id")
 
 

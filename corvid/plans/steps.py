@@ -21,22 +21,18 @@ from corvid.sources.files import read_csv, read_parquet, write_parquet
 
 
 def path_stem(uri: str, suffix: str = ".csv") -> str:
-    """A13 for one location: last segment, lower-cased, ``suffix`` removed.
-
-    A trailing ``/`` is ignored and a ``key=value`` folder yields its value,
-    so a landed tree (``extract/source=Movies.csv/``) names itself ``movies``.
-    """
-    last = uri.lower().removesuffix("/").split("/")[-1]
-    last = last.split("=", 1)[1] if "=" in last else last
-    return last.removesuffix(suffix)
+    """A13 for one location: what :func:`corvid.functions.text.file_stem` gives for its path, a trailing ``/`` ignored."""
+    head, _, name = uri.rpartition("/")
+    if not name:
+        name = head.rpartition("/")[2]
+    name = name.lower()
+    return name[:len(name) - len(suffix)] if suffix and name.endswith(suffix) else name
 
 
-def load_step(spark: SparkSession, uri: str, root: str,
-              schema: StructType | str | None = None, sampling_ratio: float | None = None) -> str:
+def load_step(spark: SparkSession, uri: str, root: str, schema: StructType | str | None = None) -> str:
     """CSV at ``uri`` -> parquet at ``<root>/load/<stem>/``; returns it.
-    Types are inferred unless a ``schema`` is given (on large inputs give one,
-    or a ``sampling_ratio`` for the inference pass)."""
-    df = read_csv(spark, uri, schema, recursive=True, sampling_ratio=sampling_ratio)
+    Types are inferred unless a ``schema`` is given (give one on large inputs)."""
+    df = read_csv(spark, uri, schema, recursive=True)
     return write_parquet(df, f"{root.rstrip('/')}/load/{path_stem(uri)}/")
 
 

@@ -50,21 +50,36 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Read from the session; a checkpoint folder already set on the context is
-    used next; only a bare session (as in tests) gets a folder of our own.
+    used next. Only a session on this machine alone (as in tests) gets a
+    folder of its own; on a cluster executors would not see it, so there a
+    session without a shared folder is an error.
     """
     sc = spark.sparkContext
     root = (sc.getConf().get("spark.checkpoint.dir", None) or _OWN_ROOTS.get(sc.applicationId)
             or sc.getCheckpointDir())
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = _OWN_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="corvid-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application's scratch output goes."""
+    return f"{checkpoint_root(spark)}/corvid/{spark.sparkContext.applicationId}"
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared root, one per call, so runs never collide."""
-    return f"{checkpoint_root(spark)}/corvid/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch output. Results of queries read from it, so call it after their last use."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -3,19 +3,23 @@ replace (A05) and raw landing of text files (A10)."""
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from corvid.operators.sizing import bounded_broadcast
+from corvid.functions.text import named_path
 
 
 def read_csv(spark: SparkSession, uri: str | list[str], schema: StructType | str | None = None, *,
-             header: bool = True, recursive: bool = False, sampling_ratio: float | None = None) -> DataFrame:
+             header: bool = True, recursive: bool = False) -> DataFrame:
     """CSV with a header row; blanks leading each field are ignored.
 
-    With ``schema`` the scan is a single pass. Without one, types are inferred,
-    which costs an extra pass (over a ``sampling_ratio`` fraction of the rows
-    when given) and narrows whole numbers to ``int`` where they fit.
+    With ``schema`` the scan is a single pass. Without one, types are inferred
+    from all rows, which costs an extra pass, and whole numbers are narrowed to
+    ``int`` where they fit; give a schema on large inputs.
     ``recursive`` reads a landed tree (see :func:`land_raw`) without turning
     its folders into columns.
     """
@@ -27,8 +31,6 @@ def read_csv(spark: SparkSession, uri: str | list[str], schema: StructType | str
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True)
-        if sampling_ratio is not None:
-            reader = reader.option("samplingRatio", sampling_ratio)
     return reader.csv(uri)
 
 
@@ -48,49 +50,75 @@ def write_parquet(df: DataFrame, uri: str, partition_by: list[str] | None = None
     return uri
 
 
+_GLOB = re.compile(r"[*?\[{]")
+
+
+def _base(src: str) -> str:
+    """The folder of ``src`` above its first pattern, as paths are written (no scheme)."""
+    plain = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(//[^/]*)?", "", src)
+    return plain[:(_GLOB.search(plain) or re.search(r"\Z", plain)).start()].rpartition("/")[0] + "/"
+
+
+def _repeat_headers(batches):
+    """Lines sorted by file and place; a file whose lines do not begin with its first split gets its header.
+
+    What a task holds of one file becomes one part, which so begins with the header once.
+    """
+    last = None
+    for b in batches:
+        source, chunk = b.column("source"), b.column("chunk")
+        lines, runs = b.column("value").to_pylist(), pc.run_end_encode(source)
+        start = 0
+        for end in runs.run_ends.to_pylist():
+            name, head = source[start].as_py(), b.column("header")[start].as_py()
+            if name != last and chunk[start].as_py() > 0 and head is not None:
+                lines[start] = f"{head}\n{lines[start]}"
+            last, start = name, end
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), source, chunk, b.column("pos")],
+                                         names=["value", "source", "chunk", "pos"])
+
+
 def land_raw(spark: SparkSession, src: str | list[str], dst: str, *, header: bool = True) -> str:
     """Copy a set of text files under ``dst``, line by line, replacing what was there.
 
-    Each source file lands under ``dst/source=<file name>/``, one part per
-    input split (``chunk=<byte offset>``), so no file is ever held whole by one
-    task. With ``header`` the first line of each file is repeated at the top of
+    Each source file lands under ``dst/source=<its path below the pattern's
+    folder>/``, one part per task that read a piece of it, so no file is ever
+    held whole by one task and files of one name in different folders stay
+    apart. With ``header`` the first line of a file is repeated at the top of
     every later split, so every landed part is a complete CSV and reading the
-    tree back with a header keeps all rows. Lines keep their order within a part.
+    tree back with a header keeps all rows. Lines keep their order within a
+    part. An empty file has no lines and leaves nothing (Spark's readers do
+    not see it).
 
-    Work, all hash-based (no sort-based aggregate over lines): the first
-    position of every split (a partial aggregate in the scan tasks); if some
-    file spans several splits, the header lines, fetched by a semi-join on
-    those positions, and a join of one row per split into the copy. The
-    small sides are broadcast only when proven small.
+    Headers are fetched only for files that can span splits, from their first
+    split; whether their table is broadcast is left to Spark.
     """
-    lines = (spark.read.text(src)
-             .select(F.col("value").alias("line"),
-                     F.col("_metadata.file_name").alias("source"),
-                     F.col("_metadata.file_block_start").alias("chunk"),
-                     F.monotonically_increasing_id().alias("pos")))
-    cached = []
-    if header:
-        firsts = lines.groupBy("source", "chunk").agg(F.min("pos").alias("first_pos")).cache()
-        cached.append(firsts)
-        # headers need repeating only where some file spans more than one split
-        header = firsts.where(F.col("chunk") > 0).limit(1).count() > 0
+    srcs = [src] if isinstance(src, str) else list(src)
+    base = min((_base(s) for s in srcs), key=len)
+    if not all(_base(s).startswith(base) for s in srcs):
+        base = "/"
+
+    def below(path):
+        return F.when(F.instr(path, base) > 0, F.substring(path, F.instr(path, base) + len(base), F.length(path))).otherwise(path)
+
+    rows = (spark.read.text(srcs)
+            .select("value", below(named_path("_metadata.file_path")).alias("source"), F.col("_metadata.file_block_start").alias("chunk"),
+                    F.col("_metadata.file_size").alias("size")))
+    least_split = min(_size(spark, "spark.sql.files.openCostInBytes"), _size(spark, "spark.sql.files.maxPartitionBytes"))
+    lines = rows.withColumn("pos", F.monotonically_increasing_id())  # the order within a task
     if header:
-        head_pos, small = bounded_broadcast(firsts.where(F.col("chunk") == 0).select("first_pos"))
-        cached += [head_pos] if small else []
-        heads = (lines.where(F.col("chunk") == 0)
-                 .join(head_pos, F.col("pos") == F.col("first_pos"), "left_semi")
-                 .select("source", F.col("line").alias("header")))
-        marks = firsts.where(F.col("chunk") > 0).join(heads, "source")
-        marks, small = bounded_broadcast(marks)
-        cached += [marks] if small else []
-        lines = (lines.join(marks, ["source", "chunk"], "left")
-                 .select("source", "chunk", "pos",
-                         F.when(F.col("pos") == F.col("first_pos"),
-                                F.concat_ws("\n", "header", "line"))
-                         .otherwise(F.col("line")).alias("line")))
-    (lines.sortWithinPartitions("source", "chunk", "pos")
-     .select(F.col("line").alias("value"), "source", "chunk")
-     .write.mode("overwrite").partitionBy("source", "chunk").text(dst))
-    for df in cached:
-        df.unpersist()
+        heads = (rows.where((F.col("chunk") == 0) & (F.col("size") > least_split))
+                 .groupBy("source").agg(F.first("value").alias("header")))
+        lines = (lines.join(heads, "source", "left").select("value", "source", "chunk", "pos", "header")
+                 .sortWithinPartitions("source", "chunk", "pos")
+                 .mapInArrow(_repeat_headers, "value string, source string, chunk long, pos long"))
+    (lines.sortWithinPartitions("source", "chunk", "pos").select("value", "source")
+     .write.mode("overwrite").partitionBy("source").text(dst))
     return dst
+
+
+def _size(spark: SparkSession, name: str) -> int:
+    """A size setting in bytes."""
+    value = str(spark.conf.get(name)).lower().strip()
+    number, unit = re.fullmatch(r"([0-9]+) *([kmgt]?)i?b?", value).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]

@@ -9,6 +9,8 @@ so the step runs on a schedule like the batch one.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -20,7 +22,7 @@ from corvid.sources.files import read_csv
 def _writer(spark: SparkSession, src: str, dst: str, schema, checkpoint, max_files_per_batch):
     if schema is None:
         schema = read_csv(spark, src, recursive=True).schema
-    checkpoint = checkpoint or f"{checkpoint_root(spark)}/corvid-streams/{dst.strip('/').replace('/', '_')}"
+    checkpoint = checkpoint or f"{checkpoint_root(spark)}/corvid-streams/{quote(dst.rstrip('/'), safe='')}"
     reader = (spark.readStream.schema(schema).option("header", True)
               .option("ignoreLeadingWhiteSpace", True).option("recursiveFileLookup", True))
     if max_files_per_batch:

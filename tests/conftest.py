@@ -12,9 +12,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from corvid.session import build_session
+    from corvid.session import build_session, clean_scratch
     s = build_session("local[*]", shuffle_partitions=8)
     yield s
+    clean_scratch(s)
 
 
 @pytest.fixture(scope="session")

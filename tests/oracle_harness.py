@@ -35,7 +35,7 @@ def _norm(v):
         return "∅"
     if isinstance(v, float):
         if math.isnan(v):
-            return "∅"
+            return "NaN"
         return repr(v)
     if isinstance(v, Decimal):
         return str(int(v)) if v == v.to_integral_value() else f"{float(v):.9g}"

@@ -7,11 +7,9 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from corvid.plans.catalog import ORACLE as SQL, QUERIES
 from tests.oracle_harness import compare, duck
 
-QUERIES = queries()
-SQL = oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -20,6 +18,7 @@ def con(sf_dir):
 
 def test_every_query_has_a_twin():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from corvid.operators.placement import DRIVER_LABEL, EXECUTOR_LABEL, placement_rules, rank_placements
 
 
 def brute_force(drivers, executors, nodes):
     zone = dict(nodes)
-    tasks = {t for t, n in drivers if n in zone} | {t for t, n in executors if n in zone}
+    tasks = {t for t, n in drivers} | {t for t, n in executors}
     best = {}
     for t in tasks:
         dh = {n for tt, n in drivers if tt == t and n in zone}
@@ -17,8 +19,8 @@ def brute_force(drivers, executors, nodes):
         dz, sz = {zone[n] for n in dh}, {zone[n] for n in sh}
         scored = [(100 * (n in dh) + 75 * (n in sh) + 50 * (z in dz) + 25 * (z in sz), -n) for n, z in nodes]
         s, neg = max(scored)
-        if s > 0:
-            best[t] = (-neg, s)
+        lost = sum(tt == t and n not in zone for tt, n in drivers + executors)
+        best[t] = (-neg if s > 0 else None, s, lost)
     return best
 
 
@@ -43,7 +45,7 @@ def test_rank_matches_brute_force(spark):
         got = rank_placements(spark.createDataFrame(drivers, "task_id long, node long"),
                               spark.createDataFrame(executors, "task_id long, node long"),
                               spark.createDataFrame(nodes, "node long, zone int")).collect()
-        assert {r.task_id: (r.node, r.score) for r in got} == brute_force(drivers, executors, nodes), trial
+        assert {r.task_id: (r.node, r.score, r.unlisted_pods) for r in got} == brute_force(drivers, executors, nodes), trial
 
 
 def test_stated_order_of_preference(spark):
@@ -74,7 +76,7 @@ def test_hot_task_with_a_third_of_all_executors(spark):
     got = rank_placements(spark.createDataFrame(drivers, "task_id long, node long"),
                           spark.createDataFrame(executors, "task_id long, node long"),
                           spark.createDataFrame(nodes, "node long, zone int")).collect()
-    assert {r.task_id: (r.node, r.score) for r in got} == brute_force(drivers, executors, nodes)
+    assert {r.task_id: (r.node, r.score, r.unlisted_pods) for r in got} == brute_force(drivers, executors, nodes)
 
 
 def test_own_rules_replace_the_defaults(spark):
@@ -86,6 +88,19 @@ def test_own_rules_replace_the_defaults(spark):
     assert [r.weight for r in got if r.task_id == 2] == [100, 75, 50, 25]
 
 
+def test_ranking_follows_the_given_rules_and_names(spark):
+    nodes = spark.createDataFrame([("a", "z1"), ("b", "z1"), ("c", "z2"), ("d", None)], "node string, zone string")
+    drivers = spark.createDataFrame([("t1", "a"), ("t2", "b"), ("t3", "gone")], "task_id string, node string")
+    executors = spark.createDataFrame([("t1", "c"), ("t2", "d"), ("t2", "gone")], "task_id string, node string")
+    from corvid.operators.placement import affinity_id
+    own = drivers.select("task_id", F.lit(7).alias("weight"), F.lit(EXECUTOR_LABEL).alias("label_key"),
+                         affinity_id("executor", "task_id").alias("label_value"), F.lit("topology.kubernetes.io/zone").alias("topology_key"))
+    got = {r.task_id: (r.node, r.score, r.unlisted_pods) for r in rank_placements(drivers, executors, nodes, rules=own).collect()}
+    assert got == {"t1": ("c", 7, 0), "t2": (None, 0, 1), "t3": (None, 0, 1)}
+    plain = {r.task_id: (r.node, r.score) for r in rank_placements(drivers, executors, nodes).collect()}
+    assert plain == {"t1": ("a", 150), "t2": ("b", 150), "t3": (None, 0)}
+
+
 def test_dotted_names(spark):
     d = spark.createDataFrame([(1, 2)], "`t.id` long, `n.id` long")
     n = spark.createDataFrame([(2, 0), (3, 0)], "`n.id` long, `z.id` int")

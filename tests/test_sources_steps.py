@@ -61,7 +61,7 @@ def test_land_raw_keeps_every_row_across_splits(spark):
         dst = land_raw(spark, f"{root}/src/*.csv", f"{root}/extract")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    parts = [p for p in os.listdir(f"{dst}/source=big.csv") if p.startswith("chunk=")]
+    parts = [p for p in os.listdir(f"{dst}/source=big.csv") if p.startswith("part-")]
     assert len(parts) > 1  # the big file landed as several parts
     back = read_csv(spark, f"{dst}/source=big.csv", "k long, v string", recursive=True)
     assert back.count() == 20000 and back.agg(F.countDistinct("k")).first()[0] == 20000
@@ -71,7 +71,7 @@ def test_land_raw_keeps_every_row_across_splits(spark):
 def test_path_stems():
     assert path_stem("s3a://b/extract/Films.csv") == "films"
     assert path_stem("s3a://b/load/films/") == "films"
-    assert path_stem("/x/extract/source=Movies.csv") == "movies"
+    assert path_stem("/x/extract/source=Movies.csv") == "source=movies"
 
 
 def test_load_transform_chain_and_pipeline(spark):
@@ -147,7 +147,25 @@ def test_land_raw_awkward_files(spark):
     assert back("crlf.csv") == [(1, "a"), (2, "b")]
     assert back("no_newline.csv") == [(1, "a"), (2, "b")]
     assert back("header_only.csv") == []
-    assert not os.path.exists(f"{dst}/source=empty.csv")
+    assert not os.path.exists(f"{dst}/source=empty.csv")  # no lines, nothing to land
+
+
+def test_land_raw_keeps_files_of_one_name_apart(spark):
+    root = scratch_dir(spark, "t-land-same")
+    for folder in ("one", "two x+y%"):
+        _write(f"{root}/src/{folder}/a.csv", "k,v\n" + "".join(f"{folder[0]}{i},{'x' * 40}\n" for i in range(20000)))
+    for i in range(40):
+        _write(f"{root}/many/d{i}/a.csv", f"k,v\n{i}a,1\n{i}b,2\n{i}c,3\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024))
+    try:
+        dst = land_raw(spark, f"{root}/src/*/*.csv", f"{root}/extract")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    back = read_csv(spark, dst, "k string, v string", recursive=True)
+    assert back.count() == 40000 and back.select("k").distinct().count() == 40000
+    small = read_csv(spark, land_raw(spark, f"{root}/many/*/a.csv", f"{root}/small"), recursive=True)
+    assert small.count() == 120 and small.where("k = 'k'").count() == 0
 
 
 def test_land_raw_without_header_copies_lines(spark):
