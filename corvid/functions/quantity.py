@@ -1,15 +1,15 @@
 """Resource quantities as Column expressions.
 
-A memory quantity is stored as a positive ``bigint`` of bytes, a CPU quantity
-as a positive ``bigint`` of milli-cores. Parsers return a struct
-``<value: bigint, reason: string>``: ``value`` is null exactly when ``reason``
-names why the text was rejected. No Python UDF is involved; every function
+A memory quantity is stored as a positive ``decimal(38,0)`` of bytes, a CPU
+quantity as a positive ``bigint`` of milli-cores. Parsers return a struct
+``<value, reason: string>``: ``value`` is null exactly when ``reason`` names
+why the text was rejected. No Python UDF is involved; every function
 compiles to built-in expressions inside whole-stage codegen.
 
 Rejection reasons:
   ``type``          the input is null (not text)
   ``pattern``       the text does not follow the grammar
-  ``range``         the value does not fit the 64-bit canonical form
+  ``range``         the value does not fit the stored type
   ``not_positive``  the value truncates to zero or less
 
 Arithmetic follows the contract exactly: decimal text is converted to a
@@ -19,6 +19,7 @@ cores is 1004 milli-cores); integer paths are exact and overflow-checked.
 
 from __future__ import annotations
 
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
@@ -47,6 +48,9 @@ K8S_CPU_PATTERN = rf"^{NUMBER}(m?){_END}"
 JVM_CPU_PATTERN = r"^\s*+([+-]?+\d++(?:_\d++)*+)\s*+\z"
 
 TWO_63 = 9.223372036854775807e18  # 2**63 as a double; anything below fits bigint
+WIDE, WIDE_LIMIT = "decimal(38,0)", 1e38  # stored memory
+TWO_63_EXACT = Decimal(2 ** 63)
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 TYPE, PATTERN, RANGE, NOT_POSITIVE = "type", "pattern", "range", "not_positive"
 
@@ -126,26 +130,64 @@ def _exact_checks(ref) -> tuple[Column, Column]:
     return value, reason
 
 
+def _wide(d: Column) -> Column:
+    """The whole part of a double in [0, 1e38), exactly: a plain cast to
+    decimal rounds above 2**53, so larger ones are put together from three
+    pieces of at most 53 bits."""
+    top = F.floor(d / F.lit(2.0 ** 64))
+    rest = d - top.cast("double") * F.lit(2.0 ** 64)
+    middle = F.floor(rest / F.lit(2.0 ** 32))
+    low = F.floor(rest - middle.cast("double") * F.lit(2.0 ** 32))
+    big = (top.cast("decimal(19,0)") * F.lit(Decimal(2 ** 64)) + middle.cast("decimal(19,0)") * F.lit(Decimal(2 ** 32))
+           + low.cast("decimal(19,0)"))
+    return F.when(d < TWO_63, d.try_cast("bigint").cast(WIDE)).otherwise(big.cast(WIDE))
+
+
+def _truncated(d: Column) -> Column:
+    """A double as a stored amount: 0 below 1, null from 1e38 on (and for NaN)."""
+    return F.when(d < 1, F.lit(0).cast(WIDE)).when(d < WIDE_LIMIT, _wide(d))
+
+
+def _times(a: Column, b: Column) -> Column:
+    """Exact product of two whole numbers; null where it does not fit."""
+    return F.try_multiply(a, b).try_cast(WIDE)
+
+
+def _wide_checks(ref) -> tuple[Column, Column]:
+    """raw: the amount as ``decimal(38,0)``, null if too large; digits: '' when the text did not match."""
+    value = F.when(ref("raw") > 0, ref("raw"))
+    reason = (F.when(ref("text").isNull(), TYPE).when(ref("digits") == "", PATTERN)
+              .when(ref("raw").isNull(), RANGE).when(ref("raw") <= 0, NOT_POSITIVE))
+    return value, reason
+
+
+def _unit_text(text: Column, digits: Column) -> Column:
+    """What follows the number of a text that matched."""
+    return F.replace(F.substring(text, F.length(digits) + 1, F.length(text)), F.lit("\n"), F.lit(""))
+
+
 def memory_k8s_parse(text: Column | str) -> Parse:
     s = _col(text)
-    number = _number(F.regexp_extract(s, K8S_MEMORY_PATTERN, 1), "double")
-    mult = F.try_element_at(_unit_map(K8S_UNITS, "double"), F.regexp_extract(s, K8S_MEMORY_PATTERN, 2))
-    return Parse({"text": s, "raw": number * mult}, _double_checks)
+    return Parse({"text": s, "digits": F.regexp_extract(s, K8S_MEMORY_PATTERN, 1)}, _wide_checks, {
+        "double": lambda ref: _number(ref("digits"), "double") * F.try_element_at(
+            _unit_map(K8S_UNITS, "double"), _unit_text(ref("text"), ref("digits"))),
+        "raw": lambda ref: _truncated(ref("double"))})
 
 
 def memory_jvm_parse(text: Column | str) -> Parse:
     s = _col(text)
-    digits = F.regexp_extract(s, JVM_MEMORY_PATTERN, 1)
-    mult = F.try_element_at(_unit_map(JVM_UNITS, "bigint"), F.regexp_extract(s, JVM_MEMORY_PATTERN, 2))
-    return Parse({"text": s, "digits": digits, "mult": mult}, _exact_checks,
-                 {"raw": lambda ref: F.try_multiply(_number(ref("digits"), "bigint"), ref("mult"))})
+    mult = lambda ref: F.try_element_at(_unit_map(JVM_UNITS, "bigint"), _unit_text(ref("text"), ref("digits")))
+    return Parse({"text": s, "digits": F.regexp_extract(s, JVM_MEMORY_PATTERN, 1)}, _wide_checks, {
+        "mult": mult,
+        "raw": lambda ref: F.coalesce(
+            F.try_multiply(_number(ref("digits"), "bigint"), ref("mult")).cast(WIDE),
+            _times(_number(ref("digits"), WIDE), ref("mult").cast("decimal(19,0)")))})
 
 
 def cpu_k8s_parse(text: Column | str) -> Parse:
     s = _col(text)
-    number = _number(F.regexp_extract(s, K8S_CPU_PATTERN, 1), "double")
-    scale = F.when(F.regexp_extract(s, K8S_CPU_PATTERN, 2) == "m", F.lit(1.0)).otherwise(F.lit(1000.0))
-    return Parse({"text": s, "raw": number * scale}, _double_checks)
+    scale = F.when(F.rtrim(s, F.lit("\n")).endswith("m"), F.lit(1.0)).otherwise(F.lit(1000.0))
+    return Parse({"text": s, "raw": _number(F.regexp_extract(s, K8S_CPU_PATTERN, 1), "double") * scale}, _double_checks)
 
 
 def cpu_jvm_parse(text: Column | str) -> Parse:
@@ -155,13 +197,26 @@ def cpu_jvm_parse(text: Column | str) -> Parse:
                  {"raw": lambda ref: F.try_multiply(_number(ref("digits"), "bigint"), F.lit(1000).cast("bigint"))})
 
 
-def number_parse(value: Column | str, mult: int, integral: bool) -> Parse:
-    """``int(value * mult)``: exact for integers, through a double otherwise."""
+def _is_integer(v: Column, integral: bool | None) -> Column:
+    """Whether a column counts as whole numbers: as told, else by its type (known before any row is read)."""
+    return F.typeof(v).isin(*_INTEGERS) if integral is None else F.lit(integral)
+
+
+def memory_number_parse(value: Column | str, mult: int, integral: bool | None = None) -> Parse:
+    """``int(value * mult)`` bytes: exact for whole numbers, through a double otherwise."""
+    v = _col(value)
+    raw = F.when(_is_integer(v, integral), _times(v.try_cast("decimal(20,0)"), F.lit(Decimal(mult)))).otherwise(
+        _truncated(v.try_cast("double") * F.lit(float(mult))))
+    return Parse({"text": v, "digits": F.lit("x"), "raw": raw}, _wide_checks)
+
+
+def number_parse(value: Column | str, mult: int, integral: bool | None = None) -> Parse:
+    """``int(value * mult)`` milli-cores: exact for whole numbers, through a double otherwise."""
     v = _col(value)
-    if integral:
-        raw = F.try_multiply(v.cast("bigint"), F.lit(mult).cast("bigint"))
-        return Parse({"text": v, "digits": F.lit("x"), "raw": raw}, _exact_checks)
-    return Parse({"text": v, "raw": v.cast("double") * F.lit(float(mult))}, _double_checks)
+    d = v.try_cast("double") * F.lit(float(mult))
+    raw = F.when(_is_integer(v, integral), F.try_multiply(v.try_cast("bigint"), F.lit(mult).cast("bigint"))).otherwise(
+        F.when(d < 1, F.lit(0).cast("bigint")).when(d < TWO_63, d.try_cast("bigint")))
+    return Parse({"text": v, "digits": F.lit("x"), "raw": raw}, _wide_checks)
 
 
 def memory_k8s(text: Column | str) -> Column:
@@ -210,14 +265,21 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b).cast("bigint"))
 
 
+def _whole(size: Column | str, unit: int) -> Column:
+    """Whole units of an amount of bytes as text."""
+    v = _col(size).cast(WIDE)
+    step = F.lit(Decimal(unit))
+    return F.when(v < TWO_63_EXACT, _div(v.cast("bigint"), unit).cast("string")).otherwise(
+        F.try_divide(v - v % step, step).try_cast(WIDE).cast("string"))
+
+
 def format_memory_k8s(size: Column | str, unit: str | None = "Mi") -> Column:
     """Bytes -> cluster text, floored to whole units; ``None`` = plain bytes."""
-    b = _col(size).cast("bigint")
     if unit is None:
-        return b.cast("string")
+        return _col(size).cast(WIDE).cast("string")
     if unit not in K8S_UNITS:
         raise TypeError(f"{unit!r} is not a cluster memory unit")
-    return F.concat(_div(b, K8S_UNITS[unit]).cast("string"), F.lit(unit))
+    return F.concat(_whole(size, K8S_UNITS[unit]), F.lit(unit))
 
 
 def format_memory_jvm(size: Column | str, unit: str = "m") -> Column:
@@ -226,7 +288,7 @@ def format_memory_jvm(size: Column | str, unit: str = "m") -> Column:
         raise ValueError("a JVM memory unit is required")
     if unit not in JVM_UNITS:
         raise ValueError(f"{unit!r} is not a JVM memory unit")
-    return F.concat(_div(_col(size).cast("bigint"), JVM_UNITS[unit]).cast("string"), F.lit(unit))
+    return F.concat(_whole(size, JVM_UNITS[unit]), F.lit(unit))
 
 
 def format_cpu_k8s(m_cores: Column | str) -> Column:
@@ -251,66 +313,74 @@ def _unit_multiplier(unit: str | None) -> int:
     raise TypeError(f"{unit!r} is not a memory unit")
 
 
-def to_bytes_checked(amount: Column | str, unit: str | None = None, integral: bool = False) -> Column:
-    """``amount`` of ``unit`` -> bytes (``int(amount * multiplier)``)."""
-    return number_parse(amount, _unit_multiplier(unit), integral).inline()
+def to_bytes_checked(amount: Column | str, unit: str | None = None, integral: bool | None = None) -> Column:
+    """``amount`` of ``unit`` -> bytes (``int(amount * multiplier)``);
+    whole-number columns exactly, others through a double."""
+    return memory_number_parse(amount, _unit_multiplier(unit), integral).inline()
 
 
-def to_bytes(amount: Column | str, unit: str | None = None, integral: bool = False) -> Column:
-    return _value(number_parse(amount, _unit_multiplier(unit), integral))
+def to_bytes(amount: Column | str, unit: str | None = None, integral: bool | None = None) -> Column:
+    return _value(memory_number_parse(amount, _unit_multiplier(unit), integral))
 
 
-def to_m_cores_checked(cores: Column | str, integral: bool = False) -> Column:
+def to_m_cores_checked(cores: Column | str, integral: bool | None = None) -> Column:
     """Cores -> milli-cores (``int(cores * 1000)``)."""
     return number_parse(cores, 1000, integral).inline()
 
 
-def to_m_cores(cores: Column | str, integral: bool = False) -> Column:
+def to_m_cores(cores: Column | str, integral: bool | None = None) -> Column:
     return _value(number_parse(cores, 1000, integral))
 
 
-def _factor(factor: Column | int | float) -> tuple[Column, bool]:
+def _factor(factor: Column | int | float) -> Column:
     if isinstance(factor, bool) or not isinstance(factor, (Column, int, float)):
         raise TypeError("a quantity can only be scaled by a number")
     if isinstance(factor, Column):
-        return factor, False
-    return F.lit(factor), isinstance(factor, int)
+        return factor
+    return F.lit(factor) if abs(factor) < 2 ** 63 or isinstance(factor, float) else F.lit(Decimal(factor))
+
+
+def _both(size: Column, factor: Column) -> Column:
+    """Not null where both are given."""
+    return F.when(size.isNotNull() & factor.isNotNull(), F.lit("x"))
+
+
+def scale_memory_parse(size: Column | str, factor: Column | int | float, integral: bool | None = None) -> Parse:
+    b, f = _col(size), _factor(factor)
+    whole = F.lit(True) if isinstance(factor, int) and integral is None else _is_integer(f, integral)
+    raw = F.when(whole, _times(b.cast(WIDE), f.try_cast("decimal(20,0)"))).otherwise(
+        _truncated(b.cast("double") * f.cast("double")))
+    return Parse({"text": _both(b, f), "digits": F.lit("x"), "raw": raw}, _wide_checks)
 
 
-def scale_parse(size: Column | str, factor: Column | int | float, integral: bool | None = None,
-                through_cores: bool = False) -> Parse:
-    f, is_int = _factor(factor)
-    is_int = is_int if integral is None else integral
-    b = _col(size)
-    if is_int:
-        raw = F.try_multiply(b.cast("bigint"), f.cast("bigint"))
-        return Parse({"text": F.coalesce(b, f), "digits": F.lit("x"), "raw": raw}, _exact_checks)
-    if through_cores:
-        raw = ((b.cast("double") / F.lit(1000.0)) * f.cast("double")) * F.lit(1000.0)
-    else:
-        raw = b.cast("double") * f.cast("double")
-    return Parse({"text": F.when(b.isNotNull() & f.isNotNull(), F.lit("x")), "raw": raw}, _double_checks)
+def scale_cpu_parse(m_cores: Column | str, factor: Column | int | float, integral: bool | None = None) -> Parse:
+    b, f = _col(m_cores).cast("bigint"), _factor(factor)
+    whole = F.lit(True) if isinstance(factor, int) and integral is None else _is_integer(f, integral)
+    d = ((b.cast("double") / F.lit(1000.0)) * f.cast("double")) * F.lit(1000.0)
+    raw = F.when(whole, F.try_multiply(b, f.try_cast("bigint"))).otherwise(
+        F.when(d < 1, F.lit(0).cast("bigint")).when(d < TWO_63, d.try_cast("bigint")))
+    return Parse({"text": _both(b, f), "digits": F.lit("x"), "raw": raw}, _wide_checks)
 
 
 def scale_memory_checked(size: Column | str, factor: Column | int | float,
                          integral: bool | None = None) -> Column:
-    """Bytes x factor, truncated; an integer factor is exact."""
-    return scale_parse(size, factor, integral).inline()
+    """Bytes x factor, truncated; a whole-number factor or column is exact."""
+    return scale_memory_parse(size, factor, integral).inline()
 
 
 def scale_memory(size: Column | str, factor: Column | int | float, integral: bool | None = None) -> Column:
-    return _value(scale_parse(size, factor, integral))
+    return _value(scale_memory_parse(size, factor, integral))
 
 
 def scale_cpu_checked(m_cores: Column | str, factor: Column | int | float,
                       integral: bool | None = None) -> Column:
     """Milli-cores x factor. A float factor goes through cores:
-    ``int(((m / 1000) * f) * 1000)`` in doubles; an integer factor is exact."""
-    return scale_parse(m_cores, factor, integral, through_cores=True).inline()
+    ``int(((m / 1000) * f) * 1000)`` in doubles; a whole-number factor or column is exact."""
+    return scale_cpu_parse(m_cores, factor, integral).inline()
 
 
 def scale_cpu(m_cores: Column | str, factor: Column | int | float, integral: bool | None = None) -> Column:
-    return _value(scale_parse(m_cores, factor, integral, through_cores=True))
+    return _value(scale_cpu_parse(m_cores, factor, integral))
 
 
 PARSERS = {

@@ -61,11 +61,25 @@ def token_claims(token: Column | str, schema: StructType = SERVICE_ACCOUNT_CLAIM
     return F.from_json(token_payload(token), schema)
 
 
+# Only what an audit of accounts needs is read from the payload.
+_ACCOUNT = StructType([StructField("kubernetes.io", StructType([
+    StructField("serviceaccount", StructType([StructField("name", StringType())]))]))])
+
+
+def account_claim(token: Column | str) -> Column:
+    """The account object of a cluster token: struct<name>; null when it or the token is missing."""
+    return F.from_json(token_payload(token), _ACCOUNT)["kubernetes.io"]["serviceaccount"]
+
+
+def account_name(claim: Column) -> Column:
+    """Name of an account object; ``default`` when it carries none."""
+    return F.when(claim.isNotNull(), F.coalesce(claim["name"], F.lit(DEFAULT_ACCOUNT)))
+
+
 def service_account(token: Column | str) -> Column:
     """Account name claimed by a cluster token; ``default`` when the account
     object carries no name; null when the token or the account object is missing."""
-    sa = token_claims(token)["kubernetes.io"]["serviceaccount"]
-    return F.when(sa.isNotNull(), F.coalesce(sa["name"], F.lit(DEFAULT_ACCOUNT)))
+    return account_name(account_claim(token))
 
 
 def encode_token(header_json: Column, payload_json: Column, signature: Column) -> Column:

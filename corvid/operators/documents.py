@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corvid.functions.tokens import service_account
+from corvid.functions.tokens import account_claim, account_name
 from corvid.operators import settings as st
 from corvid.operators.aggregate import col_of
 from corvid.operators.placement import DRIVER_LABEL, EXECUTOR_LABEL, affinity_id, rule_structs
@@ -124,5 +124,6 @@ def render_pod_json(df: DataFrame, component: str = "executor", env: Mapping[str
 def tokens_per_account(df: DataFrame, token: str = "token") -> DataFrame:
     """How many tokens name each service account (null: unreadable
     token). Signatures are not checked - an audit, not an authorisation."""
-    return (df.select(service_account(col_of(df, token)).alias("account"))
+    claims = df.select(account_claim(col_of(df, token)).alias("claim"))  # parsed once
+    return (claims.select(account_name(F.col("claim")).alias("account"))
             .groupBy("account").agg(F.count(F.lit(1)).alias("n_tokens")))

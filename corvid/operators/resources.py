@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corvid.functions.quantity import format_cpu_k8s, format_memory_k8s, scale_memory
+from corvid.functions.quantity import WIDE, format_cpu_k8s, format_memory_k8s, scale_memory
 from corvid.operators.aggregate import col_of
 
 
@@ -26,10 +26,10 @@ def request_memory_bytes(memory: Column | str, overhead: Column | str, factor: C
     """
     if rule not in ("as_coded", "additional"):
         raise ValueError("rule is 'as_coded' or 'additional'")
-    m, o, f = _col(memory).cast("bigint"), _col(overhead).cast("bigint"), _col(factor).cast("double")
+    m, o, f = _col(memory).cast(WIDE), _col(overhead).cast(WIDE), _col(factor).cast("double")
     scaled = scale_memory(m, f if rule == "as_coded" else F.lit(1.0) + f, integral=False)
-    return (F.when(m.isNull(), F.lit(None).cast("bigint"))
-            .when(o.isNotNull(), F.try_add(m, o))
+    return (F.when(m.isNull(), F.lit(None).cast(WIDE))
+            .when(o.isNotNull(), (m + o).cast(WIDE))
             .when(f.isNotNull(), scaled)
             .otherwise(m))
 

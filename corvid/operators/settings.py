@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType,
+from pyspark.sql.types import (ArrayType, BooleanType, DecimalType, DoubleType, IntegerType, LongType,
                                StringType, StructField, StructType)
 
 from corvid.functions.quantity import format_cpu_jvm, format_cpu_k8s, format_memory_jvm
@@ -96,7 +96,7 @@ DRIVER_IMAGE = "apache/spark:3.5.0-scala2.12-java17-python3-ubuntu"
 
 DEFAULT_ENV: dict[str, str] = {"aws_role_arn": "default"}
 
-_TYPES = {"cpu_jvm": LongType(), "cpu_k8s": LongType(), "memory_m": LongType(), "float": DoubleType(),
+_TYPES = {"cpu_jvm": LongType(), "cpu_k8s": LongType(), "memory_m": DecimalType(38, 0), "float": DoubleType(),
           "text": StringType(), "int": IntegerType(), "bool": BooleanType(), "list": ArrayType(StringType()),
           "const": StringType(), "count": StringType()}
 

@@ -82,7 +82,7 @@ def _bound(text: str, parser: str) -> Column:
     lit_value, lit_reason = q.PARSERS[parser](F.lit(text)).finish(
         lambda name: q.PARSERS[parser](F.lit(text)).parts[name])
     return F.when(lit_reason.isNull(), lit_value).otherwise(
-        F.raise_error(F.lit(f"invalid {parser} quantity literal: {text!r}")).cast("bigint"))
+        F.raise_error(F.lit(f"invalid {parser} quantity literal: {text!r}")).cast("int"))
 
 
 def where_quantity(df: DataFrame, col: str, op: str, text: str, parser: str,

@@ -233,6 +233,7 @@ def a17_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parse_query_sql(kind: str, src: str, value: str) -> str:
     v, r = parse_sql(kind, src)
+    v = f"cast({v} as decimal(38,0))" if kind.startswith("memory") else v
     return (with_(FX_QUANTITY) +
             f"select l_orderkey, l_linenumber, {src}, {v} as {value}, {r} as reason from fx_quantity")
 
@@ -328,17 +329,17 @@ def _pos(expr: str) -> str:
 
 @register("b09_to_bytes",
           "select l_orderkey, l_linenumber, "
-          f"{_pos('cast(trunc(l_quantity * 1048576.0) as bigint)')} as qty_mib_bytes, "
-          f"{_pos('cast(l_linenumber as bigint) * 1073741824')} as line_gib_bytes, "
+          f"cast({_pos('cast(trunc(l_quantity * 1048576.0) as bigint)')} as decimal(38,0)) as qty_mib_bytes, "
+          f"cast({_pos('cast(l_linenumber as bigint) * 1073741824')} as decimal(38,0)) as line_gib_bytes, "
           f"{_pos('cast(trunc(l_tax * 1000.0) as bigint)')} as tax_m_cores, "
           f"{_pos('cast(l_linenumber as bigint) * 1000')} as line_m_cores from lineitem")
 def b09_to_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_parquet(spark, table_path(sf_dir, "lineitem"))
     return li.select("l_orderkey", "l_linenumber",
                      q.to_bytes("l_quantity", "Mi").alias("qty_mib_bytes"),
-                     q.to_bytes("l_linenumber", "Gi", integral=True).alias("line_gib_bytes"),
+                     q.to_bytes("l_linenumber", "Gi").alias("line_gib_bytes"),
                      q.to_m_cores("l_tax").alias("tax_m_cores"),
-                     q.to_m_cores("l_linenumber", integral=True).alias("line_m_cores"))
+                     q.to_m_cores("l_linenumber").alias("line_m_cores"))
 
 
 def _b10_sql() -> str:
@@ -356,7 +357,8 @@ def b10_sum_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("b11_scale",
           "select l_orderkey, l_linenumber, "
-          f"{_pos('cast(trunc((cast(l_quantity as double) * 1048576.0) * l_discount) as bigint)')} as mem_scaled, "
+          f"cast({_pos('cast(trunc((cast(l_quantity as double) * 1048576.0) * l_discount) as bigint)')} as decimal(38,0)) as mem_scaled, "
+          f"cast(9007199254740993::hugeint * l_linenumber as decimal(38,0)) as mem_x_line, "
           f"{_pos('cast(trunc(((cast(trunc(l_quantity * 1000.0) as bigint) / 1000.0) * 1.5) * 1000.0) as bigint)')}"
           " as cpu_x1_5, "
           f"{_pos('cast(trunc(l_quantity * 1000.0) as bigint) * 3')} as cpu_x3, "
@@ -368,6 +370,7 @@ def b11_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     cpu = q.to_m_cores("l_quantity")
     return li.select("l_orderkey", "l_linenumber",
                      q.scale_memory(mem, F.col("l_discount")).alias("mem_scaled"),
+                     q.scale_memory(F.lit(9007199254740993), F.col("l_linenumber")).alias("mem_x_line"),
                      q.scale_cpu(cpu, 1.5).alias("cpu_x1_5"),
                      q.scale_cpu(cpu, 3).alias("cpu_x3"),
                      q.scale_cpu(cpu, F.col("l_tax")).alias("cpu_x_tax"))
@@ -390,7 +393,7 @@ def b12_where_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _b12_range_sql() -> str:
     v, _ = parse_sql("memory_k8s", "mem_k8s")
     return (with_(FX_QUANTITY) +
-            f"select l_suppkey, min({v}) as min_mem_k8s, max({v}) as max_mem_k8s, count({v}) as n_valid_mem_k8s "
+            f"select l_suppkey, cast(min({v}) as decimal(38,0)) as min_mem_k8s, cast(max({v}) as decimal(38,0)) as max_mem_k8s, count({v}) as n_valid_mem_k8s "
             "from fx_quantity group by l_suppkey")
 
 

@@ -27,17 +27,26 @@ def _case(key, pairs, default):
 
 
 def fx_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantity texts in three grammars, one row per line item."""
+    """Quantity texts in three grammars, one row per line item (B01-B13): every
+    unit, nulls, blanks, zeros, and values past 64 bits."""
     li = table(spark, sf_dir, "lineitem")
     q = F.col("l_quantity").cast("int").cast("string")
     pk = F.col("l_partkey")
-    mem_k8s = F.concat(q, _case(pk % 9, [(0, "Mi"), (1, "Gi"), (2, "Ki"), (3, ""), (4, "M"),
-                                          (5, "k"), (6, ".5Gi"), (7, "G")], "bad"))
-    mem_jvm = F.concat(q, _case(pk % 6, [(0, "k"), (1, "m"), (2, "g"), (3, "t"), (4, "")], "G"))
-    cpu_k8s = (F.when(pk % 5 == 0, F.concat(q, F.lit("00m")))
-               .when(pk % 5 == 1, q)
-               .when(pk % 5 == 2, F.concat(F.lit("0."), q))
-               .when(pk % 5 == 3, F.concat(q, F.lit(".001")))
+    mem_k8s = F.concat(q, _case(pk % 20, [
+        (0, "Mi"), (1, "Gi"), (2, "Ki"), (3, ""), (4, "M"), (5, "k"), (6, ".5Gi"), (7, "G"), (8, "bad"), (9, "Ti"), (10, "Pi"),
+        (11, "Ei"), (12, "T"), (13, "P"), (14, "E"), (15, "000Ei"), (16, " Mi")], "Mi"))
+    mem_k8s = (F.when(pk % 20 == 17, F.lit(None)).when(pk % 20 == 18, "").when(pk % 20 == 19, "0Gi").otherwise(mem_k8s))
+    mem_jvm = F.concat(q, _case(pk % 10, [(0, "k"), (1, "m"), (2, "g"), (3, "t"), (4, ""), (5, "0000000t"),
+                                          (6, "00000000000000000000000000000000000000k")], "G"))
+    mem_jvm = F.when(pk % 10 == 8, F.lit(None)).when(pk % 10 == 9, "0m").otherwise(mem_jvm)
+    cpu_k8s = (F.when(pk % 9 == 0, F.concat(q, F.lit("00m")))
+               .when(pk % 9 == 1, q)
+               .when(pk % 9 == 2, F.concat(F.lit("0."), q))
+               .when(pk % 9 == 3, F.concat(q, F.lit(".001")))
+               .when(pk % 9 == 4, F.lit("0.0001"))
+               .when(pk % 9 == 5, F.concat(q, F.lit("000000000000000000000")))
+               .when(pk % 9 == 6, "")
+               .when(pk % 9 == 7, F.lit(None))
                .otherwise(F.lit("x")))
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      mem_k8s.alias("mem_k8s"), mem_jvm.alias("mem_jvm"), cpu_k8s.alias("cpu_k8s"))

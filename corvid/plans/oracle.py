@@ -16,16 +16,16 @@ JVM_UNITS = {"t": 1099511627776, "g": 1073741824, "m": 1048576, "k": 1024}
 
 FX_QUANTITY = """fx_quantity as (
 select l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  concat(cast(cast(l_quantity as int) as varchar),
-    case l_partkey % 9 when 0 then 'Mi' when 1 then 'Gi' when 2 then 'Ki' when 3 then '' when 4 then 'M'
-      when 5 then 'k' when 6 then '.5Gi' when 7 then 'G' else 'bad' end) as mem_k8s,
-  concat(cast(cast(l_quantity as int) as varchar),
-    case l_partkey % 6 when 0 then 'k' when 1 then 'm' when 2 then 'g' when 3 then 't' when 4 then '' else 'G' end) as mem_jvm,
-  case l_partkey % 5 when 0 then concat(cast(cast(l_quantity as int) as varchar), '00m')
-    when 1 then cast(cast(l_quantity as int) as varchar)
-    when 2 then concat('0.', cast(cast(l_quantity as int) as varchar))
-    when 3 then concat(cast(cast(l_quantity as int) as varchar), '.001') else 'x' end as cpu_k8s
-from lineitem)"""
+  case l_partkey % 20 when 17 then null when 18 then '' when 19 then '0Gi' else q ||
+    case l_partkey % 20 when 0 then 'Mi' when 1 then 'Gi' when 2 then 'Ki' when 3 then '' when 4 then 'M' when 5 then 'k'
+      when 6 then '.5Gi' when 7 then 'G' when 8 then 'bad' when 9 then 'Ti' when 10 then 'Pi' when 11 then 'Ei' when 12 then 'T'
+      when 13 then 'P' when 14 then 'E' when 15 then '000Ei' when 16 then ' Mi' end end as mem_k8s,
+  case l_partkey % 10 when 8 then null when 9 then '0m' else q ||
+    case l_partkey % 10 when 0 then 'k' when 1 then 'm' when 2 then 'g' when 3 then 't' when 4 then '' when 5 then '0000000t'
+      when 6 then '00000000000000000000000000000000000000k' else 'G' end end as mem_jvm,
+  case l_partkey % 9 when 0 then q || '00m' when 1 then q when 2 then '0.' || q when 3 then q || '.001' when 4 then '0.0001'
+    when 5 then q || '000000000000000000000' when 6 then '' when 7 then null else 'x' end as cpu_k8s
+from (select *, cast(cast(l_quantity as int) as varchar) as q from lineitem))"""
 
 FX_TASK_CONF = """fx_task_conf as (
 select o_orderkey as task_id, o_custkey as owner_id,
@@ -71,28 +71,34 @@ def _dbl_to_long(d: str) -> str:
     return f"case when {d} < 9.223372036854775807e18 then cast(trunc({d}) as bigint) end"
 
 
+#: Fixed values (must equal the reference's): the number grammars.
+NUMBER = r"(\d+\.?\d*|\d*\.?\d+)"
+INTEGER_TEXT = r"^\s*([+-]?\d+(?:_\d+)*)\s*$"
+
+
 def parse_sql(kind: str, src: str) -> tuple[str, str]:
-    """(value, reason) SQL expressions of a parser applied to column ``src``."""
+    """(value, reason) SQL expressions of a parser applied to column ``src``;
+    memory values are hugeints, to be cast to decimal(38,0) where stored."""
     if kind == "memory_k8s":
-        pat = rf"^(\d+\.?\d*|\d*\.?\d+)({'|'.join(K8S_UNITS)})?$"
+        pat = rf"^{NUMBER}({'|'.join(K8S_UNITS)})?$"
         ok = f"regexp_matches({src}, '{pat}')"
         d = (f"(try_cast(regexp_extract({src}, '{pat}', 1) as double) * "
              f"{_unit_case(f'regexp_extract({src}, {chr(39)}{pat}{chr(39)}, 2)', K8S_UNITS)})")
-        v = _dbl_to_long(d)
+        v = f"case when {d} < 1e38 then cast(trunc({d}) as hugeint) end"
     elif kind == "memory_jvm":
         pat = rf"^(\d+)({'|'.join(JVM_UNITS)})?$"
         ok = f"regexp_matches({src}, '{pat}')"
-        h = (f"(try_cast(regexp_extract({src}, '{pat}', 1) as hugeint) * "
-             f"{_unit_case(f'regexp_extract({src}, {chr(39)}{pat}{chr(39)}, 2)', JVM_UNITS)})")
-        v = f"case when {h} <= 9223372036854775807 then cast({h} as bigint) end"
+        n = f"try_cast(regexp_extract({src}, '{pat}', 1) as hugeint)"
+        u = f"cast({_unit_case(f'regexp_extract({src}, {chr(39)}{pat}{chr(39)}, 2)', JVM_UNITS)} as hugeint)"
+        v = f"case when {n} <= 99999999999999999999999999999999999999::hugeint // {u} then {n} * {u} end"
     elif kind == "cpu_k8s":
-        pat = r"^(\d+\.?\d*|\d*\.?\d+)(m?)$"
+        pat = rf"^{NUMBER}(m?)$"
         ok = f"regexp_matches({src}, '{pat}')"
         num = f"try_cast(regexp_extract({src}, '{pat}', 1) as double)"
         d = f"(case when regexp_extract({src}, '{pat}', 2) = 'm' then {num} else {num} * 1000.0 end)"
         v = _dbl_to_long(d)
     elif kind == "cpu_jvm":
-        pat = r"^\s*([+-]?\d+(?:_\d+)*)\s*$"
+        pat = INTEGER_TEXT
         ok = f"regexp_matches({src}, '{pat}')"
         h = f"(try_cast(replace(regexp_extract({src}, '{pat}', 1), '_', '') as hugeint) * 1000)"
         v = (f"case when {h} between -9223372036854775808 and 9223372036854775807 "

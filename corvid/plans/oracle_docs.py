@@ -69,7 +69,7 @@ def b23_sql() -> str:
         f"json_object('podAffinityTerm', json_object('labelSelector', json_object('matchExpressions', "
         f"json_array(json_object('key', '{LABEL[who]}', 'operator', 'In', 'values', json_array({uuid_sql(who)})))), "
         f"'topologyKey', '{topo}'), 'weight', {w})" for w, who, topo in RULES)
-    mem = "cast(rm // 1048576 as varchar) || 'Mi'"
+    mem = "cast(rm::hugeint // 1048576 as varchar) || 'Mi'"
     cpu = "cast(request_cores as varchar) || 'm'"
     resources = (f"case when rm is null then json_object('requests', json_object('cpu', {cpu})) "
                  f"else json_object('limits', json_object('memory', {mem}), 'requests', "
@@ -88,7 +88,7 @@ def b23_sql() -> str:
 
 
 def b23_driver_sql() -> str:
-    mem = "cast(rm // 1048576 as varchar) || 'Mi'"
+    mem = "cast(rm::hugeint // 1048576 as varchar) || 'Mi'"
     cpu = "cast(driver_request_cores as varchar) || 'm'"
     resources = (f"case when rm is null then json_object('requests', json_object('cpu', {cpu})) "
                  f"else json_object('limits', json_object('memory', {mem}), 'requests', "

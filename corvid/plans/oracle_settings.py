@@ -118,18 +118,18 @@ def with_settings(*extra_ctes: str) -> str:
 
 
 B14_BODY = """select task_id,
-  case when memory is null then null
+  cast(case when memory is null then null
        when memory_overhead is not null then memory + memory_overhead
        when memory_overhead_factor is not null then
          case when trunc(cast(memory as double) * memory_overhead_factor) >= 1
-              then cast(trunc(cast(memory as double) * memory_overhead_factor) as bigint) end
-       else memory end as request_memory
+              then cast(trunc(cast(memory as double) * memory_overhead_factor) as hugeint) end
+       else memory end as decimal(38,0)) as request_memory
 from fx_fleet"""
 
 
 def b14_sql() -> str:
     return (with_settings(f"r as ({B14_BODY})") +
-            "select task_id, request_memory, cast(request_memory // 1048576 as varchar) || 'Mi' "
+            "select task_id, request_memory, cast(request_memory::hugeint // 1048576 as varchar) || 'Mi' "
             "as request_memory_text from r")
 
 
@@ -157,7 +157,8 @@ def b18_sql() -> str:
 
 
 def b19_sql() -> str:
-    cols = """null::bigint as cores, request_cores, memory, memory_overhead, memory_overhead_factor,
+    cols = """null::bigint as cores, request_cores, cast(memory as decimal(38,0)) as memory,
+  cast(memory_overhead as decimal(38,0)) as memory_overhead, memory_overhead_factor,
   'spark:3.5.0-scala2.12-java17-python3-ubuntu' as image, 'spark' as container_name, 'airflow-worker' as service_account_name,
   'default' as aws_role_arn, '-XX:+ExitOnOutOfMemoryError' as extra_java_options, '/opt/spark/jars/*' as extra_class_path,
   '/opt/hadoop/lib/native' as extra_library_path, case when instances_unset then 1::integer else instances end as instances,
