@@ -4,15 +4,21 @@ replace (A05) and raw landing of text files (A10)."""
 from __future__ import annotations
 
 import re
+import sys
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from corvid.functions.text import named_path
 
 
+# the one function here that runs in tasks goes to executors by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def read_csv(spark: SparkSession, uri: str | list[str], schema: StructType | str | None = None, *,
              header: bool = True, recursive: bool = False) -> DataFrame:
     """CSV with a header row; blanks leading each field are ignored.
