@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from llm.common import saved, table
 from llm.exchange import ANSWER, QUESTION, Deal, answer_parts, answers, ask, chunk_of, deal
-from llm.textnp import U, mix, pack_values, text_bytes, unpack_values, word_names, words
+from llm.textnp import U, mix, pack_values, slices, text_bytes, unpack_values, word_names, words
 
 MU, K = 1000.0, 5.0
 HIGH = 1 << 32  # background counts below, target counts above
@@ -102,7 +102,7 @@ def _score(sizes: Deal, n_target: int, n_all: int):
 
 
 def _word_count(batches):
-    for b in batches:
+    for b in slices(batches, "text"):
         raw, offsets = text_bytes(b.column("text"))
         _, _, row = words(raw, offsets)
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.bincount(row, minlength=len(b)), pa.int64())],

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from llm.common import table
-from llm.textnp import text_bytes
+from llm.textnp import slices, text_bytes
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, STRIDE, DIM, FILTERS = 8, 2, 6, 24
@@ -104,7 +104,7 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 1500, bat
 
 
 def _sample_chunks(batches):
-    for b in batches:
+    for b in slices(batches, "text"):
         raw, offsets = text_bytes(b.column("text"))
         rows, parts, shares = [], [], []
         for i, (lo, hi) in enumerate(zip(offsets[:-1], offsets[1:])):
@@ -135,7 +135,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: in
 def scorer(w: Weights, text: str = "text", keep_text: bool = False, name: str = "score", at_once: int = 256):
     """Arrow batches with a text column to the same batches with the score (without the text unless kept)."""
     def score(batches):
-        for b in batches:
+        for b in slices(batches, text):
             raw, offsets = text_bytes(b.column(text))
             starts = [chunk_starts(int(n)) for n in np.diff(offsets)]
             doc = np.repeat(np.arange(len(starts)), [len(s) for s in starts])

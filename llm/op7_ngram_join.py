@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from llm.common import connected, saved, table
 from llm.exchange import ANSWER, QUESTION, Deal, answer_parts, answers, ask, chunk_of, deal
-from llm.textnp import U, _planes, _read, lower_ascii, mix, ranges, text_bytes, word_names, words
+from llm.textnp import U, lower_ascii, ranges, slices, text_bytes, unpack_values, word_names, words
 
 N, THRESHOLD = 4, 85  # words, percent
 CLASSES = 16          # powers of two told apart by the global order
@@ -60,7 +60,7 @@ def set_names(doc: np.ndarray, grams: np.ndarray, rows: int) -> tuple[np.ndarray
 
 def _sets(n: int):
     def f(batches):
-        for b in batches:
+        for b in slices(batches, "text"):
             count, name = set_names(*shingles(b.column("text"), n))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(count, pa.int64()), pa.array(name, pa.int64())],
                                              names=["doc_id", "n_shingles", "cls"])
@@ -96,8 +96,6 @@ def _ask_counts(sizes: Deal, n: int):
 
 def _counts(group: pa.Table) -> pa.Table:
     """log2 of the number of classes that hold each key, a byte each."""
-    from llm.textnp import unpack_values
-
     def combine(order, number, ends, vals):
         often = np.concatenate([unpack_values(v) for v in vals])
         total = np.bincount(number, often[order]) if len(number) else np.zeros(0)

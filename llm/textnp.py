@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _RNG = np.random.default_rng(20240229)
@@ -58,6 +59,17 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def slices(batches, column: str, most: int = 4 << 20):
+    """The batches in pieces of whole rows of about so many bytes of text (a longer text is a piece of its own)."""
+    for b in batches:
+        size = np.asarray(pc.fill_null(pc.binary_length(b.column(column)), 0), np.int64)
+        piece = np.cumsum(size) // most
+        cuts = np.flatnonzero(np.diff(piece)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(b)]):
+            if hi > lo:
+                yield b.slice(lo, hi - lo)
+
+
 def lower_ascii(raw: np.ndarray) -> np.ndarray:
     """A-Z to a-z in UTF-8 bytes."""
     return raw + np.where((raw >= 65) & (raw <= 90), 32, 0).astype(np.uint8)
@@ -74,8 +86,15 @@ def words(raw: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACES) ->
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def word_names(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return ranges(_BYTE[raw], starts, ends)
+def word_names(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 4 << 20) -> np.ndarray:
+    """Names of words, some million bytes at a time: what is held per byte does not grow with a long text."""
+    cuts = np.flatnonzero(np.diff(starts // block)) + 1
+    out = [np.zeros(0, U)]
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(starts)]):
+        if hi > lo:
+            a, b = int(starts[lo]), int(ends[hi - 1])
+            out.append(ranges(_BYTE[raw[a:b]], starts[lo:hi] - a, ends[lo:hi] - a))
+    return np.concatenate(out)
 
 
 def windows(names: np.ndarray, row: np.ndarray, k: int) -> np.ndarray:
