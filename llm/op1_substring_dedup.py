@@ -21,11 +21,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from llm.common import table
 from llm.exchange import ANSWER, QUESTION, Deal, answer_parts, answers, ask, deal, parts, read_flags, shared_flags
-from llm.textnp import U, mix, pack_values, ranges, text_bytes, unpack_values, windows, word_names, words
+from llm.textnp import U, mix, ranges, text_bytes, unpack_values, windows, word_names, words
 
 WINDOW = 13
 EDGE = 4  # words at each end of a window whose symbols may depend on words outside it
