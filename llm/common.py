@@ -26,8 +26,11 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _digest(df: DataFrame) -> tuple:
-    return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node of (u, v) hangs on one root, which hangs on none."""
+    if not edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return False
+    return edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()
 
 
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -41,8 +44,7 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     cur = saved(edges.where(F.col(a) != F.col(b))
                 .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "cc-edges")
-    seen = _digest(cur)
-    while seen[0]:
+    while not _stars(cur):
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = saved(both.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
         large = saved(both.join(least, "u").where(F.col("v") > F.col("u"))
@@ -51,9 +53,5 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
         small = (large.join(least, "u").where(F.col("v") != F.col("m"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         cur = saved(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "cc-small")
-        now = _digest(cur)
-        if now == seen:
-            break
-        seen = now
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
