@@ -109,13 +109,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, d
             filter(sequence(0, c.n - c.span), i -> i + c.shift >= 0
                    and slice(__w, i + c.shift + 1, c.span) = slice(c.words, i + 1, c.span)),
             i -> struct(c.item_id as item_id, i + c.shift as start, c.span as length)))))""")
-    rows = rows.withColumn("hits", F.coalesce(hits, F.expr("cast(array() as array<struct<item_id:string,start:int,length:int>>)")))
+    rows = rows.withColumn("__h", F.coalesce(hits, F.expr("cast(array() as array<struct<item_id:string,start:int,length:int>>)")))
+    # out of a generator, which filters do not cross: one on the result would else be pushed down with the
+    # splitting of the text written into the comparison of every window
+    rows = rows.select(*[F.col(f"`{c}`") for c in plain.columns],
+                       F.inline(F.array(F.struct(_n_words(F.col("__w")).alias("n_words"), F.col("__h").alias("hits")))))
     covered = F.expr("cast(size(array_distinct(flatten(transform(hits, h -> sequence(h.start, h.start + h.length - 1))))) as bigint)")
     ids = F.array_sort(F.array_distinct(F.filter(F.transform("hits", lambda h: h["item_id"]), lambda i: i.isNotNull())))
-    rows = rows.withColumns({"n_words": _n_words(F.col("__w")), "n_hit": covered, "item_ids": ids})
+    rows = rows.withColumns({"n_hit": covered, "item_ids": ids})
     return rows.withColumns({"n_items": F.size("item_ids").cast("long"),
                              "items_sha256": F.sha2(F.concat_ws(",", "item_ids"), 256),
-                             "contaminated": F.col("n_hit") > 0}).drop("__w", "cands")
+                             "contaminated": F.col("n_hit") > 0})
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, terms: int = 3, within: int = 20, doc_id: str = "doc_id",
