@@ -40,8 +40,8 @@ PATTERNS: tuple[tuple[str, str], ...] = (
              rf"\p{{Lu}}[{_L}'’\-]++(?: \p{{Lu}}[{_L}'’\-]++)?"),
 )
 ANY = "|".join(f"(?:{p})" for _, p in PATTERNS)
-#: A text without any of these holds no entity; cheap to look for.
-SIGNS = r"[0-9@]|(?:Mr|Mrs|Ms|Miss|Herr|Frau|Mme|Mlle|Madame|Monsieur|Sr\.|Sra\.|Señora?|Г-н|Г-жа)\b|(?i:token|secret|passw|api.key|access_key)"
+#: Titles before names, as they stand in texts; what begins a name pattern.
+TITLES = ("Mr", "Ms", "Miss", "Herr", "Frau", "Mme", "Mlle", "Madame", "Monsieur", "Sr.", "Sra.", "Señor", "Г-")
 FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Mme|Mlle|Madame|Sra|Señora|Г-жа)"
 TITLE = r"^[^ ]+ "
 
@@ -51,6 +51,15 @@ VOWELS = {"latin": "aeiouaeiouaeioua", "cyrillic": "аеиоуаеиоуаеио
 HEX = "0123456789abcdef"
 
 
+def may_hold(text: Column) -> Column:
+    """False only for texts without any entity; much cheaper to tell than the pattern."""
+    named = F.lit(False)
+    for t in TITLES:
+        named = named | F.contains(text, F.lit(t))
+    assigned = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))
+    return F.coalesce(text.rlike("[0-9@]") | named | assigned, F.lit(False))
+
+
 def kind(entity: Column) -> Column:
     """Type of a matched entity: the first pattern that fits it alone."""
     out = F.when(entity.contains("@"), "email")
@@ -114,7 +123,7 @@ def surrogate(part: Column, of: Column, female: Column, turn: Column, key: str =
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     """Distinct (of, part, norm, gender) of all documents; one row per writing."""
-    found = (docs.where(F.col(f"`{text}`").rlike(SIGNS))
+    found = (docs.where(may_hold(F.col(f"`{text}`")))
              .select(F.explode(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0))).alias("e")).distinct())
     found = found.withColumn("of", kind(F.col("e"))).withColumn("gender", gender(F.col("e"), F.col("of")))
     return (found.select("of", "gender", F.explode(parts(F.col("e"), F.col("of"))).alias("part"))
@@ -151,14 +160,19 @@ def replace_entities(docs: DataFrame, key: str = KEY, text: str = "text") -> Dat
     again = turns(entities(docs, text), key)
     none = again.isEmpty()  # then no document has to carry turns
     body = F.col(f"`{text}`")
-    out = docs.withColumn("n_entities", F.lit(0).cast("long"))
-    found = F.when(body.rlike(SIGNS), F.regexp_extract_all(body, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    # documents that hold an entity of a later turn carry those turns along: few, if any
-    names = (docs.where(body.rlike(SIGNS)).select(body.alias("__text"), F.explode(F.array_distinct(found)).alias("e"))
-             .withColumn("of", kind(F.col("e"))).select("__text", "of", F.explode(parts(F.col("e"), F.col("of"))).alias("p"))
-             .select(F.sha2("__text", 256).alias("__name"), "of", norm(F.col("p")).alias("norm")).distinct())
-    per_text = (names.join(again, ["of", "norm"]).groupBy("__name")
-                .agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "of", "norm"), "turn"))).alias("__turns")))
+    empty = F.array().cast("array<string>")
+    rows = docs.drop("n_entities").withColumn("__found", F.when(may_hold(body), F.regexp_extract_all(body, F.lit(ANY), F.lit(0))).otherwise(empty))
+    if none:
+        rows = rows.withColumn("__turns", F.lit(None).cast("map<string,int>"))
+    else:  # texts that hold an entity of a later turn carry those turns along: few
+        rows = rows.withColumn("__name", F.when(F.size("__found") > 0, F.sha2(body, 256)))
+        names = (rows.where(F.size("__found") > 0).select("__name", F.explode(F.array_distinct("__found")).alias("e"))
+                 .withColumn("of", kind(F.col("e"))).select("__name", "of", F.explode(parts(F.col("e"), F.col("of"))).alias("p"))
+                 .select("__name", "of", norm(F.col("p")).alias("norm")).distinct())
+        per_text = (names.join(again, ["of", "norm"]).groupBy("__name")
+                    .agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "of", "norm"), "turn"))).alias("__turns")))
+        rows = rows.where("__name is null").withColumn("__turns", F.lit(None).cast("map<string,int>")).unionByName(
+            rows.where("__name is not null").join(per_text, "__name", "left"), allowMissingColumns=True).drop("__name")
 
     def written(e: Column, turns_: Column) -> Column:
         of = kind(e)
@@ -171,15 +185,12 @@ def replace_entities(docs: DataFrame, key: str = KEY, text: str = "text") -> Dat
         title = F.when(of == "name", F.regexp_extract(e, TITLE, 0)).otherwise("")
         return F.concat(title, F.array_join(F.transform(parts(e, of), one), " "))
 
-    plain = out.where(body.isNull() | ~body.rlike(SIGNS))
-    some = out.where(body.rlike(SIGNS)).withColumn("__name", F.sha2(body, 256)).withColumn("__found", found)
-    some = some.withColumn("__turns", F.lit(None).cast("map<string,int>")) if none else some.join(per_text, "__name", "left")
     stand_ins = F.transform("__found", lambda e: written(e, F.col("__turns")))
     pieces = F.split(body, ANY, -1)
     whole = F.array_join(F.flatten(F.zip_with(pieces, stand_ins, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-    some = some.withColumns({text: F.when(F.size("__found") > 0, whole).otherwise(body),
-                             "n_entities": F.size("__found").cast("long")})
-    return plain.unionByName(some.select(*[F.col(f"`{c}`") for c in plain.columns]))
+    done = {text: F.when(F.size("__found") > 0, whole).otherwise(body), "n_entities": F.size("__found").cast("long")}
+    order = [c for c in docs.columns if c != "n_entities"] + ["n_entities"]
+    return rows.select(*[done.get(c, F.col(f"`{c}`")).alias(c) for c in order])
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
