@@ -9,7 +9,7 @@ thin out. For each candidate pair the overlaps of its fragments are counted sepa
 
 Links are wanted as components, so no group of copies is expanded into pairs: members of a posting
 list meet its leader first, and after components of these links are found, only members of
-different components of a list meet each other. N-grams are compared by 64-bit names.
+different components of a list meet each other, where a stretch of common n-grams begins. N-grams are compared by 64-bit names.
 
 Defined results: null text has no words, its set is empty and links with nothing; a text of fewer
 than ``n`` words has one n-gram, all its words; a row without a doc_id has its n_shingles and no
@@ -29,6 +29,7 @@ from llm.textnp import U, lower_ascii, ranges, slices, text_bytes, unpack_values
 N, THRESHOLD = 4, 85  # words, percent
 CLASSES = 16          # powers of two told apart by the global order
 CUTS = 4              # fragments per power of two
+PIVOTS, PIVOT_ROUNDS = 64, 2  # members of a posting list that all its members meet first, chosen anew in each round
 
 
 def shingles(column: pa.ChunkedArray | pa.Array, n: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray, int]:
@@ -105,7 +106,7 @@ def _counts(group: pa.Table) -> pa.Table:
     return answers(group, combine)
 
 
-SETS = "cls long, size long, frag int, start int, n_prefix int, grams array<long>"
+SETS = "cls long, size long, frag int, start int, n_prefix int, prev long, grams array<long>"
 
 
 def _cut_sets(sizes: Deal, n: int, percent: int):
@@ -126,10 +127,14 @@ def _cut_sets(sizes: Deal, n: int, percent: int):
         new = np.concatenate([[True], (of[1:] != of[:-1]) | (frag[1:] != frag[:-1])])[:len(of)]
         at = np.flatnonzero(new)
         inside = np.add.reduceat((rank < prefix).astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+        # the n-gram that stands before the fragment, if any
+        first_of = new.copy()
+        first_of[1:] = of[1:] != of[:-1]
+        prev = pa.array(np.roll(grams, 1)[at].view(np.int64), pa.int64(), mask=first_of[at])
         lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(of)).astype(np.int32)), pa.array(grams.view(np.int64)))
         return pa.table({"cls": pa.array(name[of[at]], pa.int64()), "size": pa.array(count[of[at]], pa.int64()),
                          "frag": pa.array(frag[at], pa.int32()), "start": pa.array(rank[at], pa.int32()),
-                         "n_prefix": pa.array(inside, pa.int32()), "grams": lists})
+                         "n_prefix": pa.array(inside, pa.int32()), "prev": prev, "grams": lists})
     return f
 
 
@@ -154,6 +159,23 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where((100 + percent) * F.col("overlap") >= percent * (F.col("size") + F.col("o_size"))).select("cls", "other")
 
 
+#: Two sets whose n-grams before this one are equal have met there; so they meet where a common stretch begins.
+_BEGINS = "(prev is null or o_prev is null or prev != o_prev)"
+
+
+def _open_lists(posts: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of the posting lists that hold several components, with root and the list's length n."""
+    comp = saved(connected(links, "cls", "other"), "op7-roots").withColumnRenamed("node", "cls")
+    placed = saved(posts.join(comp, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "op7-placed")
+    several = (placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
+               .where("lo != hi").select("gram", "n"))
+    return saved(placed.join(several, "gram"), "op7-open")
+
+
+def _others(rows: DataFrame) -> DataFrame:
+    return rows.select("gram", *[F.col(c).alias("o_" + c) for c in ("cls", "size", "pos", "prev", "root")])
+
+
 def similar_sets(docs: DataFrame, n: int = N, percent: int = THRESHOLD, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id."""
@@ -172,30 +194,36 @@ def similar_sets(docs: DataFrame, n: int = N, percent: int = THRESHOLD, doc_id:
     sets = saved(by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(_cut_sets(sizes, n, percent), SETS), "op7-sets")
 
     posts = saved(sets.where("n_prefix > 0").select(
-        "cls", "size", "start", F.posexplode(F.slice("grams", 1, F.col("n_prefix"))).alias("i", "gram"))
-        .select("gram", "cls", "size", (F.col("start") + F.col("i")).alias("pos")), "op7-postings")
+        "cls", "size", "start", F.inline(F.arrays_zip(
+            F.slice("grams", 1, F.col("n_prefix")).alias("gram"),
+            F.slice(F.concat(F.array("prev"), "grams"), 1, F.col("n_prefix")).alias("prev"),
+            F.sequence(F.lit(0), F.col("n_prefix") - 1).alias("i"))))
+        .select("gram", "cls", "size", (F.col("start") + F.col("i")).alias("pos"), "prev"), "op7-postings")
     lead = saved(posts.groupBy("gram").agg(F.min(F.struct("cls", "size", "pos")).alias("l"))
                  .select("gram", F.col("l.cls").alias("other"), F.col("l.size").alias("o_size"), F.col("l.pos").alias("o_pos")),
                  "op7-leaders")
     met = _passes(posts.join(lead, "gram").where("cls != other"), percent).select("cls", "other", "size", "o_size").distinct()
     first = saved(_links(saved(met, "op7-met"), sets, percent), "op7-first")
 
-    # what is left: members of one list that are not in one component yet
-    comp = saved(connected(first, "cls", "other"), "op7-first-roots")
-    placed = (posts.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-              .withColumn("root", F.coalesce("root", "cls")))
-    placed = saved(placed, "op7-placed")
-    open_ = (placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("gram"))
-    left = saved(placed.join(open_, "gram"), "op7-open")
-    right = left.select("gram", *[F.col(c).alias("o_" + c) for c in ("cls", "size", "pos", "root")])
-    cross = (_passes(left.join(right, "gram").where("cls < o_cls and root != o_root"), percent)
+    # members of one list that are not in one component yet meet a few pivots of the list: large groups whose
+    # members link here and there grow together without most of their pairs being looked at
+    links = first
+    for salt in range(PIVOT_ROUNDS):
+        left = _open_lists(posts, links)
+        pivots = _others(left.where(F.pmod(F.xxhash64("cls", F.lit(salt)), "n") < PIVOTS))
+        met = _passes(left.join(pivots, "gram").where(f"cls != o_cls and root != o_root and {_BEGINS}"), percent)
+        found = _links(saved(met.select("cls", F.col("o_cls").alias("other"), "size", "o_size").distinct(), "op7-met"), sets, percent)
+        links = saved(links.union(found), "op7-links")
+    # every pair that is left
+    left = _open_lists(posts, links)
+    cross = (_passes(left.join(_others(left), "gram").where(f"cls < o_cls and root != o_root and {_BEGINS}"), percent)
              .select("cls", F.col("o_cls").alias("other"), "size", "o_size").distinct())
-    second = saved(_links(saved(cross, "op7-cross"), sets, percent), "op7-second")
+    links = saved(links.union(_links(saved(cross, "op7-cross"), sets, percent)), "op7-links")
 
     # rows that repeat a doc_id tie their sets together
     twice = (member.groupBy("doc_id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo != hi"))
     tied = member.join(twice, "doc_id").where("cls != lo").select("cls", F.col("lo").alias("other"))
-    roots = connected(first.union(second).union(tied), "cls", "other")
+    roots = connected(links.union(tied), "cls", "other")
     placed_ids = (member.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
                   .select("doc_id", F.coalesce("root", "cls").alias("root")))
     least = saved(placed_ids.groupBy("root").agg(F.min("doc_id").alias("component_id")), "op7-least")
