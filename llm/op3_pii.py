@@ -74,9 +74,9 @@ def parts(entity: Column, of: Column) -> Column:
     return F.when(of == "name", F.split(F.regexp_replace(entity, TITLE, ""), " ")).otherwise(F.array(entity))
 
 
-def norm(part: Column) -> Column:
-    """What a part is, however written: its letters and digits, lower case."""
-    return F.lower(F.regexp_replace(part, rf"[^{_LN}]", ""))
+def norm(part: Column, of: Column) -> Column:
+    """What a part is, however written: its letters and digits, lower case; an IP address keeps its dots."""
+    return F.when(of == "ip", part).otherwise(F.lower(F.regexp_replace(part, rf"[^{_LN}]", "")))
 
 
 def gender(entity: Column, of: Column) -> Column:
@@ -94,7 +94,7 @@ def _char(c: Column, h: Column, vowel: Column) -> Column:
 
 def surrogate(part: Column, of: Column, female: Column, turn: Column, key: str = KEY) -> Column:
     """The stand-in of a part; ``turn`` counts how often it was hashed again."""
-    name = norm(part)
+    name = norm(part, of)
     seed = F.concat_ws("|", F.lit(key), of, name, turn.cast("string"))
     digest = F.concat(F.sha2(seed, 256), F.sha2(F.concat(seed, F.lit("|2")), 256))
     # left as they are: country code of a phone, top domain, country of an account, first digit of a card
@@ -127,7 +127,7 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
              .select(F.explode(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0))).alias("e")).distinct())
     found = found.withColumn("of", kind(F.col("e"))).withColumn("gender", gender(F.col("e"), F.col("of")))
     return (found.select("of", "gender", F.explode(parts(F.col("e"), F.col("of"))).alias("part"))
-            .withColumn("norm", norm(F.col("part"))).distinct())
+            .withColumn("norm", norm(F.col("part"), F.col("of"))).distinct())
 
 
 def turns(found: DataFrame, key: str = KEY) -> DataFrame:
@@ -142,7 +142,7 @@ def turns(found: DataFrame, key: str = KEY) -> DataFrame:
     names = each.select("of", F.col("norm").alias("s"))
     changed = each.limit(0)
     while True:
-        given = each.withColumn("s", norm(surrogate(F.col("part"), F.col("of"), F.col("gender"), F.col("turn"), key)))
+        given = each.withColumn("s", norm(surrogate(F.col("part"), F.col("of"), F.col("gender"), F.col("turn"), key), F.col("of")))
         given = saved(given, "op3-given")
         least = given.groupBy("of", "s").agg(F.min("norm").alias("least"), F.count(F.lit(1)).alias("n"))
         twice = given.join(least.where("n > 1"), ["of", "s"]).where("norm != least").select("of", "norm")
@@ -168,7 +168,7 @@ def replace_entities(docs: DataFrame, key: str = KEY, text: str = "text") -> Dat
         rows = rows.withColumn("__name", F.when(F.size("__found") > 0, F.sha2(body, 256)))
         names = (rows.where(F.size("__found") > 0).select("__name", F.explode(F.array_distinct("__found")).alias("e"))
                  .withColumn("of", kind(F.col("e"))).select("__name", "of", F.explode(parts(F.col("e"), F.col("of"))).alias("p"))
-                 .select("__name", "of", norm(F.col("p")).alias("norm")).distinct())
+                 .select("__name", "of", norm(F.col("p"), F.col("of")).alias("norm")).distinct())
         per_text = (names.join(again, ["of", "norm"]).groupBy("__name")
                     .agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "of", "norm"), "turn"))).alias("__turns")))
         rows = rows.where("__name is null").withColumn("__turns", F.lit(None).cast("map<string,int>")).unionByName(
@@ -179,7 +179,7 @@ def replace_entities(docs: DataFrame, key: str = KEY, text: str = "text") -> Dat
         female = gender(e, of)
 
         def one(p: Column) -> Column:
-            turn = F.coalesce(turns_[F.concat_ws("|", of, norm(p))], F.lit(0))
+            turn = F.coalesce(turns_[F.concat_ws("|", of, norm(p, of))], F.lit(0))
             return surrogate(p, of, female, turn, key)
 
         title = F.when(of == "name", F.regexp_extract(e, TITLE, 0)).otherwise("")

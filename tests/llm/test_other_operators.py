@@ -215,6 +215,12 @@ def test_surrogates_stay_distinct(spark):
     assert one(spark, *texts[::-1]) == out[::-1]
 
 
+def test_addresses_of_the_same_digits_stay_apart(spark):
+    texts = ["1.23.4.5", "12.3.4.5", "10.1.23.4", "10.12.3.4", "101.2.3.4"]
+    out = one(spark, *texts, *texts)
+    assert len(set(out)) == 5 and out[:5] == out[5:] and not set(out) & set(texts)
+
+
 def test_clean_and_odd_texts_stay(spark):
     texts = ["", None, "Version 2.0 of 3.14 at 10:30 on 2020-01-02, 12 345 things", "a@ b @c 1.2.3 1.2.3.4.5 999.1.1.1", "x" * 50_000,
              "GNU General Public License, version 3.", "1234567 123-456", "$$$ 10%%% ### !!"]
