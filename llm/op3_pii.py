@@ -8,8 +8,9 @@ digit, an account its country, a name its title, and a woman's or man's name get
 The surrogate is a keyed hash (SHA-256) of what the entity is, not how it is written, so one entity gets
 one surrogate everywhere, in any format or case, and a family name the same one with and without
 the first name. A distributed check over all distinct entities finds those that share a surrogate
-or whose surrogate is itself an entity of the corpus; these are hashed again until none is left, so
-different entities stay different. DataFrame functions only.
+or whose surrogate is itself an entity of the corpus; these are hashed again until none is left, into
+longer surrogates where those of the same form may not suffice, so different entities stay different.
+DataFrame functions only.
 
 Defined results: null text stays null, empty text empty; texts without entities stay as they are to
 the character; rows that repeat get the same text; other columns pass through untouched.
@@ -27,7 +28,7 @@ _L, _LN = r"\p{L}", r"\p{L}\p{N}"
 #: In the order in which they are tried at a place. Possessive and anchored, so a text is read once.
 PATTERNS: tuple[tuple[str, str], ...] = (
     ("email", rf"(?<![{_LN}._%+\-])[{_LN}._%+\-]++@[{_LN}\-]++(?:\.[{_LN}\-]++)+"),
-    ("secret", r"(?<=(?i:token|secret|password|passwd|api_key|api-key|apikey|access_key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_\-]{16,}+"),
+    ("secret", r"(?<=(?i:token|secret|password|passwd|api_key|api-key|apikey|access_key)\s{0,3}[=:]\s{0,3}[\"']?)(?=[+/_\-]*[A-Za-z0-9])[A-Za-z0-9+/_\-]{16,}+"),
     ("secret", r"(?<![A-Za-z0-9])(?=[0-9A-Fa-f]*[A-Fa-f])(?=[0-9A-Fa-f]*[0-9])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![A-Za-z0-9])"),
     ("secret", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
@@ -49,6 +50,8 @@ TITLE = r"^[^ ]+ "
 LATIN, CYRILLIC, GREEK, DIGITS = "bcdfghjklmnprstv", "бвгджзклмнпрстфх", "βγδζθκλμνξπρστφχ", "0123456789012345"
 VOWELS = {"latin": "aeiouaeiouaeioua", "cyrillic": "аеиоуаеиоуаеиоуа", "greek": "αειουαειουαειουα"}
 HEX = "0123456789abcdef"
+#: Every further turn adds a letter to a name, and a letter or digit to other types after so many turns; IP addresses cannot grow.
+SAME_FORM, MOST_TURNS = 1, 200
 
 
 def may_hold(text: Column) -> Column:
@@ -112,6 +115,17 @@ def surrogate(part: Column, of: Column, female: Column, turn: Column, key: str =
         return F.when((i <= fixed_head) | (i > F.length(part) - fixed_tail), c).otherwise(plain)
 
     written = F.array_join(F.transform(F.sequence(F.lit(1), F.length(part)), stand_in), "")
+    # letters or digits more than the original has, so that later turns choose from ever more surrogates
+    extra = F.when(of == "name", turn).when(of == "ip", 0).otherwise(F.greatest(F.lit(0), turn - SAME_FORM))
+    spare = F.sha2(F.concat(seed, F.lit("|more")), 256)
+    letter = F.when(of == "name", F.regexp_extract(part, rf"[{_L}]", 0)).when(of == "email", "a").otherwise("0")
+
+    def added(j: Column) -> Column:
+        vowel = (of == "name") & ((F.length(name) + j) % 2 == 0)
+        return _char(F.lower(letter), F.substring(spare, F.pmod(j - 1, F.lit(64)) + 1, F.lit(1)), vowel)
+
+    more = F.when(extra > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(extra, F.lit(1))), added), "")).otherwise("")
+    written = F.when(of == "email", F.concat(more, written)).otherwise(F.concat(written, more))
     # an upper-case hexadecimal secret keeps its case all through
     written = F.when((of == "secret") & part.rlike("^[0-9A-F]+$"), F.upper(written)).otherwise(written)
     end = F.when(part.rlike(r"\p{IsCyrillic}"), F.when(female == "f", "а").otherwise("н")).when(
@@ -134,14 +148,16 @@ def turns(found: DataFrame, key: str = KEY) -> DataFrame:
     """(of, norm, turn) of the entities whose first surrogate cannot be used; every other has turn 0.
 
     Of several entities with one surrogate the least keeps it. An entity is hashed again while its
-    surrogate is another one's or is an entity of the corpus itself.
+    surrogate is another one's or is an entity of the corpus itself. Surrogates grow with the turns, so
+    there are ever more free ones and the rounds end however many entities a short form has; addresses
+    cannot grow, and if they fill their space this fails.
     """
     # one row per entity: gender and writing do not tell entities apart
     each = saved(found.groupBy("of", "norm").agg(F.min("part").alias("part"), F.max("gender").alias("gender"))
                  .withColumn("turn", F.lit(0)), "op3-entities")
     names = each.select("of", F.col("norm").alias("s"))
     changed = each.limit(0)
-    while True:
+    for _ in range(MOST_TURNS):
         given = each.withColumn("s", norm(surrogate(F.col("part"), F.col("of"), F.col("gender"), F.col("turn"), key), F.col("of")))
         given = saved(given, "op3-given")
         least = given.groupBy("of", "s").agg(F.min("norm").alias("least"), F.count(F.lit(1)).alias("n"))
@@ -153,6 +169,8 @@ def turns(found: DataFrame, key: str = KEY) -> DataFrame:
         each = saved(each.join(bad, ["of", "norm"], "left")
                      .withColumn("turn", F.col("turn") + F.coalesce("bad", F.lit(0))).drop("bad"), "op3-entities")
         changed = each.where("turn > 0")
+    left = ", ".join(r["of"] for r in bad.select("of").distinct().orderBy("of").collect())
+    raise RuntimeError(f"No free surrogates found in {MOST_TURNS} turns: {left}")
 
 
 def replace_entities(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:

@@ -221,6 +221,16 @@ def test_addresses_of_the_same_digits_stay_apart(spark):
     assert len(set(out)) == 5 and out[:5] == out[5:] and not set(out) & set(texts)
 
 
+def test_more_short_names_than_short_surrogates(spark):
+    # 16 consonants by 5 vowels: 80 surrogates of two letters; ten addresses of one digit, ten digits
+    names = [f"Mr {a}{b}" for a in "BCDFGHJKLM" for b in "abcdefghijkl"]
+    mails = [f"{i}@-.{t}" for i in range(10) for t in ("com", "org")]
+    blank = ["password: ________________", "token = ----------------"]
+    out = one(spark, *names, *mails, *blank)
+    assert len(set(out)) == len(names) + len(mails) + 2 and not set(out[:-2]) & {*names, *mails} and out[-2:] == blank
+    assert all(re.fullmatch("Mr [A-Z][a-z]+o", x) for x in out[:len(names)])
+
+
 def test_clean_and_odd_texts_stay(spark):
     texts = ["", None, "Version 2.0 of 3.14 at 10:30 on 2020-01-02, 12 345 things", "a@ b @c 1.2.3 1.2.3.4.5 999.1.1.1", "x" * 50_000,
              "GNU General Public License, version 3.", "1234567 123-456", "$$$ 10%%% ### !!"]
