@@ -50,6 +50,8 @@ TITLE = r"^[^ ]+ "
 LATIN, CYRILLIC, GREEK, DIGITS = "bcdfghjklmnprstv", "бвгджзклмнпрстфх", "βγδζθκλμνξπρστφχ", "0123456789012345"
 VOWELS = {"latin": "aeiouaeiouaeioua", "cyrillic": "аеиоуаеиоуаеиоуа", "greek": "αειουαειουαειουα"}
 HEX = "0123456789abcdef"
+#: Country codes of the international numbering plan; no code begins another one.
+COUNTRY_CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 #: Every further turn adds a letter to a name, and a letter or digit to other types after so many turns; IP addresses cannot grow.
 SAME_FORM, MOST_TURNS = 1, 200
 
@@ -78,8 +80,12 @@ def parts(entity: Column, of: Column) -> Column:
 
 
 def norm(part: Column, of: Column) -> Column:
-    """What a part is, however written: its letters and digits, lower case; an IP address keeps its dots."""
-    return F.when(of == "ip", part).otherwise(F.lower(F.regexp_replace(part, rf"[^{_LN}]", "")))
+    """What a part is, however written: its letters and digits, lower case.
+
+    An IP address keeps its dots, a phone number the plus before its country code.
+    """
+    return (F.when(of == "ip", part).when(of == "phone", F.regexp_replace(part, "[^0-9+]", ""))
+            .otherwise(F.lower(F.regexp_replace(part, rf"[^{_LN}]", ""))))
 
 
 def gender(entity: Column, of: Column) -> Column:
@@ -101,7 +107,7 @@ def surrogate(part: Column, of: Column, female: Column, turn: Column, key: str =
     seed = F.concat_ws("|", F.lit(key), of, name, turn.cast("string"))
     digest = F.concat(F.sha2(seed, 256), F.sha2(F.concat(seed, F.lit("|2")), 256))
     # left as they are: country code of a phone, top domain, country of an account, first digit of a card
-    fixed_head = (F.when(of == "phone", F.length(F.regexp_extract(part, r"^\+[0-9]{1,3}(?=[^0-9])", 0)))
+    fixed_head = (F.when(of == "phone", F.length(F.regexp_extract(name, COUNTRY_CODE, 0)) - 1)
                   .when(of == "iban", 2).when(of == "card", 1).otherwise(0))
     fixed_tail = F.when(of == "email", F.length(F.regexp_extract(part, r"\.[^.@]*$", 0))).otherwise(0)
 
@@ -110,9 +116,9 @@ def surrogate(part: Column, of: Column, female: Column, turn: Column, key: str =
         k = F.length(F.regexp_replace(F.substring(part, F.lit(1), i), rf"[^{_LN}]", ""))  # which letter or digit it is
         h = F.substring(digest, F.pmod(k - 1, F.lit(128)) + 1, F.lit(1))
         vowel = (of == "name") & (k % 2 == 0)
-        hexed = (of == "secret") & F.lower(part).rlike("^[0-9a-f]+$")
+        hexed = (of == "secret") & name.rlike("^[0-9a-f]+$")
         plain = F.when(hexed, F.when(c.rlike("[A-F]"), F.upper(h)).otherwise(h)).otherwise(_char(c, h, vowel))
-        return F.when((i <= fixed_head) | (i > F.length(part) - fixed_tail), c).otherwise(plain)
+        return F.when((k <= fixed_head) | (i > F.length(part) - fixed_tail), c).otherwise(plain)
 
     written = F.array_join(F.transform(F.sequence(F.lit(1), F.length(part)), stand_in), "")
     # letters or digits more than the original has, so that later turns choose from ever more surrogates
@@ -152,23 +158,19 @@ def turns(found: DataFrame, key: str = KEY) -> DataFrame:
     there are ever more free ones and the rounds end however many entities a short form has; addresses
     cannot grow, and if they fill their space this fails.
     """
-    # one row per entity: gender and writing do not tell entities apart
-    each = saved(found.groupBy("of", "norm").agg(F.min("part").alias("part"), F.max("gender").alias("gender"))
-                 .withColumn("turn", F.lit(0)), "op3-entities")
-    names = each.select("of", F.col("norm").alias("s"))
-    changed = each.limit(0)
+    hashed = norm(surrogate(F.col("part"), F.col("of"), F.col("gender"), F.col("turn"), key), F.col("of"))
+    # a row per writing and gender, as each may have a surrogate of its own; the turn is the entity's
+    given = saved(found.withColumn("turn", F.lit(0)).withColumn("s", hashed), "op3-given")
+    names = given.select("of", F.col("norm").alias("s"))
     for _ in range(MOST_TURNS):
-        given = each.withColumn("s", norm(surrogate(F.col("part"), F.col("of"), F.col("gender"), F.col("turn"), key), F.col("of")))
-        given = saved(given, "op3-given")
-        least = given.groupBy("of", "s").agg(F.min("norm").alias("least"), F.count(F.lit(1)).alias("n"))
-        twice = given.join(least.where("n > 1"), ["of", "s"]).where("norm != least").select("of", "norm")
+        shared = given.groupBy("of", "s").agg(F.min("norm").alias("least"), F.max("norm").alias("most")).where("least != most")
+        twice = given.join(shared, ["of", "s"]).where("norm != least").select("of", "norm")
         taken = given.join(names, ["of", "s"], "left_semi").select("of", "norm")
         bad = saved(twice.union(taken).distinct().withColumn("bad", F.lit(1)), "op3-bad")
         if bad.isEmpty():
-            return changed.select("of", "norm", "turn")
-        each = saved(each.join(bad, ["of", "norm"], "left")
-                     .withColumn("turn", F.col("turn") + F.coalesce("bad", F.lit(0))).drop("bad"), "op3-entities")
-        changed = each.where("turn > 0")
+            return given.where("turn > 0").select("of", "norm", "turn").distinct()
+        given = saved(given.join(bad, ["of", "norm"], "left").withColumn("turn", F.col("turn") + F.coalesce("bad", F.lit(0)))
+                      .withColumn("s", F.when(F.col("bad").isNull(), F.col("s")).otherwise(hashed)).drop("bad"), "op3-given")
     left = ", ".join(r["of"] for r in bad.select("of").distinct().orderBy("of").collect())
     raise RuntimeError(f"No free surrogates found in {MOST_TURNS} turns: {left}")
 

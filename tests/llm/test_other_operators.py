@@ -231,6 +231,18 @@ def test_more_short_names_than_short_surrogates(spark):
     assert all(re.fullmatch("Mr [A-Z][a-z]+o", x) for x in out[:len(names)])
 
 
+def test_every_writing_of_an_entity_is_one_entity(spark):
+    a, b = ["+1 415 555 1234", "+14155551234", "+1 (415) 555-1234"], ["+44 20 7946 0958", "+442079460958"]
+    out = one(spark, *a, *b, "Mr Ko", "Mrs Ko")
+    digits = [re.sub(r"\D", "", x) for x in out[:5]]
+    assert len(set(digits[:3])) == 1 == len(set(digits[3:])) and digits[0][0] == "1" and digits[3][:2] == "44"
+    assert [shape(x) for x in out[:5]] == [shape(x) for x in a + b]
+    # the woman's form is a name of the corpus: it cannot be given either
+    taken = out[6].split()[1]
+    again = one(spark, "Mr Ko", "Mrs Ko", f"Mr {taken}")
+    assert again[1] != out[6] and len({x.split()[1] for x in again}) == 3
+
+
 def test_clean_and_odd_texts_stay(spark):
     texts = ["", None, "Version 2.0 of 3.14 at 10:30 on 2020-01-02, 12 345 things", "a@ b @c 1.2.3 1.2.3.4.5 999.1.1.1", "x" * 50_000,
              "GNU General Public License, version 3.", "1234567 123-456", "$$$ 10%%% ### !!"]
