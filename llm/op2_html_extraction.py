@@ -7,8 +7,10 @@ distance in the tree. A maximum flow finds the labelling of least total cost.
 
 Defined results: null, empty or markup-free html is read like any other (text outside elements is a
 block of the body); character references are decoded, all white space inside a block becomes one
-space, a line break element is white space; comments, scripts, styles, templates and the head are
-never text; end tags without a start are ignored, open elements end with their parent or the page.
+space, a line break element is white space; comments, scripts, styles, templates, titles and the
+head are never text (a script, style, template or title without an end tag: up to the next tag), anything
+else is, also what stands in svg, math, noscript, iframe, textarea or xmp, and is kept or not by its costs;
+end tags without a start are ignored, open elements end with their parent or the page.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from llm.common import table
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|iframe|title|textarea|svg|math|xmp|noembed|noframes)\b"
-                    r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|</?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>", re.S | re.I)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|title)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>"
+                    r"|<[!?][^>]*>|</?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>", re.S | re.I)
+#: Ends of the elements that are never text.
+_RAW_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "template", "title")}
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _HINT = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
@@ -33,17 +37,17 @@ _HIDDEN_STYLE = re.compile(r"\bstyle\s*=\s*[\"'][^\"']*(?:display\s*:\s*none|vis
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section "
-                   "summary table tbody td tfoot th thead tr ul option select button".split())
+                   "summary table tbody td tfoot th thead tr ul option select button textarea xmp".split())
 #: An element of a key ends where one of its values begins inside the same parent.
 ENDS = {"p": BLOCKS - {"body", "html", "head"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
         "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 SCOPES = frozenset("article aside body div footer form header li main nav section table td th ul ol dl figure details".split())
 
 # Log-odds for content; the classifier's weights.
-BOILER_TAGS = {"nav": -9, "footer": -9, "aside": -9, "header": -9, "form": -9, "menu": -9, "button": -9, "select": -9,
+BOILER_TAGS = {"nav": -9, "footer": -9, "aside": -9, "header": -9, "form": -9, "menu": -9, "button": -9, "select": -9, "textarea": -9,
                "dialog": -9, "head": -30, "fieldset": -9}
 CONTENT_TAGS = {"article": 4, "main": 3}
-BLOCK_TAGS = {"p": 1.0, "h1": 0.5, "h2": 0.5, "h3": 0.5, "h4": 0.5, "blockquote": 1.0, "pre": 1.0, "li": -0.5, "td": 0, "dd": 0}
+BLOCK_TAGS = {"p": 1.0, "h1": 0.5, "h2": 0.5, "h3": 0.5, "h4": 0.5, "blockquote": 1.0, "pre": 1.0, "xmp": 1.0, "li": -0.5, "td": 0, "dd": 0}
 BOILER_WORDS = frozenset("""ad ads adv advert advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments
     comments consent cookie cookies copyright disclaimer discussion footer header legal login masthead menu modal nav navbar navigation
     newsletter notice notification pager pagination popup promo promotion recommended related reply replies respond responses
@@ -122,12 +126,24 @@ def read_blocks(page: str) -> list[tuple[str, tuple[int, ...], float]]:
             cur.linked += n
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    endless = set()  # raw elements that no end tag follows any more
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             take(page[at:m.start()])
         at = m.end()
         text = m[0]
-        if text[1] in "!?" or m[1]:
+        if m[1]:
+            raw = m[1].lower()
+            shut = None if raw in endless else _RAW_END[raw].search(page, at)
+            if shut:
+                at = shut.end()
+            else:
+                endless.add(raw)
+                at = page.find("<", at)
+                if at < 0:
+                    at = len(page)
+            continue
+        if text[1] in "!?":
             continue
         name, end, odds, inside = _tag(text)
         if name == "br":

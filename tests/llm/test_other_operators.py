@@ -80,6 +80,24 @@ def test_broken_pages_do_not_fail(page):
     assert isinstance(main_text(page), str)
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p>Let <math><mi>x</mi></math> be <svg class=icon/>one.</p><p>Then more follows here.</p></article>",
+     "Let x be one.\nThen more follows here."),
+    ("<article><p>Empty <math/> formula here.</p><p>And the rest of it.</p></article>", "Empty formula here.\nAnd the rest of it."),
+    ("<article><noscript><p>Read without any script.</p></noscript><xmp>Shown as it is.</xmp></article>",
+     "Read without any script.\nShown as it is."),
+    ("<article><script>var x = 1;<p>First words stay here.</p><style>b{}</style><p>Last words stay here.</p></article>",
+     "First words stay here.\nLast words stay here."),
+    ("<article><title-bar>Own element of the page.</title-bar><script>a</script></article>", "Own element of the page."),
+])
+def test_nothing_but_code_and_titles_is_left_unread(page, want):
+    assert main_text(page) == want
+
+
+def test_many_open_scripts():
+    assert main_text("<p>Some words here.</p>" + "<script>x " * 100_000 + "<p>More words here.</p>") == "Some words here.\nMore words here."
+
+
 def test_plain_and_long_pages():
     assert main_text("just some words") == "just some words"
     long = "<body>" + "".join(f"<p>Paragraph number {i} with a few words.</p>" for i in range(3000)) + "</body>"
