@@ -29,10 +29,15 @@ BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 def split_words(text: Column) -> Column:
     """Words in the order of the text. An empty one may stand first or last, so places are only shifted.
 
-    ``lower`` changes letters outside A-Z too, so it only finds candidates; it is much faster than
-    the exact mapping, which ``exact_words`` has. Where the two differ the exact one decides.
+    They are as written; ``loose`` is what they are looked up by, which is much faster than the exact
+    mapping that ``exact_words`` has. Where the two differ the exact one decides.
     """
-    return F.split(F.lower(F.coalesce(text, F.lit(""))), BREAKS)
+    return F.split(F.coalesce(text, F.lit("")), BREAKS)
+
+
+def loose(word: Column) -> Column:
+    """The same for words that are exactly equal; of single words, as the lower case of a sigma depends on its neighbours."""
+    return F.lower(word)
 
 
 def exact_words(text: Column) -> Column:
@@ -51,19 +56,19 @@ def _items(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFr
                             F.filter(exact_words(F.col(f"`{text}`")), lambda w: w != "").alias("words")
                             ).where(F.size("words") > 0).distinct()
     return rows.select("item_id", F.xxhash64("words", "item_id").alias("key"), "words",
-                       F.transform("words", lambda w: F.lower(w)).alias("loose"), F.size("words").alias("n"),
+                       F.transform("words", loose).alias("loose"), F.size("words").alias("n"),
                        F.least(F.size("words"), F.lit(window)).alias("span"))
 
 
 def _postings(docs: DataFrame, doc_id: str, text: str, terms: DataFrame) -> DataFrame:
     """(doc_id, pos, term) of the given terms; terms has one row per term, so no posting repeats."""
-    words = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.posexplode(split_words(F.col(f"`{text}`"))).alias("pos", "term"))
-    return words.join(terms, "term", "left_semi")
+    words = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.posexplode(split_words(F.col(f"`{text}`"))).alias("pos", "word"))
+    return words.select("doc_id", "pos", loose(F.col("word")).alias("term")).join(terms, "term", "left_semi")
 
 
 def term_counts(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
     """Occurrences in all documents of each of the given terms, 0 for those that do not occur."""
-    found = (docs.select(F.explode(split_words(F.col(f"`{text}`"))).alias("term"))
+    found = (docs.select(F.explode(split_words(F.col(f"`{text}`"))).alias("word")).select(loose(F.col("word")).alias("term"))
              .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     return terms.join(found, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 

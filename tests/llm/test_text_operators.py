@@ -175,6 +175,13 @@ def test_decontamination(spark):
     assert contamination(df.limit(0), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_decontamination_finds_words_whose_lower_case_depends_on_their_neighbours(spark):
+    docs = [(1, "ΑΒ Α.Σ. ΓΔ"), (2, "ΑΒ ΟΔΟΣ.Α ΓΔ"), (3, "none")]
+    items = [(1, "Α.Σ."), (2, "ΟΔΟΣ Α")]
+    got = contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["item_ids"]) for r in got) == [(1, 4, 2, ["1"]), (2, 4, 2, ["2"]), (3, 1, 0, [])]
+
+
 def test_decontamination_proximity(spark):
     docs = [(1, "alpha x x beta x gamma"), (2, "alpha " + "x " * 40 + "beta gamma"), (3, "beta alpha gamma"), (4, None)]
     items = [(9, "alpha beta gamma")]
