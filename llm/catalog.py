@@ -12,6 +12,7 @@ from llm import op7_ngram_join as op7
 from llm import op8_url_filter as op8
 from llm import op9_embedding_dedup as op9
 from llm import op10_lm_scoring as op10
+from llm import op11_packing as op11
 
 QUERIES = {
     "op1_substring_dedup": op1.op1_substring_dedup,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_url_filter": op8.op8_url_filter,
     "op9_embedding_dedup": op9.op9_embedding_dedup,
     "op10_lm_scoring": op10.op10_lm_scoring,
+    "op11_packing": op11.op11_packing,
 }
 ORACLE = {
     "op1_substring_dedup": op1.ORACLE,
