@@ -19,6 +19,7 @@ COLUMNS = {
     "op9_embedding_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op10_lm_scoring": ["doc_id", "n_words", "n_scored", "target_loss", "background_loss", "score"],
     "op11_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+    "op13_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 NATIVE = ("op3_pii", "op4_decontamination", "op8_url_filter")
 
