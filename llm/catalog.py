@@ -13,6 +13,7 @@ from llm import op8_url_filter as op8
 from llm import op9_embedding_dedup as op9
 from llm import op10_lm_scoring as op10
 from llm import op11_packing as op11
+from llm import op12_whitening as op12
 from llm import op13_merkle_manifest as op13
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_embedding_dedup": op9.op9_embedding_dedup,
     "op10_lm_scoring": op10.op10_lm_scoring,
     "op11_packing": op11.op11_packing,
+    "op12_whitening": op12.op12_whitening,
     "op13_merkle_manifest": op13.op13_merkle_manifest,
 }
 ORACLE = {

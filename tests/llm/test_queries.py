@@ -19,6 +19,7 @@ COLUMNS = {
     "op9_embedding_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op10_lm_scoring": ["doc_id", "n_words", "n_scored", "target_loss", "background_loss", "score"],
     "op11_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+    "op12_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
     "op13_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 NATIVE = ("op3_pii", "op4_decontamination", "op8_url_filter")
@@ -32,7 +33,7 @@ def test_operators_are_registered():
 def test_query(spark, sf_dir, key):
     df = QUERIES[key](spark, sf_dir)
     assert df.columns == COLUMNS[key]
-    name = {"op2": "pages", "op8": "pages", "op9": "embeddings"}.get(key.split("_")[0], "documents")
+    name = {"op2": "pages", "op8": "pages", "op9": "embeddings", "op12": "embeddings"}.get(key.split("_")[0], "documents")
     if key in NATIVE:
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
@@ -41,5 +42,7 @@ def test_query(spark, sf_dir, key):
         assert ok, msg
     elif key == "op11_packing":  # a row per piece
         assert df.select("doc_id").distinct().count() == spark.read.parquet(f"{sf_dir}/{name}.parquet").count()
+    elif key == "op12_whitening":  # a row per vector and component
+        assert df.count() == 4 * spark.read.parquet(f"{sf_dir}/{name}.parquet").count()
     else:
         assert df.count() == spark.read.parquet(f"{sf_dir}/{name}.parquet").count()
