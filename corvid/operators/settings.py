@@ -19,6 +19,7 @@ the key".
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -180,6 +181,31 @@ def attribute_columns(df: DataFrame, component: str, env: Mapping[str, str | Col
     return out
 
 
+def with_lookup(df: DataFrame, lookup: DataFrame, on: Sequence[str],
+                env: Mapping[str, str | Column] | None = None) -> tuple[DataFrame, dict[str, str | Column]]:
+    """B19 from a table: sentinel values per key, and the environment that reads them.
+
+    ``lookup`` has the key columns ``on`` (say, a namespace or a cluster) and columns named as entries of
+    the environment (``namespace``, ``service_account``, ``aws_role_arn``, ``hostname``, ``ip``). Keys may
+    be null and then meet null. A row whose key the table does not hold keeps what ``env`` gives; a null
+    value in the table leaves the key out. A key that the table holds twice fails the job. The look-up is
+    a plain left join: Spark broadcasts the table if it is small and splits hot keys if it is not.
+    """
+    names = [c for c in lookup.columns if c not in on]
+    unknown = sorted(set(names) - set(SENTINEL_SOURCE.values()))
+    if unknown or not names:
+        raise ValueError(f"columns of the look-up table are {sorted(set(SENTINEL_SOURCE.values()))}, not {unknown}")
+    once = lookup.groupBy(*[col_of(lookup, k).alias(f"__on_{k}") for k in on]).agg(
+        F.max(F.struct(*[col_of(lookup, n).cast("string").alias(n) for n in names])).alias("__found"), F.count(F.lit(1)).alias("__n"))
+    twice = F.raise_error(F.lit(f"the look-up table holds a key of {', '.join(on)} more than once")).cast("boolean")
+    once = once.where(F.when(F.col("__n") == 1, F.lit(True)).otherwise(twice)).drop("__n")
+    met = [col_of(df, k).eqNullSafe(F.col(f"__on_{k}")) for k in on]
+    joined = df.join(once, reduce(Column.__and__, met), "left").drop(*[f"__on_{k}" for k in on])
+    base = {**DEFAULT_ENV, **(env or {})}
+    found = F.col("__found")
+    return joined, {**base, **{n: F.when(found.isNotNull(), found[n]).otherwise(_env_value(base, n)) for n in names}}
+
+
 def apply_defaults(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
                    keep: Sequence[str] = ("task_id",), defaults: Mapping[str, object] | None = None) -> DataFrame:
     """B19 on a table: ``keep`` columns plus every attribute of ``component``."""
@@ -266,7 +292,7 @@ def entry_array(pairs: list[Pair]) -> Column:
         o = p.ord if isinstance(p.ord, Column) else F.lit(p.ord)
         return F.struct(F.lit(p.layer).alias("layer"), o.cast("int").alias("ord"),
                         p.key.cast("string").alias("key"), p.value.cast("string").alias("value"))
-    return F.array(*[entry(p) for p in pairs]).cast(ArrayType(ENTRY))
+    return F.array(*[entry(p) for p in pairs])
 
 
 def conf_entries(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
@@ -291,14 +317,27 @@ def resolve_layers(long_df: DataFrame, keys: Sequence[str] = ("task_id",)) -> Da
     the highest layer wins and a null winner deletes the key; within a layer
     the last ``ord`` counts and the others do not; the position is that of the
     lowest layer that sets the key, as a mapping that is updated layer by
-    layer keeps it. One aggregate per (keys, key); it is sort-based because
-    the winners are strings. Groups hold the entries of one key of one task."""
-    won = (long_df.groupBy(*keys, "key")
-           .agg(F.max(F.struct("layer", "ord", "value")).alias("w"),
-                F.min(F.struct("layer", (-F.col("ord").cast("bigint")).alias("back"))).alias("f")))
-    return (won.where(F.col("w.value").isNotNull())
-            .select(*keys, F.col("f.layer").alias("layer"), (-F.col("f.back")).cast("int").alias("ord"), "key",
-                    F.col("w.value").alias("value")))
+    layer keeps it. ``layer`` and ``ord`` together name an entry of a key.
+
+    Places are one number (layer, then ord), so winner and position come from a hash aggregate of fixed
+    width; the winner's value is then fetched from the same exchange of the rows, by a hash join that
+    builds on the winners of a task's keys. Nothing is sorted and rows are shuffled once.
+    """
+    low = (1 << 32) - 1  # the bits of ord, counted from the least int
+    place = F.shiftleft(F.col("layer").cast("long"), 32) + F.col("ord") + F.lit(1 << 31)
+    place = F.coalesce(place, F.lit(-1 << 63))  # never null, so no filter is added to one side only
+    # keys as one struct, in which nulls are equal; both sides read the same columns, so the exchange is shared
+    rows = long_df.select(F.struct(*keys, "key").alias("of"), place.alias("place"), "value").repartition("of")
+    won = rows.groupBy("of").agg(F.max("place").alias("last"), F.min(F.col("place").bitwiseXOR(F.lit(low))).alias("at"),
+                                 F.count("value").alias("n_set")).where("n_set > 0")
+    # the place is compared as a range, so that the join's key stays that of the exchange
+    r, w = rows.alias("r"), won.alias("w").hint("shuffle_hash")
+    met = r.join(w, (F.col("r.of") == F.col("w.of")) & (F.col("r.place") >= F.col("w.last")))
+    # of both sides, so that it stays above the exchange that they share
+    met = met.where(F.when(F.col("w.n_set") > 0, F.col("r.value")).isNotNull())
+    ord_ = (F.col("w.at").bitwiseXOR(F.lit(low))).bitwiseAND(F.lit(low)) - F.lit(1 << 31)
+    return met.select(*[F.col(f"r.of.{k}").alias(k) for k in keys], F.shiftright("w.at", 32).cast("int").alias("layer"),
+                      ord_.cast("int").alias("ord"), F.col("r.of.key").alias("key"), F.col("r.value").alias("value"))
 
 
 def extra_by_task(overrides: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
@@ -360,7 +399,10 @@ def fleet_conf(fleet: DataFrame, overrides: DataFrame | None = None,
     size, no job runs before the action, and Spark chooses the join from real
     sizes. Overrides of tasks that the fleet does not list have no effect.
     """
-    return _final_entries(fleet, overrides, env, dag_id, task_name, keys, defaults).select(*keys, F.inline("entries"))
+    # the outer form, as every task has entries: of the inner one Spark infers a filter on their number,
+    # and pushes it below the join with the whole rendering written out
+    return _final_entries(fleet, overrides, env, dag_id, task_name, keys, defaults).select(
+        *keys, F.inline_outer("entries")).where(F.col("key").isNotNull())
 
 
 def fleet_conf_text(fleet: DataFrame, overrides: DataFrame | None = None,

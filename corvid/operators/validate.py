@@ -8,6 +8,7 @@ from pyspark.sql.types import FractionalType, IntegralType, StringType, DecimalT
 
 from corvid.functions import quantity as q
 from corvid.operators.aggregate import col_of
+from corvid.sources.rejects import write_split
 
 _OPS = {
     "==": lambda a, b: a == b, "!=": lambda a, b: a != b,
@@ -76,6 +77,15 @@ def split_valid(df: DataFrame, col: str, parser: str, strict: bool = False) -> t
     return good, bad
 
 
+def write_valid(df: DataFrame, col: str, parser: str, good_dst: str, bad_dst: str) -> tuple[DataFrame, DataFrame]:
+    """B13 stored: both sides of :func:`split_valid`, from one parse and one write; returns them as read back."""
+    value, reason = f"{col}_value", f"{col}_reason"
+    parsed = with_parsed(df, col, parser, value, reason)
+    write_split(parsed, col_of(parsed, reason).isNotNull(), good_dst, bad_dst)
+    spark = df.sparkSession
+    return spark.read.parquet(good_dst).drop(reason), spark.read.parquet(bad_dst).drop(value)
+
+
 def _bound(text: str, parser: str) -> Column:
     """A literal quantity, parsed by the same expression and constant-folded;
     an invalid literal fails the job."""

@@ -21,16 +21,19 @@ from corvid.operators.inspect import preview, profile
 from corvid.operators.placement import (DRIVER_LABEL, EXECUTOR_LABEL, HOST, RULE, ZONE, affinity_id, placement_rules,
                                         rank_placements)
 from corvid.operators.resources import request_memory, requests_rollup
-from corvid.operators.validate import quantity_range, sort_by_quantity, split_valid, where_quantity, with_parsed
+from corvid.operators.validate import (quantity_range, sort_by_quantity, split_valid, where_quantity, with_parsed,
+                                       write_valid)
 from corvid.plans import fixtures as fx
 from corvid.plans import oracle_docs as odoc
 from corvid.plans import oracle_settings as osql
 from corvid.plans.oracle import FX_QUANTITY, FX_TASK_CONF, parse_sql, with_
-from corvid.plans.steps import (load_step, run_pipeline, sql_step, step, transform_step,
+from corvid.plans.steps import (load_step, rejected_of, run_pipeline, sql_step, step, transform_step,
                                 with_scalar)
 from corvid.session import scratch_dir, table_path
 from corvid.sources.files import land_raw, read_csv, read_parquet, write_parquet
-from corvid.streaming.incremental import stream_load
+from corvid.sources.landing import land_files, verify_landing
+from corvid.sources.rejects import accepted, rejected
+from corvid.streaming.incremental import loaded, stream_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,6 +94,14 @@ def a05_write_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, write_parquet(customer, dst))  # the second write replaces the first
 
 
+@register("a05_replace_in_place", "select * from customer where c_custkey % 2 = 0")
+def a05_replace_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced by a part of itself."""
+    dst = f"{scratch_dir(spark, 'a05r')}/customer/"
+    write_parquet(read_parquet(spark, table_path(sf_dir, "customer")), dst)
+    return read_parquet(spark, write_parquet(read_parquet(spark, dst).where("c_custkey % 2 = 0"), dst))
+
+
 def _profile_sql() -> str:
     cols = [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True),
             ("o_orderstatus", "string", False), ("o_totalprice", "double", True),
@@ -147,6 +158,31 @@ def a10_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _elt_rows(read_csv(spark, landed, recursive=True))
 
 
+def _hash_sum(line: str) -> str:
+    return f"cast(sum(cast('0x' || substr(md5({line}), 1, 8) as bigint)) as bigint)"
+
+
+@register("a10_land_files",
+          "with t as (select o_orderstatus as status, o_orderkey || ',' || o_orderpriority || chr(13) as line from orders) "
+          "select 'status=' || status as folder, cast(sum(octet_length(line::blob) + 1) as bigint) as n_bytes, true as identical, "
+          f"count(*) as n_lines, {_hash_sum('line')} as lines_hash from t group by status "
+          "union all select 'status=none', 0, true, 0, 0")
+def a10_land_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with CRLF ends and an empty one, landed byte by byte, checked against their digests and read as they lie there."""
+    root = scratch_dir(spark, "a10f")
+    fx.crlf_lines(spark, sf_dir).write.partitionBy("status").text(f"{root}/raw")
+    spark.range(0).select(F.lit("").alias("value")).coalesce(1).write.text(f"{root}/raw/status=none")
+    dst = land_files(spark, f"{root}/raw/*/part-*", f"{root}/extract", range_bytes=1 << 20)
+    files = verify_landing(spark, dst).groupBy(F.split_part("source", F.lit("/"), F.lit(1)).alias("folder")).agg(
+        F.sum("n_bytes").alias("n_bytes"), F.bool_and("identical").alias("identical"))
+    lines = (spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(dst)
+             .select("value", F.split_part(named_path("_metadata.file_path"), F.lit("/"), F.lit(-2)).alias("folder")))
+    number = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("bigint")
+    read = lines.groupBy("folder").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(number).alias("lines_hash"))
+    return files.join(read, "folder", "left").select(
+        "folder", "n_bytes", "identical", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("lines_hash", F.lit(0)).alias("lines_hash"))
+
+
 @register("a11_load_step", ELT_ROWS_SQL)
 def a11_load_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, src = _elt_csv(spark, sf_dir, "a11")
@@ -160,6 +196,49 @@ def a11_stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _elt_rows(read_parquet(spark, dst))
 
 
+FLAWED_SCHEMA = "Year int, Score bigint, Title string"
+_FLAWED_SQL = """with f as (select o_orderkey as k, case when o_orderkey % 29 = 0 then 'MM' else cast(year(o_orderdate) as varchar) end as y,
+  case when o_orderkey % 17 = 0 then 'n/a' when o_orderkey % 13 = 0 then '' else cast(o_custkey as varchar) end as s, o_orderpriority as p from orders),
+w as (select *, concat_ws(', ', case when k % 29 = 0 then 'Year is no int' end, case when k % 17 = 0 then 'Score is no bigint' end) as wrong from f)
+"""
+_LINES_SQL = _FLAWED_SQL + """, l as (select *, ' ' || y || ', ' || s || case when k % 31 = 0 then '' else ', ' || p end
+  || case when k % 23 = 0 then ', x' else '' end as line, (k % 31 = 0) <> (k % 23 = 0) as uneven,
+  k % 31 = 0 and k % 23 = 0 as both_odd from w)
+"""
+
+
+def _flawed_load(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, str]:
+    root = scratch_dir(spark, label)
+    src = f"{root}/source/scores.csv"
+    fx.elt_flawed_lines(spark, sf_dir).write.text(src)
+    return load_step(spark, src, root, FLAWED_SCHEMA, quarantine=True, header=False), rejected_of(src, root)
+
+
+@register("a11_quarantine", _LINES_SQL + "select 'scores' as source, line, case when uneven then 'fields' else wrong end as reason "
+          "from l where uneven or wrong <> ''")
+def a11_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that a load sets aside, with file and reason."""
+    bad = rejected(read_parquet(spark, _flawed_load(spark, sf_dir, "a11q")[1]))
+    return bad.select(file_stem(parent_folder("file")).alias("source"), "line", "reason")
+
+
+@register("a11_quarantine_good", _LINES_SQL + "select try_cast(y as integer) as Year, try_cast(nullif(s, '') as bigint) as Score, "
+          "case when both_odd then 'x' else p end as Title from l where not uneven and wrong = ''")
+def a11_quarantine_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the same load keeps."""
+    return accepted(read_parquet(spark, _flawed_load(spark, sf_dir, "a11g")[0]))
+
+
+@register("a11_stream_quarantine", _FLAWED_SQL + "select 'scores' as source, ' ' || y || ', ' || s || ', ' || p as line, wrong as reason "
+          "from w where wrong <> ''")
+def a11_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the incremental load."""
+    root = scratch_dir(spark, "a11sq")
+    src = fx.write_csv_fixture(fx.elt_flawed(spark, sf_dir).drop("o_orderkey"), f"{root}/source/scores.csv")
+    dst = stream_load(spark, src, f"{root}/load_stream/scores", FLAWED_SCHEMA, checkpoint=f"{root}/_stream_checkpoint", quarantine=True)
+    return loaded(spark, dst)[1].select(file_stem(parent_folder("file")).alias("source"), "line", "reason")
+
+
 @register("a12_transform_step", ELT_AVG_SQL)
 def a12_transform_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, src = _elt_csv(spark, sf_dir, "a12")
@@ -188,6 +267,33 @@ def a14_run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _avg_out(run_pipeline(spark, [load_step, transform_step], src, root))
 
 
+class _Broken(Exception):
+    """The break of the chain in ``a14_resume``."""
+
+
+@register("a14_resume", f"select 1 as n_loads, 2 as n_transforms, * from ({ELT_AVG_SQL})")
+def a14_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain that breaks at its second step and is started again: the first step runs once."""
+    root, src = _elt_csv(spark, sf_dir, "a14r")
+    ran = {"load": 0, "transform": 0}
+
+    def load(spark, uri, root):
+        ran["load"] += 1
+        return load_step(spark, uri, root)
+
+    def transform(spark, uri, root):
+        ran["transform"] += 1
+        if ran["transform"] == 1:
+            raise _Broken
+        return transform_step(spark, uri, root)
+    try:
+        run_pipeline(spark, [load, transform], src, root, resume=True)
+    except _Broken:
+        pass
+    done = _avg_out(run_pipeline(spark, [load, transform], src, root, resume=True))
+    return done.select(F.lit(ran["load"]).alias("n_loads"), F.lit(ran["transform"]).alias("n_transforms"), "*")
+
+
 @register("a15_sql_step",
           "select o_orderstatus, count(*) as n_orders, round(sum(o_totalprice), 2) as revenue "
           "from orders where o_totalprice > 100000.0 and o_orderpriority <> '5-LOW' group by o_orderstatus")
@@ -443,6 +549,21 @@ def b13_split_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("l_orderkey", "l_linenumber", "cpu_k8s", F.col("cpu_k8s_reason").alias("reason"))
 
 
+def _b13_both_sql() -> str:
+    v, r = parse_sql("cpu_k8s", "cpu_k8s")
+    return (with_(FX_QUANTITY) + f"select l_orderkey, l_linenumber, cpu_k8s, case when {r} is null then {v} end as cpu_k8s_value, "
+            f"{r} as cpu_k8s_reason from fx_quantity")
+
+
+@register("b13_write_valid", _b13_both_sql())
+def b13_write_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides stored by one parse and one write, and read back together."""
+    root = scratch_dir(spark, "b13")
+    q13 = fx.fx_quantity(spark, sf_dir).select("l_orderkey", "l_linenumber", "cpu_k8s")
+    good, bad = write_valid(q13, "cpu_k8s", "cpu_k8s", f"{root}/good", f"{root}/bad")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 # --------------------------------------------------------------------------
 # Tier B: settings
 # --------------------------------------------------------------------------
@@ -501,6 +622,21 @@ def b19_apply_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.apply_defaults(fx.fx_fleet(spark, sf_dir), "executor", fx.fleet_env())
 
 
+@register("b19_lookup",
+          "with f as (select o_orderkey as task_id, case when o_orderkey % 50 <> 0 then 'ns-' || (o_orderkey % 25) end as ns, "
+          "case when o_orderkey % 4 <> 0 then '__AUTODETECT__' else 'own' end as sa from orders), "
+          "t as (select case when n_nationkey <> 7 then 'ns-' || n_nationkey end as ns, 'sa-' || lower(n_name) as found_sa, "
+          "case when n_nationkey % 3 <> 0 then 'arn:ns-' || n_nationkey end as found_arn from nation where n_nationkey < 20) "
+          "select task_id, case when sa <> '__AUTODETECT__' then sa when found_sa is not null then found_sa else 'airflow-worker' end "
+          "as service_account_name, case when found_sa is not null then found_arn else 'default' end as aws_role_arn "
+          "from f left join t on f.ns is not distinct from t.ns")
+def b19_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B19 with sentinel values from a table, by namespace: some namespaces are missing, one is null."""
+    fleet, lookup = fx.fx_namespaces(spark, sf_dir)
+    fleet, env = st.with_lookup(fleet, lookup, ["namespace"], fx.fleet_env())
+    return st.apply_defaults(fleet, "executor", env).select("task_id", "service_account_name", "aws_role_arn")
+
+
 @register("b20_conf_text", osql.b20_sql())
 def b20_conf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     dag, task = _fleet_names()

@@ -188,6 +188,45 @@ def elt_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit(" "), F.col("o_orderpriority")).alias("Title"))
 
 
+def elt_flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ELT input with values that are no numbers (A11): every 17th ``Score``, every 29th ``Year``; an empty
+    ``Score``, which is null and no flaw, every 13th."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    score = F.when(k % 17 == 0, "n/a").when(k % 13 == 0, "").otherwise(F.col("o_custkey").cast("string"))
+    year = F.when(k % 29 == 0, "MM").otherwise(F.year("o_orderdate").cast("string"))
+    return o.select("o_orderkey", F.concat(F.lit(" "), year).alias("Year"), F.concat(F.lit(" "), score).alias("Score"),
+                    F.concat(F.lit(" "), F.col("o_orderpriority")).alias("Title"))
+
+
+def elt_flawed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as lines; every 23rd has a field too many, every 31st one too few."""
+    k = F.col("o_orderkey")
+    fields = F.when(k % 31 == 0, F.concat_ws(",", "Year", "Score")).otherwise(F.concat_ws(",", "Year", "Score", "Title"))
+    return elt_flawed(spark, sf_dir).select(F.when(k % 23 == 0, F.concat(fields, F.lit(", x"))).otherwise(fields).alias("value"))
+
+
+def crlf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that end in a carriage return, by order status (A10)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.concat_ws(",", F.col("o_orderkey").cast("string"), F.concat(F.col("o_orderpriority"), F.lit("\r"))).alias("value"),
+                    F.col("o_orderstatus").alias("status"))
+
+
+def fx_namespaces(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Fleet rows in namespaces, null for some, and a look-up table of their values (B19): the last namespaces are
+    missing from it, the null one is in it, and every third has no role."""
+    k = F.col("task_id")
+    fleet = fx_fleet(spark, sf_dir).withColumns({
+        "namespace": F.when(k % 50 != 0, F.concat(F.lit("ns-"), (k % 25).cast("string"))),
+        "service_account_name": F.when(k % 4 != 0, "__AUTODETECT__").otherwise("own")})
+    n = table(spark, sf_dir, "nation").where("n_nationkey < 20")
+    name = F.concat(F.lit("ns-"), F.col("n_nationkey").cast("string"))
+    lookup = n.select(F.when(F.col("n_nationkey") != 7, name).alias("namespace"), F.concat(F.lit("sa-"), F.lower("n_name")).alias("service_account"),
+                      F.when(F.col("n_nationkey") % 3 != 0, F.concat(F.lit("arn:"), name)).alias("aws_role_arn"))
+    return fleet, lookup
+
+
 def write_csv_fixture(df: DataFrame, dst: str, files: int | None = None, fixed_name: str | None = None) -> str:
     """Write text columns as CSV with a header, keeping leading blanks. With
     ``fixed_name`` the files lie in a folder of that name below ``dst``."""

@@ -1,5 +1,6 @@
-"""File sources and sinks: CSV scan (A03), parquet scan (A04), parquet
-replace (A05) and raw landing of text files (A10)."""
+"""File sources and sinks: CSV scan (A03) and its rejected lines (A11), parquet
+scan (A04), parquet replace (A05) and raw landing of text files by lines (A10;
+byte by byte in :mod:`corvid.sources.landing`)."""
 
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from corvid.functions.text import named_path
+from corvid.sources.replace import beside, removed_on_failure, restored, switch
 
 
 # the one function here that runs in tasks goes to executors by value
@@ -48,23 +50,42 @@ def read_parquet(spark: SparkSession, uri: str | list[str]) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, uri: str, partition_by: list[str] | None = None) -> str:
-    """Replace whatever is stored at ``uri`` with ``df``; return ``uri``."""
-    writer = df.write.mode("overwrite")
+    """Replace whatever is stored at ``uri`` with ``df``; return ``uri``.
+
+    The table is written beside ``uri`` and takes its place when it is complete: a failing write leaves
+    the old table as it was, and ``df`` may be computed from what it replaces.
+    """
+    spark, new = df.sparkSession, beside(uri)
+    restored(spark, uri)
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(uri)
+    with removed_on_failure(spark, new):
+        writer.parquet(new)
+        switch(spark, new, uri)
     return uri
 
 
 _GLOB = re.compile(r"[*?\[{]")
 
 
+def plain_path(path: str) -> str:
+    """A path without scheme and authority."""
+    return re.sub(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(//[^/]*)?", "", path)
+
+
 def _base(src: str) -> str:
     """The folder of ``src`` above its first pattern, as paths are written (no scheme)."""
-    plain = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(//[^/]*)?", "", src)
+    plain = plain_path(src)
     return plain[:(_GLOB.search(plain) or re.search(r"\Z", plain)).start()].rpartition("/")[0] + "/"
 
 
+def base_folder(srcs: list[str]) -> str:
+    """The folder above the first pattern that all sources share (``/`` if they share none)."""
+    base = min((_base(s) for s in srcs), key=len)
+    return base if all(_base(s).startswith(base) for s in srcs) else "/"
+
+
 def _repeat_headers(batches):
     """Lines sorted by file and place; a file whose lines do not begin with its first split gets its header.
 
@@ -100,9 +121,7 @@ def land_raw(spark: SparkSession, src: str | list[str], dst: str, *, header: boo
     split; whether their table is broadcast is left to Spark.
     """
     srcs = [src] if isinstance(src, str) else list(src)
-    base = min((_base(s) for s in srcs), key=len)
-    if not all(_base(s).startswith(base) for s in srcs):
-        base = "/"
+    base = base_folder(srcs)
 
     def below(path):
         return F.when(F.instr(path, base) > 0, F.substring(path, F.instr(path, base) + len(base), F.length(path))).otherwise(path)
