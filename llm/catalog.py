@@ -36,4 +36,5 @@ ORACLE = {
     "op4_decontamination": op4.ORACLE,
     "op5_mixing": op5.ORACLE,
     "op8_url_filter": op8.ORACLE,
+    "op13_merkle_manifest": op13.ORACLE,
 }

@@ -32,7 +32,7 @@ from llm.common import saved, table
 
 SCALE = 256
 COMPONENTS = 4
-LIMB = 48   # bits of the lower part of a sum that travels as two longs
+LIMB = 56   # bits of the lower parts of a sum that travels as three longs
 ROWS = 4096  # vectors multiplied at once
 
 
@@ -96,16 +96,17 @@ def _products(z: np.ndarray) -> np.ndarray:
     return z.T @ z
 
 
-def _limbs(v: np.ndarray) -> tuple[list[int], list[int]]:
-    return [int(a) >> LIMB for a in v], [int(a) & (1 << LIMB) - 1 for a in v]
+def _limbs(v: np.ndarray) -> tuple[list[int], ...]:
+    low = (1 << LIMB) - 1
+    return [int(a) >> 2 * LIMB for a in v], [int(a) >> LIMB & low for a in v], [int(a) & low for a in v]
 
 
 def _emit(sums: dict[int, tuple[int, np.ndarray]]) -> pa.RecordBatch:
     """One row per vector length and matrix row."""
     rows = [(dim, n, i, *_limbs(m[i])) for dim, (n, m) in sums.items() for i in range(len(m))]
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    columns = list(zip(*rows)) or [[]] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["dim", "n", "i", "hi", "lo"])
+    kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.list_(pa.int64())] * 3]
+    columns = list(zip(*rows)) or [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["dim", "n", "i", "hi", "mid", "lo"])
 
 
 def _totals(fit: DataFrame, centres: dict[int, np.ndarray] | None) -> dict[int, tuple[int, np.ndarray]]:
@@ -121,17 +122,16 @@ def _totals(fit: DataFrame, centres: dict[int, np.ndarray] | None) -> dict[int,
                 n, m = sums.get(dim, (0, 0))
                 sums[dim] = n + len(rows), m + part
         yield _emit(sums)
-    parts = fit.mapInArrow(add, "dim int, n long, i int, hi array<long>, lo array<long>")
-    each = parts.select("dim", "n", "i", F.posexplode(F.arrays_zip("hi", "lo")).alias("j", "v"))
-    exact = "decimal(20,0)"
+    parts = fit.mapInArrow(add, "dim int, n long, i int, hi array<long>, mid array<long>, lo array<long>")
+    each = parts.select("dim", "n", "i", F.posexplode(F.arrays_zip("hi", "mid", "lo")).alias("j", "v"))
     # a vector and a matrix per length: bounded by the lengths, not by the rows
-    got = each.groupBy("dim", "i", "j").agg(F.sum("n").alias("n"), F.sum(F.col("v.hi").cast(exact)).alias("hi"),
-                                            F.sum(F.col("v.lo").cast(exact)).alias("lo")).toArrow()
+    limbs = [F.sum(F.col(f"v.{c}").cast("decimal(20,0)")).alias(c) for c in ("hi", "mid", "lo")]
+    got = each.groupBy("dim", "i", "j").agg(F.sum("n").alias("n"), *limbs).toArrow()
     out: dict[int, tuple[int, np.ndarray]] = {}
-    for dim, i, j, n, hi, lo in zip(*(got[c].to_pylist() for c in ("dim", "i", "j", "n", "hi", "lo"))):
+    for dim, i, j, n, *v in zip(*(got[c].to_pylist() for c in ("dim", "i", "j", "n", "hi", "mid", "lo"))):
         if dim not in out:
             out[dim] = n, np.zeros((dim if centres is not None else 1, dim), object)
-        out[dim][1][i, j] = (int(hi) << LIMB) + int(lo)
+        out[dim][1][i, j] = sum(int(part) << shift * LIMB for part, shift in zip(v, (2, 1, 0)))
     return out
 
 

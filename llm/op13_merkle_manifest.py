@@ -173,3 +173,43 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowered = {"text": lower_ascii(F.col("text"))}
     third = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
     return verified(manifest(table(spark, sf_dir, "documents"), altered=lowered, where=third))
+
+
+def _oracle(levels: int = 7, top_levels: int = 3) -> str:
+    """DuckDB SQL of the same rows, a level after the other; for up to 8^levels rows of a lang and 8^top_levels langs."""
+    def enc(c):
+        return f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')"
+
+    def leaf(text):
+        return f"sha256({enc('doc_id')} || {enc('source')} || {enc('lang')} || {enc('n_chars')} || {enc(text)})"
+    codes = "list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)"
+    bits = "list_reduce([xor(a, b)] || range(8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)"
+    crc = f"xor(list_reduce([4294967295::bigint] || {codes}, lambda a, b: {bits}), 4294967295)"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [f"l as (select doc_id, lang, {leaf('text')} as leaf, case when coalesce({crc} % 3 = 0, false) then {leaf(lowered)} end as other from documents)",
+            "a0 as (select doc_id, leaf, coalesce(other, leaf) as f, '' as proof, dense_rank() over (order by lang nulls first) - 1 as g, "
+            "row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as r, count(*) over (partition by lang) as n from l)",
+            "n0 as (select g, r, n, leaf as h from a0)"]
+
+    def up(k: int, also: str = "") -> list[str]:
+        beside = "partition by g, r // 8 order by r rows between"
+        return [f"s{k} as (select g, r, n, coalesce(string_agg(h, '') over ({beside} unbounded preceding and 1 preceding), '') as a, "
+                f"coalesce(string_agg(h, '') over ({beside} 1 following and unbounded following), '') as b from n{k})",
+                f"a{k + 1} as (select t.doc_id, t.leaf, {also}t.g, t.r // 8 as r, case when s.n > 1 then sha256(s.a || t.f || s.b) else t.f end as f, "
+                f"t.proof || s.a || s.b as proof from a{k} t join s{k} s on t.g = s.g and t.r = s.r)",
+                f"n{k + 1} as (select g, r // 8 as r, (n + 7) // 8 as n, case when n > 1 then sha256(string_agg(h, '' order by r)) "
+                f"else any_value(h) end as h from n{k} group by g, r // 8, n)"]
+    for k in range(levels):
+        ctes += up(k)
+    first = levels + 1  # the langs are the nodes now, of one part
+    ctes += [f"a{first} as (select doc_id, leaf, 0 as g, g as r, f, proof, g as own from a{levels})",
+             f"n{first} as (select 0 as g, g as r, count(*) over () as n, h from n{levels})",
+             f"sub as (select r as own, h as subroot from n{first})"]
+    for k in range(first, first + top_levels):
+        ctes += up(k, "t.own, ")
+    end = first + top_levels
+    return (f"with {', '.join(ctes)} select doc_id, leaf, subroot, h as root, sha256(proof) as proof_sha256, f as folded_root, f = h as verified "
+            f"from a{end} join n{end} using (g) join sub using (own)")
+
+
+ORACLE = _oracle()
