@@ -9,7 +9,9 @@ thin out. For each candidate pair the overlaps of its fragments are counted sepa
 
 Links are wanted as components, so no group of copies is expanded into pairs: members of a posting
 list meet its leader first, and after components of these links are found, only members of
-different components of a list meet each other, where a stretch of common n-grams begins. N-grams are compared by 64-bit names.
+different components of a list meet each other, where a stretch of common n-grams begins. Before overlaps
+of a pair are counted, 512 parities of each set (how many of its n-grams fall on a number, odd or even)
+bound how much the sets differ at least. N-grams are compared by 64-bit names.
 
 Defined results: null text has no words, its set is empty and links with nothing; a text of fewer
 than ``n`` words has one n-gram, all its words; a row without a doc_id has its n_shingles and no
@@ -29,7 +31,8 @@ from llm.textnp import U, lower_ascii, ranges, slices, text_bytes, unpack_values
 N, THRESHOLD = 4, 85  # words, percent
 CLASSES = 16          # powers of two told apart by the global order
 CUTS = 4              # fragments per power of two
-PIVOTS, PIVOT_ROUNDS = 64, 2  # members of a posting list that all its members meet first, chosen anew in each round
+MARKS = 512           # parities of a set
+PIVOTS = (8, 64)  # members of a posting list that all its members meet first, chosen anew in each round
 
 
 def shingles(column: pa.ChunkedArray | pa.Array, n: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray, int]:
@@ -106,7 +109,14 @@ def _counts(group: pa.Table) -> pa.Table:
     return answers(group, combine)
 
 
-SETS = "cls long, size long, frag int, start int, n_prefix int, prev long, grams array<long>"
+SETS = "cls long, size long, frag int, start int, n_prefix int, prev long, grams array<long>, marks array<long>"
+
+
+def parities(of: np.ndarray, grams: np.ndarray, rows: int) -> np.ndarray:
+    """(rows, MARKS / 64) words of bits: whether an odd number of a row's n-grams falls on each place."""
+    place = of * MARKS + (grams & U(MARKS - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=rows * MARKS) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(rows, MARKS), axis=1, bitorder="little").view(np.int64)
 
 
 def _cut_sets(sizes: Deal, n: int, percent: int):
@@ -114,6 +124,7 @@ def _cut_sets(sizes: Deal, n: int, percent: int):
     def f(left: pa.Table, right: pa.Table) -> pa.Table:
         name, count, grams = _of_classes(left, right, n)
         of = np.repeat(np.arange(len(name)), count)
+        marks = parities(of, grams, len(name))
         keys, place = np.unique(grams >> U(64 - sizes.bits), return_inverse=True)
         level = np.frombuffer(b"".join(answer_parts(right, 1)), np.uint8)[place] if len(keys) else np.zeros(0, np.uint8)
         order = np.lexsort((grams, level, of))
@@ -132,9 +143,12 @@ def _cut_sets(sizes: Deal, n: int, percent: int):
         first_of[1:] = of[1:] != of[:-1]
         prev = pa.array(np.roll(grams, 1)[at].view(np.int64), pa.int64(), mask=first_of[at])
         lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(of)).astype(np.int32)), pa.array(grams.view(np.int64)))
+        # a class's marks stand in its first row
+        marked = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(at) + 1) * marks.shape[1], marks.shape[1], np.int32)),
+                                          pa.array(marks[of[at]].ravel()), mask=pa.array(~first_of[at]))
         return pa.table({"cls": pa.array(name[of[at]], pa.int64()), "size": pa.array(count[of[at]], pa.int64()),
                          "frag": pa.array(frag[at], pa.int32()), "start": pa.array(rank[at], pa.int32()),
-                         "n_prefix": pa.array(inside, pa.int32()), "prev": prev, "grams": lists})
+                         "n_prefix": pa.array(inside, pa.int32()), "prev": prev, "grams": lists, "marks": marked})
     return f
 
 
@@ -151,7 +165,16 @@ def _passes(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the distinct pairs (cls, other, size, o_size) those that reach the threshold: overlaps by fragment, summed."""
+    """Of the distinct pairs (cls, other, size, o_size) those that reach the threshold: overlaps by fragment, summed.
+
+    Every n-gram that only one of two sets holds changes one parity, so sets differ by at least as many
+    n-grams as parities; pairs that differ by too many are dropped first.
+    """
+    marks = sets.where("marks is not null").select("cls", "marks")
+    differ = sum((F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("o_marks")[i])) for i in range(MARKS // 64)), F.lit(0))
+    pairs = saved(pairs.join(marks, "cls").join(marks.select(F.col("cls").alias("other"), F.col("marks").alias("o_marks")), "other")
+                  .where((100 + percent) * differ <= (100 - percent) * (F.col("size") + F.col("o_size")))
+                  .select("cls", "other", "size", "o_size"), "op7-near")
     other = sets.select(F.col("cls").alias("other"), "frag", F.col("grams").alias("o_grams"))
     counted = (pairs.join(other, "other").join(sets.select("cls", "frag", "grams"), ["cls", "frag"])
                .select("cls", "other", "size", "o_size", F.size(F.array_intersect("grams", "o_grams")).alias("overlap"))
@@ -208,9 +231,10 @@ def similar_sets(docs: DataFrame, n: int = N, percent: int = THRESHOLD, doc_id:
     # members of one list that are not in one component yet meet a few pivots of the list: large groups whose
     # members link here and there grow together without most of their pairs being looked at
     links = first
-    for salt in range(PIVOT_ROUNDS):
+    for salt, few in enumerate(PIVOTS):
         left = _open_lists(posts, links)
-        pivots = _others(left.where(F.pmod(F.xxhash64("cls", F.lit(salt)), "n") < PIVOTS))
+        # a share of the hash's range, so that lists of other length that hold a group choose the same members of it
+        pivots = _others(left.where((F.xxhash64("cls", F.lit(salt)) / F.lit(2.0 ** 64) + 0.5) * F.col("n") < few))
         met = _passes(left.join(pivots, "gram").where(f"cls != o_cls and root != o_root and {_BEGINS}"), percent)
         found = _links(saved(met.select("cls", F.col("o_cls").alias("other"), "size", "o_size").distinct(), "op7-met"), sets, percent)
         links = saved(links.union(found), "op7-links")
