@@ -53,14 +53,15 @@ def parts(keys: np.ndarray, bits: int, buckets: int) -> list[tuple[int, int, int
     return [(b, int(cuts[b]), int(cuts[b + 1])) for b in np.flatnonzero(np.diff(cuts))]
 
 
-def ask(chunk: int, round_: int, keys: np.ndarray, vals: np.ndarray | None, bits: int, buckets: int) -> pa.Table:
-    """The questions of a chunk about sorted distinct keys of so many bits."""
+def ask(chunk: int, round_: int, keys: np.ndarray, vals: np.ndarray | None, bits: int, buckets: int,
+        pack: Callable[[np.ndarray], bytes] = pack_values) -> pa.Table:
+    """The questions of a chunk about sorted distinct keys of so many bits; ``pack`` writes the values of some of them."""
     cut = parts(keys, bits, buckets)
     n = len(cut)
     return pa.table({
         "bucket": pa.array([b for b, _, _ in cut], pa.int32()), "chunk": pa.array([chunk] * n, pa.int32()),
         "round": pa.array([round_] * n, pa.int32()), "keys": pa.array([pack_sorted(keys[i:j]) for _, i, j in cut], pa.binary()),
-        "vals": pa.array([b"" if vals is None else pack_values(vals[i:j]) for _, i, j in cut], pa.binary())})
+        "vals": pa.array([b"" if vals is None else pack(vals[i:j]) for _, i, j in cut], pa.binary())})
 
 
 def answers(group: pa.Table, combine: Callable[[np.ndarray, np.ndarray, np.ndarray, list], list[bytes]]) -> pa.Table:

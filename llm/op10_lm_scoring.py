@@ -27,7 +27,17 @@ from llm.exchange import ANSWER, QUESTION, Deal, answer_parts, answers, ask, chu
 from llm.textnp import U, mix, pack_values, slices, text_bytes, unpack_values, word_names, words
 
 MU, K = 1000.0, 5.0
-HIGH = 1 << 32  # background counts below, target counts above
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """(n, 2) counts, background and target, as two columns."""
+    every = pack_values(counts[:, 0])
+    return len(every).to_bytes(8, "little") + every + pack_values(counts[:, 1])
+
+
+def unpack_counts(b: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(b[:8], "little")
+    return np.column_stack([unpack_values(b[8:end]), unpack_values(b[end:])])
 
 
 class _Grams:
@@ -48,26 +58,25 @@ class _Grams:
     def counts(self) -> np.ndarray:
         every = np.bincount(self.place, minlength=len(self.keys))
         mine = np.bincount(self.place, self.target[self.of], minlength=len(self.keys)).astype(np.int64)
-        return every + mine * HIGH
+        return np.column_stack([every, mine])
 
 
 def _ask(sizes: Deal):
     def f(left: pa.Table, right: pa.Table) -> pa.Table:
         g = _Grams(left, right, sizes.bits)
         chunk = (left if len(left) else right)["chunk"][0].as_py()
-        return ask(chunk, 1, g.keys, g.counts(), sizes.bits, sizes.buckets)
+        return ask(chunk, 1, g.keys, g.counts(), sizes.bits, sizes.buckets, pack_counts)
     return f
 
 
 def _sum(group: pa.Table) -> pa.Table:
     def combine(order, number, ends, vals):
-        given = np.concatenate([unpack_values(v) for v in vals])[order]
+        given = np.concatenate([unpack_counts(v) for v in vals])[order]
         n = number[-1] + 1 if len(number) else 0
-        total = (np.bincount(number, given % HIGH, n).astype(np.int64)
-                 + np.bincount(number, given // HIGH, n).astype(np.int64) * HIGH)
-        out = np.empty(len(order), np.int64)
-        out[order] = total[number]
-        return [pack_values(x) for x in np.split(out, ends[:-1])]
+        out = np.empty((len(order), 2), np.int64)
+        for k in range(2):  # sums of doubles are exact up to 2^53
+            out[order, k] = np.bincount(number, given[:, k], n).astype(np.int64)[number]
+        return [pack_counts(x) for x in np.split(out, ends[:-1])]
     return answers(group, combine)
 
 
@@ -75,12 +84,12 @@ def _score(sizes: Deal, n_target: int, n_all: int):
     def f(left: pa.Table, right: pa.Table) -> pa.Table:
         g = _Grams(left, right, sizes.bits)
         n = len(g.row)
-        total = np.concatenate([np.zeros(0, np.int64), *(unpack_values(b) for b in answer_parts(right, 1))])[g.place]
+        total = np.concatenate([np.zeros((0, 2), np.int64), *(unpack_counts(b) for b in answer_parts(right, 1))])[g.place]
         _, own, often = np.unique(g.of * np.int64(max(1, len(g.keys))) + g.place, return_inverse=True, return_counts=True)
         own = often[own]
         in_target = g.target[g.of]
-        every = (total % HIGH - own).astype(np.float64)
-        target = (total // HIGH - own * in_target).astype(np.float64)
+        every = (total[:, 0] - own).astype(np.float64)
+        target = (total[:, 1] - own * in_target).astype(np.float64)
         size = np.bincount(g.row, minlength=g.n)
         rest_all = np.maximum(n_all - size, 1)[g.row]
         rest_target = np.maximum(n_target - size * g.target, 0)[g.row]

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,8 +17,8 @@ import llm.exchange as exchange
 from llm.op1_substring_dedup import WINDOW, remove_repeats
 from llm.op4_decontamination import contamination, proximity_matches
 from llm.op6_quality import CHUNK, accepted, chunk_starts, fit, held_out, learn
-from llm.op7_ngram_join import keep_one, similar_sets
-from llm.op10_lm_scoring import K, MU, cross_entropy_difference
+from llm.op7_ngram_join import MARKS, keep_one, parities, similar_sets
+from llm.op10_lm_scoring import K, MU, _sum as add_counts, cross_entropy_difference, pack_counts, unpack_counts
 from llm.textnp import pack_sorted, pack_values, unpack_sorted, unpack_values
 
 DOCS = "doc_id long, text string"
@@ -289,3 +290,38 @@ def test_packed_numbers_round_trip():
         v = rng.integers(-2 ** 63, 2 ** 63 - 1, n, dtype=np.int64)
         assert (unpack_values(pack_values(v)) == v).all()
         assert (unpack_values(pack_values(v % 1000)) == v % 1000).all()
+
+
+def test_ngram_join_of_one_large_group_of_near_copies(spark):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(90)]
+    docs = []
+    for i in range(260):
+        words = base[:]
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(400)}"
+        docs.append((i, " ".join(words)))
+    got = similar_sets(spark.createDataFrame(docs, DOCS).repartition(5), 5, 80).collect()
+    want = components(docs, 5, 80)
+    assert len({c for _, _, c in want}) > 3 and collections.Counter(tuple(r) for r in got) == want
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2 ** 63, rng.integers(1, n)).astype(np.uint64)) for n in (2, 5, 60, 400, 3000)]
+    sets += [np.unique(np.concatenate([s[: len(s) // 2], rng.integers(0, 2 ** 63, 7).astype(np.uint64)])) for s in sets]
+    marks = parities(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets), len(sets))
+    assert marks.shape == (10, MARKS // 64)
+    for a, x in zip(sets, marks):
+        for b, y in zip(sets, marks):
+            bits = sum(bin(int(v) & (1 << 64) - 1).count("1") for v in x ^ y)
+            differ = len(np.setxor1d(a, b))
+            assert bits <= differ and (bits - differ) % 2 == 0
+
+
+def test_counts_above_four_thousand_million():
+    counts = np.array([[3 * 10 ** 9, 10], [1, 0]], np.int64)
+    group = pa.table({"bucket": [0, 0], "chunk": [0, 1], "round": [1, 1], "keys": [pack_sorted(np.array([5, 9], np.uint64))] * 2,
+                      "vals": [pack_counts(counts)] * 2})
+    for answer in add_counts(group)["vals"].to_pylist():
+        assert unpack_counts(answer).tolist() == [[6 * 10 ** 9, 20], [2, 0]]
