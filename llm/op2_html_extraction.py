@@ -82,42 +82,84 @@ def _tag(text: str) -> tuple[str, bool, float, bool]:
                 if _HIDDEN_STYLE.search(text) or _HIDDEN_FLAG.search(text) and _HIDDEN_FLAG.search(_QUOTED.sub("true", text)):
                     odds = -9.0
         got = name, text[1] == "/", odds, inside
-        if len(_TAGS) < 100_000:
+        if len(_TAGS) < 100_000 and len(text) < 1000:  # long attributes are rarely met again
             _TAGS[text] = got
     return got
 
 
-class _Block:
-    __slots__ = ("parts", "linked", "total", "tag", "path", "odds")
+#: Where the search for an element to end stops.
+_HALTS = SCOPES - ENDS.keys()
+#: For a block's name, the open elements that it ends.
+_ENDED_BY = {name: [key for key, names in ENDS.items() if name in names] for name in BLOCKS}
 
-    def __init__(self, tag, path, odds):
-        self.parts, self.linked, self.total, self.tag, self.path, self.odds = [], 0, 0, tag, path, odds
 
+class Place:
+    """An element in the tree: its parent (None above the page) and how deep it lies."""
+    __slots__ = ("parent", "depth")
+
+    def __init__(self, parent: Place | None):
+        self.parent, self.depth = parent, parent.depth + 1 if parent else 0
 
-def read_blocks(page: str) -> list[tuple[str, tuple[int, ...], float]]:
-    """(text, path in the tree, log-odds for content) of the page's blocks that have text."""
-    blocks: list[_Block] = []
-    # (name, id, best content odds, boilerplate odds, inside an article)
-    stack: list[tuple[str, int, float, float, bool]] = [("", 0, 0.0, 0.0, False)]
-    path, serial, links, cur = (0,), 0, 0, None
 
-    def close(depth: int):
-        nonlocal path, links
-        while len(stack) > depth:
-            if stack.pop()[0] == "a":
-                links -= 1
-        path = path[:len(stack)]
+class _Block:
+    __slots__ = ("parts", "linked", "total", "tag", "place", "odds")
+
+    def __init__(self, tag, place, odds):
+        self.parts, self.linked, self.total, self.tag, self.place, self.odds = [], 0, 0, tag, place, odds
+
+
+class _Open:
+    """The open elements, and for each name and kind where they stand, so that the nearest is found at once."""
+
+    def __init__(self):
+        # (name, place, best content odds, boilerplate odds, inside an article)
+        self.stack: list[tuple[str, Place, float, float, bool]] = [("", Place(None), 0.0, 0.0, False)]
+        self.named: dict[str, list[int]] = {}
+        self.blocks: list[int] = [0]
+        self.halts: list[int] = [0]
+
+    def push(self, name: str, content: float, boiler: float, article: bool) -> None:
+        k = len(self.stack)
+        self.stack.append((name, Place(self.stack[-1][1]), content, boiler, article))
+        self.named.setdefault(name, []).append(k)
+        if name in BLOCKS:
+            self.blocks.append(k)
+        if name in _HALTS:
+            self.halts.append(k)
+
+    def close(self, depth: int) -> int:
+        """End the elements from this depth on; how many of them were links."""
+        links = 0
+        while len(self.stack) > depth:
+            name = self.stack.pop()[0]
+            self.named[name].pop()
+            if name in BLOCKS:
+                self.blocks.pop()
+            if name in _HALTS:
+                self.halts.pop()
+            links += name == "a"
+        return links
+
+    def nearest(self, name: str) -> int:
+        """Where the innermost open element of a name stands; 0 if there is none."""
+        at = self.named.get(name)
+        return at[-1] if at else 0
+
+
+def read_blocks(page: str) -> list[tuple[str, Place, float]]:
+    """(text, place in the tree, log-odds for content) of the page's blocks that have text. Linear in the page."""
+    blocks: list[_Block] = []
+    tree = _Open()
+    links, cur = 0, None
 
     def take(text: str):
         nonlocal cur
         if cur is None:
             if not text or text.isspace():
                 return
-            k = len(stack) - 1
-            while k and stack[k][0] not in BLOCKS:
-                k -= 1
-            _, _, content, boiler, _ = stack[-1]
-            cur = _Block(stack[k][0], path[:k + 1], content + boiler)
+            name, place, *_ = tree.stack[tree.blocks[-1]]
+            _, _, content, boiler, _ = tree.stack[-1]
+            cur = _Block(name, place, content + boiler)
             blocks.append(cur)
         cur.parts.append(text)
         n = len(text)
@@ -152,33 +194,25 @@ def read_blocks(page: str) -> list[tuple[str, tuple[int, ...], float]]:
             continue
         block = name in BLOCKS
         if end:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    close(k)
-                    break
-                if not block and stack[k][0] in BLOCKS:
-                    break
+            k = tree.nearest(name)
+            if k and (block or tree.blocks[-1] < k):
+                links -= tree.close(k)
             if block:
                 cur = None
             continue
         if block:
             cur = None
-            for k in range(len(stack) - 1, 0, -1):
-                if name in ENDS.get(stack[k][0], ()):
-                    close(k)
-                    break
-                if stack[k][0] in SCOPES and stack[k][0] not in ENDS:
-                    break
+            k = max(map(tree.nearest, _ENDED_BY[name]), default=0)
+            if k > tree.halts[-1]:
+                links -= tree.close(k)
         if name in VOID or text.endswith("/>") and not block:
             continue
-        serial += 1
-        _, _, content, boiler, article = stack[-1]
+        _, _, content, boiler, article = tree.stack[-1]
         if odds > 0:
             content = max(content, odds)
         elif odds < 0 and not (name == "header" and article):
             boiler = min(boiler, odds)
-        stack.append((name, serial, content, boiler, article or inside))
-        path = path + (serial,)
+        tree.push(name, content, boiler, article or inside)
         if name == "a":
             links += 1
     if at < len(page):
@@ -192,30 +226,32 @@ def read_blocks(page: str) -> list[tuple[str, tuple[int, ...], float]]:
             odds += LINK * share + (SHORT_LINK if share > 0.8 and len(text) < 40 else 0)
             odds += STOP if text[-1] in ".!?…:\"”»" else 0
             odds += COPYRIGHT if text.startswith(("©", "(c) ", "Copyright")) else 0
-            out.append((text, b.path, odds))
+            out.append((text, b.place, odds))
     return out
 
 
-def _distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    same = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        same += 1
-    return len(a) + len(b) - 2 * same
+def _distance(a: Place, b: Place) -> int:
+    """Steps from one to the other in the tree; of blocks in page order, together no more than the tree has edges."""
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
 
 
-def smoothness(paths: list[tuple[int, ...]]) -> list[tuple[int, int, float]]:
+def smoothness(places: list[Place]) -> list[tuple[int, int, float]]:
     """Edges between blocks next to each other, and between neighbours under one parent."""
     edges, last = [], {}
-    for i, p in enumerate(paths):
+    for i, p in enumerate(places):
         if i:
-            edges.append((i - 1, i, ADJACENT + NEAR / (1 + _distance(paths[i - 1], p))))
-        parent = p[:-1]
-        j = last.get(parent)
+            edges.append((i - 1, i, ADJACENT + NEAR / (1 + _distance(places[i - 1], p))))
+        j = last.get(p.parent)
         if j is not None and j != i - 1:
-            edges.append((j, i, NEAR / (1 + _distance(paths[j], p))))
-        last[parent] = i
+            edges.append((j, i, NEAR / (1 + _distance(places[j], p))))
+        last[p.parent] = i
     return edges
 
 

@@ -369,3 +369,19 @@ def test_pipeline_takes_odd_rows(spark, sf_dir):
         assert "hits" in docs.columns
     for _, stage in p.STAGES[1:]:
         assert stage(spark, docs.limit(0).drop("chance"), sf_dir).count() == 0
+
+
+@pytest.mark.parametrize("part", ["<b>", "<p>a</p><b>", "<div>a", "<li><p>a</li>", "<td>a", "</b><i>a</p>"])
+def test_open_elements_cost_no_more_than_their_number(part):
+    import time
+    page = part * (400_000 // len(part))
+    t0 = time.process_time()
+    text = main_text(page)
+    assert time.process_time() - t0 < 20  # the square of the number would take minutes
+    assert set(text) <= {"a", "\n"}
+
+
+def test_places_of_blocks():
+    places = [p for _, p, _ in read_blocks("<div><p>a</p><p>b<i>c</i></p></div><ul><li>d<li>e</ul>f")]
+    assert [t for t, _, _ in read_blocks("<p>a<b>b<div>c</b>d</p>e")] == ["ab", "cd", "e"]
+    assert [p.depth for p in places] == [2, 2, 2, 2, 0] and places[0].parent is places[1].parent and places[2].parent is not places[0].parent
