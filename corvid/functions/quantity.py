@@ -175,12 +175,15 @@ def memory_k8s_parse(text: Column | str) -> Parse:
 
 
 def memory_jvm_parse(text: Column | str) -> Parse:
+    """Numbers of up to 18 digits whose product fits 64 bits are multiplied as such; the bound is tested first, because a
+    failing cast or product costs an exception."""
     s = _col(text)
     mult = lambda ref: F.try_element_at(_unit_map(JVM_UNITS, "bigint"), _unit_text(ref("text"), ref("digits")))
     return Parse({"text": s, "digits": F.regexp_extract(s, JVM_MEMORY_PATTERN, 1)}, _wide_checks, {
         "mult": mult,
-        "raw": lambda ref: F.coalesce(
-            F.try_multiply(_number(ref("digits"), "bigint"), ref("mult")).cast(WIDE),
+        "small": lambda ref: F.when(F.length(ref("digits")).between(1, 18), ref("digits").try_cast("bigint")),
+        "raw": lambda ref: F.when(ref("small") <= F.call_function("div", F.lit(2 ** 63 - 1), ref("mult")),
+                                  (ref("small") * ref("mult")).cast(WIDE)).otherwise(
             _times(_number(ref("digits"), WIDE), ref("mult").cast("decimal(19,0)")))})
 
 
@@ -193,8 +196,15 @@ def cpu_k8s_parse(text: Column | str) -> Parse:
 def cpu_jvm_parse(text: Column | str) -> Parse:
     s = _col(text)
     digits = F.replace(F.regexp_extract(s, JVM_CPU_PATTERN, 1), F.lit("_"), F.lit(""))
-    return Parse({"text": s, "digits": digits}, _exact_checks,
-                 {"raw": lambda ref: F.try_multiply(_number(ref("digits"), "bigint"), F.lit(1000).cast("bigint"))})
+
+    def raw(ref):
+        # up to 15 digits always fit, and more than 19 never do once leading zeros are gone: a failing cast or
+        # product costs an exception, so only what lies between is tried
+        plain = F.regexp_replace(ref("digits"), r"^([+-]?)0+(?=[0-9])", "$1")
+        large = F.when(F.length(plain) <= 20, F.try_multiply(_number(plain, "bigint"), F.lit(1000).cast("bigint")))
+        return F.when(F.length(ref("digits")).between(1, 15), ref("digits").try_cast("bigint") * F.lit(1000).cast("bigint")).when(
+            F.length(ref("digits")) > 15, large)
+    return Parse({"text": s, "digits": digits}, _exact_checks, {"raw": raw})
 
 
 def _is_integer(v: Column, integral: bool | None) -> Column:

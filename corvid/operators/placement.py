@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from corvid.operators.aggregate import col_of
 
@@ -39,8 +39,9 @@ def rule_structs(task: Column | str) -> list[tuple[int, str, Column, str]]:
 
 def rule_array(task: Column | str, own: Column | None = None) -> Column:
     """The four weighted rules of a task, or its own rules when given."""
-    default = F.array(*[F.struct(F.lit(w), F.lit(k), v, F.lit(t))
-                        for w, k, v, t in rule_structs(task)]).cast(ArrayType(RULE))
+    # of RULE's fields by construction: a cast that differs in nullability alone copies every struct
+    default = F.array(*[F.struct(F.lit(w).alias("weight"), F.lit(k).alias("label_key"), v.alias("label_value"), F.lit(t).alias("topology_key"))
+                        for w, k, v, t in rule_structs(task)])
     return default if own is None else F.coalesce(own, default)
 
 
@@ -100,8 +101,7 @@ def rank_placements(drivers: DataFrame, executors: DataFrame, nodes: DataFrame,
     zones = held.where("host is null").groupBy("task", "zone").agg(F.sum("weight").alias("zone_points"))
     on_host = (hosts.join(zones, ["task", "zone"], "left")
                .select("task", F.col("host").alias("node"), (F.col("points") + F.coalesce("zone_points", F.lit(0))).alias("score")))
-    # one row per zone: tiny by nature
-    first = F.broadcast(dim.where("zone is not null").groupBy("zone").agg(F.min("node").alias("node")))
+    first = dim.where("zone is not null").groupBy("zone").agg(F.min("node").alias("node"))
     in_zone = zones.join(first, "zone").select("task", "node", F.col("zone_points").alias("score"))
     best = (on_host.unionByName(in_zone)
             .withColumn("rn", F.row_number().over(Window.partitionBy("task").orderBy(F.desc("score"), "node")))

@@ -23,8 +23,7 @@ from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DecimalType, DoubleType, IntegerType, LongType,
-                               StringType, StructField, StructType)
+from pyspark.sql.types import ArrayType, BooleanType, DecimalType, DoubleType, IntegerType, LongType, StringType
 
 from corvid.functions.quantity import format_cpu_jvm, format_cpu_k8s, format_memory_jvm
 from corvid.functions.text import slug
@@ -101,12 +100,6 @@ _TYPES = {"cpu_jvm": LongType(), "cpu_k8s": LongType(), "memory_m": DecimalType(
           "text": StringType(), "int": IntegerType(), "bool": BooleanType(), "list": ArrayType(StringType()),
           "const": StringType(), "count": StringType()}
 
-ENTRY = StructType([StructField("layer", IntegerType()), StructField("ord", IntegerType()),
-                    StructField("key", StringType()), StructField("value", StringType())])
-EXTRA = StructType([StructField("n", IntegerType()), StructField("key", StringType()),
-                    StructField("value", StringType())])
-
-
 class Pair(NamedTuple):
     """One rendered setting: its layer and place, its key (``name`` is the
     key text when it is fixed, ``None`` when it depends on the row) and value
@@ -287,7 +280,9 @@ def name_pairs(dag_id: Column, task_name: Column) -> list[Pair]:
 
 
 def entry_array(pairs: list[Pair]) -> Column:
-    """Pairs as ``array<struct<layer, ord, key, value>>`` (null values kept)."""
+    """Pairs as ``array<struct<layer, ord, key, value>>`` (null values kept).
+
+    The structs have their types by construction; a cast that differs in nullability alone copies each."""
     def entry(p: Pair) -> Column:
         o = p.ord if isinstance(p.ord, Column) else F.lit(p.ord)
         return F.struct(F.lit(p.layer).alias("layer"), o.cast("int").alias("ord"),

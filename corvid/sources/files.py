@@ -107,6 +107,7 @@ def _repeat_headers(batches):
 
 def land_raw(spark: SparkSession, src: str | list[str], dst: str, *, header: bool = True) -> str:
     """Copy a set of text files under ``dst``, line by line, replacing what was there.
+    :func:`corvid.sources.landing.land_files` copies files as they are, without a shuffle.
 
     Each source file lands under ``dst/source=<its path below the pattern's
     folder>/``, one part per task that read a piece of it, so no file is ever
