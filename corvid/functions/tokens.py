@@ -35,25 +35,31 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _replaced(text: Column, parts: dict[str, str]) -> Column:
+    """Plain replacements one by one: ``translate`` and patterns look up every character."""
+    for old, new in parts.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def base64url_decode(segment: Column) -> Column:
     """base64url text without padding -> binary; null when invalid."""
-    padded = F.concat(F.translate(segment, "-_", "+/"),
+    padded = F.concat(_replaced(segment, {"-": "+", "_": "/"}),
                       F.repeat(F.lit("="), F.pmod(-F.length(segment), F.lit(4))))
     return F.try_to_binary(padded, F.lit("base64"))
 
 
 def base64url_encode(data: Column) -> Column:
-    """binary or text -> base64url text without padding (``base64`` wraps
+    """binary or text -> base64url text without padding (``base64`` may wrap
     long output in lines; the breaks are removed)."""
-    return F.regexp_replace(F.translate(F.base64(data), "+/", "-_"), "[\\r\\n]|=+$", "")
+    return F.rtrim(_replaced(F.base64(data), {"+": "-", "/": "_", "\r\n": ""}), F.lit("="))
 
 
 def token_payload(token: Column | str) -> Column:
     """The middle segment decoded to JSON text; null unless there are exactly three segments."""
     t = _col(token)
-    parts = F.split(t, r"\.")
-    return F.when(F.size(parts) == 3,
-                  base64url_decode(F.element_at(parts, 2)).cast("string"))
+    dots = F.length(t) - F.length(F.replace(t, F.lit("."), F.lit("")))
+    return F.when(dots == 2, base64url_decode(F.substring_index(F.substring_index(t, ".", 2), ".", -1)).cast("string"))
 
 
 def token_claims(token: Column | str, schema: StructType = SERVICE_ACCOUNT_CLAIMS) -> Column:

@@ -155,7 +155,9 @@ def fx_override(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One service-account token per customer (B25). Every 17th token is
     corrupt; every 19th names no account (the claim falls back to ``default``)."""
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    # dealt out while rows are narrow: the table's file is one task per row group, and a token takes long to make
+    c = c.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     key = F.col("c_custkey")
     account = F.struct(
         F.when(key % 19 != 0, F.concat(F.lit("sa-"), F.lower("c_mktsegment"))).alias("name"),

@@ -101,3 +101,30 @@ def test_supplied_parts_replace_defaults(spark):
     assert docs[1]["spec"]["containers"] == [{"image": "img:1", "name": "main"}]
     c, = docs[2]["spec"]["containers"]
     assert c["name"] == "base" and [e["name"] for e in c["env"]][0] == "SPARK_DRIVER_POD_NAME"
+
+
+def test_base64url_against_python(spark):
+    from corvid.functions.tokens import base64url_decode, base64url_encode
+    raws = [bytes(range(256)) * n + b"\xfb\xff\xfe"[:k] for n in (0, 1, 3) for k in range(4)]
+    df = spark.createDataFrame([(r, base64.urlsafe_b64encode(r).decode().rstrip("=")) for r in raws], "raw binary, text string")
+    for r in df.select("raw", "text", base64url_encode(F.col("raw")).alias("e"), base64url_decode(F.col("text")).alias("d")).collect():
+        assert (r.e, bytes(r.d)) == (r.text, bytes(r.raw))
+
+
+def test_payload_needs_three_segments(spark):
+    from corvid.functions.tokens import token_payload
+    texts = ["a.e30.b", ".e30.", "e30", "a.e30", "a.e30.b.c", "a..b", "", None, "a.e*0.b"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(token_payload("t")).collect()]
+    assert got == ["{}", "{}", None, None, None, "", None, None, None]
+
+
+def test_tokens_are_made_in_many_tasks(spark, tmp_path):
+    """A table of one file and row group is dealt out before its tokens are made."""
+    from corvid.plans.fixtures import fx_token
+    rows = [(i if i % 50 else None, i % 25, "BUILDING") for i in range(1000)]
+    (spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_mktsegment string").coalesce(1)
+     .write.parquet(str(tmp_path / "customer.parquet")))
+    tokens = fx_token(spark, str(tmp_path))
+    used = tokens.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(used) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r["count"] for r in used) == 1000
