@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DecimalType, DoubleType, IntegerType, LongType, StringType
 
 from corvid.functions.quantity import format_cpu_jvm, format_cpu_k8s, format_memory_jvm
@@ -280,14 +280,33 @@ def name_pairs(dag_id: Column, task_name: Column) -> list[Pair]:
 
 
 def entry_array(pairs: list[Pair]) -> Column:
-    """Pairs as ``array<struct<layer, ord, key, value>>`` (null values kept).
+    """Pairs as ``array<struct<layer, ord, key, value>>`` (null values kept)."""
+    return F.array(*[_pair_entry(p) for p in pairs])
 
-    The structs have their types by construction; a cast that differs in nullability alone copies each."""
-    def entry(p: Pair) -> Column:
-        o = p.ord if isinstance(p.ord, Column) else F.lit(p.ord)
-        return F.struct(F.lit(p.layer).alias("layer"), o.cast("int").alias("ord"),
-                        p.key.cast("string").alias("key"), p.value.cast("string").alias("value"))
-    return F.array(*[entry(p) for p in pairs])
+
+def _pair_entry(p: Pair) -> Column:
+    """The struct has its types by construction; a cast that differs in nullability alone copies it."""
+    o = p.ord if isinstance(p.ord, Column) else F.lit(p.ord)
+    return F.struct(F.lit(p.layer).alias("layer"), o.cast("int").alias("ord"),
+                    p.key.cast("string").alias("key"), p.value.cast("string").alias("value"))
+
+
+def pair_rows(df: DataFrame, pairs: list[Pair], keep: Sequence[str] = ("task_id",)) -> DataFrame:
+    """``keep`` columns plus layer, ord, key, value: one row per pair that has a value; no shuffle.
+
+    Every pair is a column of its own before the generator reads them: one array expression that renders
+    them all becomes a single method, too long for the JVM to compile."""
+    entries = [f"__pair_{i}" for i in range(len(pairs))]
+    wide = df.select(*[col_of(df, k) for k in keep], *[_pair_entry(p).alias(e) for p, e in zip(pairs, entries, strict=True)])
+    return wide.select(*[col_of(wide, k) for k in keep], F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+
+
+def by_task(df: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
+    """Rows dealt out by task before each becomes some thirty settings, so that the settings themselves are not
+    shuffled again to be resolved and gathered per task. The number is given, as Spark would merge partitions by
+    the size of the rows here, not of what they become."""
+    n = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *[col_of(df, k) for k in keys])
 
 
 def conf_entries(df: DataFrame, component: str, env: Mapping[str, str | Column] | None = None,
@@ -303,8 +322,7 @@ def render_conf(df: DataFrame, component: str, env: Mapping[str, str | Column] |
                 keep: Sequence[str] = ("task_id",), defaults: Mapping[str, object] | None = None) -> DataFrame:
     """One row per rendered key: ``keep`` columns, layer, ord, key,
     value. A generator over each row and a filter; no shuffle."""
-    return (df.select(*[col_of(df, k) for k in keep], F.inline(conf_entries(df, component, env, defaults)))
-            .where(F.col("value").isNotNull()))
+    return pair_rows(df, conf_pairs(df, component, env, defaults), keep)
 
 
 def resolve_layers(long_df: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:
@@ -314,25 +332,19 @@ def resolve_layers(long_df: DataFrame, keys: Sequence[str] = ("task_id",)) -> Da
     lowest layer that sets the key, as a mapping that is updated layer by
     layer keeps it. ``layer`` and ``ord`` together name an entry of a key.
 
-    Places are one number (layer, then ord), so winner and position come from a hash aggregate of fixed
-    width; the winner's value is then fetched from the same exchange of the rows, by a hash join that
-    builds on the winners of a task's keys. Nothing is sorted and rows are shuffled once.
+    Places are one number (layer, then ord), so a key's winner and position are window aggregates of fixed
+    width beside its rows. Rows are shuffled once, by task and key, or not at all if they already lie by task;
+    they are read once, and what does not fit memory spills.
     """
     low = (1 << 32) - 1  # the bits of ord, counted from the least int
     place = F.shiftleft(F.col("layer").cast("long"), 32) + F.col("ord") + F.lit(1 << 31)
-    place = F.coalesce(place, F.lit(-1 << 63))  # never null, so no filter is added to one side only
-    # keys as one struct, in which nulls are equal; both sides read the same columns, so the exchange is shared
-    rows = long_df.select(F.struct(*keys, "key").alias("of"), place.alias("place"), "value").repartition("of")
-    won = rows.groupBy("of").agg(F.max("place").alias("last"), F.min(F.col("place").bitwiseXOR(F.lit(low))).alias("at"),
-                                 F.count("value").alias("n_set")).where("n_set > 0")
-    # the place is compared as a range, so that the join's key stays that of the exchange
-    r, w = rows.alias("r"), won.alias("w").hint("shuffle_hash")
-    met = r.join(w, (F.col("r.of") == F.col("w.of")) & (F.col("r.place") >= F.col("w.last")))
-    # of both sides, so that it stays above the exchange that they share
-    met = met.where(F.when(F.col("w.n_set") > 0, F.col("r.value")).isNotNull())
-    ord_ = (F.col("w.at").bitwiseXOR(F.lit(low))).bitwiseAND(F.lit(low)) - F.lit(1 << 31)
-    return met.select(*[F.col(f"r.of.{k}").alias(k) for k in keys], F.shiftright("w.at", 32).cast("int").alias("layer"),
-                      ord_.cast("int").alias("ord"), F.col("r.of.key").alias("key"), F.col("r.value").alias("value"))
+    place = F.coalesce(place, F.lit(-1 << 63))  # a row without a place comes last
+    rows = long_df.select(*keys, "key", place.alias("__place"), "value")
+    own = Window.partitionBy(*keys, "key")
+    met = rows.withColumns({"__last": F.max("__place").over(own), "__at": F.min(F.col("__place").bitwiseXOR(F.lit(low))).over(own)})
+    met = met.where((F.col("__place") == F.col("__last")) & F.col("value").isNotNull())
+    ord_ = (F.col("__at").bitwiseXOR(F.lit(low))).bitwiseAND(F.lit(low)) - F.lit(1 << 31)
+    return met.select(*keys, F.shiftright("__at", 32).cast("int").alias("layer"), ord_.cast("int").alias("ord"), "key", "value")
 
 
 def extra_by_task(overrides: DataFrame, keys: Sequence[str] = ("task_id",)) -> DataFrame:

@@ -586,8 +586,7 @@ def b15_requests_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("b16_render_conf", osql.b16_sql())
 def b16_render_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
     fleet, env = fx.fx_fleet(spark, sf_dir), fx.fleet_env()
-    entries = st.entry_array(st.conf_pairs(fleet, "driver", env) + st.conf_pairs(fleet, "executor", env))
-    return fleet.select("task_id", F.inline(entries)).where(F.col("value").isNotNull())
+    return st.pair_rows(fleet, st.conf_pairs(fleet, "driver", env) + st.conf_pairs(fleet, "executor", env))
 
 
 @register("b17_mode_keys", osql.b17_sql())
@@ -605,14 +604,12 @@ def b18_resolve_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("b18_resolve_layers_long", osql.b18_sql())
 def b18_resolve_layers_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B18 by the generic long-table resolution: one sort-based aggregate
-    over every rendered key (string winners cannot use a hash aggregate)."""
-    fleet, env = fx.fx_fleet(spark, sf_dir), fx.fleet_env()
-    rendered = fleet.select("task_id", F.inline(st.entry_array(
-        st.name_pairs(*_fleet_names()) + st.conf_pairs(fleet, "base", env)
-        + st.conf_pairs(fleet, "driver", env) + st.conf_pairs(fleet, "executor", env))))
-    rendered = rendered.where(F.col("value").isNotNull())
-    extra = fx.fx_override(spark, sf_dir).join(fleet.select("task_id"), "task_id", "left_semi").select(
+    """B18 by the generic long-table resolution, over every rendered key; tasks and their overrides are
+    dealt out by task before they are rendered."""
+    fleet, env = st.by_task(fx.fx_fleet(spark, sf_dir)), fx.fleet_env()
+    rendered = st.pair_rows(fleet, st.name_pairs(*_fleet_names()) + st.conf_pairs(fleet, "base", env)
+                            + st.conf_pairs(fleet, "driver", env) + st.conf_pairs(fleet, "executor", env))
+    extra = st.by_task(fx.fx_override(spark, sf_dir)).join(fleet.select("task_id"), "task_id", "left_semi").select(
         "task_id", F.lit(st.LAYERS["extra"]).alias("layer"), F.col("n").cast("int").alias("ord"), "key", "value")
     return st.resolve_layers(rendered.unionByName(extra))
 
